@@ -163,15 +163,31 @@ def latest_load_status(control: DataFrame) -> DataFrame:
 
 # -- K6 ----------------------------------------------------------------------
 
-def write_landing_day(df: DataFrame, root: str, day, date_col: str = "date") -> str:
-    """K6: NDJSON files of one landing day under ``root/date=<day>/``.
+def touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs_path(spark, path)
+    fs.create(p, True).close()
+
 
-    The committer writes ``_SUCCESS`` last, also for zero rows, which is the
-    completeness marker consumers wait for (S9).
+def write_landing(df: DataFrame, root: str, date_col: str = "date", days: list | None = None) -> list[str]:
+    """K6: NDJSON files under ``root/<date_col>=<day>/`` for every day of the
+    batch, in one job; then a ``_SUCCESS`` marker in each day folder, written
+    last, which consumers wait for (S9).  ``days`` lists the days the batch
+    covers, so a day without rows is still marked complete (empty folder).
+
+    Other days already under ``root`` are left as they are (dynamic overwrite).
+    The day list is bounded by the days of one batch.
     """
-    target = partition_dir(root, date_col, day)
-    df.drop(date_col).write.mode("overwrite").json(target)
-    return target
+    spark = df.sparkSession
+    if days is None:
+        days = [r[0] for r in df.select(date_col).distinct().collect()]
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(date_col).json(root))
+    marked = []
+    for d in days:
+        marker = f"{partition_dir(root, date_col, d)}/_SUCCESS"
+        touch(spark, marker)
+        marked.append(marker)
+    return marked
 
 
 # -- K8 ----------------------------------------------------------------------
