@@ -6,6 +6,9 @@ a range-partitioned global sort (Spark splits equal group values across
 partitions because the order columns make each row's sort key unique); each
 row gets its position from its partition offset, and the next row of a group
 is found by an equi-join on ``position + 1``, which hashes evenly.
+
+The offset table has one row per sort task, so its broadcast is bounded by the
+shuffle width, not by the data.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from freightlake.session import shared_dir
+from freightlake.session import scratch_path
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition id in the upper bits
 _MAX_PARTITIONS = 1_000_000  # bound on the broadcast offset table
@@ -25,25 +28,32 @@ def _asc(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).asc_nulls_last()
 
 
+def _partition_bound(spark) -> int:
+    """Upper bound on the tasks of one range-partitioned sort (AQE only coalesces)."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return max(n, int(initial)) if initial else n
+
+
 def global_position(df: DataFrame, order_cols: list, name: str = "_pos") -> DataFrame:
     """Add ``name``: the 0-based position of each row in the global order.
 
     ``order_cols`` must be a total order (add tie-break columns), otherwise the
-    positions of tied rows are arbitrary.  The sorted, numbered rows are written
-    once with ``checkpoint()`` (reliable, in ``spark.checkpoint.dir``) so the ids
-    never change on recomputation after an executor loss.
+    positions of tied rows are arbitrary.  The sorted rows are numbered and
+    written once as Parquet under ``spark.checkpoint.dir`` (lineage cut, ids
+    fixed even if an executor is lost later); re-reads are columnar.
     """
     spark = df.sparkSession
-    shared_dir(spark)
+    bound = _partition_bound(spark)
+    if bound > _MAX_PARTITIONS:
+        raise ValueError(f"{bound} partitions: offset table over its bound")
     order = [c if isinstance(c, Column) else _asc(c) for c in order_cols]
-    numbered = df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id())
-    numbered = numbered.checkpoint(eager=True)
-    n_parts = numbered.rdd.getNumPartitions()
-    if n_parts > _MAX_PARTITIONS:
-        raise ValueError(f"{n_parts} partitions: offset table over its bound")
+    path = scratch_path(spark, "ordered")
+    df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()).write.parquet(path)
+    numbered = spark.read.parquet(path)
     numbered = numbered.withColumn("_pid", F.shiftright("_mid", _ROW_BITS)).withColumn(
         "_idx", F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-    # One row per partition: bounded by n_parts, checked above.
+    # One row per sort task: at most ``bound`` rows, checked above.
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))

@@ -550,15 +550,18 @@ _REPROCESS_DAYS = 3
 def _publish(spark, sf):
     daily = dm.sla_daily(spark, sf)
     path = scratch_path(spark, "mart-daily")
-    days = [r[0] for r in daily.select("data_particao").distinct().collect()]
-    tables.publish_days(spark, daily, path, days, "data_particao")
-    cut = F.date_sub(F.lit(dm.AS_OF).cast("date"), _REPROCESS_DAYS)
-    redo = [r[0] for r in daily.select("data_particao").distinct()
-            .filter(F.col("data_particao") >= cut).collect()]
+    days = tables.publish_days(spark, daily, path, None, "data_particao")
+    cut = str(F_date_sub(dm.AS_OF, _REPROCESS_DAYS))
+    redo = [d for d in days if d >= cut]  # the reprocess window: bounded by the days list
     tables.publish_days(spark, daily, path, redo, "data_particao")
     return path, days, redo
 
 
+def F_date_sub(day: str, n: int):
+    import datetime as _dt
+    return _dt.date.fromisoformat(day) - _dt.timedelta(days=n)
+
+
 @register("day_publish", "K3 K5 K7 U1", o.with_ctes(*o.CHAIN_DAILY) + """
 SELECT * FROM daily""")
 def q_day_publish(spark, sf):

@@ -11,7 +11,9 @@ to one table are not supported (no table format is installed).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from freightlake.operators.dedup import latest_per_key
@@ -54,27 +56,36 @@ def partition_dir(path: str, part_col: str, value) -> str:
 
 def write_table(df: DataFrame, path: str, part_col: str | None = DEFAULT_PART,
                 sort_cols: list[str] | None = None, mode: str = "overwrite",
-                dynamic: bool = False) -> None:
+                dynamic: bool = False, cluster: bool = True) -> list | None:
     """K1 (create) / K7 (full refresh) / O2 (clustered files).
 
     ``dynamic=True`` replaces only the partitions present in ``df``.
-    Rows are clustered by partition and sorted inside each file (O2).
+    Rows are clustered by partition and sorted inside each file (O2);
+    ``cluster=False`` skips that for input that is already clustered.
+    Returns the partition values written (gathered by ``observe`` during the
+    write, no second pass), or None for an unpartitioned table.
     """
     out = df
-    if part_col:
+    if part_col and cluster:
         # Range on (partition, sort key): a day's rows stay in few files, yet a
         # huge day is split over many tasks (a hash on the date alone would
         # give the whole day to one task).
         spread = ([F.col(c) for c in sort_cols] if sort_cols
                   else [F.xxhash64(*[F.col(c) for c in df.columns])])
         out = out.repartitionByRange(F.col(part_col), *spread)
-    if sort_cols:
+    if sort_cols and cluster:
         out = out.sortWithinPartitions(*([part_col] if part_col else []), *sort_cols)
+    obs = None
+    if part_col:
+        # One value per partition written: bounded by the table's partition count.
+        obs = Observation(f"written-{uuid.uuid4().hex[:8]}")
+        out = out.observe(obs, F.collect_set(F.col(part_col).cast("string")).alias("parts"))
     w = (out.write.mode(mode).option("compression", "snappy")
          .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     if part_col:
         w = w.partitionBy(part_col)
     w.parquet(path)
+    return sorted(obs.get["parts"]) if obs is not None else None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -97,46 +108,54 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
                  check_unique: bool = True, sort_cols: list[str] | None = None) -> dict:
     """K2: merge ``source`` into the table at ``path`` rewriting touched partitions only.
 
-    Returns ``{"touched": n, "emptied": n}``.  The list of touched partitions is
-    bounded by the table's partition count (dates), not by its rows.
+    The source batch is first written as a snapshot in the shared folder, so
+    the touched-partition lookup and the merge see the same rows and the
+    batch is computed once.  Returns ``{"touched": n, "emptied": n}``; the
+    touched list is bounded by the table's partition count, not by its rows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if check_unique:
-        assert_unique_source(source, keys)
     if not path_exists(spark, path):
+        if check_unique:
+            assert_unique_source(source, keys)
         write_table(source, path, part_col, sort_cols)
         return {"touched": -1, "emptied": 0}
+    snap = scratch_path(spark, "merge-source")
+    source.write.parquet(snap)
+    source = spark.read.parquet(snap)
+    if check_unique:
+        assert_unique_source(source, keys)
     target = spark.read.parquet(path)
     touched = [r[0] for r in touched_partitions(target, source, keys, part_col).collect()]
     affected = target.filter(F.col(part_col).isin(touched))
     merged = merge_upsert(affected, source, keys, newer)
     stage = scratch_path(spark, "merge-stage")
-    write_table(merged, stage, part_col, sort_cols)
-    staged = spark.read.parquet(stage)
-    present = {str(r[0]) for r in staged.select(part_col).distinct().collect()}
-    write_table(staged, path, part_col, sort_cols, mode="overwrite", dynamic=True)
+    present = set(write_table(merged, stage, part_col, sort_cols))
+    write_table(spark.read.parquet(stage), path, part_col, sort_cols, mode="overwrite",
+                dynamic=True, cluster=False)
     emptied = [d for d in touched if str(d) not in present]
     for d in emptied:
         delete_path(spark, partition_dir(path, part_col, d))
     delete_path(spark, stage)
+    delete_path(spark, snap)
     return {"touched": len(touched), "emptied": len(emptied)}
 
 
 # -- K3 / K5 / U1 --------------------------------------------------------------
 
-def publish_days(spark: SparkSession, df: DataFrame, path: str, days: list,
-                 part_col: str = DEFAULT_PART) -> None:
+def publish_days(spark: SparkSession, df: DataFrame, path: str, days: list | None = None,
+                 part_col: str = DEFAULT_PART) -> list[str]:
     """K3/K5: replace exactly the listed days (idempotent; a re-run gives the
-    same table).  A listed day without rows is removed from the target."""
-    day_rows = df.filter(F.col(part_col).isin([str(d) for d in days]))
-    if not path_exists(spark, path):
-        write_table(day_rows, path, part_col)
-        return
-    write_table(day_rows, path, part_col, mode="overwrite", dynamic=True)
-    present = {str(r[0]) for r in day_rows.select(part_col).distinct().collect()}
-    for d in days:
-        if str(d) not in present:
-            delete_path(spark, partition_dir(path, part_col, d))
+    same table).  A listed day without rows is removed from the target.
+    ``days=None`` publishes every day present in ``df``.  One pass over ``df``;
+    returns the days written."""
+    day_rows = df if days is None else df.filter(F.col(part_col).isin([str(d) for d in days]))
+    first = not path_exists(spark, path)
+    written = write_table(day_rows, path, part_col, mode="overwrite", dynamic=not first)
+    if days is not None and not first:
+        for d in days:
+            if str(d) not in set(written):
+                delete_path(spark, partition_dir(path, part_col, d))
+    return written
 
 
 # -- K4 ----------------------------------------------------------------------

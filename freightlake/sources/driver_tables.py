@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlake.operators.sequence import next_in_group
+from freightlake.session import scratch_path
 
 # Fixed values of the mapping (event type -> raw status text; segment -> SLA hours).
 STATUS_BY_EVENT_TYPE = {
@@ -47,7 +48,7 @@ def case_map(col: str, mapping: dict, keep_other: bool):
 
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw freight events: evento_id, vagao_id, contrato_id, status, data_inicio,
-    data_fim, updated_at.  Materialised once per session and input folder."""
+    data_fim, updated_at.  Derived once per session and input folder."""
     key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
     cached = _EVENTS_CACHE.get(key)
     if cached is not None:
@@ -63,6 +64,11 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("data_fim"),
         F.col("ts").alias("updated_at"),
     )
+    # Written once as the bronze events table of this session (Parquet in the
+    # shared folder): later queries read it columnar, with pruning.
+    path = scratch_path(spark, "bronze-events")
+    out.write.parquet(path)
+    out = spark.read.parquet(path)
     _EVENTS_CACHE[key] = out
     return out
 
