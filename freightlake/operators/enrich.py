@@ -24,9 +24,10 @@ CONTRACT_COLUMNS = ["contrato_id", "cliente_nome", "sla_horas", "segmento"]
 
 def normalise_events(events: DataFrame) -> DataFrame:
     """P1 + P2: ``status_norm`` and ``duracao_minutos``."""
-    return (events
-            .withColumn("status_norm", status_norm("status"))
-            .withColumn("duracao_minutos", duration_minutes("data_inicio", "data_fim")))
+    return events.withColumns({
+        "status_norm": status_norm("status"),
+        "duracao_minutos": duration_minutes("data_inicio", "data_fim"),
+    })
 
 
 def enrich_events(events: DataFrame, wagons: DataFrame, contracts: DataFrame,
@@ -46,8 +47,10 @@ def enrich_events(events: DataFrame, wagons: DataFrame, contracts: DataFrame,
 
 def silver_metadata(df: DataFrame, now) -> DataFrame:
     """V5: processing instant (a parameter) and the start-date partition."""
-    return (df.withColumn("_silver_processed_at", ts_literal(now))
-              .withColumn("_partition_date", F.to_date(F.col("data_inicio"))))
+    return df.withColumns({
+        "_silver_processed_at": ts_literal(now),
+        "_partition_date": F.to_date(F.col("data_inicio")),
+    })
 
 
 def transform_silver(events: DataFrame, wagons: DataFrame, contracts: DataFrame, now,

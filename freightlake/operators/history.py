@@ -20,14 +20,9 @@ def as_of_state(history: DataFrame, keys: list[str], watermark: str, as_of,
 
 def mask_columns(df: DataFrame, rules: dict[str, str]) -> DataFrame:
     """``{"col": "hash" | "mask" | "drop"}``; other columns unchanged."""
-    out = df
-    for col, how in rules.items():
-        if how == "hash":
-            out = out.withColumn(col, mask_hash(col))
-        elif how == "mask":
-            out = out.withColumn(col, mask_text(col))
-        elif how == "drop":
-            out = out.drop(col)
-        else:
-            raise ValueError(f"unknown masking rule {how!r} for {col}")
-    return out
+    unknown = {c: h for c, h in rules.items() if h not in ("hash", "mask", "drop")}
+    if unknown:
+        raise ValueError(f"unknown masking rules: {unknown}")
+    changed = {c: (mask_hash(c) if h == "hash" else mask_text(c))
+               for c, h in rules.items() if h != "drop"}
+    return df.withColumns(changed).drop(*[c for c, h in rules.items() if h == "drop"])

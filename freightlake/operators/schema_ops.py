@@ -56,7 +56,9 @@ def evolve_union(existing: DataFrame, incoming: DataFrame) -> DataFrame:
 
 def add_audit(df: DataFrame, domain: str, watermark: str, run_id: str, now) -> DataFrame:
     """V4: ingest instant, source domain, watermark date partition, run id."""
-    return (df.withColumn("_ingested_at", ts_literal(now))
-              .withColumn("_source_domain", F.lit(domain))
-              .withColumn("_partition_date", F.to_date(F.col(watermark)))
-              .withColumn("_job_run_id", F.lit(run_id)))
+    return df.withColumns({
+        "_ingested_at": ts_literal(now),
+        "_source_domain": F.lit(domain),
+        "_partition_date": F.to_date(F.col(watermark)),
+        "_job_run_id": F.lit(run_id),
+    })

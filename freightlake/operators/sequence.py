@@ -51,8 +51,10 @@ def global_position(df: DataFrame, order_cols: list, name: str = "_pos") -> Data
     path = scratch_path(spark, "ordered")
     df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()).write.parquet(path)
     numbered = spark.read.parquet(path)
-    numbered = numbered.withColumn("_pid", F.shiftright("_mid", _ROW_BITS)).withColumn(
-        "_idx", F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
+    numbered = numbered.withColumns({
+        "_pid": F.shiftright("_mid", _ROW_BITS),
+        "_idx": F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
+    })
     # One row per sort task: at most ``bound`` rows, checked above.
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -78,8 +80,8 @@ def next_in_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
     joined = pos.join(nxt, "_pos", "left")
     same = reduce(lambda a, b: a & b,
                   [F.col(g).eqNullSafe(F.col(f"_nx_g{i}")) for i, g in enumerate(group_cols)])
-    for i, out in enumerate(value_cols.values()):
-        joined = joined.withColumn(out, F.when(same, F.col(f"_nx_v{i}")))
+    joined = joined.withColumns({out: F.when(same, F.col(f"_nx_v{i}"))
+                                 for i, out in enumerate(value_cols.values())})
     drop = ["_pos"] + [f"_nx_g{i}" for i in range(len(group_cols))] + [
         f"_nx_v{i}" for i in range(len(value_cols))]
     return joined.drop(*drop)

@@ -43,10 +43,15 @@ def assert_unique_source(source: DataFrame, keys: list[str]) -> None:
         raise AmbiguousMergeError(f"source key repeats: {dup[0].asDict()}")
 
 
-def _salted(df: DataFrame, keys: list[str], side: int, spread: int) -> DataFrame:
+def _salted(df: DataFrame, keys: list[str], side: int, spread: int, prefix: str) -> DataFrame:
+    """Columns renamed ``<prefix>_<col>`` plus the join salt and a presence flag."""
     any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(spread)) + F.lit(1)
-    return df.withColumn("_salt", F.when(any_null, bucket * F.lit(side)).otherwise(F.lit(0)))
+    return df.select(
+        *[F.col(c).alias(f"{prefix}_{c}") for c in df.columns],
+        F.when(any_null, bucket * F.lit(side)).otherwise(F.lit(0)).alias(f"{prefix}__salt"),
+        F.lit(True).alias(f"{prefix}__in_{prefix}"),
+    )
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str] | str,
@@ -61,10 +66,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str] | str,
     if check_unique:
         assert_unique_source(source, keys)
     cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
-    t = _salted(target, keys, 1, null_key_spread).withColumn("_in_t", F.lit(True))
-    s = _salted(source, keys, -1, null_key_spread).withColumn("_in_s", F.lit(True))
-    t = t.select([F.col(c).alias(f"t_{c}") for c in t.columns])
-    s = s.select([F.col(c).alias(f"s_{c}") for c in s.columns])
+    t = _salted(target, keys, 1, null_key_spread, "t")
+    s = _salted(source, keys, -1, null_key_spread, "s")
     cond = reduce(lambda a, b: a & b,
                   [F.col(f"t_{k}").eqNullSafe(F.col(f"s_{k}")) for k in keys]
                   + [F.col("t__salt") == F.col("s__salt")])

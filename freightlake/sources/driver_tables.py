@@ -30,11 +30,21 @@ STATUS_BY_EVENT_TYPE = {
 SLA_HOURS_BY_SEGMENT = {"AUTOMOBILE": 4, "BUILDING": 8, "FURNITURE": 12, "HOUSEHOLD": 24}
 WAGON_REVISION_DATE = "2023-06-15"
 
-_EVENTS_CACHE: dict = {}
+_MEMO: dict = {}
+
+
+def memo(spark: SparkSession, key: tuple, build):
+    """One DataFrame definition per session and key (inputs are read-only), so
+    a query does not re-read schemas or re-analyse plans it already built."""
+    k = (spark.sparkContext.applicationId, id(spark)) + key
+    if k not in _MEMO:
+        _MEMO[k] = build()
+    return _MEMO[k]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    return memo(spark, ("table", os.path.abspath(path)), lambda: spark.read.parquet(path))
 
 
 def case_map(col: str, mapping: dict, keep_other: bool):
@@ -49,10 +59,10 @@ def case_map(col: str, mapping: dict, keep_other: bool):
 def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw freight events: evento_id, vagao_id, contrato_id, status, data_inicio,
     data_fim, updated_at.  Derived once per session and input folder."""
-    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
-    cached = _EVENTS_CACHE.get(key)
-    if cached is not None:
-        return cached
+    return memo(spark, ("events", os.path.abspath(sf_dir)), lambda: _build_events(spark, sf_dir))
+
+
+def _build_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
     ev = next_in_group(ev, ["user_id"], ["ts", "event_id"], {"ts": "data_fim"})
     out = ev.select(
@@ -68,12 +78,14 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # shared folder): later queries read it columnar, with pruning.
     path = scratch_path(spark, "bronze-events")
     out.write.parquet(path)
-    out = spark.read.parquet(path)
-    _EVENTS_CACHE[key] = out
-    return out
+    return spark.read.parquet(path)
 
 
 def raw_wagons(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return memo(spark, ("wagons", os.path.abspath(sf_dir)), lambda: _build_wagons(spark, sf_dir))
+
+
+def _build_wagons(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part")
     return p.filter(F.col("p_partkey") % 10 != 7).select(
         F.col("p_partkey").alias("vagao_id"),
@@ -87,6 +99,10 @@ def raw_wagons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return memo(spark, ("contracts", os.path.abspath(sf_dir)), lambda: _build_contracts(spark, sf_dir))
+
+
+def _build_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     return c.filter(F.col("c_custkey") % 10 != 3).select(
         F.col("c_custkey").alias("contrato_id"),

@@ -23,9 +23,7 @@ _STATUS_SQL = ("regexp_replace(upper(trim(CASE event_type WHEN 'click' THEN '  e
 
 
 def _ntz(df, *cols):
-    for c in cols:
-        df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
-    return df
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
 
 @register("stream_windows", "T3 T8 T9 A11", f"""

@@ -151,8 +151,10 @@ def status_batch_writer(spark: SparkSession, table_path: str, ttl_hours: int = 2
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = latest_per_key(batch, ["vagao_id", "updated_at"], "updated_at", ["evento_id"])
-        rows = (rows.withColumn("expires_at", F.col("updated_at") + F.expr(f"INTERVAL {ttl_hours} HOURS"))
-                .withColumn("_partition_date", F.to_date("updated_at")))
+        rows = rows.withColumns({
+            "expires_at": F.col("updated_at") + F.expr(f"INTERVAL {ttl_hours} HOURS"),
+            "_partition_date": F.to_date("updated_at"),
+        })
         tables.write_merged(spark, rows, table_path, ["vagao_id", "updated_at"], newer=None,
                             check_unique=False)
 
