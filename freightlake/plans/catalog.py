@@ -590,6 +590,37 @@ def q_load_control(spark, sf):
     return latest.withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
 
 
+# ---------------------------------------------------------------------------
+# layer tables: SQL over registered layers, clustered fact files
+# ---------------------------------------------------------------------------
+
+_LAYER_SQL = """
+SELECT segmento, _partition_date, count(*) AS eventos,
+       count(CASE WHEN sla_violado THEN 1 END) AS violacoes,
+       count(DISTINCT vagao_id) AS vagoes
+FROM silver
+WHERE status_norm IN ('PARADO', 'MANUTENCAO', 'EM_TRANSITO')
+GROUP BY segmento, _partition_date"""
+
+
+@register("layer_sql", "S5 S7 S11 K1", o.with_ctes(*o.CHAIN_SILVER) + _LAYER_SQL)
+def q_layer_sql(spark, sf):
+    from freightlake.sources.raw import register_layers
+    path = scratch_path(spark, "silver-layer")
+    tables.write_table(dm.no_run_clock(dm.silver_events(spark, sf)), path, "_partition_date")
+    register_layers(spark, {"silver": path})
+    return spark.sql(_LAYER_SQL)
+
+
+@register("fact_publish", "O2 K1 K7", o.with_ctes(*o.CHAIN_FACT) + f"""
+SELECT {o.FACT_OUT} FROM fact""")
+def q_fact_publish(spark, sf):
+    path = scratch_path(spark, "gold-fact")
+    fact = dm.decimals_as_double(dm.no_run_clock(dm.fact_events(spark, sf)))
+    tables.write_table(fact, path, "data_particao", sort_cols=gold.FACT_SORT)
+    return spark.read.parquet(path)
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     from freightlake.streaming import queries as sq  # noqa: F401  (registers stream queries)
     return {name: q.run for name, q in REGISTRY.items()}

@@ -66,6 +66,7 @@ def write_table(df: DataFrame, path: str, part_col: str | None = DEFAULT_PART,
     write, no second pass), or None for an unpartitioned table.
     """
     out = df
+    sort_cols = [c for c in (sort_cols or []) if c != part_col]
     if part_col and cluster:
         # Range on (partition, sort key): a day's rows stay in few files, yet a
         # huge day is split over many tasks (a hash on the date alone would

@@ -125,3 +125,32 @@ def test_load_control_latest(spark, tmp_path):
     tables.append_load_control(tables.load_control_rows(days.filter(F.col("processing_date") == "2024-01-01"), "d", "2024-01-03 02:00:00"), path)
     got = {str(r["processing_date"]): r["status"] for r in tables.latest_load_status(spark.read.parquet(path)).collect()}
     assert got == {"2024-01-01": "SUCCESS", "2024-01-02": "FAILED"}
+
+
+def test_clustered_write_sorted_files(spark, tmp_path):
+    import pyarrow.parquet as pq
+    path = str(tmp_path / "fact")
+    df = spark.range(0, 2000).select(
+        (F.col("id") % 3).cast("string").alias("status"),
+        F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 4).cast("int")).alias("_partition_date"),
+        "id")
+    tables.write_table(df, path, sort_cols=["status", "id"])
+    for d in os.listdir(path):
+        if not d.startswith("_partition_date="):
+            continue
+        for f in os.listdir(os.path.join(path, d)):
+            if f.endswith(".parquet"):
+                t = pq.read_table(os.path.join(path, d, f)).to_pydict()
+                pairs = list(zip(t["status"], t["id"]))
+                assert pairs == sorted(pairs)
+    assert spark.read.parquet(path).count() == 2000
+
+
+def test_analyze_catalog_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(10).write.parquet(path)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS fl_analyze_t USING parquet LOCATION '{path}'")
+    tables.analyze_table(spark, "fl_analyze_t")
+    stats = [r for r in spark.sql("DESCRIBE TABLE EXTENDED fl_analyze_t").collect() if r[0] == "Statistics"]
+    assert stats and "10 rows" in stats[0][1]
+    spark.sql("DROP TABLE fl_analyze_t")
