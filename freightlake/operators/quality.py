@@ -101,6 +101,15 @@ def gate_failures(counts: DataFrame, pk: str = "evento_id", critical_cols: list[
     return exploded.filter(F.col("f").isNotNull()).select(*by, "f.*")
 
 
+def min_rows_from_history(metrics: DataFrame, domain: str, factor: float = 0.7,
+                          metric: str = "RawRecordsRead", default: int = MIN_ROWS) -> int:
+    """Q6 variant: ``factor`` x the average of earlier runs' row counts of a
+    domain (from the metrics table, one aggregate); ``default`` without history."""
+    row = (metrics.filter((F.col("metric") == metric) & (F.col("domain") == domain))
+           .agg(F.avg("value").alias("avg")).collect()[0])
+    return default if row["avg"] is None else int(row["avg"] * factor)
+
+
 def gate(failures: DataFrame, fail_on_error: bool = True) -> list[dict]:
     """Q8: raise ``QualityGateError`` on ERROR/CRITICAL failures when asked.
 

@@ -13,11 +13,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freightlake.operators import dims, gold, metrics, quality
 from freightlake.operators.dedup import latest_per_key
 from freightlake.operators.enrich import transform_silver
-from freightlake.operators.schema_ops import add_audit, require_columns
+from freightlake.operators.schema_ops import (
+    SchemaValidationError,
+    add_audit,
+    require_columns,
+    schema_drift,
+)
 from freightlake.plans import tables
 from freightlake.sources.raw import read_raw
 
@@ -47,14 +53,42 @@ class Layout:
 
 def run_day(spark: SparkSession, raw_path: str, wagons: DataFrame, contracts: DataFrame,
             layout: Layout, processing_date: str | _dt.date, now: str, run_id: str,
-            fmt: str | None = None, min_rows: int = quality.MIN_ROWS,
+            fmt: str | None = None, min_rows: int | None = quality.MIN_ROWS,
             fail_on_error: bool = True, lookback_days: int = 3,
-            mart_lookback_days: int = 90) -> dict:
-    """Process one raw drop; returns the run's counters and gate failures."""
-    raw = require_columns(read_raw(spark, raw_path, fmt), [PK, WATERMARK])
+            mart_lookback_days: int = 90, contract: T.StructType | None = None) -> dict:
+    """Process one raw drop; returns the run's gate failures and schema drift.
+
+    ``min_rows=None`` takes the volume threshold from the history in the
+    metrics table (0.7 x the average of earlier runs).  ``contract`` (a
+    schema) adds a drift report; a drift never stops the run, a missing key or
+    watermark column does (and is counted as SchemaValidationFailure).
+    JobSuccess / JobFailure rows are appended to the metrics table.
+    """
+    domain = "eventos_ferroviarios"
+    try:
+        out = _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, run_id,
+                       fmt, min_rows, fail_on_error, lookback_days, mart_lookback_days, contract)
+    except Exception as e:
+        counters = {"JobFailure": 1}
+        if isinstance(e, SchemaValidationError):
+            counters["SchemaValidationFailure"] = 1
+        metrics.metric_rows(spark, counters, domain, now).write.mode("append").parquet(layout.metrics)
+        raise
+    metrics.metric_rows(spark, {"JobSuccess": 1}, domain, now).write.mode("append").parquet(layout.metrics)
+    return out
+
+
+def _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, run_id, fmt,
+             min_rows, fail_on_error, lookback_days, mart_lookback_days, contract) -> dict:
+    domain = "eventos_ferroviarios"
+    raw = read_raw(spark, raw_path, fmt)
+    drift = [] if contract is None else [r.asDict() for r in schema_drift(spark, raw, contract).collect()]
+    raw = require_columns(raw, [PK, WATERMARK])
+    if min_rows is None:
+        min_rows = (quality.min_rows_from_history(spark.read.parquet(layout.metrics), domain)
+                    if tables.path_exists(spark, layout.metrics) else quality.MIN_ROWS)
     # bronze: latest row per key of the drop, audit columns, keyed merge (M1)
-    bronze_rows = add_audit(latest_per_key(raw, PK, WATERMARK), "eventos_ferroviarios",
-                            WATERMARK, run_id, now)
+    bronze_rows = add_audit(latest_per_key(raw, PK, WATERMARK), domain, WATERMARK, run_id, now)
     tables.write_merged(spark, bronze_rows, layout.bronze, PK, newer=WATERMARK)
     # silver: the run's rows, enriched; merge where a re-run always wins (M2)
     silver_rows = transform_silver(bronze_rows, wagons, contracts, now)
@@ -81,7 +115,6 @@ def run_day(spark: SparkSession, raw_path: str, wagons: DataFrame, contracts: Da
     tables.write_table(gold.sla_mart(daily), layout.mart, part_col="data_particao")
     # control row (K4) and run metrics (A10)
     days = spark.createDataFrame([(str(processing_date),)], "processing_date string")
-    tables.append_load_control(tables.load_control_rows(days, "eventos_ferroviarios", now), layout.control)
-    m = metrics.ingest_metrics(raw, [PK], "eventos_ferroviarios", now)
-    m.write.mode("append").parquet(layout.metrics)
-    return {"failures": found}
+    tables.append_load_control(tables.load_control_rows(days, domain, now), layout.control)
+    metrics.ingest_metrics(raw, [PK], domain, now).write.mode("append").parquet(layout.metrics)
+    return {"failures": found, "schema_drift": drift, "min_rows": min_rows}

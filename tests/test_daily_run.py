@@ -42,3 +42,29 @@ def test_daily_runs_equal_full_build(spark, tmp_path):
         or one_day.count() == events.filter(F.to_date("data_inicio") == "2024-01-28").count()
     mart = spark.read.parquet(layout.mart)
     assert mart.count() == gold.sla_daily(full, as_of=days[-1], lookback_days=90).count()
+
+
+def test_day_run_failures_are_counted_and_history_threshold(spark, tmp_path):
+    import pytest
+    from freightlake.operators.schema_ops import SchemaValidationError
+    from freightlake.schemas import EVENTS
+    layout = Layout(str(tmp_path / "lake"))
+    wagons, contracts = dt.raw_wagons(spark, SF), dt.raw_contracts(spark, SF)
+    events = dt.raw_events(spark, SF)
+    bad = str(tmp_path / "raw_bad")
+    events.drop("updated_at").limit(5).write.parquet(bad)
+    with pytest.raises(SchemaValidationError):
+        run_day(spark, bad, wagons, contracts, layout, "2024-01-02", "2024-01-02 06:00:00", "r0")
+    good = str(tmp_path / "raw_good")
+    events.filter(F.to_date("updated_at") <= "2024-01-02").write.parquet(good)
+    out = run_day(spark, good, wagons, contracts, layout, "2024-01-02", "2024-01-02 06:00:00", "r1",
+                  min_rows=None, contract=EVENTS)
+    assert out["min_rows"] == 500_000  # no history yet
+    assert {(d["column"], d["change"]) for d in out["schema_drift"]} == set()
+    m = {r["metric"]: r["value"] for r in spark.read.parquet(layout.metrics).collect()}
+    assert m["JobFailure"] == 1 and m["SchemaValidationFailure"] == 1 and m["JobSuccess"] == 1
+    # next run: threshold from history = 0.7 x rows of the earlier run
+    n = events.filter(F.to_date("updated_at") <= "2024-01-02").count()
+    out = run_day(spark, good, wagons, contracts, layout, "2024-01-03", "2024-01-03 06:00:00", "r2",
+                  min_rows=None)
+    assert out["min_rows"] == int(n * 0.7)
