@@ -360,7 +360,7 @@ m AS (
 SELECT m.metric, 'freightlake/pipeline' AS namespace, 'lineitem' AS domain, m.value, 'Count' AS unit,
        TIMESTAMP '{dm.NOW}' AS ts, r.comparison, r.threshold,
        coalesce(m.value > r.threshold, false) AS alarm
-FROM m LEFT JOIN (SELECT 'DuplicatesRemoved' AS metric, '>' AS comparison, 50000.0 AS threshold) r
+FROM m LEFT JOIN (SELECT 'DuplicatesRemoved' AS metric, '>' AS comparison, CAST(50000 AS DOUBLE) AS threshold) r
   ON m.metric = r.metric""")
 def q_ingest_alarms(spark, sf):
     li = dt.table(spark, sf, "lineitem")
