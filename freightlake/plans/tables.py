@@ -198,10 +198,12 @@ def write_landing(df: DataFrame, root: str, date_col: str = "date", days: list |
     The day list is bounded by the days of one batch.
     """
     spark = df.sparkSession
-    if days is None:
-        days = [r[0] for r in df.select(date_col).distinct().collect()]
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    obs = Observation(f"landing-{uuid.uuid4().hex[:8]}")
+    (df.observe(obs, F.collect_set(F.col(date_col).cast("string")).alias("days"))
+       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(date_col).json(root))
+    if days is None:
+        days = sorted(obs.get["days"])
     marked = []
     for d in days:
         marker = f"{partition_dir(root, date_col, d)}/_SUCCESS"

@@ -107,16 +107,20 @@ def interval_join(starts: DataFrame, ends: DataFrame, key: str, start_ts: str, e
     return s.join(e, cond, "inner").drop(f"_e_{key}")
 
 
-def landing_batch_writer(good_path: str, error_path: str, date_col: str, ts_col: str):
+def landing_batch_writer(good_path: str, error_path: str, date_col: str, ts_col: str | None):
     """T1 + T2 ``foreachBatch``: parsed rows to ``good_path`` partitioned by date,
     malformed rows (with raw text and batch id) to ``error_path``.  Each batch
-    overwrites its own ``batch_id=`` folder, so a replay is idempotent."""
+    overwrites its own ``batch_id=`` folder, so a replay is idempotent.
+
+    The date is the event date of ``ts_col``; ``ts_col=None`` uses the arrival
+    date (the micro-batch's processing date) instead."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
+            day = F.current_date() if ts_col is None else F.to_date(F.col(ts_col))
             good = (batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-                    .withColumn(date_col, F.to_date(F.col(ts_col))))
+                    .withColumn(date_col, day))
             bad = batch.filter(F.col(CORRUPT).isNotNull()).select(
                 F.col(CORRUPT).alias("_raw"), F.lit("malformed_record").alias("_error"))
             good.write.mode("overwrite").partitionBy(date_col).parquet(f"{good_path}/batch_id={batch_id}")
@@ -161,13 +165,35 @@ def status_batch_writer(spark: SparkSession, table_path: str, ttl_hours: int = 2
     return write
 
 
-def current_status(status_table: DataFrame, as_of) -> DataFrame:
-    """T7 read: rows seen by ``as_of`` and not expired, latest per wagon."""
+def current_status(status_table: DataFrame, as_of, ttl_hours: int = 24) -> DataFrame:
+    """T7 read: rows seen by ``as_of`` and not expired, latest per wagon.
+
+    Only the date partitions a live row can be in (as_of - ttl .. as_of) are
+    scanned: the partition predicate prunes at planning time.
+    """
     t = F.lit(str(as_of)).cast(status_table.schema["updated_at"].dataType)
     live = status_table.filter((F.col("updated_at") <= t) & (F.col("expires_at") > t))
+    if "_partition_date" in status_table.columns:
+        oldest = F.to_date(t - F.expr(f"INTERVAL {ttl_hours} HOURS"))
+        live = live.filter((F.col("_partition_date") >= oldest) & (F.col("_partition_date") <= F.to_date(t)))
     return latest_per_key(live, ["vagao_id"], "updated_at", ["evento_id"])
 
 
+def expire_status(spark: SparkSession, table_path: str, as_of, ttl_hours: int = 24) -> list[str]:
+    """T7 TTL: delete whole date partitions whose rows have all expired at
+    ``as_of`` (every row of day d expires by d + 1 day + ttl).  Listing only;
+    no data is read.  Returns the removed partition folders."""
+    import datetime as _dt
+    cutoff = (_dt.datetime.fromisoformat(str(as_of)) - _dt.timedelta(hours=ttl_hours)).date()
+    removed = []
+    for p in tables.glob_paths(spark, f"{table_path.rstrip('/')}/_partition_date=*"):
+        day = _dt.date.fromisoformat(p.rstrip("/").rsplit("=", 1)[1])
+        if day < cutoff:
+            tables.delete_path(spark, p)
+            removed.append(p)
+    return removed
+
+
 def run_foreach_batch(df: DataFrame, fn, checkpoint: str) -> StreamingQuery:
     return run_available_now(df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint))
 

@@ -77,3 +77,20 @@ def test_interval_join_bounds(spark, tmp_path):
     out = str(tmp_path / "out")
     st.to_parquet_sink(st.interval_join(s, e, "id", "t0", "t1", "24 HOURS", "1 hour"), out, str(tmp_path / "ck"))
     assert [r["id"] for r in spark.read.parquet(out).collect()] == [1]
+
+
+def test_status_expiry_and_pruned_read(spark, tmp_path):
+    src, table = str(tmp_path / "src"), str(tmp_path / "status")
+    _write(spark, [(1, 10, "PARADO", "2024-01-01 00:00:00"), (2, 11, "SAIU", "2024-01-03 05:00:00"),
+                   (3, 12, "CHEGOU", "2024-01-04 01:00:00")],
+           "evento_id long, vagao_id long, status_norm string, updated_at string", src)
+    stream = st.file_stream(spark, src, "evento_id long, vagao_id long, status_norm string, updated_at string")
+    stream = stream.withColumn("updated_at", F.col("updated_at").cast("timestamp"))
+    st.run_foreach_batch(stream, st.status_batch_writer(spark, table, 24), str(tmp_path / "ck"))
+    cur = st.current_status(spark.read.parquet(table), "2024-01-04 02:00:00")
+    assert "PartitionFilters" in cur._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["vagao_id"] for r in cur.collect()) == [11, 12]
+    removed = st.expire_status(spark, table, "2024-01-04 02:00:00", 24)
+    assert [p.rsplit("=", 1)[1] for p in removed] == ["2024-01-01"]
+    after = st.current_status(spark.read.parquet(table), "2024-01-04 02:00:00")
+    assert sorted(r["vagao_id"] for r in after.collect()) == [11, 12]
