@@ -497,9 +497,11 @@ def q_upsert_idempotent(spark, sf):
     target = _orders_target(spark, sf).select("*", part)
     source = _orders_updates(spark, sf).select("*", part)
     tables.write_table(target, path, "_partition_month")
+    batch = scratch_path(spark, "orders-updates")  # the landed batch, replayed twice
+    source.write.parquet(batch)
     for _ in range(2):  # a second identical run must not change the table
-        tables.write_merged(spark, source, path, "o_orderkey", newer="updated_at",
-                            part_col="_partition_month")
+        tables.write_merged(spark, spark.read.parquet(batch), path, "o_orderkey", newer="updated_at",
+                            part_col="_partition_month", snapshot=False)
     return spark.read.parquet(path)
 
 

@@ -42,6 +42,17 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def move_path(spark: SparkSession, src: str, dst: str) -> None:
+    """Replace ``dst`` by ``src`` (a rename: metadata only on HDFS-like stores)."""
+    fs, s = _fs_path(spark, src)
+    _, d = _fs_path(spark, dst)
+    if fs.exists(d):
+        fs.delete(d, True)
+    fs.mkdirs(d.getParent())
+    if not fs.rename(s, d):
+        raise IOError(f"rename failed: {src} -> {dst}")
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     fs, p = _fs_path(spark, pattern)
     found = fs.globStatus(p) or []
@@ -106,13 +117,18 @@ def touched_partitions(target: DataFrame, source: DataFrame, keys: list[str],
 
 def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[str] | str,
                  newer: str | None = None, part_col: str = DEFAULT_PART,
-                 check_unique: bool = True, sort_cols: list[str] | None = None) -> dict:
+                 check_unique: bool = True, sort_cols: list[str] | None = None,
+                 snapshot: bool = True) -> dict:
     """K2: merge ``source`` into the table at ``path`` rewriting touched partitions only.
 
     The source batch is first written as a snapshot in the shared folder, so
     the touched-partition lookup and the merge see the same rows and the
-    batch is computed once.  Returns ``{"touched": n, "emptied": n}``; the
-    touched list is bounded by the table's partition count, not by its rows.
+    batch is computed once (``snapshot=False`` when the source already is a
+    written table).  The merged partitions are written to a stage folder and
+    then swapped in by renaming partition folders, as dynamic partition
+    overwrite does, without writing the data a second time.  Returns
+    ``{"touched": n, "emptied": n}``; the touched list is bounded by the
+    table's partition count, not by its rows.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if not path_exists(spark, path):
@@ -120,9 +136,11 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
             assert_unique_source(source, keys)
         write_table(source, path, part_col, sort_cols)
         return {"touched": -1, "emptied": 0}
-    snap = scratch_path(spark, "merge-source")
-    source.write.parquet(snap)
-    source = spark.read.parquet(snap)
+    snap = None
+    if snapshot:
+        snap = scratch_path(spark, "merge-source")
+        source.write.parquet(snap)
+        source = spark.read.parquet(snap)
     if check_unique:
         assert_unique_source(source, keys)
     target = spark.read.parquet(path)
@@ -130,14 +148,15 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     affected = target.filter(F.col(part_col).isin(touched))
     merged = merge_upsert(affected, source, keys, newer)
     stage = scratch_path(spark, "merge-stage")
-    present = set(write_table(merged, stage, part_col, sort_cols))
-    write_table(spark.read.parquet(stage), path, part_col, sort_cols, mode="overwrite",
-                dynamic=True, cluster=False)
-    emptied = [d for d in touched if str(d) not in present]
+    present = write_table(merged, stage, part_col, sort_cols)
+    for value in present:
+        move_path(spark, partition_dir(stage, part_col, value), partition_dir(path, part_col, value))
+    emptied = [d for d in touched if str(d) not in set(present)]
     for d in emptied:
         delete_path(spark, partition_dir(path, part_col, d))
     delete_path(spark, stage)
-    delete_path(spark, snap)
+    if snap:
+        delete_path(spark, snap)
     return {"touched": len(touched), "emptied": len(emptied)}
 
 

@@ -91,3 +91,29 @@ def test_staging_filters_reversed_events(spark):
                  ("segmento", "string"), ("sla_violado", "boolean"), ("_partition_date", "date")]:
         silver = silver.withColumn(c, F.lit(None).cast(t))
     assert sorted(r["evento_id"] for r in gold.stg_events(silver).collect()) == [2, 3]
+
+
+def test_hot_group_is_spread_over_sort_tasks(spark):
+    """One group holding every row is still sorted by many tasks of similar size."""
+    import os
+    import pyarrow.parquet as pq
+    from freightlake.operators import sequence
+
+    df = spark.range(0, 40000).select(F.lit(7).alias("g"), (F.col("id") * 7919 % 40000).alias("t"))
+    paths = []
+    orig = sequence.scratch_path
+    sequence.scratch_path = lambda s, n: paths.append(orig(s, n)) or paths[-1]
+    # small test data: keep AQE from merging the sort partitions into one
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = next_in_group(df, ["g"], ["t"], {"t": "next_t"})
+    finally:
+        sequence.scratch_path = orig
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    folder = paths[0].replace("file:", "")
+    sizes = [pq.ParquetFile(os.path.join(folder, f)).metadata.num_rows
+             for f in os.listdir(folder) if f.endswith(".parquet")]
+    assert len(sizes) >= 4 and sum(sizes) == 40000
+    assert max(sizes) <= 3 * (40000 / len(sizes))
+    assert out.filter(F.col("next_t") != F.col("t") + 1).count() == 0
+    assert out.filter(F.col("next_t").isNull()).count() == 1
