@@ -21,7 +21,7 @@ from freightlake.functions.expressions import (
 )
 from freightlake.operators import checks, dedup, dims, gold, history, metrics, quality, upsert
 from freightlake.operators.checks import ColumnTest
-from freightlake.operators.enrich import enrich_events, sla_rate_by_client
+from freightlake.operators.enrich import sla_rate_by_client
 from freightlake.operators.schema_ops import add_audit, evolve_union
 from freightlake.plans import domain as dm
 from freightlake.plans import oracle as o
@@ -553,13 +553,13 @@ def _publish(spark, sf):
     daily = dm.sla_daily(spark, sf)
     path = scratch_path(spark, "mart-daily")
     days = tables.publish_days(spark, daily, path, None, "data_particao")
-    cut = str(F_date_sub(dm.AS_OF, _REPROCESS_DAYS))
+    cut = str(_days_before(dm.AS_OF, _REPROCESS_DAYS))
     redo = [d for d in days if d >= cut]  # the reprocess window: bounded by the days list
     tables.publish_days(spark, daily, path, redo, "data_particao")
     return path, days, redo
 
 
-def F_date_sub(day: str, n: int):
+def _days_before(day: str, n: int):
     import datetime as _dt
     return _dt.date.fromisoformat(day) - _dt.timedelta(days=n)
 
@@ -623,11 +623,15 @@ def q_fact_publish(spark, sf):
     return spark.read.parquet(path)
 
 
+def _register_streams() -> None:
+    import freightlake.streaming.queries  # noqa: F401  (registers the stream queries)
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    from freightlake.streaming import queries as sq  # noqa: F401  (registers stream queries)
+    _register_streams()
     return {name: q.run for name, q in REGISTRY.items()}
 
 
 def oracle_queries() -> dict[str, str]:
-    from freightlake.streaming import queries as sq  # noqa: F401
+    _register_streams()
     return {name: q.sql for name, q in REGISTRY.items() if q.sql}

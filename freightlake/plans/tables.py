@@ -79,13 +79,12 @@ def write_table(df: DataFrame, path: str, part_col: str | None = DEFAULT_PART,
     out = df
     sort_cols = [c for c in (sort_cols or []) if c != part_col]
     if part_col and cluster:
-        # Range on (partition, sort key): a day's rows stay in few files, yet a
-        # huge day is split over many tasks (a hash on the date alone would
-        # give the whole day to one task).
-        spread = ([F.col(c) for c in sort_cols] if sort_cols
-                  else [F.xxhash64(*[F.col(c) for c in df.columns])])
-        out = out.repartitionByRange(F.col(part_col), *spread)
-    if sort_cols and cluster:
+        # REBALANCE by the partition column: a day's rows go to few tasks (few
+        # files), AQE splits a day larger than the advisory size over several
+        # tasks (no hot-day task) and merges tiny ones; unlike a range
+        # repartition it needs no sampling pass over the upstream plan.
+        out = out.hint("rebalance", part_col)
+    if cluster and (sort_cols or part_col):
         out = out.sortWithinPartitions(*([part_col] if part_col else []), *sort_cols)
     obs = None
     if part_col:

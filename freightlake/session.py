@@ -26,6 +26,28 @@ BASE_CONF = {
 }
 
 
+def cluster_conf(executors: int, cores_per_executor: int,
+                 advisory_partition_mb: int = 256, broadcast_mb: int = 64) -> dict:
+    """Settings for a large cluster (e.g. 1000 executors reading ~100 TB).
+
+    The initial shuffle width is a few waves of the total cores; AQE then
+    coalesces partitions to ``advisory_partition_mb`` and splits skewed ones
+    (joins and rebalanced writes).  Scans split files at the same size.  The
+    broadcast threshold is applied by Spark to measured sizes only.
+    """
+    cores = executors * cores_per_executor
+    return {
+        "spark.sql.shuffle.partitions": str(3 * cores),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(3 * cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": f"{advisory_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * advisory_partition_mb}m",
+        "spark.sql.files.maxPartitionBytes": f"{advisory_partition_mb}m",
+        "spark.sql.autoBroadcastJoinThreshold": f"{broadcast_mb}m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": f"{broadcast_mb}m",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(min(cores, 10000)),
+    }
+
+
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
                   app_name: str = "freightlake", extra: dict | None = None) -> SparkSession:
     """Local or cluster session with the base settings applied.

@@ -6,7 +6,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from freightlake.operators.dedup import latest_per_key  # noqa: F401
 from freightlake.plans import oracle as o
 from freightlake.plans.catalog import _LI_COLS, _LI_KEYS, _LI_TIES, register
 from freightlake.session import scratch_path
