@@ -209,7 +209,7 @@ def _fmt_sql(expr: str) -> str:
     return f"printf('%.2f%%', {o.r2(expr)})"
 
 
-def _gate_failures_sql() -> str:
+def _gate_failure_rows_sql() -> str:
     parts = []
     for c in ("evento_id", "vagao_id", "status_norm", "data_inicio"):
         p = _pct_sql(f"nulls_{c}")
@@ -229,7 +229,11 @@ def _gate_failures_sql() -> str:
     parts.append("""SELECT _partition_date, 'MinimumVolumeCheck', 'WARNING',
   printf('volume %d below the expected minimum of 500,000', total), '>= 500,000',
   CAST(total AS VARCHAR) FROM counts WHERE total > 0 AND total < 500000""")
-    return o.with_ctes(*o.CHAIN_SILVER, _GATE_COUNTS) + "\nUNION ALL\n".join(parts)
+    return "\nUNION ALL\n".join(parts)
+
+
+def _gate_failures_sql() -> str:
+    return o.with_ctes(*o.CHAIN_SILVER, _GATE_COUNTS) + _gate_failure_rows_sql()
 
 
 @register("gate_failures", "Q1 Q2 Q3 Q4 Q5 Q6 Q7", _gate_failures_sql())
@@ -238,7 +242,18 @@ def q_gate_failures(spark, sf):
     return quality.gate_failures(counts, by=["_partition_date"])
 
 
-@register("gate_alerts", "Q8 Q9", None)
+def _gate_alerts_sql() -> str:
+    failures = "failures AS (\n" + _gate_failure_rows_sql() + "\n)"
+    return o.with_ctes(*o.CHAIN_SILVER, _GATE_COUNTS, failures) + f"""
+SELECT _partition_date,
+       to_json({{'alert_type': 'DATA_QUALITY_FAILURE', 'table': 'silver.fato_eventos_ferroviarios',
+                 'processing_date': '{dm.AS_OF}', 'timestamp': '{dm.NOW}',
+                 'failures': list_sort(list({{'rule': rule, 'severity': severity, 'message': message,
+                                              'threshold': threshold, 'actual': actual}}))}}) AS payload
+FROM failures GROUP BY _partition_date"""
+
+
+@register("gate_alerts", "Q8 Q9", _gate_alerts_sql())
 def q_gate_alerts(spark, sf):
     counts = quality.gate_counts(dm.silver_events(spark, sf), by=["_partition_date"])
     failures = quality.gate_failures(counts, by=["_partition_date"])
