@@ -107,13 +107,35 @@ def interval_join(starts: DataFrame, ends: DataFrame, key: str, start_ts: str, e
     return s.join(e, cond, "inner").drop(f"_e_{key}")
 
 
-def landing_batch_writer(good_path: str, error_path: str, date_col: str, ts_col: str | None):
+def batch_lag_metrics(batch: DataFrame, ts_col: str, domain: str, now=None) -> DataFrame:
+    """Per micro-batch, how far the newest event lags the processing
+    instant (``IteratorAgeMilliseconds``) and how many records it held, as
+    metric rows (one aggregate over the batch).  ``now=None`` uses the batch's
+    processing time."""
+    from freightlake.operators.metrics import NAMESPACE
+    now_ts = F.current_timestamp() if now is None else F.lit(str(now)).cast("timestamp")
+    agg = batch.agg(F.max(F.col(ts_col).cast("timestamp")).alias("_newest"),
+                    F.count(F.lit(1)).alias("_n"))
+    lag_ms = (F.unix_micros(now_ts) - F.unix_micros("_newest")) / F.lit(1000.0)
+    rows = F.array(
+        F.struct(F.lit("IteratorAgeMilliseconds").alias("metric"), lag_ms.alias("value"),
+                 F.lit("Milliseconds").alias("unit")),
+        F.struct(F.lit("RecordsProcessed").alias("metric"), F.col("_n").cast("double").alias("value"),
+                 F.lit("Count").alias("unit")))
+    return agg.filter(F.col("_n") > 0).select(F.explode(rows).alias("m")).select(
+        F.lit(NAMESPACE).alias("namespace"), "m.metric", F.lit(domain).alias("domain"),
+        "m.value", "m.unit", now_ts.alias("ts"))
+
+
+def landing_batch_writer(good_path: str, error_path: str, date_col: str, ts_col: str | None,
+                         metrics_path: str | None = None, domain: str = "landing", now=None):
     """T1 + T2 ``foreachBatch``: parsed rows to ``good_path`` partitioned by date,
     malformed rows (with raw text and batch id) to ``error_path``.  Each batch
     overwrites its own ``batch_id=`` folder, so a replay is idempotent.
 
     The date is the event date of ``ts_col``; ``ts_col=None`` uses the arrival
-    date (the micro-batch's processing date) instead."""
+    date (the micro-batch's processing date) instead.  With ``metrics_path``
+    each batch also writes its lag metrics (see ``batch_lag_metrics``)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
@@ -125,6 +147,9 @@ def landing_batch_writer(good_path: str, error_path: str, date_col: str, ts_col:
                 F.col(CORRUPT).alias("_raw"), F.lit("malformed_record").alias("_error"))
             good.write.mode("overwrite").partitionBy(date_col).parquet(f"{good_path}/batch_id={batch_id}")
             bad.write.mode("overwrite").parquet(f"{error_path}/batch_id={batch_id}")
+            if metrics_path and ts_col:
+                (batch_lag_metrics(good, ts_col, domain, now).write.mode("overwrite")
+                 .parquet(f"{metrics_path}/batch_id={batch_id}"))
         finally:
             batch.unpersist()
 

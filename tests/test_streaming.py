@@ -94,3 +94,23 @@ def test_status_expiry_and_pruned_read(spark, tmp_path):
     assert [p.rsplit("=", 1)[1] for p in removed] == ["2024-01-01"]
     after = st.current_status(spark.read.parquet(table), "2024-01-04 02:00:00")
     assert sorted(r["vagao_id"] for r in after.collect()) == [11, 12]
+
+
+def test_landing_lag_metrics_raise_alarm(spark, tmp_path):
+    from freightlake.operators import metrics
+    from freightlake.sources.raw import CORRUPT
+    land = tmp_path / "land"
+    land.mkdir()
+    (land / "a.json").write_text('{"id": 1, "ts": "2024-01-01 00:00:00"}\n{"id": 2, "ts": "2024-01-01 00:10:00"}\n{"id": 3,\n')
+    stream = st.file_stream(spark, str(land), f"id long, ts timestamp, {CORRUPT} string", fmt="json",
+                            corrupt_column=CORRUPT)
+    good, bad, m = str(tmp_path / "good"), str(tmp_path / "bad"), str(tmp_path / "metrics")
+    writer = st.landing_batch_writer(good, bad, "date", "ts", metrics_path=m, domain="events",
+                                     now="2024-01-01 00:20:00")
+    st.run_foreach_batch(stream, writer, str(tmp_path / "ck"))
+    rows = {r["metric"]: r["value"] for r in spark.read.parquet(m).collect()}
+    assert rows == {"IteratorAgeMilliseconds": 600000.0, "RecordsProcessed": 2.0}
+    alarm = {r["metric"]: r["alarm"] for r in metrics.alarms(
+        spark.read.parquet(m).drop("batch_id"), metrics.alarm_rules(spark)).collect()}
+    assert alarm == {"IteratorAgeMilliseconds": True}
+    assert spark.read.parquet(bad).count() == 1
