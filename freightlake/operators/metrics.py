@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,8 +36,8 @@ def ingest_metrics(raw: DataFrame, keys: list[str], domain: str, ts) -> DataFram
 
 
 def observed(df: DataFrame, name: str = "run") -> tuple[DataFrame, Observation]:
-    """Count rows as a side effect of the job that writes ``df`` (no extra scan)."""
-    obs = Observation(name)
+    """Count rows as a side effect of the first job that runs ``df`` (no extra scan)."""
+    obs = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 

@@ -87,9 +87,13 @@ def _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, r
     if min_rows is None:
         min_rows = (quality.min_rows_from_history(spark.read.parquet(layout.metrics), domain)
                     if tables.path_exists(spark, layout.metrics) else quality.MIN_ROWS)
-    # bronze: latest row per key of the drop, audit columns, keyed merge (M1)
-    bronze_rows = add_audit(latest_per_key(raw, PK, WATERMARK), domain, WATERMARK, run_id, now)
+    # bronze: latest row per key of the drop, audit columns, keyed merge (M1);
+    # rows read and kept are counted by observations during the write
+    raw, raw_obs = metrics.observed(raw, "raw")
+    bronze_rows, bronze_obs = metrics.observed(
+        add_audit(latest_per_key(raw, PK, WATERMARK), domain, WATERMARK, run_id, now), "bronze")
     tables.write_merged(spark, bronze_rows, layout.bronze, PK, newer=WATERMARK)
+    n_raw, n_kept = raw_obs.get["rows"], bronze_obs.get["rows"]
     # silver: the run's rows, enriched; merge where a re-run always wins (M2)
     silver_rows = transform_silver(bronze_rows, wagons, contracts, now)
     tables.write_merged(spark, silver_rows, layout.silver, PK, newer="_silver_processed_at",
@@ -116,5 +120,6 @@ def _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, r
     # control row (K4) and run metrics (A10)
     days = spark.createDataFrame([(str(processing_date),)], "processing_date string")
     tables.append_load_control(tables.load_control_rows(days, domain, now), layout.control)
-    metrics.ingest_metrics(raw, [PK], domain, now).write.mode("append").parquet(layout.metrics)
-    return {"failures": found, "schema_drift": drift, "min_rows": min_rows}
+    counters = {"RawRecordsRead": n_raw, "DuplicatesRemoved": n_raw - n_kept, "BronzeRecordsWritten": n_kept}
+    metrics.metric_rows(spark, counters, domain, now).write.mode("append").parquet(layout.metrics)
+    return {"failures": found, "schema_drift": drift, "min_rows": min_rows, "counters": counters}

@@ -68,3 +68,15 @@ def test_day_run_failures_are_counted_and_history_threshold(spark, tmp_path):
     out = run_day(spark, good, wagons, contracts, layout, "2024-01-03", "2024-01-03 06:00:00", "r2",
                   min_rows=None)
     assert out["min_rows"] == int(n * 0.7)
+
+
+def test_day_run_counts_duplicates_by_observation(spark, tmp_path):
+    layout = Layout(str(tmp_path / "lake"))
+    events = dt.raw_events(spark, SF).filter(F.to_date("updated_at") == "2024-01-05")
+    raw = str(tmp_path / "raw")
+    events.unionByName(events.limit(3)).write.parquet(raw)  # three exact repeats
+    n = events.count()
+    out = run_day(spark, raw, dt.raw_wagons(spark, SF), dt.raw_contracts(spark, SF), layout,
+                  "2024-01-05", "2024-01-05 06:00:00", "r1", min_rows=10)
+    assert out["counters"] == {"RawRecordsRead": n + 3, "DuplicatesRemoved": 3, "BronzeRecordsWritten": n}
+    assert spark.read.parquet(layout.bronze).count() == n
