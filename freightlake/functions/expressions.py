@@ -31,9 +31,20 @@ def status_norm(col) -> Column:
     return F.regexp_replace(F.upper(F.trim(_c(col))), r"\s+", "_")
 
 
+def to_ts(col) -> Column:
+    """Timestamp from a timestamp or text column; malformed text -> NULL (ANSI-safe)."""
+    return F.try_to_timestamp(_c(col))
+
+
+def to_day(col) -> Column:
+    """Date from a timestamp, date or text column; malformed text -> NULL (ANSI-safe)."""
+    return F.try_to_date(_c(col))
+
+
 def duration_minutes(start, end) -> Column:
-    """Whole-second difference in minutes as a double; NULL if an end is NULL."""
-    return (F.unix_timestamp(_c(end)) - F.unix_timestamp(_c(start))) / F.lit(60)
+    """Whole-second difference in minutes as a double; NULL if an end is
+    NULL or not a timestamp (raw text drops may carry malformed values)."""
+    return (F.unix_timestamp(to_ts(end)) - F.unix_timestamp(to_ts(start))) / F.lit(60)
 
 
 def sla_violated(duration, sla_hours, default_sla_hours: float | None = None) -> Column:

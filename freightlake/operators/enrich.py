@@ -15,6 +15,7 @@ from freightlake.functions.expressions import (
     duration_minutes,
     sla_violated,
     status_norm,
+    to_day,
     ts_literal,
 )
 
@@ -49,7 +50,7 @@ def silver_metadata(df: DataFrame, now) -> DataFrame:
     """V5: processing instant (a parameter) and the start-date partition."""
     return df.withColumns({
         "_silver_processed_at": ts_literal(now),
-        "_partition_date": F.to_date(F.col("data_inicio")),
+        "_partition_date": to_day("data_inicio"),
     })
 
 

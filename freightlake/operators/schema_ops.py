@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freightlake.functions.expressions import ts_literal
+from freightlake.functions.expressions import to_day, ts_literal
 
 
 class SchemaValidationError(ValueError):
@@ -59,6 +59,6 @@ def add_audit(df: DataFrame, domain: str, watermark: str, run_id: str, now) -> D
     return df.withColumns({
         "_ingested_at": ts_literal(now),
         "_source_domain": F.lit(domain),
-        "_partition_date": F.to_date(F.col(watermark)),
+        "_partition_date": to_day(watermark),
         "_job_run_id": F.lit(run_id),
     })

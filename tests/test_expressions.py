@@ -94,3 +94,12 @@ def test_lookback_inclusive(spark):
 def test_masking(spark):
     assert one(spark, mask_text("s"), [("Ab#12",)], "s string") == ["Xx#nn"]
     assert one(spark, mask_hash("s"), [("abc",)], "s string") == [hashlib.sha256(b"abc").hexdigest()]
+
+
+def test_malformed_text_times_give_null_not_failure(spark):
+    from freightlake.operators.schema_ops import add_audit
+    df = spark.createDataFrame([("2024-01-15 10:00:00", "2024-01-15 11:00:00"), ("abc", "2024-01-15 11:00:00")],
+                               "a string, b string")
+    assert [r[0] for r in df.select(duration_minutes("a", "b")).collect()] == [60.0, None]
+    out = add_audit(df, "d", "a", "r", "2024-01-16 00:00:00").select("_partition_date").collect()
+    assert [str(r[0]) if r[0] else None for r in out] == ["2024-01-15", None]
