@@ -543,14 +543,13 @@ SELECT CASE WHEN status = 'error' THEN NULL ELSE evento_id END AS evento_id,
        status = 'error' AS _quarantined
 FROM ev""")
 def q_corrupt_split(spark, sf):
-    from pyspark.sql import types as T
     path = scratch_path(spark, "landing-json")
     ev = dt.raw_events(spark, sf)
     j = F.to_json(F.struct("evento_id", "vagao_id", "status"))
     # Error events arrive truncated (no closing brace): malformed lines.
     line = F.when(F.col("status") == "error", F.expr("substring(_j, 1, length(_j) - 1)")).otherwise(F.col("_j"))
     ev.withColumn("_j", j).select(line.alias("value")).write.text(path)
-    schema = T._parse_datatype_string(_QUARANTINE_SCHEMA)
+    schema = spark.createDataFrame([], _QUARANTINE_SCHEMA).schema
     good, bad = read_with_quarantine(spark, path, schema, partition_date=dm.AS_OF)
     return (good.select("*", F.lit(None).cast("string").alias("_raw"), F.lit(False).alias("_quarantined"))
             .unionByName(bad.select("evento_id", "vagao_id", "status", "_raw",
