@@ -3,12 +3,12 @@
 ``Window.partitionBy(g)`` puts every row of a group into one task, so a key
 holding a third of all rows would be sorted by one executor.  Here the order is
 a range-partitioned global sort (Spark splits equal group values across
-partitions because the order columns make each row's sort key unique); each
-row gets its position from its partition offset, and the next row of a group
-is found by an equi-join on ``position + 1``, which hashes evenly.
+partitions because the order columns make each row's sort key unique).  Rows
+are numbered inside each sort task; positions come from per-task offsets, and
+"next row" is a lead inside the task plus the first row of the next task.
 
-The offset table has one row per sort task, so its broadcast is bounded by the
-shuffle width, not by the data.
+The per-task tables have one row per sort task, so their broadcast is bounded
+by the shuffle width, not by the data.
 """
 
 from __future__ import annotations
@@ -35,33 +35,38 @@ def _partition_bound(spark) -> int:
     return max(n, int(initial)) if initial else n
 
 
-def global_position(df: DataFrame, order_cols: list, name: str = "_pos") -> DataFrame:
-    """Add ``name``: the 0-based position of each row in the global order.
-
-    ``order_cols`` must be a total order (add tie-break columns), otherwise the
-    positions of tied rows are arbitrary.  The sorted rows are numbered and
-    written once as Parquet under ``spark.checkpoint.dir`` (lineage cut, ids
-    fixed even if an executor is lost later); re-reads are columnar.
-    """
+def _numbered(df: DataFrame, order_cols: list) -> DataFrame:
+    """The rows range-sorted by ``order_cols``, numbered and written once as
+    Parquet under ``spark.checkpoint.dir`` (lineage cut: ids stay fixed even if
+    an executor is lost later; re-reads are columnar).  ``_pid`` is the sort
+    task, ``_idx`` the row's place inside it."""
     spark = df.sparkSession
     bound = _partition_bound(spark)
     if bound > _MAX_PARTITIONS:
-        raise ValueError(f"{bound} partitions: offset table over its bound")
+        raise ValueError(f"{bound} partitions: per-task table over its bound")
     order = [c if isinstance(c, Column) else _asc(c) for c in order_cols]
     path = scratch_path(spark, "ordered")
     df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()).write.parquet(path)
-    numbered = spark.read.parquet(path)
-    numbered = numbered.withColumns({
+    return spark.read.parquet(path).withColumns({
         "_pid": F.shiftright("_mid", _ROW_BITS),
         "_idx": F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
-    })
-    # One row per sort task: at most ``bound`` rows, checked above.
+    }).drop("_mid")
+
+
+def global_position(df: DataFrame, order_cols: list, name: str = "_pos") -> DataFrame:
+    """Add ``name``: the 0-based position of each row in the global order.
+
+    ``order_cols`` must be a total order (add tie-break columns), otherwise the
+    positions of tied rows are arbitrary.
+    """
+    numbered = _numbered(df, order_cols)
+    # One row per sort task: at most ``_partition_bound`` rows, checked.
     counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     return (numbered.join(F.broadcast(offsets), "_pid")
             .withColumn(name, F.col("_off") + F.col("_idx"))
-            .drop("_mid", "_pid", "_idx", "_off"))
+            .drop("_pid", "_idx", "_off"))
 
 
 def next_in_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
@@ -69,22 +74,29 @@ def next_in_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
     """``lead(v) over (partition by group order by order_cols)`` for each v.
 
     ``value_cols`` maps a source column to the output column name.  NULL group
-    values form one group, as in a window.
+    values form one group, as in a window.  Inside a sort task the next row is
+    a ``lead`` over that task's rows (a balanced slice of the range sort, not a
+    group); the last row of a task takes the first row of the next non-empty
+    task, from a table with one row per task (bounded, broadcast).
     """
-    pos = global_position(df, list(group_cols) + list(order_cols))
-    nxt = pos.select(
-        (F.col("_pos") - 1).alias("_pos"),
-        *[F.col(g).alias(f"_nx_g{i}") for i, g in enumerate(group_cols)],
-        *[F.col(src).alias(f"_nx_v{i}") for i, src in enumerate(value_cols)],
-    )
-    joined = pos.join(nxt, "_pos", "left")
-    same = reduce(lambda a, b: a & b,
-                  [F.col(g).eqNullSafe(F.col(f"_nx_g{i}")) for i, g in enumerate(group_cols)])
-    joined = joined.withColumns({out: F.when(same, F.col(f"_nx_v{i}"))
-                                 for i, out in enumerate(value_cols.values())})
-    drop = ["_pos"] + [f"_nx_g{i}" for i in range(len(group_cols))] + [
-        f"_nx_v{i}" for i in range(len(value_cols))]
-    return joined.drop(*drop)
+    carried = list(group_cols) + list(value_cols)
+    numbered = _numbered(df, list(group_cols) + list(order_cols))
+    in_task = Window.partitionBy("_pid").orderBy("_idx")
+    firsts = numbered.filter(F.col("_idx") == 0).select("_pid", *carried)
+    by_task = Window.orderBy("_pid")  # over one row per sort task only
+    next_first = firsts.select(
+        "_pid", *[F.lead(c).over(by_task).alias(f"_nf{i}") for i, c in enumerate(carried)])
+    j = numbered.select(
+        "*", F.lead("_idx").over(in_task).alias("_has_next"),
+        *[F.lead(c).over(in_task).alias(f"_nt{i}") for i, c in enumerate(carried)],
+    ).join(F.broadcast(next_first), "_pid", "left")
+    nxt = {c: F.when(F.col("_has_next").isNotNull(), F.col(f"_nt{i}")).otherwise(F.col(f"_nf{i}"))
+           for i, c in enumerate(carried)}
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(nxt[g]) for g in group_cols])
+    out = j.withColumns({out_c: F.when(same, nxt[src]) for src, out_c in value_cols.items()})
+    drop = ["_pid", "_idx", "_has_next"] + [f"_nt{i}" for i in range(len(carried))] + [
+        f"_nf{i}" for i in range(len(carried))]
+    return out.drop(*drop)
 
 
 def global_row_number(df: DataFrame, order_cols: list, name: str = "row_number") -> DataFrame:
