@@ -3,10 +3,15 @@
 K1 create, K2 touched-partition merged write, K3/K5 idempotent day publish,
 K4 load-control rows, K6 dated NDJSON landing, K7 full refresh, K8 statistics.
 
-Writes go to the table path given by the caller (a shared filesystem); a
-merged write is staged in a new folder under ``spark.checkpoint.dir`` first,
-because overwriting a path that the same plan reads fails.  Concurrent writers
-to one table are not supported (no table format is installed).
+Writes go to the table path given by the caller (a shared filesystem).  A
+merged write is staged in a new folder under ``spark.checkpoint.dir`` first
+(overwriting a path that the same plan reads fails), then its partition
+folders are renamed into the table, one partition at a time, as dynamic
+partition overwrite does.  Concurrent writers to one table are not supported
+and a reader during the swap may see old and new partitions side by side (no
+table format is installed).  Folder operations use the session's Hadoop
+FileSystem (the same API the committers use) and touch partition folders
+only, never rows.
 """
 
 from __future__ import annotations
