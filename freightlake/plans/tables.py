@@ -110,12 +110,33 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 # -- K2 ----------------------------------------------------------------------
 
+def key_range_filter(source: DataFrame, keys: list[str]):
+    """``k BETWEEN min(source.k) AND max(source.k)`` for every key column (one
+    small aggregate).  A necessary condition for a key match, pushed into the
+    target's Parquet scan so row groups outside the batch's key range are
+    skipped (ids that grow with time leave old partitions unread).  Returns
+    ``F.lit(False)`` when the batch has no non-NULL key."""
+    row = source.agg(*[F.min(k).alias(f"lo{i}") for i, k in enumerate(keys)],
+                     *[F.max(k).alias(f"hi{i}") for i, k in enumerate(keys)]).collect()[0]
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
+        if lo is None:
+            return F.lit(False)
+        cond = cond & (F.col(k) >= F.lit(lo)) & (F.col(k) <= F.lit(hi))
+    return cond
+
+
 def touched_partitions(target: DataFrame, source: DataFrame, keys: list[str],
-                       part_col: str = DEFAULT_PART) -> DataFrame:
+                       part_col: str = DEFAULT_PART, key_range=None) -> DataFrame:
     """Partitions a merge rewrites: the source's dates plus the current dates of
-    target rows whose key the source matches (a key may move to a new date)."""
+    target rows whose key the source matches (a key may move to a new date).
+    ``key_range`` (see ``key_range_filter``) narrows the target scan first."""
     src_keys = source.select(*keys)
-    old = target.select(*keys, part_col).join(src_keys, keys, "left_semi").select(part_col)
+    tgt = target.select(*keys, part_col)
+    if key_range is not None:
+        tgt = tgt.filter(key_range)
+    old = tgt.join(src_keys, keys, "left_semi").select(part_col)
     return old.union(source.select(part_col)).distinct()
 
 
@@ -148,7 +169,8 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     if check_unique:
         assert_unique_source(source, keys)
     target = spark.read.parquet(path)
-    touched = [r[0] for r in touched_partitions(target, source, keys, part_col).collect()]
+    key_range = key_range_filter(source, keys)
+    touched = [r[0] for r in touched_partitions(target, source, keys, part_col, key_range).collect()]
     affected = target.filter(F.col(part_col).isin(touched))
     merged = merge_upsert(affected, source, keys, newer)
     stage = scratch_path(spark, "merge-stage")

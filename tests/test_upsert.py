@@ -154,3 +154,19 @@ def test_analyze_catalog_table(spark, tmp_path):
     stats = [r for r in spark.sql("DESCRIBE TABLE EXTENDED fl_analyze_t").collect() if r[0] == "Statistics"]
     assert stats and "10 rows" in stats[0][1]
     spark.sql("DROP TABLE fl_analyze_t")
+
+
+def test_key_range_filter_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(0, 1000).select(F.col("id").alias("k"), (F.col("id") % 10).alias("_partition_date")).write.partitionBy(
+        "_partition_date").parquet(path)
+    target = spark.read.parquet(path)
+    source = spark.createDataFrame([(500, 3), (510, 4)], "k long, _partition_date long")
+    rng = tables.key_range_filter(source, ["k"])
+    tp = tables.touched_partitions(target, source, ["k"], "_partition_date", rng)
+    plan = tp._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(k,500)" in plan and "LessThanOrEqual(k,510)" in plan
+    assert sorted(r[0] for r in tp.collect()) == [0, 3, 4]
+    empty = spark.createDataFrame([(None, 1)], "k long, _partition_date long")
+    assert sorted(r[0] for r in tables.touched_partitions(
+        target, empty, ["k"], "_partition_date", tables.key_range_filter(empty, ["k"])).collect()) == [1]
