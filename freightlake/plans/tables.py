@@ -233,28 +233,32 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
-def write_landing(df: DataFrame, root: str, date_col: str = "date", days: list | None = None) -> list[str]:
+def write_landing(df: DataFrame, root: str, date_col: str = "date", days: list | None = None) -> dict:
     """K6: NDJSON files under ``root/<date_col>=<day>/`` for every day of the
     batch, in one job; then a ``_SUCCESS`` marker in each day folder, written
     last, which consumers wait for (S9).  ``days`` lists the days the batch
     covers, so a day without rows is still marked complete (empty folder).
 
     Other days already under ``root`` are left as they are (dynamic overwrite).
-    The day list is bounded by the days of one batch.
+    Returns the days, the record count of the batch (both observed during the
+    write, no second pass; the list is bounded by the days of one batch) and
+    the markers written.
     """
     spark = df.sparkSession
     obs = Observation(f"landing-{uuid.uuid4().hex[:8]}")
-    (df.observe(obs, F.collect_set(F.col(date_col).cast("string")).alias("days"))
+    (df.observe(obs, F.collect_set(F.col(date_col).cast("string")).alias("days"),
+                F.count(F.lit(1)).alias("rows"))
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(date_col).json(root))
+    seen = obs.get
     if days is None:
-        days = sorted(obs.get["days"])
+        days = sorted(seen["days"])
     marked = []
     for d in days:
         marker = f"{partition_dir(root, date_col, d)}/_SUCCESS"
         touch(spark, marker)
         marked.append(marker)
-    return marked
+    return {"days": [str(d) for d in days], "rows": seen["rows"], "markers": marked}
 
 
 # -- K8 ----------------------------------------------------------------------

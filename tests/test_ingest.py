@@ -85,7 +85,8 @@ def test_landing_writes_ndjson_lines(spark, tmp_path):
     root = str(tmp_path / "parceiros_logisticos")
     df = spark.createDataFrame([(1, "Parceiro A", "2024-01-15"), (2, "Parceiro B", "2024-01-15")],
                                "id int, nome string, date string")
-    write_landing(df, root, "date")
+    out = write_landing(df, root, "date")
+    assert out["rows"] == 2 and out["days"] == ["2024-01-15"]
     day = os.path.join(root, "date=2024-01-15")
     lines = []
     for f in sorted(os.listdir(day)):
