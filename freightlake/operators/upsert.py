@@ -10,7 +10,7 @@ WHEN NOT MATCHED THEN INSERT *``):
 * a tie, an older source row or a NULL watermark keeps the target row;
 * a source key absent from the target is inserted;
 * a NULL key never matches: such source rows are inserted on every run;
-* ``newer=None`` replaces every matched row (dbt ``merge``).
+* ``newer=None`` replaces every matched row (a plain key merge).
 
 NULL-key rows all hash to one shuffle partition, and a full outer join cannot
 be split by AQE's skew handling, so they get a row-hash salt that spreads them
