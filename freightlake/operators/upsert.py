@@ -56,11 +56,13 @@ def _salted(df: DataFrame, keys: list[str], side: int, spread: int, prefix: str)
 
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str] | str,
                  newer: str | None = None, check_unique: bool = False,
-                 null_key_spread: int = 256) -> DataFrame:
+                 null_key_spread: int = 256, salt_null_keys: bool = True) -> DataFrame:
     """Upsert ``source`` into ``target`` by ``keys``; returns the merged table.
 
     Output columns: the target's, then any column only the source has (V3);
-    a column missing on the chosen side is NULL.
+    a column missing on the chosen side is NULL.  ``salt_null_keys=False``
+    joins on plain key equality (same result) so that a target bucketed by the
+    keys is joined without a shuffle (see ``freightlake.plans.bucketed``).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if check_unique:
@@ -68,9 +70,12 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str] | str,
     cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
     t = _salted(target, keys, 1, null_key_spread, "t")
     s = _salted(source, keys, -1, null_key_spread, "s")
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(f"t_{k}").eqNullSafe(F.col(f"s_{k}")) for k in keys]
-                  + [F.col("t__salt") == F.col("s__salt")])
+    if salt_null_keys:
+        cond = reduce(lambda a, b: a & b,
+                      [F.col(f"t_{k}").eqNullSafe(F.col(f"s_{k}")) for k in keys]
+                      + [F.col("t__salt") == F.col("s__salt")])
+    else:  # NULL keys never match under plain equality either
+        cond = reduce(lambda a, b: a & b, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys])
     j = t.join(s, cond, "full_outer")
     matched = F.col("t__in_t").isNotNull() & F.col("s__in_s").isNotNull()
     if newer is None:
