@@ -21,22 +21,29 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from freightlake.operators.upsert import assert_unique_source, merge_upsert
-from freightlake.plans.tables import key_range_filter, touched_partitions
+from freightlake.plans.tables import delete_path, key_range_filter, partition_dir, touched_partitions
 from freightlake.session import scratch_path
 
 
 def create_keyed_table(df: DataFrame, table: str, keys: list[str], part_col: str,
-                       buckets: int) -> None:
-    """A partitioned table bucketed and sorted by ``keys``."""
-    (df.write.mode("errorifexists").bucketBy(buckets, *keys).sortBy(*keys)
-       .partitionBy(part_col).saveAsTable(table))
+                       buckets: int, path: str | None = None) -> None:
+    """A partitioned table bucketed and sorted by ``keys``; ``path`` makes it an
+    external table at that location (else it lives in the warehouse folder)."""
+    w = df.write.mode("errorifexists").bucketBy(buckets, *keys).sortBy(*keys).partitionBy(part_col)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(table)
+
+
+def _describe(spark: SparkSession, table: str) -> dict:
+    return {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
 
 
 def _table_buckets(spark: SparkSession, table: str) -> int:
-    for row in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect():
-        if row[0] == "Num Buckets":
-            return int(row[1])
-    raise ValueError(f"{table} is not bucketed")
+    info = _describe(spark, table)
+    if "Num Buckets" not in info:
+        raise ValueError(f"{table} is not bucketed")
+    return int(info["Num Buckets"])
 
 
 def merge_into_table(spark: SparkSession, source: DataFrame, table: str, keys: list[str] | str,
@@ -66,6 +73,10 @@ def merge_into_table(spark: SparkSession, source: DataFrame, table: str, keys: l
        .write.insertInto(table, overwrite=True))
     written = set(obs.get["parts"])
     emptied = [d for d in touched if str(d) not in written]
+    info = _describe(spark, table)
     for d in emptied:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({part_col} = '{d}')")
+        if info.get("Type") == "EXTERNAL":  # an external table keeps dropped files
+            delete_path(spark, partition_dir(info["Location"], part_col, d))
+    delete_path(spark, snap)
     return {"touched": len(touched), "emptied": len(emptied)}

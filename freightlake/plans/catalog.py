@@ -523,6 +523,24 @@ def q_upsert_idempotent(spark, sf):
     return spark.read.parquet(path)
 
 
+@register("upsert_bucketed", "M1 K2 (bucketed)", f"""
+SELECT *, CAST(date_trunc('month', updated_at) AS DATE) AS _partition_month FROM (
+{_upsert_sql("coalesce(s.updated_at > t.updated_at, false)")})""")
+def q_upsert_bucketed(spark, sf):
+    # Same batch as upsert_idempotent, into a catalog table bucketed by the key
+    # (external, in the shared folder): the merge reads the target by bucket.
+    import uuid
+    from freightlake.plans import bucketed
+    name = f"fl_orders_{uuid.uuid4().hex[:10]}"
+    part = F.trunc("updated_at", "month").alias("_partition_month")
+    bucketed.create_keyed_table(_orders_target(spark, sf).select("*", part), name, ["o_orderkey"],
+                                "_partition_month", buckets=4, path=scratch_path(spark, name))
+    source = _orders_updates(spark, sf).select("*", part)
+    for _ in range(2):
+        bucketed.merge_into_table(spark, source, name, "o_orderkey", "updated_at", "_partition_month")
+    return spark.table(name)
+
+
 @register("schema_evolution", "V3", """
 SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate, NULL::BIGINT AS n_lines FROM orders
 UNION ALL
