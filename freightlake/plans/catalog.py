@@ -246,10 +246,11 @@ def _gate_alerts_sql() -> str:
     failures = "failures AS (\n" + _gate_failure_rows_sql() + "\n)"
     return o.with_ctes(*o.CHAIN_SILVER, _GATE_COUNTS, failures) + f"""
 SELECT _partition_date,
-       to_json({{'alert_type': 'DATA_QUALITY_FAILURE', 'table': 'silver.fato_eventos_ferroviarios',
-                 'processing_date': '{dm.AS_OF}', 'timestamp': '{dm.NOW}',
-                 'failures': list_sort(list({{'rule': rule, 'severity': severity, 'message': message,
-                                              'threshold': threshold, 'actual': actual}}))}}) AS payload
+       CAST(to_json({{'alert_type': 'DATA_QUALITY_FAILURE', 'table': 'silver.fato_eventos_ferroviarios',
+                      'processing_date': '{dm.AS_OF}', 'timestamp': '{dm.NOW}',
+                      'failures': list_sort(list({{'rule': rule, 'severity': severity, 'message': message,
+                                                   'threshold': threshold, 'actual': actual}}))}}) AS VARCHAR)
+         AS payload
 FROM failures GROUP BY _partition_date"""
 
 
