@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from freightlake.operators.dedup import latest_per_key
 from freightlake.operators.upsert import assert_unique_source, merge_upsert
-from freightlake.session import scratch_path
+from freightlake.session import scratch_path, shared_dir
 
 DEFAULT_PART = "_partition_date"
 
@@ -64,6 +64,30 @@ def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     return [str(s.getPath().toString()) for s in found]
 
 
+def clean_scratch(spark: SparkSession, older_than_hours: float = 24.0, now_ms: int | None = None) -> list[str]:
+    """Delete scratch folders (``scratch_path``: ``<name>-<12 hex>``) under the
+    shared folder that were last modified more than ``older_than_hours`` ago.
+    Run it between jobs: a folder still read by a live DataFrame must be
+    younger than the threshold.  Spark's own checkpoint folders are left alone.
+    """
+    import re
+    import time
+
+    base = shared_dir(spark)
+    fs, root = _fs_path(spark, base)
+    if not fs.exists(root):
+        return []
+    now_ms = int(time.time() * 1000) if now_ms is None else now_ms
+    limit = now_ms - int(older_than_hours * 3600 * 1000)
+    removed = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and re.fullmatch(r".+-[0-9a-f]{12}", name) and st.getModificationTime() < limit:
+            fs.delete(st.getPath(), True)
+            removed.append(str(st.getPath().toString()))
+    return removed
+
+
 def partition_dir(path: str, part_col: str, value) -> str:
     return f"{path.rstrip('/')}/{part_col}={value}"
 

@@ -170,3 +170,17 @@ def test_key_range_filter_reaches_the_scan(spark, tmp_path):
     empty = spark.createDataFrame([(None, 1)], "k long, _partition_date long")
     assert sorted(r[0] for r in tables.touched_partitions(
         target, empty, ["k"], "_partition_date", tables.key_range_filter(empty, ["k"])).collect()) == [1]
+
+
+def test_clean_scratch_removes_only_old_scratch_folders(spark):
+    import time
+    from freightlake.session import scratch_path
+    old, new = scratch_path(spark, "old-thing"), scratch_path(spark, "new-thing")
+    spark.range(3).write.parquet(old)
+    spark.range(3).write.parquet(new)
+    fs, p = tables._fs_path(spark, old)
+    fs.setTimes(p, int(time.time() * 1000) - 48 * 3600 * 1000, -1)
+    removed = tables.clean_scratch(spark, older_than_hours=24)
+    assert any(r.rstrip("/").endswith(old.rsplit("/", 1)[1]) for r in removed)
+    assert tables.path_exists(spark, new)
+    assert not tables.path_exists(spark, old)
