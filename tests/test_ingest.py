@@ -180,3 +180,15 @@ def test_append_new_columns(spark):
     new = spark.createDataFrame([(2, "b", 9)], "id int, v string, w int")
     rows = sorted(evolve_union(old, new).collect(), key=lambda r: r["id"])
     assert rows[0]["w"] is None and rows[1]["w"] == 9
+
+
+def test_landing_marks_empty_day_complete(spark, tmp_path):
+    root = str(tmp_path / "landing_empty")
+    df = spark.createDataFrame([(1, "2024-01-15")], "id int, date string")
+    out = write_landing(df, root, "date", days=["2024-01-15", "2024-01-16"])  # the 16th had no rows
+    assert out["rows"] == 1
+    assert os.path.exists(os.path.join(root, "date=2024-01-16", "_SUCCESS"))
+    days = [d.rsplit("=", 1)[1] for d in complete_day_dirs(spark, root)]
+    assert days == ["2024-01-15", "2024-01-16"]
+    got = read_raw(spark, root, fmt="json", schema="id int", require_success=True)
+    assert [r["id"] for r in got.collect()] == [1]
