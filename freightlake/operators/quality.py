@@ -66,6 +66,8 @@ def gate_failures(counts: DataFrame, pk: str = "evento_id", critical_cols: list[
     """Q1-Q7: one row per failed rule (rule, severity, message, threshold, actual).
 
     Q1 (empty input) short-circuits the other rules, as the gate returns at once.
+    With ``by`` only the groups present in the input are checked (a day with no
+    rows has no group): check emptiness on the ungrouped counts.
     """
     critical_cols = critical_cols or CRITICAL_COLUMNS
     by = by or []
