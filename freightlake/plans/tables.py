@@ -17,12 +17,13 @@ only, never rows.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from freightlake.operators.dedup import latest_per_key
-from freightlake.operators.upsert import assert_unique_source, merge_upsert
+from freightlake.operators.upsert import AmbiguousMergeError, assert_unique_source, merge_upsert
 from freightlake.session import scratch_path, shared_dir
 
 DEFAULT_PART = "_partition_date"
@@ -151,6 +152,22 @@ def key_range_filter(source: DataFrame, keys: list[str]):
     return cond
 
 
+def batch_profile(source: DataFrame, keys: list[str]):
+    """One aggregate over the batch: the most rows any non-NULL key has (M4)
+    and the key-range predicate of ``key_range_filter``."""
+    not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    per_key = source.filter(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    row = per_key.agg(F.max("_n").alias("_most"),
+                      *[F.min(k).alias(f"lo{i}") for i, k in enumerate(keys)],
+                      *[F.max(k).alias(f"hi{i}") for i, k in enumerate(keys)]).collect()[0]
+    if row["_most"] is None:
+        return 0, F.lit(False)
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & (F.col(k) >= F.lit(row[f"lo{i}"])) & (F.col(k) <= F.lit(row[f"hi{i}"]))
+    return row["_most"], cond
+
+
 def touched_partitions(target: DataFrame, source: DataFrame, keys: list[str],
                        part_col: str = DEFAULT_PART, key_range=None) -> DataFrame:
     """Partitions a merge rewrites: the source's dates plus the current dates of
@@ -190,10 +207,10 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
         snap = scratch_path(spark, "merge-source")
         source.write.parquet(snap)
         source = spark.read.parquet(snap)
-    if check_unique:
-        assert_unique_source(source, keys)
+    most, key_range = batch_profile(source, keys)
+    if check_unique and most > 1:
+        raise AmbiguousMergeError(f"a source key repeats ({most} rows for one key)")
     target = spark.read.parquet(path)
-    key_range = key_range_filter(source, keys)
     touched = [r[0] for r in touched_partitions(target, source, keys, part_col, key_range).collect()]
     affected = target.filter(F.col(part_col).isin(touched))
     merged = merge_upsert(affected, source, keys, newer)

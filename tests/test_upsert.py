@@ -184,3 +184,17 @@ def test_clean_scratch_removes_only_old_scratch_folders(spark):
     assert any(r.rstrip("/").endswith(old.rsplit("/", 1)[1]) for r in removed)
     assert tables.path_exists(spark, new)
     assert not tables.path_exists(spark, old)
+
+
+def test_merged_write_rejects_repeated_batch_key(spark, tmp_path):
+    path = str(tmp_path / "t")
+    base = spark.createDataFrame([("a", 1, "t", "2024-01-01")], SCHEMA + ", d string").select(
+        "k", "wm", "v", F.col("d").cast("date").alias("_partition_date"))
+    tables.write_table(base, path)
+    dup = spark.createDataFrame([("a", 2, "s", "2024-01-01"), ("a", 3, "s", "2024-01-01")],
+                                SCHEMA + ", d string").select(
+        "k", "wm", "v", F.col("d").cast("date").alias("_partition_date"))
+    with pytest.raises(AmbiguousMergeError):
+        tables.write_merged(spark, dup, path, "k", newer="wm")
+    most, _ = tables.batch_profile(dup, ["k"])
+    assert most == 2
