@@ -198,3 +198,13 @@ def test_merged_write_rejects_repeated_batch_key(spark, tmp_path):
         tables.write_merged(spark, dup, path, "k", newer="wm")
     most, _ = tables.batch_profile(dup, ["k"])
     assert most == 2
+
+
+def test_batch_profile_composite_keys_ignore_null_parts(spark):
+    df = spark.createDataFrame([(1, 10), (1, 10), (2, None), (None, 5), (3, 7)], "a long, b long")
+    most, cond = tables.batch_profile(df, ["a", "b"])
+    assert most == 2  # (1, 10) twice; rows with a NULL part never match, never repeat
+    probe = spark.createDataFrame([(1, 10), (3, 7), (2, 8), (3, 11), (0, 7)], "a long, b long")
+    assert sorted(tuple(r) for r in probe.filter(cond).collect()) == [(1, 10), (2, 8), (3, 7)]
+    none_most, none_cond = tables.batch_profile(spark.createDataFrame([(None, 1)], "a long, b long"), ["a", "b"])
+    assert none_most == 0 and probe.filter(none_cond).count() == 0
