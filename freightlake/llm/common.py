@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from freightlake.session import scratch_path
 
 #: Between words: space, tab, line feed, vertical tab, form feed, carriage return.
 GAP = r"[\x20\x09-\x0D]+"
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -18,9 +20,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 256) -> None:
-    """Arrow batches of few rows: a row is a whole document, which may be long."""
+def python_workers(spark: SparkSession, rows: int = 256) -> None:
+    """Settings for operators that run Python in tasks: Arrow batches of few
+    rows (a row is a whole document, which may be long), and on one machine the
+    path of this package (a cluster gets it with the job)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        paths = sc.environment.get("PYTHONPATH", "").split(os.pathsep)
+        if ROOT not in paths:
+            sc.environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

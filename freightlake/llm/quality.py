@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlake.llm.common import GAP, let, word_list
+from freightlake.llm.common import GAP, let, stage, word_list
 
 MIN_WORDS = 50
 SYMBOLS = r"[#*$%&|<>]"
@@ -126,10 +126,9 @@ def order_rules(df: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] =
     rows = [(r[0],) for r in df.where(F.length(text) <= longest).select(text).limit(sample_rows).collect()]
     if not rows:
         return [{"rule": r, "rejected": 0.0, "cost": 0.0, "rank": 0.0} for r in rules]
-    sample = (spark.createDataFrame(rows, "t string")
-              .select("t", base_counts(F.col("t")).alias("s"))
-              .select("t", "s", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("k")))
-    sample = sample.checkpoint()
+    sample = stage(spark.createDataFrame(rows, "t string")
+                   .select("t", base_counts(F.col("t")).alias("s"))
+                   .select("t", "s", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("k")), "rule-sample")
 
     def run(predicate: Column) -> tuple[float, float]:
         began = time.perf_counter()

@@ -6,23 +6,63 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from freightlake.llm import quality
+from freightlake.llm import bpe, licenses, line_dedup, minhash, quality, sharding
 from freightlake.llm.common import read_table
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_table(spark, sf_dir, "documents").select("doc_id", "text")
+
+
+def vocabulary() -> tuple[str, str]:
+    """Path of the ranks file and pattern of the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return quality.judge(docs).drop("text")
+    return quality.judge(documents(spark, sf_dir)).drop("text")
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir), counts=True)
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir))
+
+
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(documents(spark, sf_dir), words=3, threshold=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode(documents(spark, sf_dir), *vocabulary())
+
+
+def op10_hash_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(documents(spark, sf_dir), shards=24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
 
 
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op3_line_dedup": op3_line_dedup,
+        "op4_license_scan": op4_license_scan,
+        "op5_minhash_near_dedup": op5_minhash_near_dedup,
+        "op9_byte_bpe": op9_byte_bpe,
+        "op10_hash_ring_shards": op10_hash_ring_shards,
     }
 
 
 def oracle_queries() -> dict[str, str]:
     return {
         "op1_quality_rules": quality.ORACLE,
+        "op3_line_dedup": line_dedup.ORACLE,
     }
