@@ -266,24 +266,43 @@ def link(signed: DataFrame, docs: DataFrame, words: int, threshold: int, bands:
     return components(stage(first.unionByName(second), "links"), "a", "b").withColumnRenamed("node", "set_key")
 
 
+def group(signed: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
+    """(set_key, component, component_id) of all classes; component_id is the
+    least id of the component."""
+    linked = link(signed, docs, words, threshold, *bands_for(threshold))
+    classes = signed.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("id").alias("least_id"))
+    classes = classes.join(linked, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
+    least = classes.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    return classes.select("set_key", "component").join(least, "component")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
-                    threshold: int = 80, passed: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each row of ``df``: the passed columns, id, n_shingles,
-    component_id, kept (id = component_id) and set_key / component (of classes).
+                    threshold: int = 80) -> DataFrame:
+    """One row for each row of ``df``: id, n_shingles, component_id, kept (id =
+    component_id) and set_key and component (hashes of sets; NULL without one).
 
     Two sets are linked when 100 * common >= threshold * union.
     """
-    bands, rows = bands_for(threshold)
-    signed = stage(sign(df, id_col, text_col, words, bands, rows, passed), "signed")
+    signed = stage(sign(df, id_col, text_col, words, *bands_for(threshold)), "signed")
     docs = df.select(*text_key(F.col(text_col)), F.col(text_col).alias("__text"))
-    linked = link(signed, docs, words, threshold, bands, rows)
-    rows_ = signed.select(*passed, "id", "n_shingles", "set_key")
-    by_class = rows_.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("id").alias("least_id"))
-    by_class = by_class.join(linked, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
-    least = by_class.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    known = by_class.select("set_key", "component").join(least, "component")
-    out = rows_.join(known, "set_key", "left")
+    out = signed.select("id", "n_shingles", "set_key").join(group(signed, docs, words, threshold), "set_key", "left")
     component_id = F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return (out.withColumn("component_id", component_id)
-            .select(*passed, F.col("id").alias(id_col), "n_shingles", "component_id",
-                    F.col("id").eqNullSafe(F.col("component_id")).alias("kept"), "set_key", "component"))
+    return out.select(F.col("id").alias(id_col), "n_shingles", component_id.alias("component_id"),
+                      F.col("id").eqNullSafe(component_id).alias("kept"), "set_key", "component")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: int = 80) -> DataFrame:
+    """One row of each group of near duplicates with all columns of ``df``: the
+    one with the least id (NULL ids last), of equal ids the first in the input.
+    Rows without a set all stay."""
+    rows = df.select(F.struct(*df.columns).alias("__doc"), F.col(id_col).alias("__id"), F.col(text_col).alias("__words"),
+                     F.monotonically_increasing_id().alias("__row"))
+    signed = stage(sign(rows, "__id", "__words", words, *bands_for(threshold), passed=("__doc", "__row")), "signed")
+    docs = signed.select("t1", "t2", F.col("__doc")[text_col].alias("__text"))
+    known = group(signed, docs, words, threshold).select("set_key", "component")
+    place = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("__row"))
+    best = (signed.select("id", "__row", "set_key").join(known, "set_key")
+            .groupBy("component").agg(F.min(place).alias("p")).select(F.col("p.__row").alias("__row")))
+    alone = signed.where("set_key IS NULL").select("__doc")
+    return (signed.select("__row", "__doc").join(best, "__row", "left_semi").select("__doc").unionByName(alone)
+            .select("__doc.*"))

@@ -8,7 +8,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from freightlake.llm import bpe, licenses, line_dedup, minhash, quality, sharding
+from freightlake.llm import (
+    bpe,
+    byte_cnn,
+    decontaminate,
+    licenses,
+    line_dedup,
+    minhash,
+    quality,
+    sharding,
+    toxicity,
+    url_filter,
+)
 from freightlake.llm.common import read_table
 
 
@@ -27,6 +38,12 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir)).drop("text")
 
 
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each contaminated document and benchmark item."""
+    found = decontaminate.matches(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+    return found.drop("t1", "t2")
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir), counts=True)
 
@@ -40,6 +57,18 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read_table(spark, sf_dir, "pages").select("page_id", "url"))
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_cnn.quality(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"))
+
+
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(documents(spark, sf_dir), *vocabulary())
 
@@ -50,14 +79,25 @@ def op10_hash_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_rules": op1_quality_rules,
+        "op2_benchmark_decontamination": op2_benchmark_decontamination,
         "op3_line_dedup": op3_line_dedup,
         "op4_license_scan": op4_license_scan,
         "op5_minhash_near_dedup": op5_minhash_near_dedup,
+        "op6_toxicity": op6_toxicity,
+        "op7_url_filter": op7_url_filter,
+        "op8_quality_classifier": op8_quality_classifier,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_hash_ring_shards": op10_hash_ring_shards,
+        "pipeline": pipeline,
     }
 
 
