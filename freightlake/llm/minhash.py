@@ -10,13 +10,16 @@ drop candidates that are far from the threshold; what is left is confirmed on
 the full sets.
 
 Bands are chosen so that a pair at the threshold is missed with a probability
-below ``MISS``; the sketch's own cut is set 6 standard deviations away.
+below ``MISS``; the sketch's own cut lies 6 standard deviations away.
 
 Links are wanted for their connected components, so not all pairs of a bucket
 are emitted: first each member is paired with the bucket's smallest class, and
-linked classes get their component; then, in buckets that still hold several
-components, all pairs of classes of different components that the sketch lets
-through are confirmed as well.  A pair inside one component cannot change it.
+linked classes get their component.  In buckets that still hold several
+components each member is then paired with the class that has the fewest
+shingles of its own (the middle of a group of edited copies).  What still holds
+several components after that has all its pairs of different components
+compared that sizes, own shingles and sketches let through.  A pair inside one
+component cannot change it, so no link that matters is left out.
 
 Defined results: texts without words, empty or NULL have no set: size 0, linked
 with nothing, their own component.  The component of a document is its smallest
@@ -64,18 +67,19 @@ def bands_for(threshold: int) -> tuple[int, int]:
     raise ValueError("similarity too low for banding")
 
 
-def most_differing(threshold: int, samples: int) -> float:
-    """The greatest estimate of differing samples that a linked pair may show."""
-    d = 1 - threshold / 100
-    bits = 64 * SKETCH_LONGS
-    spread = math.sqrt(samples * d * (1 - d) + bits / 4 / 2)  # of the samples, and of the bitmap's own collisions
-    return samples * d + 6 * spread
-
-
 def most_bits(threshold: int, samples: int) -> int:
-    """The same as a population count: n bits, x flips leave n/2 (1 - e^(-2x/n))."""
-    bits = 64 * SKETCH_LONGS
-    return math.ceil(bits / 2 * (1 - math.exp(-4 * most_differing(threshold, samples) / bits)))
+    """The greatest population count that a linked pair may show: the mean at
+    the threshold and six standard deviations.
+
+    x flips leave n/2 (1 - e^(-2x/n)) of n bits set; each differing sample makes
+    two flips.  The spread comes from the samples and from flips that meet.
+    """
+    n, d = 64 * SKETCH_LONGS, 1 - threshold / 100
+    x = 2 * samples * d
+    fade = math.exp(-2 * x / n)
+    meet = n / 4 * (1 - fade ** 2) - x * fade ** 2
+    drawn = samples * d * (1 - d) * (2 * fade) ** 2
+    return math.ceil(n / 2 * (1 - fade) + 6 * math.sqrt(meet + drawn))
 
 
 # -- signatures, inside tasks ----------------------------------------------------
@@ -201,6 +205,12 @@ def full_sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.mapInArrow(run, "set_key binary, shingles array<long>")
 
 
+def _enough(threshold: int, a: str, b: str) -> Column:
+    """The most that the two sets can have in common reaches the threshold."""
+    most = F.least(F.col(f"{a}.most"), F.col(f"{b}.most"))
+    return 100 * most >= threshold * (F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles") - most)
+
+
 # -- candidates and links ----------------------------------------------------------
 
 def _near(threshold: int, samples: int, a: str, b: str) -> Column:
@@ -212,19 +222,41 @@ def _near(threshold: int, samples: int, a: str, b: str) -> Column:
             & (differ <= most_bits(threshold, samples)))
 
 
-def confirm(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
-    """Pairs (a, b) of set keys whose full sets reach the threshold.  ``docs``
-    has t1, t2 and __text; ``classes`` has set_key, t1, t2 (one text of each)."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_key")).distinct()
-    texts = stage(wanted.join(classes.select("set_key", "t1", "t2"), "set_key"), "wanted")
+def sets_of(keys: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(set_key, shingles) of the classes in ``keys``, staged.  ``docs`` has t1,
+    t2 and __text; ``classes`` has set_key, t1, t2 (one text of each)."""
+    texts = stage(keys.join(classes.select("set_key", "t1", "t2"), "set_key"), "wanted")
     small = texts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
     found = docs.join(F.broadcast(texts) if small else texts, ["t1", "t2"])
     one = found.groupBy("set_key").agg(F.first("__text").alias("__text"))  # equal texts: any one
-    sets = stage(full_sets(one, words), "sets")
+    return stage(full_sets(one, words), "sets")
+
+
+def _linked(threshold: int, x: str, y: str) -> Column:
+    """The two full sets reach the threshold."""
+    common = F.size(F.array_intersect(x, y)).cast("long")
+    return (100 + threshold) * common >= threshold * (F.size(x) + F.size(y))
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs (a, b) of set keys whose full sets reach the threshold."""
     left = pairs.join(sets.withColumnsRenamed({"set_key": "a", "shingles": "x"}), "a")
     both = left.join(sets.withColumnsRenamed({"set_key": "b", "shingles": "y"}), "b")
-    common = F.size(F.array_intersect("x", "y")).cast("long")
-    return both.where(100 * common >= threshold * (F.size("x") + F.size("y") - common)).select("a", "b")
+    return both.where(_linked(threshold, "x", "y")).select("a", "b")
+
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("set_key")).union(pairs.select("b")).distinct()
+
+
+def _open(members: DataFrame, found: DataFrame, centre: str) -> DataFrame:
+    """Members, with their component, of buckets that hold several components
+    besides the centre."""
+    labelled = (members.drop("component").join(found.withColumnRenamed("node", "set_key"), "set_key", "left")
+                .withColumn("component", F.coalesce("component", "set_key")).where(F.col("set_key") != F.col(centre)))
+    buckets = (labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+               .where("lo <> hi").select("bucket"))
+    return labelled.join(buckets, "bucket")
 
 
 def link(signed: DataFrame, docs: DataFrame, words: int, threshold: int, bands: int, rows: int) -> DataFrame:
@@ -242,28 +274,50 @@ def link(signed: DataFrame, docs: DataFrame, words: int, threshold: int, bands:
     facts = classes.select("set_key", "n_shingles", *longs)
     samples = bands * rows
 
+    # 1. every member with the smallest class of its bucket
     stars = members.where("set_key <> least").select(F.col("least").alias("a"), F.col("set_key").alias("b")).distinct()
-    likely = (stars.join(facts.alias("p"), F.col("a") == F.col("p.set_key"))
-              .join(facts.alias("q"), F.col("b") == F.col("q.set_key"))
-              .where(_near(threshold, samples, "p", "q")).select("a", "b"))
-    first = stage(confirm(stage(likely, "stars"), classes, docs, words, threshold), "links")
-    found = components(first, "a", "b")
-
-    # buckets that still hold several components; their smallest classes have been tried with all members
-    labelled = (members.join(found.withColumnRenamed("node", "set_key"), "set_key", "left")
-                .withColumn("component", F.coalesce("component", "set_key")))
-    open_buckets = (labelled.where("set_key <> least").groupBy("bucket")
-                    .agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("bucket"))
-    rest = stage(labelled.where("set_key <> least").join(open_buckets, "bucket").join(facts, "set_key"), "open")
-    p, q = rest.alias("p"), rest.alias("q")
-    more = (p.join(q, (F.col("p.bucket") == F.col("q.bucket")) & (F.col("p.set_key") < F.col("q.set_key"))
-                   & (F.col("p.component") != F.col("q.component")) & _near(threshold, samples, "p", "q"))
-            .select(F.col("p.set_key").alias("a"), F.col("q.set_key").alias("b")).distinct())
-    more = stage(more, "rest")
-    if more.isEmpty():
+    likely = stage(stars.join(facts.alias("p"), F.col("a") == F.col("p.set_key"))
+                   .join(facts.alias("q"), F.col("b") == F.col("q.set_key"))
+                   .where(_near(threshold, samples, "p", "q")).select("a", "b"), "stars")
+    sets = sets_of(_ends(likely), classes, docs, words)
+    links = stage(confirm(likely, sets, threshold), "links")
+    found = components(links, "a", "b")
+
+    # 2. in buckets that still hold several components: every member with the class that has the fewest shingles of
+    # its own.  Shingles that no other of these classes has can be in no common part, so n - own bounds it.
+    rest = stage(_open(members, found, "least").select("bucket", "set_key", "component"), "open")
+    if rest.isEmpty():
         return found.withColumnRenamed("node", "set_key")
-    second = confirm(more, classes, docs, words, threshold)
-    return components(stage(first.unionByName(second), "links"), "a", "b").withColumnRenamed("node", "set_key")
+    keys = rest.select("set_key").distinct()
+    sets = sets.join(keys, "set_key", "left_semi").unionByName(
+        sets_of(keys.join(sets, "set_key", "left_anti"), classes, docs, words))
+    sets = stage(sets, "open-sets")
+    alone = (sets.select("set_key", F.explode("shingles").alias("shingle")).groupBy("shingle")
+             .agg(F.count("*").alias("n"), F.min("set_key").alias("set_key")).where("n = 1")
+             .groupBy("set_key").agg(F.count("*").alias("own")))
+    facts = stage(keys.join(facts, "set_key").join(alone, "set_key", "left").fillna(0, ["own"])
+                  .withColumn("most", F.col("n_shingles") - F.col("own"))
+                  .where(100 * F.col("most") >= threshold * F.col("n_shingles")), "open-facts")
+    rest = stage(rest.join(facts, "set_key"), "candidates")
+    centres = rest.groupBy("bucket").agg(F.min(F.struct("own", "set_key")).alias("c")).select("bucket", F.col("c.set_key").alias("centre"))
+    rest = stage(rest.join(centres, "bucket"), "centred")
+    stars = (rest.where("set_key <> centre").select(F.col("centre").alias("a"), F.col("set_key").alias("b"), "component").distinct()
+             .join(facts.alias("p"), F.col("a") == F.col("p.set_key")).join(facts.alias("q"), F.col("b") == F.col("q.set_key"))
+             .where(_near(threshold, samples, "p", "q") & _enough(threshold, "p", "q")).select("a", "b"))
+    links = stage(links.unionByName(confirm(stage(stars, "stars"), sets, threshold)), "links")
+    found = components(links, "a", "b")
+
+    # 3. what is left: pairs of different components that sizes, sketches and bounds let through are compared on
+    # their full sets inside the join, which emits links only
+    rest = stage(_open(rest, found, "centre").join(sets, "set_key"), "open")
+    p, q = rest.alias("p"), rest.alias("q")
+    more = stage(p.join(q, (F.col("p.bucket") == F.col("q.bucket")) & (F.col("p.set_key") < F.col("q.set_key"))
+                        & (F.col("p.component") != F.col("q.component")) & _near(threshold, samples, "p", "q")
+                        & _enough(threshold, "p", "q") & _linked(threshold, "p.shingles", "q.shingles"))
+                 .select(F.col("p.set_key").alias("a"), F.col("q.set_key").alias("b")).distinct(), "links")
+    if not more.isEmpty():
+        found = components(stage(links.unionByName(more), "links"), "a", "b")
+    return found.withColumnRenamed("node", "set_key")
 
 
 def group(signed: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
