@@ -20,7 +20,6 @@ from freightlake.functions.expressions import (
     unknown_member,
 )
 from freightlake.operators.dims import CALENDAR_START, date_key
-from freightlake.operators.sequence import global_row_number
 from freightlake.operators.upsert import merge_upsert
 
 FACT_SORT = ["data_particao", "status_evento"]
@@ -147,13 +146,19 @@ def sla_daily(fact: DataFrame, as_of=None, lookback_days: int = 90) -> DataFrame
 def sla_mart(daily: DataFrame) -> DataFrame:
     """W2 + W3: client total over the period and the global position by it.
 
-    The client total is a window over the *aggregated* mart (at most days x
-    wagon types rows per client).  The position is a distributed global row
-    number (range sort + partition offsets), with tie-breaks on the mart key.
+    Rows are ordered by client total, client and mart key, so all rows of a
+    client are neighbours: the position is the number of rows of the clients
+    before it (a running sum over one row for each client) plus the place among
+    the client's own rows.
     """
-    per_client = Window.partitionBy("cliente_nome")
-    m = daily.withColumn("total_violacoes_cliente_periodo",
-                         F.sum("total_violacoes").over(per_client))
-    order = [F.col("total_violacoes_cliente_periodo").desc_nulls_last()] + [
-        F.col(c).asc_nulls_last() for c in ("cliente_nome", "data_particao", "segmento", "tipo_vagao")]
-    return global_row_number(m, order, "total_violacoes_desc")
+    totals = daily.groupBy(F.col("cliente_nome").alias("_client")).agg(
+        F.sum("total_violacoes").alias("total_violacoes_cliente_periodo"), F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy(F.col("total_violacoes_cliente_periodo").desc_nulls_last(),
+                            F.col("_client").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    own = Window.partitionBy("cliente_nome").orderBy(
+        *[F.col(c).asc_nulls_last() for c in ("data_particao", "segmento", "tipo_vagao")])
+    ranked = daily.withColumn("_place", F.row_number().over(own))
+    return (ranked.join(offsets, F.col("cliente_nome").eqNullSafe(F.col("_client")))
+            .withColumn("total_violacoes_desc", F.col("_before") + F.col("_place"))
+            .drop("_client", "_before", "_place"))

@@ -103,6 +103,19 @@ def gate_failures(counts: DataFrame, pk: str = "evento_id", critical_cols: list[
     return exploded.filter(F.col("f").isNotNull()).select(*by, "f.*")
 
 
+def gate_decisions(counts: DataFrame, by: list[str], **rules) -> DataFrame:
+    """Q8 as rows: for each checked group its blocking and all failures, and
+    whether the run is blocked or passed."""
+    failures = gate_failures(counts, by=by, **rules).groupBy(*by).agg(
+        F.count_if(F.col("severity").isin(*BLOCKING)).alias("blocking"), F.count(F.lit(1)).alias("failures"))
+    groups = counts.select(*[F.col(c).alias(f"_g_{c}") for c in by])
+    match = [F.col(f"_g_{c}").eqNullSafe(F.col(c)) for c in by]
+    n = F.coalesce("blocking", F.lit(0))
+    return groups.join(failures, match, "left").select(
+        *[F.col(f"_g_{c}").alias(c) for c in by], n.alias("blocking"), F.coalesce("failures", F.lit(0)).alias("failures"),
+        F.when(n > 0, "blocked").otherwise("passed").alias("decision"))
+
+
 def min_rows_from_history(metrics: DataFrame, domain: str, factor: float = 0.7,
                           metric: str = "RawRecordsRead", default: int = MIN_ROWS) -> int:
     """Q6 variant: ``factor`` x the average of earlier runs' row counts of a

@@ -1,105 +1,25 @@
-"""Global order positions and "next row of the same group", without hot groups.
+"""Next event of the same key, by day slices.
 
-``Window.partitionBy(g)`` puts every row of a group into one task, so a key
-holding a third of all rows would be sorted by one executor.  Here the order is
-a range-partitioned global sort (Spark splits equal group values across
-partitions because the order columns make each row's sort key unique).  Rows
-are numbered inside each sort task; positions come from per-task offsets, and
-"next row" is a lead inside the task plus the first row of the next task.
-
-The per-task tables have one row per sort task, so their broadcast is bounded
-by the shuffle width, not by the data.
+``lead`` over all events of a key puts the whole key into one task.  Here the
+window is a key's day, and the last event of a day takes the first event of the
+key's next day that has any, from a table with one row for each key and day.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from freightlake.session import scratch_path
-
-_ROW_BITS = 33  # monotonically_increasing_id: partition id in the upper bits
-_MAX_PARTITIONS = 1_000_000  # bound on the broadcast offset table
-
-
-def _asc(c) -> Column:
-    return (F.col(c) if isinstance(c, str) else c).asc_nulls_last()
-
-
-def _partition_bound(spark) -> int:
-    """Upper bound on the tasks of one range-partitioned sort (AQE only coalesces)."""
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
-    return max(n, int(initial)) if initial else n
-
-
-def _numbered(df: DataFrame, order_cols: list) -> DataFrame:
-    """The rows range-sorted by ``order_cols``, numbered and written once as
-    Parquet under ``spark.checkpoint.dir`` (lineage cut: ids stay fixed even if
-    an executor is lost later; re-reads are columnar).  ``_pid`` is the sort
-    task, ``_idx`` the row's place inside it."""
-    spark = df.sparkSession
-    bound = _partition_bound(spark)
-    if bound > _MAX_PARTITIONS:
-        raise ValueError(f"{bound} partitions: per-task table over its bound")
-    order = [c if isinstance(c, Column) else _asc(c) for c in order_cols]
-    path = scratch_path(spark, "ordered")
-    df.orderBy(*order).withColumn("_mid", F.monotonically_increasing_id()).write.parquet(path)
-    return spark.read.parquet(path).withColumns({
-        "_pid": F.shiftright("_mid", _ROW_BITS),
-        "_idx": F.col("_mid").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)),
-    }).drop("_mid")
-
-
-def global_position(df: DataFrame, order_cols: list, name: str = "_pos") -> DataFrame:
-    """Add ``name``: the 0-based position of each row in the global order.
-
-    ``order_cols`` must be a total order (add tie-break columns), otherwise the
-    positions of tied rows are arbitrary.
-    """
-    numbered = _numbered(df, order_cols)
-    # One row per sort task: at most ``_partition_bound`` rows, checked.
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return (numbered.join(F.broadcast(offsets), "_pid")
-            .withColumn(name, F.col("_off") + F.col("_idx"))
-            .drop("_pid", "_idx", "_off"))
-
-
-def next_in_group(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                  value_cols: dict[str, str]) -> DataFrame:
-    """``lead(v) over (partition by group order by order_cols)`` for each v.
-
-    ``value_cols`` maps a source column to the output column name.  NULL group
-    values form one group, as in a window.  Inside a sort task the next row is
-    a ``lead`` over that task's rows (a balanced slice of the range sort, not a
-    group); the last row of a task takes the first row of the next non-empty
-    task, from a table with one row per task (bounded, broadcast).
-    """
-    carried = list(group_cols) + list(value_cols)
-    numbered = _numbered(df, list(group_cols) + list(order_cols))
-    in_task = Window.partitionBy("_pid").orderBy("_idx")
-    firsts = numbered.filter(F.col("_idx") == 0).select("_pid", *carried)
-    by_task = Window.orderBy("_pid")  # over one row per sort task only
-    next_first = firsts.select(
-        "_pid", *[F.lead(c).over(by_task).alias(f"_nf{i}") for i, c in enumerate(carried)])
-    j = numbered.select(
-        "*", F.lead("_idx").over(in_task).alias("_has_next"),
-        *[F.lead(c).over(in_task).alias(f"_nt{i}") for i, c in enumerate(carried)],
-    ).join(F.broadcast(next_first), "_pid", "left")
-    nxt = {c: F.when(F.col("_has_next").isNotNull(), F.col(f"_nt{i}")).otherwise(F.col(f"_nf{i}"))
-           for i, c in enumerate(carried)}
-    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(nxt[g]) for g in group_cols])
-    out = j.withColumns({out_c: F.when(same, nxt[src]) for src, out_c in value_cols.items()})
-    drop = ["_pid", "_idx", "_has_next"] + [f"_nt{i}" for i in range(len(carried))] + [
-        f"_nf{i}" for i in range(len(carried))]
-    return out.drop(*drop)
-
 
-def global_row_number(df: DataFrame, order_cols: list, name: str = "row_number") -> DataFrame:
-    """``row_number() over (order by order_cols)`` (1-based) without a single-task sort."""
-    return global_position(df, order_cols, "_gpos").withColumn(
-        name, F.col("_gpos") + F.lit(1)).drop("_gpos")
+def next_by_day(df: DataFrame, key: str, ts: str, tie: str, name: str) -> DataFrame:
+    """``df`` with ``name``: the ``ts`` of the key's next event in (ts, tie)
+    order, NULL times last.  NULL keys are one key, as in a window."""
+    day = F.to_date(ts)
+    rows = df.withColumn("_day", day)
+    in_day = Window.partitionBy(key, "_day").orderBy(F.col(ts).asc_nulls_last(), F.col(tie).asc_nulls_last())
+    firsts = rows.groupBy(F.col(key).alias("_key"), F.col("_day").alias("_d")).agg(F.min(ts).alias("_first"))
+    by_day = Window.partitionBy("_key").orderBy(F.col("_d").asc_nulls_last())
+    following = firsts.select("_key", "_d", F.lead("_first").over(by_day).alias("_following"))
+    out = rows.withColumn("_next", F.lead(ts).over(in_day))
+    joined = out.join(following, F.col(key).eqNullSafe(F.col("_key")) & F.col("_day").eqNullSafe(F.col("_d")), "left")
+    return joined.withColumn(name, F.coalesce("_next", "_following")).drop("_day", "_key", "_d", "_next", "_following")

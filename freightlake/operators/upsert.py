@@ -61,12 +61,23 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str] | str,
 
     Output columns: the target's, then any column only the source has (V3);
     a column missing on the chosen side is NULL.  ``salt_null_keys=False``
-    joins on plain key equality (same result) so that a target bucketed by the
-    keys is joined without a shuffle (see ``freightlake.plans.bucketed``).
+    joins on plain key equality and lets rows with a NULL key by-pass the join
+    (same result), so that a target bucketed by the keys is joined without a
+    shuffle (see ``freightlake.plans.bucketed``).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     if check_unique:
         assert_unique_source(source, keys)
+    if not salt_null_keys:
+        has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+        joined = _merge_joined(target.filter(has_key), source.filter(has_key), keys, newer, null_key_spread, False)
+        loose = target.filter(~has_key).unionByName(source.filter(~has_key), allowMissingColumns=True)
+        return joined.unionByName(loose)
+    return _merge_joined(target, source, keys, newer, null_key_spread, True)
+
+
+def _merge_joined(target: DataFrame, source: DataFrame, keys: list[str], newer: str | None,
+                  null_key_spread: int, salt_null_keys: bool) -> DataFrame:
     cols = list(target.columns) + [c for c in source.columns if c not in target.columns]
     t = _salted(target, keys, 1, null_key_spread, "t")
     s = _salted(source, keys, -1, null_key_spread, "s")
@@ -74,7 +85,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str] | str,
         cond = reduce(lambda a, b: a & b,
                       [F.col(f"t_{k}").eqNullSafe(F.col(f"s_{k}")) for k in keys]
                       + [F.col("t__salt") == F.col("s__salt")])
-    else:  # NULL keys never match under plain equality either
+    else:
         cond = reduce(lambda a, b: a & b, [F.col(f"t_{k}") == F.col(f"s_{k}") for k in keys])
     j = t.join(s, cond, "full_outer")
     matched = F.col("t__in_t").isNotNull() & F.col("s__in_s").isNotNull()

@@ -12,6 +12,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freightlake.functions.expressions import (
     duration_hours,
@@ -145,6 +146,30 @@ def q_fact_events(spark, sf):
     return dm.decimals_as_double(dm.no_run_clock(dm.fact_events(spark, sf)))
 
 
+_CALENDAR_END = "2024-01-20"
+
+
+@register("fact_calendar", "J5 D3 P9", o.with_ctes(*o.CHAIN_FACT) + f"""
+SELECT evento_id, data_particao,
+       CASE WHEN data_particao BETWEEN DATE '2020-01-01' AND DATE '{_CALENDAR_END}'
+            THEN CAST(strftime(data_particao, '%Y%m%d') AS INTEGER) ELSE -1 END AS data_sk
+FROM fact""")
+def q_fact_calendar(spark, sf):
+    # a calendar that ends before the last event: later days have no key
+    ends = dt.raw_events(spark, sf).filter(F.col("data_inicio") < F.lit(f"{_CALENDAR_END} 23:59:59.999999").cast("timestamp_ntz"))
+    fact = gold.build_fact(dm.staged_events(spark, sf), dm.wagon_dim(spark, sf), dm.contract_dim(spark, sf), dm.NOW,
+                           calendar=dims.calendar_dim(ends, "data_inicio"))
+    return fact.select("evento_id", "data_particao", "data_sk")
+
+
+@register("sla_default", "P18 P3", o.with_ctes(*o.CHAIN_SILVER) + """
+SELECT evento_id, coalesce(duracao_minutos > coalesce(sla_horas, 24) * 60, false) AS sla_violado FROM silver""")
+def q_sla_default(spark, sf):
+    from freightlake.functions.expressions import sla_violated
+    silver = dm.silver_events(spark, sf)
+    return silver.select("evento_id", sla_violated("duracao_minutos", "sla_horas", 24).alias("sla_violado"))
+
+
 _FACT_NOW_OLD = "2024-01-28 06:00:00"
 _FACT_CUT = "2024-01-27"
 _FACT_AS_OF = "2024-01-30"
@@ -192,13 +217,13 @@ counts AS (
          count(DISTINCT evento_id) + max(CASE WHEN evento_id IS NULL THEN 1 ELSE 0 END) AS distinct_pk,
          count(*) FILTER (WHERE NOT (status_norm IN {o.STATUSES})) AS invalid_status,
          count(*) FILTER (WHERE data_inicio > data_fim) AS temporal_violations
-  FROM silver GROUP BY 1)"""
+  FROM gate GROUP BY 1)"""
 
 
-@register("gate_counts", "A7 A8", o.with_ctes(*o.CHAIN_SILVER, _GATE_COUNTS) + """
+@register("gate_counts", "A7 A8", o.with_ctes(*o.CHAIN_GATE, _GATE_COUNTS) + """
 SELECT * FROM counts""")
 def q_gate_counts(spark, sf):
-    return quality.gate_counts(dm.silver_events(spark, sf), by=["_partition_date"])
+    return quality.gate_counts(dm.gate_rows(spark, sf), by=["_partition_date"])
 
 
 def _pct_sql(col: str) -> str:
@@ -233,18 +258,18 @@ def _gate_failure_rows_sql() -> str:
 
 
 def _gate_failures_sql() -> str:
-    return o.with_ctes(*o.CHAIN_SILVER, _GATE_COUNTS) + _gate_failure_rows_sql()
+    return o.with_ctes(*o.CHAIN_GATE, _GATE_COUNTS) + _gate_failure_rows_sql()
 
 
 @register("gate_failures", "Q1 Q2 Q3 Q4 Q5 Q6 Q7", _gate_failures_sql())
 def q_gate_failures(spark, sf):
-    counts = quality.gate_counts(dm.silver_events(spark, sf), by=["_partition_date"])
+    counts = quality.gate_counts(dm.gate_rows(spark, sf), by=["_partition_date"])
     return quality.gate_failures(counts, by=["_partition_date"])
 
 
 def _gate_alerts_sql() -> str:
     failures = "failures AS (\n" + _gate_failure_rows_sql() + "\n)"
-    return o.with_ctes(*o.CHAIN_SILVER, _GATE_COUNTS, failures) + f"""
+    return o.with_ctes(*o.CHAIN_GATE, _GATE_COUNTS, failures) + f"""
 SELECT _partition_date,
        CAST(to_json({{'alert_type': 'DATA_QUALITY_FAILURE', 'table': 'silver.fato_eventos_ferroviarios',
                       'processing_date': '{dm.AS_OF}', 'timestamp': '{dm.NOW}',
@@ -256,12 +281,31 @@ FROM failures GROUP BY _partition_date"""
 
 @register("gate_alerts", "Q8 Q9", _gate_alerts_sql())
 def q_gate_alerts(spark, sf):
-    counts = quality.gate_counts(dm.silver_events(spark, sf), by=["_partition_date"])
+    counts = quality.gate_counts(dm.gate_rows(spark, sf), by=["_partition_date"])
     failures = quality.gate_failures(counts, by=["_partition_date"])
     return quality.alert_payload(failures, "silver.fato_eventos_ferroviarios", dm.AS_OF, dm.NOW,
                                  by=["_partition_date"])
 
 
+@register("gate_empty_day", "Q1", o.with_ctes(*o.CHAIN_GATE) + """
+SELECT 'NonEmptyTable' AS rule, 'CRITICAL' AS severity, 'table has no rows for the processing date' AS message,
+       '> 0' AS threshold, CAST(n AS VARCHAR) AS actual
+FROM (SELECT count(*) AS n FROM gate WHERE _partition_date = DATE '2024-03-01') WHERE n = 0""")
+def q_gate_empty_day(spark, sf):
+    day = dm.gate_rows(spark, sf).filter(F.col("_partition_date") == F.lit("2024-03-01").cast("date"))
+    return quality.gate_failures(quality.gate_counts(day))
+
+
+@register("gate_decisions", "Q8", o.with_ctes(*o.CHAIN_GATE, _GATE_COUNTS, "failures AS (\n" + _gate_failure_rows_sql() + "\n)") + """
+SELECT c._partition_date, count(f.rule) FILTER (WHERE f.severity IN ('ERROR', 'CRITICAL')) AS blocking,
+       count(f.rule) AS failures,
+       CASE WHEN count(f.rule) FILTER (WHERE f.severity IN ('ERROR', 'CRITICAL')) > 0 THEN 'blocked' ELSE 'passed' END AS decision
+FROM counts c LEFT JOIN failures f ON f._partition_date IS NOT DISTINCT FROM c._partition_date GROUP BY 1""")
+def q_gate_decisions(spark, sf):
+    counts = quality.gate_counts(dm.gate_rows(spark, sf), by=["_partition_date"])
+    return quality.gate_decisions(counts, by=["_partition_date"])
+
+
 def _column_tests(spark, sf) -> DataFrame:
     stg = dm.staged_events(spark, sf)
     stg_w = dm.staged_wagons(spark, sf)
@@ -448,13 +492,8 @@ def q_masked_clients(spark, sf):
 
 
 # Order-status update feed derived from line items (used by the upsert queries).
-_ORDER_CUT = "2000-01-01"
-
-
 def _orders_target(spark, sf) -> DataFrame:
-    """Orders table state at the cut instant."""
-    o_ = dt.table(spark, sf, "orders")
-    return o_.filter(F.col("o_orderdate") < F.lit(f"{_ORDER_CUT} 00:00:00").cast("timestamp_ntz")).select(
+    return dt.table(spark, sf, "orders").select(
         "o_orderkey", "o_orderstatus", "o_totalprice", F.col("o_orderdate").alias("updated_at"))
 
 
@@ -474,8 +513,7 @@ def _orders_updates(spark, sf) -> DataFrame:
 
 
 _UPSERT_SRC_SQL = f"""
-t AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate AS updated_at FROM orders
-      WHERE o_orderdate < TIMESTAMP '{_ORDER_CUT} 00:00:00'),
+t AS (SELECT o_orderkey, o_orderstatus, o_totalprice, o_orderdate AS updated_at FROM orders),
 s AS (SELECT l_orderkey AS o_orderkey,
              CASE WHEN min(l_linestatus) = 'F' AND max(l_linestatus) = 'F' THEN 'F'
                   WHEN min(l_linestatus) = 'O' AND max(l_linestatus) = 'O' THEN 'O' ELSE 'P' END AS o_orderstatus,
@@ -521,7 +559,63 @@ def q_upsert_idempotent(spark, sf):
     for _ in range(2):  # a second identical run must not change the table
         tables.write_merged(spark, spark.read.parquet(batch), path, "o_orderkey", newer="updated_at",
                             part_col="_partition_month", snapshot=False)
-    return spark.read.parquet(path)
+    return tables.read_table(spark, path)
+
+
+# Orders without a usable date sit in the NULL partition: every 5th target row
+# and every 7th update has none, so keys are new in, updated in, moved into and
+# moved out of that partition.
+@register("upsert_null_dates", "K2 V4 M1", f"""
+WITH {_UPSERT_SRC_SQL.strip()},
+tp AS (SELECT *, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(date_trunc('month', updated_at) AS DATE) END AS p FROM t),
+sp AS (SELECT *, CASE WHEN o_orderkey % 7 <> 0 THEN CAST(date_trunc('month', updated_at) AS DATE) END AS p FROM s)
+SELECT CASE WHEN w THEN s.o_orderkey ELSE t.o_orderkey END AS o_orderkey,
+       CASE WHEN w THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+       CASE WHEN w THEN s.o_totalprice ELSE t.o_totalprice END AS o_totalprice,
+       CASE WHEN w THEN s.updated_at ELSE t.updated_at END AS updated_at,
+       CASE WHEN w THEN s.p ELSE t.p END AS _partition_month
+FROM (SELECT tp.o_orderkey AS tk, sp.o_orderkey AS sk,
+             sp.o_orderkey IS NOT NULL AND (tp.o_orderkey IS NULL OR coalesce(sp.updated_at > tp.updated_at, false)) AS w
+      FROM tp FULL OUTER JOIN sp ON tp.o_orderkey = sp.o_orderkey) m
+LEFT JOIN tp t ON t.o_orderkey = m.tk LEFT JOIN sp s ON s.o_orderkey = m.sk""")
+def q_upsert_null_dates(spark, sf):
+    path = scratch_path(spark, "orders-null-dates")
+    part = lambda n: F.when(F.col("o_orderkey") % n != 0, F.trunc("updated_at", "month")).alias("_partition_month")
+    tables.write_merged(spark, _orders_target(spark, sf).select("*", part(5)), path, "o_orderkey",
+                        newer="updated_at", part_col="_partition_month")
+    for _ in range(2):
+        tables.write_merged(spark, _orders_updates(spark, sf).select("*", part(7)), path, "o_orderkey",
+                            newer="updated_at", part_col="_partition_month")
+    return tables.read_table(spark, path)
+
+
+# Three merges: the orders, the updates with a column the table lacks, then
+# orders of other keys without it; the column and its values must stay.
+@register("upsert_new_column", "K2 V3 M1", f"""
+WITH {_UPSERT_SRC_SQL.strip()},
+n AS (SELECT l_orderkey AS o_orderkey, count(*) AS n_lines FROM lineitem GROUP BY 1)
+SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
+       CASE WHEN s.o_orderkey IS NOT NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
+       n.n_lines, CAST(date_trunc('month', coalesce(s.updated_at, t.updated_at)) AS DATE) AS _partition_month
+FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey LEFT JOIN n ON n.o_orderkey = s.o_orderkey""")
+def q_upsert_new_column(spark, sf):
+    path = scratch_path(spark, "orders-new-column")
+    cols = ["o_orderkey", "o_orderstatus", F.trunc("updated_at", "month").alias("_partition_month")]
+    orders = _orders_target(spark, sf).select(*cols)
+    updates = _orders_updates(spark, sf).select(*cols)
+    lines = dt.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.count(F.lit(1)).alias("n_lines"))
+    untouched = orders.join(updates, "o_orderkey", "left_anti")
+    touched = orders.join(updates, "o_orderkey", "left_semi")
+    for batch in (touched, updates.join(lines, "o_orderkey"), untouched):
+        tables.write_merged(spark, batch, path, "o_orderkey", part_col="_partition_month")
+    return tables.read_table(spark, path)
+
+
+@register("repeated_source_keys", "M4", """
+SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1""")
+def q_repeated_source_keys(spark, sf):
+    return upsert.duplicate_source_keys(dt.table(spark, sf, "lineitem"), ["l_orderkey"])
 
 
 @register("upsert_bucketed", "M1 K2 (bucketed)", f"""
@@ -562,7 +656,7 @@ SELECT CASE WHEN status = 'error' THEN NULL ELSE evento_id END AS evento_id,
        CASE WHEN status = 'error' THEN NULL ELSE status END AS status,
        CASE WHEN status = 'error' THEN '{"evento_id":' || evento_id || ',"vagao_id":' || vagao_id
             || ',"status":"' || status || '"' END AS _raw,
-       status = 'error' AS _quarantined
+       coalesce(status = 'error', false) AS _quarantined
 FROM ev""")
 def q_corrupt_split(spark, sf):
     path = scratch_path(spark, "landing-json")
@@ -659,6 +753,91 @@ def q_fact_publish(spark, sf):
     return spark.read.parquet(path)
 
 
+@register("fact_sorted_files", "O2 K1", o.with_ctes(*o.CHAIN_FACT) + """
+SELECT data_particao, count(*) AS n_rows, CAST(0 AS BIGINT) AS out_of_order FROM fact GROUP BY 1""")
+def q_fact_sorted_files(spark, sf):
+    # rows of a file that stand before their predecessor in the sort order
+    from pyspark.sql import Window
+    path = scratch_path(spark, "gold-fact")
+    tables.write_table(dm.fact_events(spark, sf), path, "data_particao", sort_cols=gold.FACT_SORT)
+    rows = spark.read.parquet(path).select("data_particao", "status_evento", F.col("_metadata.file_path").alias("f"),
+                                           F.col("_metadata.row_index").alias("i"))
+    before = F.lag("status_evento").over(Window.partitionBy("f").orderBy("i"))
+    wrong = (before > F.col("status_evento")) | (before.isNotNull() & F.col("status_evento").isNull())
+    return rows.withColumn("wrong", wrong).groupBy("data_particao").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("wrong").alias("out_of_order"))
+
+
+@register("layer_day", "S5 S6 K1", o.with_ctes(*o.CHAIN_SILVER) + """
+SELECT evento_id, vagao_id, status_norm, sla_violado, _partition_date FROM silver
+WHERE _partition_date = DATE '2024-01-15'""")
+def q_layer_day(spark, sf):
+    from freightlake.sources.raw import read_layer
+    path = scratch_path(spark, "silver-layer")
+    tables.write_table(dm.silver_events(spark, sf).select("evento_id", "vagao_id", "status_norm", "sla_violado", "_partition_date"),
+                       path, "_partition_date")
+    return read_layer(spark, path, "2024-01-15")
+
+
+@register("raw_csv", "S1 S2", """
+SELECT c_custkey, c_name, c_nationkey, CAST(c_acctbal AS DOUBLE) AS c_acctbal, c_mktsegment FROM customer""")
+def q_raw_csv(spark, sf):
+    from freightlake.sources.raw import read_raw
+    path = scratch_path(spark, "csv-drop")  # the path names the format
+    dt.table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment").write.option(
+        "header", True).csv(path)
+    out = read_raw(spark, path)
+    return out.withColumns({c: F.col(c).cast("long") for c in ("c_custkey", "c_nationkey")})
+
+
+@register("raw_json", "S1 S3", o.with_ctes() + """
+SELECT evento_id, vagao_id, status FROM ev""")
+def q_raw_json(spark, sf):
+    from freightlake.sources.raw import read_raw
+    path = scratch_path(spark, "json-drop")
+    dt.raw_events(spark, sf).select("evento_id", "vagao_id", "status").write.json(path)
+    return read_raw(spark, path, schema="evento_id long, vagao_id long, status string")
+
+
+@register("landing_complete_days", "K6 S8 S9", o.with_ctes() + """
+SELECT evento_id, vagao_id, status, CAST(data_inicio AS DATE) AS date FROM ev
+WHERE CAST(data_inicio AS DATE) <> DATE '2024-01-17'""")
+def q_landing_complete_days(spark, sf):
+    # every day is landed and marked, but one day loses its marker: it is not complete
+    from freightlake.sources.raw import read_raw
+    path = scratch_path(spark, "landing-json")
+    ev = dt.raw_events(spark, sf).select("evento_id", "vagao_id", "status", F.to_date("data_inicio").alias("date"))
+    tables.write_landing(ev, path)
+    tables.delete_path(spark, f"{tables.partition_dir(path, 'date', '2024-01-17')}/_SUCCESS")
+    return read_raw(spark, path, "json", "evento_id long, vagao_id long, status string, date date", require_success=True)
+
+
+@register("table_statistics", "K8", "SELECT count(*) AS n_rows FROM orders")
+def q_table_statistics(spark, sf):
+    import uuid
+    name, path = f"fl_stats_{uuid.uuid4().hex[:10]}", scratch_path(spark, "orders-table")
+    dt.table(spark, sf, "orders").write.parquet(path)
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    tables.analyze_table(spark, name)
+    info = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").filter("col_name = 'Statistics'")
+    return info.select(F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long").alias("n_rows"))
+
+
+@register("schema_drift", "V1 V2", """
+SELECT 'o_clerk' AS "column", 'missing' AS change, count(*) AS n_rows FROM orders
+UNION ALL SELECT 'o_orderdate', 'retyped', count(*) FROM orders
+UNION ALL SELECT 'o_orderpriority', 'added', count(*) FROM orders""")
+def q_schema_drift(spark, sf):
+    # a contract that lacks one column, has one more and another type of a third
+    from freightlake.operators.schema_ops import require_columns, schema_drift
+    orders = require_columns(dt.table(spark, sf, "orders"), ["o_orderkey", "o_orderdate"])
+    known = [f for f in orders.schema.fields if f.name != "o_orderpriority"]
+    contract = T.StructType([T.StructField(f.name, T.StringType() if f.name == "o_orderdate" else f.dataType) for f in known]
+                            + [T.StructField("o_clerk", T.StringType())])
+    n = orders.agg(F.count(F.lit(1)).alias("n_rows"))
+    return schema_drift(spark, orders, contract).select("column", "change").join(n)
+
+
 def _register_streams() -> None:
     import freightlake.streaming.queries  # noqa: F401  (registers the stream queries)
 

@@ -96,8 +96,7 @@ def _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, r
     n_raw, n_kept = raw_obs.get["rows"], bronze_obs.get["rows"]
     # silver: the run's rows, enriched; merge where a re-run always wins (M2)
     silver_rows = transform_silver(bronze_rows, wagons, contracts, now)
-    tables.write_merged(spark, silver_rows, layout.silver, PK, newer="_silver_processed_at",
-                        check_unique=False)
+    tables.write_merged(spark, silver_rows, layout.silver, PK, newer="_silver_processed_at")
     # gate on the rows of this run (one aggregate), before gold
     failures = quality.gate_failures(quality.gate_counts(silver_rows), min_rows=min_rows)
     found = quality.gate(failures, fail_on_error=fail_on_error)
@@ -112,7 +111,7 @@ def _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, r
     contract_dim = dims.contract_dim(contracts)
     fact_rows = gold.build_fact(stg, wagon_dim, contract_dim, now)
     tables.write_merged(spark, fact_rows, layout.fact, PK, newer=None, part_col="data_particao",
-                        check_unique=False, sort_cols=gold.FACT_SORT)
+                        sort_cols=gold.FACT_SORT)
     # mart: full refresh from the fact table (K7), ranked
     daily = gold.sla_daily(spark.read.parquet(layout.fact), as_of=processing_date,
                            lookback_days=mart_lookback_days)

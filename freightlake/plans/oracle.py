@@ -37,6 +37,13 @@ silver AS (
   LEFT JOIN contracts c ON e.contrato_id = c.contrato_id
   WHERE e.evento_id IS NOT NULL)"""
 
+GATE = """
+gate AS (
+  SELECT * REPLACE (CASE WHEN evento_id % 53 = 8 THEN NULL WHEN evento_id % 97 = 42 THEN evento_id - 1
+                         ELSE evento_id END AS evento_id,
+                    CASE WHEN evento_id % 61 = 5 THEN NULL ELSE data_inicio END AS data_inicio)
+  FROM silver)"""
+
 STG = """
 stg AS (
   SELECT evento_id, vagao_id, contrato_id, status_norm AS status_evento,
@@ -113,6 +120,7 @@ def with_ctes(*parts: str) -> str:
 
 
 CHAIN_SILVER = (SILVER,)
+CHAIN_GATE = (SILVER, GATE)
 CHAIN_STG = (SILVER, STG)
 CHAIN_FACT = (SILVER, STG, DIMS, FACT)
 CHAIN_DAILY = (SILVER, STG, DIMS, FACT, DAILY)

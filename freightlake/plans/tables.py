@@ -4,26 +4,28 @@ K1 create, K2 touched-partition merged write, K3/K5 idempotent day publish,
 K4 load-control rows, K6 dated NDJSON landing, K7 full refresh, K8 statistics.
 
 Writes go to the table path given by the caller (a shared filesystem).  A
-merged write is staged in a new folder under ``spark.checkpoint.dir`` first
-(overwriting a path that the same plan reads fails), then its partition
-folders are renamed into the table, one partition at a time, as dynamic
-partition overwrite does.  Concurrent writers to one table are not supported
-and a reader during the swap may see old and new partitions side by side (no
-table format is installed).  Folder operations use the session's Hadoop
-FileSystem (the same API the committers use) and touch partition folders
-only, never rows.
+merged write first puts the complete new content of the touched partitions into
+a stage folder inside the table (``_merge_stage``, hidden from readers), then
+Spark's dynamic partition overwrite writes the partitions from that stage, and
+the stage is removed last.  A run that stopped in between is finished from its
+stage by the next merged write (or by ``finish_merge``).  Concurrent writers to
+one table are not supported, and a reader during the overwrite may see old and
+new partitions side by side (no table format is installed).  The table's schema
+is kept in ``_schema``, so columns that only some partitions have are read.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from freightlake.operators.dedup import latest_per_key
-from freightlake.operators.upsert import AmbiguousMergeError, assert_unique_source, merge_upsert
+from freightlake.operators.upsert import AmbiguousMergeError, merge_upsert
 from freightlake.session import scratch_path, shared_dir
 
 DEFAULT_PART = "_partition_date"
@@ -48,17 +50,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def move_path(spark: SparkSession, src: str, dst: str) -> None:
-    """Replace ``dst`` by ``src`` (a rename: metadata only on HDFS-like stores)."""
-    fs, s = _fs_path(spark, src)
-    _, d = _fs_path(spark, dst)
-    if fs.exists(d):
-        fs.delete(d, True)
-    fs.mkdirs(d.getParent())
-    if not fs.rename(s, d):
-        raise IOError(f"rename failed: {src} -> {dst}")
-
-
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     fs, p = _fs_path(spark, pattern)
     found = fs.globStatus(p) or []
@@ -89,8 +80,11 @@ def clean_scratch(spark: SparkSession, older_than_hours: float = 24.0, now_ms: i
     return removed
 
 
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
+
 def partition_dir(path: str, part_col: str, value) -> str:
-    return f"{path.rstrip('/')}/{part_col}={value}"
+    return f"{path.rstrip('/')}/{part_col}={NULL_PARTITION if value is None else value}"
 
 
 # -- K1 / K7 -----------------------------------------------------------------
@@ -103,8 +97,8 @@ def write_table(df: DataFrame, path: str, part_col: str | None = DEFAULT_PART,
     ``dynamic=True`` replaces only the partitions present in ``df``.
     Rows are clustered by partition and sorted inside each file (O2);
     ``cluster=False`` skips that for input that is already clustered.
-    Returns the partition values written (gathered by ``observe`` during the
-    write, no second pass), or None for an unpartitioned table.
+    Returns the partition values written, but for NULL (gathered by ``observe``
+    during the write, no second pass), or None for an unpartitioned table.
     """
     out = df
     sort_cols = [c for c in (sort_cols or []) if c != part_col]
@@ -129,32 +123,27 @@ def write_table(df: DataFrame, path: str, part_col: str | None = DEFAULT_PART,
     return sorted(obs.get["parts"]) if obs is not None else None
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def save_schema(spark: SparkSession, path: str, schema) -> None:
+    """Keep the table's schema beside its files (one line of JSON)."""
+    spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/_schema")
 
 
-# -- K2 ----------------------------------------------------------------------
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """The table with its kept schema; a table without one is read with the
+    merged schema of its files."""
+    if path_exists(spark, f"{path}/_schema"):
+        kept = spark.read.text(f"{path}/_schema").first()
+        if kept is not None:
+            return spark.read.schema(T.StructType.fromJson(json.loads(kept[0]))).parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
 
-def key_range_filter(source: DataFrame, keys: list[str]):
-    """``k BETWEEN min(source.k) AND max(source.k)`` for every key column (one
-    small aggregate).  A necessary condition for a key match, pushed into the
-    target's Parquet scan so row groups outside the batch's key range are
-    skipped (ids that grow with time leave old partitions unread).  Returns
-    ``F.lit(False)`` when the batch has no non-NULL key."""
-    row = source.agg(*[F.min(k).alias(f"lo{i}") for i, k in enumerate(keys)],
-                     *[F.max(k).alias(f"hi{i}") for i, k in enumerate(keys)]).collect()[0]
-    cond = F.lit(True)
-    for i, k in enumerate(keys):
-        lo, hi = row[f"lo{i}"], row[f"hi{i}"]
-        if lo is None:
-            return F.lit(False)
-        cond = cond & (F.col(k) >= F.lit(lo)) & (F.col(k) <= F.lit(hi))
-    return cond
 
+# -- K2 ----------------------------------------------------------------------
 
 def batch_profile(source: DataFrame, keys: list[str]):
     """One aggregate over the batch: the most rows any non-NULL key has (M4)
-    and the key-range predicate of ``key_range_filter``."""
+    and ``k BETWEEN min AND max`` for every key column, a necessary condition
+    for a match that Parquet uses to skip row groups of the target."""
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     per_key = source.filter(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     row = per_key.agg(F.max("_n").alias("_most"),
@@ -168,63 +157,129 @@ def batch_profile(source: DataFrame, keys: list[str]):
     return row["_most"], cond
 
 
-def touched_partitions(target: DataFrame, source: DataFrame, keys: list[str],
-                       part_col: str = DEFAULT_PART, key_range=None) -> DataFrame:
-    """Partitions a merge rewrites: the source's dates plus the current dates of
-    target rows whose key the source matches (a key may move to a new date).
-    ``key_range`` (see ``key_range_filter``) narrows the target scan first."""
-    src_keys = source.select(*keys)
-    tgt = target.select(*keys, part_col)
-    if key_range is not None:
-        tgt = tgt.filter(key_range)
-    old = tgt.join(src_keys, keys, "left_semi").select(part_col)
-    return old.union(source.select(part_col)).distinct()
+def effective_rows(target: DataFrame, source: DataFrame, keys: list[str], newer: str | None,
+                   part_col: str, key_range) -> DataFrame:
+    """Source rows that change the target: inserts, and matches that win (M2),
+    with ``_old`` (the matched target row's partition) and ``_hit``.  Only keys,
+    watermark and partition of the target are read, behind the key range."""
+    cols = list(dict.fromkeys([*keys, *([newer] if newer else []), part_col]))
+    found = target.filter(key_range).select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_hit"))
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_t_{k}") for k in keys])
+    joined = source.join(found, cond, "left")
+    if newer is not None:
+        joined = joined.filter(F.col("_hit").isNull()
+                               | F.coalesce(F.col(newer) > F.col(f"_t_{newer}"), F.lit(False)))
+    return joined.select(*source.columns, F.col(f"_t_{part_col}").alias("_old"), F.col("_hit"))
+
+
+def touched_values(effective: DataFrame, part_col: str) -> list:
+    """Partitions a merge rewrites: those its rows go to and those that matched
+    rows leave; NULL (None) is a partition like any other.  Bounded by the
+    table's partition count."""
+    new = effective.select(part_col)
+    old = effective.filter(F.col("_hit")).select(F.col("_old").alias(part_col))
+    return [r[0] for r in new.union(old).distinct().collect()]
+
+
+def in_partitions(part_col: str, values: list):
+    """Rows of these partitions, NULL included."""
+    cond = F.col(part_col).isin([v for v in values if v is not None])
+    return F.coalesce(cond, F.lit(False)) | F.col(part_col).isNull() if None in values else cond
+
+
+def _stage_of(path: str) -> str:
+    return f"{path.rstrip('/')}/_merge_stage"
+
+
+def finish_merge(spark: SparkSession, path: str, part_col: str = DEFAULT_PART) -> bool:
+    """Write the partitions of a complete stage, remove the partitions it leaves
+    empty, then the stage.  A stage whose list of partitions was never written
+    belongs to a merge that has changed nothing yet: it is dropped.  Running it
+    again after a stop gives the same table.  Returns whether a stage was written."""
+    stage = _stage_of(path)
+    complete = path_exists(spark, f"{stage}/touched/_SUCCESS")
+    if complete:
+        touched = [r[0] for r in spark.read.parquet(f"{stage}/touched").collect()]
+        staged = read_table(spark, f"{stage}/data")
+        present = {r[0] for r in staged.select(F.col(part_col).cast("string")).distinct().collect()}
+        if present:
+            write_table(staged, path, part_col, dynamic=True, cluster=False)
+        for value in touched:
+            if value not in present:
+                delete_path(spark, partition_dir(path, part_col, value))
+        save_schema(spark, path, staged.schema)
+    delete_path(spark, f"{stage}/touched")  # first: a stage without it counts as incomplete
+    delete_path(spark, stage)
+    return complete
 
 
 def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[str] | str,
                  newer: str | None = None, part_col: str = DEFAULT_PART,
-                 check_unique: bool = True, sort_cols: list[str] | None = None,
-                 snapshot: bool = True) -> dict:
+                 sort_cols: list[str] | None = None, snapshot: bool = True,
+                 since=None, late_path: str | None = None) -> dict:
     """K2: merge ``source`` into the table at ``path`` rewriting touched partitions only.
 
-    The source batch is first written as a snapshot in the shared folder, so
-    the touched-partition lookup and the merge see the same rows and the
-    batch is computed once (``snapshot=False`` when the source already is a
-    written table).  The merged partitions are written to a stage folder and
-    then swapped in by renaming partition folders, as dynamic partition
-    overwrite does, without writing the data a second time.  Returns
-    ``{"touched": n, "emptied": n}``; the touched list is bounded by the
-    table's partition count, not by its rows.
+    The batch is written as a snapshot first (``snapshot=False`` when it already
+    is a written table), profiled once (repeated keys always raise, M4), and
+    matched with the target's keys; rows that change nothing touch nothing, so a
+    replayed batch rewrites no partition.  Source columns the table lacks are
+    added (V3).
+
+    ``since`` bounds the look-up: target partitions before it are not read.  The
+    caller states with it that no key of the batch lies in them; source rows that
+    belong before it go to ``late_path`` (appended) instead of the table.
+
+    Returns ``{"touched": n, "emptied": n}`` (-1: the table is new).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
-    if not path_exists(spark, path):
-        if check_unique:
-            assert_unique_source(source, keys)
-        write_table(source, path, part_col, sort_cols)
-        return {"touched": -1, "emptied": 0}
+    finish_merge(spark, path, part_col)
     snap = None
     if snapshot:
         snap = scratch_path(spark, "merge-source")
         source.write.parquet(snap)
-        source = spark.read.parquet(snap)
+        source = spark.read.schema(source.schema).parquet(snap)
+    if since is not None:
+        if late_path is None:
+            raise ValueError("since needs a late_path")
+        late = F.col(part_col) < F.lit(since)
+        source.filter(late).write.mode("append").parquet(late_path)
+        source = source.filter(F.coalesce(~late, F.lit(True)))
     most, key_range = batch_profile(source, keys)
-    if check_unique and most > 1:
+    if most > 1:
         raise AmbiguousMergeError(f"a source key repeats ({most} rows for one key)")
-    target = spark.read.parquet(path)
-    touched = [r[0] for r in touched_partitions(target, source, keys, part_col, key_range).collect()]
-    affected = target.filter(F.col(part_col).isin(touched))
-    merged = merge_upsert(affected, source, keys, newer)
-    stage = scratch_path(spark, "merge-stage")
-    present = write_table(merged, stage, part_col, sort_cols)
-    for value in present:
-        move_path(spark, partition_dir(stage, part_col, value), partition_dir(path, part_col, value))
-    emptied = [d for d in touched if str(d) not in set(present)]
-    for d in emptied:
-        delete_path(spark, partition_dir(path, part_col, d))
-    delete_path(spark, stage)
+    if not path_exists(spark, path):
+        write_table(source, path, part_col, sort_cols)
+        save_schema(spark, path, source.schema)
+        stats = {"touched": -1, "emptied": 0}
+    else:
+        stats = _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since)
     if snap:
         delete_path(spark, snap)
-    return {"touched": len(touched), "emptied": len(emptied)}
+    return stats
+
+
+def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since) -> dict:
+    target = read_table(spark, path)
+    if since is not None:
+        target = target.filter(F.coalesce(F.col(part_col) >= F.lit(since), F.lit(True)))
+    changed = scratch_path(spark, "merge-changes")
+    effective_rows(target, source, keys, newer, part_col, key_range).write.parquet(changed)
+    effective = spark.read.parquet(changed)
+    touched = touched_values(effective, part_col)
+    emptied = 0
+    if touched:
+        affected = target.filter(in_partitions(part_col, touched))
+        merged = merge_upsert(affected, effective.drop("_old", "_hit"), keys)
+        stage = _stage_of(path)
+        write_table(merged, f"{stage}/data", part_col, sort_cols)
+        save_schema(spark, f"{stage}/data", merged.schema)
+        present = {r[0] for r in read_table(spark, f"{stage}/data").select(F.col(part_col).cast("string")).distinct().collect()}
+        names = [None if v is None else str(v) for v in touched]
+        emptied = sum(v not in present for v in names)
+        spark.createDataFrame([(v,) for v in names], "part string").coalesce(1).write.parquet(f"{stage}/touched")
+        finish_merge(spark, path, part_col)
+    delete_path(spark, changed)
+    return {"touched": len(touched), "emptied": emptied}
 
 
 # -- K3 / K5 / U1 --------------------------------------------------------------

@@ -6,7 +6,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from freightlake.plans import domain as dm
 from freightlake.plans import oracle as o
+from freightlake.plans import tables
 from freightlake.plans.catalog import _LI_COLS, _LI_KEYS, _LI_TIES, register
 from freightlake.session import scratch_path
 from freightlake.sources import driver_tables as dt
@@ -25,21 +27,60 @@ def _ntz(df, *cols):
     return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in cols})
 
 
-@register("stream_windows", "T3 T8 T9 A11", f"""
-WITH s AS (SELECT {_STATUS_SQL} AS status_norm, ts, value FROM events),
+# Three arrivals: the events up to _FIRST (without the late ones), up to _SECOND,
+# and the rest together with late ones from the first stretch.  A micro-batch drops
+# rows by the watermark that the batch before it closed windows with, so these
+# meet the watermark of the first arrival.
+_FIRST, _SECOND = "2024-01-11", "2024-01-21"
+_LATE = 50
+
+
+def _arrivals(spark, sf) -> str:
+    """A folder with one file for each arrival, in order."""
+    ev = dt.table(spark, sf, "events")
+    day, late = F.to_date("ts"), (F.col("event_id") % _LATE == 7) & (F.to_date("ts") < F.lit(_FIRST).cast("date"))
+    first, second = (F.lit(x).cast("date") for x in (_FIRST, _SECOND))
+    path = scratch_path(spark, "arrivals")
+    for part in (ev.filter((day < first) & ~late), ev.filter((day >= first) & (day < second)),
+                 ev.filter(late | (day >= second) | day.isNull())):
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@register("stream_windows", "T3 T8 A11", f"""
+WITH s AS (SELECT {_STATUS_SQL} AS status_norm, ts, value, event_id,
+                  event_id % {_LATE} = 7 AND ts < TIMESTAMP '{_FIRST} 00:00:00' AS late FROM events),
+wm1 AS (SELECT max(ts) - INTERVAL {_DELAY} AS wm FROM s WHERE ts < TIMESTAMP '{_FIRST} 00:00:00' AND NOT late),
 wm AS (SELECT max(ts) - INTERVAL {_DELAY} AS wm FROM events)
 SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end,
        status_norm, count(*) AS n_events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum
-FROM s GROUP BY 1, 2, 3
+FROM s WHERE NOT late OR date_trunc('hour', ts) + INTERVAL 1 HOUR > (SELECT wm FROM wm1)
+GROUP BY 1, 2, 3
 HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT wm FROM wm)""")
 def q_stream_windows(spark, sf):
-    stream = st.normalised_event_stream(spark, sf)
+    # one file for each micro-batch: rows of the third arrival that belong to
+    # windows the first one's watermark has closed are dropped
+    stream = st.normalised_event_stream(spark, _arrivals(spark, sf), None, max_files_per_trigger=1)
     agg = st.windowed_counts(stream, "updated_at", _WINDOW, _DELAY, ["status_norm"], "value")
     out, ckpt = scratch_path(spark, "stream-windows"), scratch_path(spark, "ckpt-windows")
     st.to_parquet_sink(agg, out, ckpt)
     return _ntz(spark.read.parquet(out), "window_start", "window_end")
 
 
+@register("stream_restart", "T9 T1", f"""
+SELECT event_id AS evento_id, user_id AS vagao_id, {_STATUS_SQL} AS status_norm, ts AS updated_at FROM events""")
+def q_stream_restart(spark, sf):
+    # two runs on one checkpoint: the second reads only the files that came after the first
+    ev = dt.table(spark, sf, "events")
+    first = F.to_date("ts") < F.lit(_FIRST).cast("date")
+    path, out, ckpt = (scratch_path(spark, n) for n in ("restart-in", "restart-out", "ckpt-restart"))
+    for part in (ev.filter(first), ev.filter(F.coalesce(~first, F.lit(True)))):
+        part.write.mode("append").parquet(path)
+        stream = st.normalised_event_stream(spark, path, None).drop("value", "contrato_id")
+        st.to_parquet_sink(stream, out, ckpt)
+    return _ntz(spark.read.parquet(out), "updated_at")
+
+
 _LANDING_SCHEMA = "evento_id long, vagao_id long, status string, dia date"
 
 
@@ -49,7 +90,10 @@ SELECT CASE WHEN status = 'error' THEN NULL ELSE evento_id END AS evento_id,
        CASE WHEN status = 'error' THEN NULL ELSE status END AS status,
        CASE WHEN status = 'error' THEN NULL ELSE CAST(data_inicio AS DATE) END AS date,
        CASE WHEN status = 'error' THEN '{"evento_id":' || evento_id || ',"vagao_id":' || vagao_id
-            || ',"status":"' || status || '","dia":"' || strftime(CAST(data_inicio AS DATE), '%Y-%m-%d') || '"' END AS _raw
+            || ',"status":"' || status || '","dia":"' || strftime(CAST(data_inicio AS DATE), '%Y-%m-%d') || '"' END AS _raw,
+       CASE WHEN status = 'error' THEN 'malformed_record' END AS error_type,
+       CASE WHEN status = 'error' THEN DATE '2024-01-31' END AS landed_on,
+       coalesce(status = 'error', false) AS has_source
 FROM ev""")
 def q_stream_landing(spark, sf):
     landing = scratch_path(spark, "landing-events-json")
@@ -62,15 +106,19 @@ def q_stream_landing(spark, sf):
        .write.text(landing))
     from freightlake.sources.raw import CORRUPT
     schema = _LANDING_SCHEMA + f", {CORRUPT} string"
-    stream = st.file_stream(spark, landing, schema, fmt="json", corrupt_column=CORRUPT)
+    stream = st.file_stream(spark, landing, schema, fmt="json", corrupt_column=CORRUPT).withColumn(
+        "_source_file", F.col("_metadata.file_path"))
     good_p, err_p = scratch_path(spark, "landed"), scratch_path(spark, "landing-errors")
-    st.run_foreach_batch(stream, st.landing_batch_writer(good_p, err_p, "date", "dia"),
+    st.run_foreach_batch(stream, st.landing_batch_writer(good_p, err_p, "date", "dia", now=dm.NOW),
                          scratch_path(spark, "ckpt-landing"))
-    good = spark.read.parquet(good_p).select("evento_id", "vagao_id", "status", "date",
-                                             F.lit(None).cast("string").alias("_raw"))
+    good = spark.read.parquet(good_p).select(
+        "evento_id", "vagao_id", "status", "date", F.lit(None).cast("string").alias("_raw"),
+        F.lit(None).cast("string").alias("error_type"), F.lit(None).cast("date").alias("landed_on"),
+        F.lit(False).alias("has_source"))
     errors = spark.read.parquet(err_p).select(
         F.lit(None).cast("long").alias("evento_id"), F.lit(None).cast("long").alias("vagao_id"),
-        F.lit(None).cast("string").alias("status"), F.lit(None).cast("date").alias("date"), "_raw")
+        F.lit(None).cast("string").alias("status"), F.lit(None).cast("date").alias("date"), "_raw",
+        "error_type", F.col("date").alias("landed_on"), F.col("_source_file").isNotNull().alias("has_source"))
     return good.unionByName(errors)
 
 
@@ -87,7 +135,7 @@ def q_stream_upsert(spark, sf):
                                     part_col="_partition_month", part_unit="month")
     st.run_foreach_batch(stream, writer,
                          scratch_path(spark, "ckpt-upsert"))
-    return spark.read.parquet(path)
+    return tables.read_table(spark, path)
 
 
 @register("stream_enriched", "T4 J8", o.with_ctes() + f"""
@@ -105,21 +153,20 @@ def q_stream_enriched(spark, sf):
     return _ntz(spark.read.parquet(out), "updated_at")
 
 
-@register("stream_pairs", "T5 J9", o.with_ctes() + """
-SELECT evento_id, data_inicio, data_fim FROM ev
-WHERE data_fim IS NOT NULL AND data_fim >= data_inicio AND data_fim <= data_inicio + INTERVAL 24 HOUR""")
+@register("stream_pairs", "T5 J9", """
+SELECT s.event_id AS partida_id, e.event_id AS chegada_id, s.user_id AS vagao_id, s.ts AS partida, e.ts AS chegada
+FROM events s JOIN events e ON e.user_id = s.user_id AND e.ts >= s.ts AND e.ts <= s.ts + INTERVAL 24 HOUR
+WHERE s.event_type = 'click' AND e.event_type = 'purchase'""")
 def q_stream_pairs(spark, sf):
-    ends_dir = scratch_path(spark, "event-ends")
-    (dt.raw_events(spark, sf).filter(F.col("data_fim").isNotNull())
-       .select("evento_id", F.col("data_fim").cast("timestamp").alias("data_fim"))
-       .write.parquet(ends_dir))
-    starts = st.normalised_event_stream(spark, sf).select(
-        "evento_id", F.col("updated_at").alias("data_inicio"))
-    ends = st.file_stream(spark, ends_dir, "evento_id long, data_fim timestamp")
-    pairs = st.interval_join(starts, ends, "evento_id", "data_inicio", "data_fim", "24 HOURS", "1 hour")
+    # departures (EM_TRANSITO) with the arrivals (CHEGOU) of the same wagon within a day
+    departures = st.normalised_event_stream(spark, sf).filter("status_norm = 'EM_TRANSITO'").select(
+        F.col("evento_id").alias("partida_id"), "vagao_id", F.col("updated_at").alias("partida"))
+    arrivals = st.normalised_event_stream(spark, sf).filter("status_norm = 'CHEGOU'").select(
+        F.col("evento_id").alias("chegada_id"), "vagao_id", F.col("updated_at").alias("chegada"))
+    pairs = st.interval_join(departures, arrivals, "vagao_id", "partida", "chegada", "24 HOURS", "1 hour")
     out = scratch_path(spark, "stream-pairs")
     st.to_parquet_sink(pairs, out, scratch_path(spark, "ckpt-pairs"))
-    return _ntz(spark.read.parquet(out), "data_inicio", "data_fim")
+    return _ntz(spark.read.parquet(out), "partida", "chegada")
 
 
 @register("hot_status", "T7", f"""

@@ -69,7 +69,9 @@ def windowed_counts(stream: DataFrame, ts_col: str, window: str, delay: str,
     """Tumbling event-time windows closed by the watermark.
 
     In append mode a window is emitted once the watermark (max event time seen
-    minus ``delay``) passes its end; rows later than that are dropped.
+    minus ``delay``) passes its end; rows later than that are dropped.  Windows
+    still open when the input ends are not in the output: that is what append
+    mode means, the next rows of the stream close them.
     """
     aggs = [F.count(F.lit(1)).alias("n_events")]
     if value_col:
@@ -94,10 +96,11 @@ def enrich_stream(stream: DataFrame, wagons: DataFrame, contracts: DataFrame) ->
 
 def interval_join(starts: DataFrame, ends: DataFrame, key: str, start_ts: str, end_ts: str,
                   max_gap: str, delay: str) -> DataFrame:
-    """Stream-stream inner join on a key with ``start <= end <= start + gap``.
+    """Stream-stream inner join of start and end events of a key with
+    ``start <= end <= start + gap``.
 
     Both sides carry watermarks, so join state older than the bound is dropped.
-    The key is unique per side (one end record per event): no pair explosion.
+    A key's events within one gap are paired with each other.
     """
     s = starts.withWatermark(start_ts, delay).alias("s")
     e = ends.withColumnRenamed(key, f"_e_{key}").withWatermark(end_ts, delay).alias("e")
@@ -129,24 +132,33 @@ def batch_lag_metrics(batch: DataFrame, ts_col: str, domain: str, now=None) -> D
 
 def landing_batch_writer(good_path: str, error_path: str, date_col: str, ts_col: str | None,
                          metrics_path: str | None = None, domain: str = "landing", now=None):
-    """T1 + T2 ``foreachBatch``: parsed rows to ``good_path`` partitioned by date,
-    malformed rows (with raw text and batch id) to ``error_path``.  Each batch
-    overwrites its own ``batch_id=`` folder, so a replay is idempotent.
+    """T1 + T2 ``foreachBatch``: parsed rows to ``good_path`` by date, malformed
+    rows (raw text, error type, source file, landing date) to ``error_path`` by
+    landing date and error type.  The layout is ``date=.../batch_id=...``: the
+    date leads, and a batch overwrites only the folders of its own id, so a
+    replay is idempotent.
 
-    The date is the event date of ``ts_col``; ``ts_col=None`` uses the arrival
-    date (the micro-batch's processing date) instead.  With ``metrics_path``
-    each batch also writes its lag metrics (see ``batch_lag_metrics``)."""
+    The date of good rows is the event date of ``ts_col``; ``ts_col=None`` uses
+    the arrival date.  ``now`` fixes the landing instant (default: the batch's
+    processing time).  The batch may carry ``_source_file``.  With
+    ``metrics_path`` each batch also writes its lag metrics."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            day = F.current_date() if ts_col is None else F.to_date(F.col(ts_col))
-            good = (batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-                    .withColumn(date_col, day))
+            landed = F.current_date() if now is None else F.to_date(F.lit(str(now)))
+            day = landed if ts_col is None else F.to_date(F.col(ts_col))
+            if "_source_file" not in batch.columns:
+                batch = batch.withColumn("_source_file", F.lit(None).cast("string"))
+            good = batch.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_source_file").withColumns(
+                {date_col: day, "batch_id": F.lit(batch_id)})
             bad = batch.filter(F.col(CORRUPT).isNotNull()).select(
-                F.col(CORRUPT).alias("_raw"), F.lit("malformed_record").alias("_error"))
-            good.write.mode("overwrite").partitionBy(date_col).parquet(f"{good_path}/batch_id={batch_id}")
-            bad.write.mode("overwrite").parquet(f"{error_path}/batch_id={batch_id}")
+                F.col(CORRUPT).alias("_raw"), "_source_file", landed.alias(date_col),
+                F.lit("malformed_record").alias("error_type"), F.lit(batch_id).alias("batch_id"))
+            for rows, path, parts in ((good, good_path, [date_col, "batch_id"]),
+                                      (bad, error_path, [date_col, "error_type", "batch_id"])):
+                (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                 .partitionBy(*parts).parquet(path))
             if metrics_path and ts_col:
                 (batch_lag_metrics(good, ts_col, domain, now).write.mode("overwrite")
                  .parquet(f"{metrics_path}/batch_id={batch_id}"))
@@ -168,8 +180,7 @@ def upsert_batch_writer(spark: SparkSession, table_path: str, keys: list[str], w
         part = (F.to_date(F.col(watermark)) if part_unit == "day"
                 else F.trunc(F.col(watermark), part_unit))
         latest = latest.withColumn(part_col, part)
-        tables.write_merged(spark, latest, table_path, keys, newer=watermark, part_col=part_col,
-                            check_unique=False)
+        tables.write_merged(spark, latest, table_path, keys, newer=watermark, part_col=part_col)
 
     return write
 
@@ -184,8 +195,7 @@ def status_batch_writer(spark: SparkSession, table_path: str, ttl_hours: int = 2
             "expires_at": F.col("updated_at") + F.expr(f"INTERVAL {ttl_hours} HOURS"),
             "_partition_date": F.to_date("updated_at"),
         })
-        tables.write_merged(spark, rows, table_path, ["vagao_id", "updated_at"], newer=None,
-                            check_unique=False)
+        tables.write_merged(spark, rows, table_path, ["vagao_id", "updated_at"], newer=None)
 
     return write
 
@@ -212,8 +222,8 @@ def expire_status(spark: SparkSession, table_path: str, as_of, ttl_hours: int =
     cutoff = (_dt.datetime.fromisoformat(str(as_of)) - _dt.timedelta(hours=ttl_hours)).date()
     removed = []
     for p in tables.glob_paths(spark, f"{table_path.rstrip('/')}/_partition_date=*"):
-        day = _dt.date.fromisoformat(p.rstrip("/").rsplit("=", 1)[1])
-        if day < cutoff:
+        name = p.rstrip("/").rsplit("=", 1)[1]
+        if name != tables.NULL_PARTITION and _dt.date.fromisoformat(name) < cutoff:
             tables.delete_path(spark, p)
             removed.append(p)
     return removed
@@ -223,10 +233,13 @@ def run_foreach_batch(df: DataFrame, fn, checkpoint: str) -> StreamingQuery:
     return run_available_now(df.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint))
 
 
-def normalised_event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The driver's events table as a file stream, in domain columns."""
-    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
-    s = file_stream(spark, sf_dir, schema, file_glob="events.parquet")
+EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def normalised_event_stream(spark: SparkSession, path: str, file_glob: str | None = "events.parquet",
+                            max_files_per_trigger: int | None = None) -> DataFrame:
+    """The driver's events table (or folder of its rows) as a file stream, in domain columns."""
+    s = file_stream(spark, path, EVENT_SCHEMA, file_glob=file_glob, max_files_per_trigger=max_files_per_trigger)
     status = case_map("event_type", STATUS_BY_EVENT_TYPE, keep_other=True)
     return s.select(
         F.col("event_id").alias("evento_id"), F.col("user_id").alias("vagao_id"),

@@ -156,20 +156,104 @@ def test_analyze_catalog_table(spark, tmp_path):
     spark.sql("DROP TABLE fl_analyze_t")
 
 
-def test_key_range_filter_reaches_the_scan(spark, tmp_path):
+def test_key_range_reaches_the_scan(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.range(0, 1000).select(F.col("id").alias("k"), (F.col("id") % 10).alias("_partition_date")).write.partitionBy(
         "_partition_date").parquet(path)
-    target = spark.read.parquet(path)
-    source = spark.createDataFrame([(500, 3), (510, 4)], "k long, _partition_date long")
-    rng = tables.key_range_filter(source, ["k"])
-    tp = tables.touched_partitions(target, source, ["k"], "_partition_date", rng)
-    plan = tp._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(k,500)" in plan and "LessThanOrEqual(k,510)" in plan
-    assert sorted(r[0] for r in tp.collect()) == [0, 3, 4]
-    empty = spark.createDataFrame([(None, 1)], "k long, _partition_date long")
-    assert sorted(r[0] for r in tables.touched_partitions(
-        target, empty, ["k"], "_partition_date", tables.key_range_filter(empty, ["k"])).collect()) == [1]
+    target = spark.read.parquet(path).withColumn("wm", F.lit(1))
+    source = spark.createDataFrame([(500, 3, 2), (510, 4, 1)], "k long, _partition_date long, wm int")
+    most, rng = tables.batch_profile(source, ["k"])
+    eff = tables.effective_rows(target, source, ["k"], "wm", "_partition_date", rng)
+    plan = eff._jdf.queryExecution().executedPlan().toString()
+    assert most == 1 and "GreaterThanOrEqual(k,500)" in plan and "LessThanOrEqual(k,510)" in plan
+    assert [(r["k"], r["_old"]) for r in eff.collect()] == [(500, 0)]  # 510 is a tie: nothing to do
+    assert sorted(tables.touched_values(eff, "_partition_date")) == [0, 3]
+
+
+def _dated(spark, rows_, schema=SCHEMA + ", d string"):
+    df = spark.createDataFrame(rows_, schema)
+    return df.select(*[c for c in df.columns if c != "d"], F.col("d").cast("date").alias("_partition_date"))
+
+
+def _all(spark, path):
+    df = tables.read_table(spark, path)
+    return rows(df.select(*[F.col(c).cast("string") for c in sorted(df.columns)]))
+
+
+def _null_dates(spark):
+    target = _dated(spark, [("a", 1, "t", None), ("b", 1, "t", None), ("c", 1, "t", "2024-01-01"), ("d", 1, "t", "2024-01-01")])
+    source = _dated(spark, [("a", 2, "s", None), ("b", 2, "s", "2024-01-02"), ("c", 2, "s", None), ("e", 1, "s", None)])
+    return target, source
+
+
+def test_null_partitions_new_updated_and_moved(spark, tmp_path):
+    path = str(tmp_path / "t")
+    target, source = _null_dates(spark)
+    tables.write_merged(spark, target, path, "k", newer="wm")
+    want = rows(merge_upsert(target, source, "k", newer="wm").select(
+        F.col("_partition_date").cast("string"), "k", "v", F.col("wm").cast("string")))
+    assert tables.write_merged(spark, source, path, "k", newer="wm") == {"touched": 3, "emptied": 0}
+    assert _all(spark, path) == want
+    assert tables.write_merged(spark, source, path, "k", newer="wm")["touched"] == 0  # a replay rewrites nothing
+    assert _all(spark, path) == want
+    moved = _dated(spark, [(k, 9, "m", "2024-01-05") for k in "ace"])
+    assert tables.write_merged(spark, moved, path, "k", newer="wm")["emptied"] == 1
+    assert not os.path.exists(os.path.join(path, f"_partition_date={tables.NULL_PARTITION}"))
+    assert len(_all(spark, path)) == 5
+
+
+@pytest.mark.parametrize("stop_at", ["before_overwrite", "inside_overwrite", "before_delete"])
+def test_stopped_merge_is_finished_by_the_next(spark, tmp_path, monkeypatch, stop_at):
+    path = str(tmp_path / "t")
+    target = _dated(spark, [("a", 1, "t", "2024-01-01"), ("b", 1, "t", "2024-01-02"), ("c", 1, "t", "2024-01-02")])
+    source = _dated(spark, [("a", 2, "s", "2024-01-02"), ("b", 2, "s", "2024-01-03")])
+    tables.write_merged(spark, target, path, "k", newer="wm")
+    want = rows(merge_upsert(target, source, "k", newer="wm").select(
+        F.col("_partition_date").cast("string"), "k", "v", F.col("wm").cast("string")))
+    write, delete = tables.write_table, tables.delete_path
+
+    def stopping_write(df, to, *args, **kw):
+        if kw.get("dynamic"):
+            if stop_at == "inside_overwrite":  # one partition is already gone, none is back
+                delete(spark, tables.partition_dir(path, "_partition_date", "2024-01-02"))
+            if stop_at != "before_delete":
+                raise RuntimeError("stopped")
+        return write(df, to, *args, **kw)
+
+    def stopping_delete(s, at):
+        if stop_at == "before_delete" and at.endswith("2024-01-01"):
+            raise RuntimeError("stopped")
+        return delete(s, at)
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "write_table", stopping_write)
+        m.setattr(tables, "delete_path", stopping_delete)
+        with pytest.raises(RuntimeError):
+            tables.write_merged(spark, source, path, "k", newer="wm")
+    tables.write_merged(spark, source, path, "k", newer="wm")
+    assert _all(spark, path) == want
+    assert not tables.path_exists(spark, f"{path}/_merge_stage")
+
+
+def test_new_column_stays_when_the_next_batch_lacks_it(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_merged(spark, _dated(spark, [("a", 1, "t", "2024-01-01"), ("z", 1, "t", "2024-01-09")]), path, "k", newer="wm")
+    wide = _dated(spark, [("b", 1, "s", "2024-01-01", 7)], SCHEMA + ", d string, extra int")
+    tables.write_merged(spark, wide, path, "k", newer="wm")
+    tables.write_merged(spark, _dated(spark, [("c", 1, "s", "2024-01-01")]), path, "k", newer="wm")
+    got = {r["k"]: r["extra"] for r in tables.read_table(spark, path).collect()}
+    assert got == {"a": None, "b": 7, "c": None, "z": None}
+
+
+def test_lookup_bound_sends_older_rows_to_their_own_path(spark, tmp_path):
+    path, late = str(tmp_path / "t"), str(tmp_path / "late")
+    tables.write_merged(spark, _dated(spark, [("a", 1, "t", "2024-01-01"), ("b", 1, "t", "2024-01-05")]), path, "k", newer="wm")
+    batch = _dated(spark, [("b", 2, "s", "2024-01-05"), ("o", 1, "s", "2024-01-02"), ("n", 1, "s", None)])
+    import datetime
+    stats = tables.write_merged(spark, batch, path, "k", newer="wm", since=datetime.date(2024, 1, 4), late_path=late)
+    assert stats["touched"] == 2
+    assert sorted(r["k"] for r in tables.read_table(spark, path).collect()) == ["a", "b", "n"]
+    assert [r["k"] for r in spark.read.parquet(late).collect()] == ["o"]
 
 
 def test_clean_scratch_removes_only_old_scratch_folders(spark):
