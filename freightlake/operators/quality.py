@@ -131,10 +131,14 @@ def gate(failures: DataFrame, fail_on_error: bool = True) -> list[dict]:
     Collects the failure rows: at most eight per checked input.
     """
     rows = [r.asDict() for r in failures.collect()]
+    raise_on_blocking(rows, fail_on_error)
+    return rows
+
+
+def raise_on_blocking(rows: list[dict], fail_on_error: bool = True) -> None:
     blocking = [r for r in rows if r["severity"] in BLOCKING]
     if blocking and fail_on_error:
         raise QualityGateError(blocking)
-    return rows
 
 
 def alert_payload(failures: DataFrame, table: str, processing_date, ts,

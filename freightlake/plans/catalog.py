@@ -753,6 +753,39 @@ def q_fact_publish(spark, sf):
     return spark.read.parquet(path)
 
 
+# One run over all events as one JSON drop, with an explicit schema; twice, so
+# that the second run must leave the tables as they are.
+def _day_run(spark, sf, times: int = 2):
+    from freightlake.plans.daily_run import Layout, run_day
+    from freightlake.schemas import events_schema
+    drop, layout = scratch_path(spark, "drop-json"), Layout(scratch_path(spark, "lake"))
+    dt.raw_events(spark, sf).write.json(drop)
+    for i in range(times):
+        run_day(spark, drop, dt.raw_wagons(spark, sf), dt.raw_contracts(spark, sf), layout, dm.AS_OF, dm.NOW, f"run-{i}",
+                fmt="json", schema=events_schema(T.LongType()), fail_on_error=False)
+    return layout
+
+
+@register("day_run_fact", "K1 K2 M1 M2 Q8 S10", o.with_ctes(*o.CHAIN_FACT) + f"""
+SELECT {o.FACT_OUT} FROM fact""")
+def q_day_run_fact(spark, sf):
+    layout = _day_run(spark, sf)
+    fact = tables.read_table(spark, layout.fact)
+    return dm.decimals_as_double(dm.no_run_clock(fact))
+
+
+_RUN_COUNTS = (_GATE_COUNTS.replace("SELECT _partition_date,", "SELECT CAST(NULL AS DATE) AS _partition_date,")
+               .replace("FROM gate GROUP BY 1)", "FROM silver)"))
+
+
+@register("day_run_alerts", "Q8 Q9 A7", o.with_ctes(*o.CHAIN_SILVER, _RUN_COUNTS, "failures AS (\n" + _gate_failure_rows_sql() + "\n)") + """
+SELECT 'run-0' AS run_id, rule, severity, message, threshold, actual FROM failures""")
+def q_day_run_alerts(spark, sf):
+    alerts = spark.read.parquet(_day_run(spark, sf, 1).alerts)
+    rows = F.from_json("payload", "failures array<struct<rule string, severity string, message string, threshold string, actual string>>")
+    return alerts.select("run_id", F.explode(rows["failures"]).alias("f")).select("run_id", "f.*")
+
+
 @register("fact_sorted_files", "O2 K1", o.with_ctes(*o.CHAIN_FACT) + """
 SELECT data_particao, count(*) AS n_rows, CAST(0 AS BIGINT) AS out_of_order FROM fact GROUP BY 1""")
 def q_fact_sorted_files(spark, sf):

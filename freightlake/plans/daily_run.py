@@ -1,9 +1,11 @@
 """One processing day end to end: raw drop -> bronze -> silver -> gate -> gold.
 
 Each layer is a partitioned Parquet table under ``Layout.root``; every write
-touches only the partitions of the run (K2), the gate runs on the rows of the
-run before anything reaches gold (Q8), and the mart is rebuilt from the fact
-table (K7).  Clock, date and run id are parameters.
+touches only the partitions of the run (K2), the gate runs on the stored rows of
+the run before anything reaches gold (Q8), alert rows are written before it
+raises (Q9), and the mart is rebuilt from the fact table (K7).  The drop is read
+once and the joins run once: bronze and silver rows of the run are written and
+read back by everything after them.  Clock, date and run id are parameters.
 """
 
 from __future__ import annotations
@@ -24,8 +26,10 @@ from freightlake.operators.schema_ops import (
     require_columns,
     schema_drift,
 )
+from freightlake.operators.upsert import assert_unique_source
 from freightlake.plans import tables
-from freightlake.sources.raw import read_raw
+from freightlake.session import scratch_path
+from freightlake.sources.raw import CORRUPT, format_for_path, read_raw
 
 PK, WATERMARK = "evento_id", "updated_at"
 
@@ -49,25 +53,73 @@ class Layout:
     def control(self): return self.path("control/pipeline_control")  # noqa: E704
     @property
     def metrics(self): return self.path("control/metrics")  # noqa: E704
+    @property
+    def alerts(self): return self.path("control/alerts")  # noqa: E704
+    @property
+    def quarantine(self): return self.path("quarantine/eventos_ferroviarios")  # noqa: E704
+
+
+def ingest(spark: SparkSession, raw_path: str, path: str, domain: str, pk: str, watermark: str, run_id: str, now: str,
+           fmt: str | None = None, schema: T.StructType | None = None, require_success: bool = False,
+           quarantine_path: str | None = None) -> dict:
+    """Raw -> bronze for any domain (events, wagons, contracts).
+
+    Reads the drop once (with ``schema`` no types are inferred, and malformed
+    JSON lines go to ``quarantine_path``; ``require_success`` reads complete
+    ``date=`` folders only), keeps the latest row of each key (ties by all other
+    columns, so every evaluation keeps the same row), adds the audit columns and
+    writes the result once.  The merge (M1) and the caller read that copy.
+
+    Returns its DataFrame (``rows``), path and counters.
+    """
+    if schema is not None and quarantine_path is not None and (fmt or format_for_path(raw_path)) == "json":
+        full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+        parsed = read_raw(spark, raw_path, "json", full, require_success=require_success, corrupt_column=CORRUPT)
+        kept_parse = scratch_path(spark, f"{domain}-parsed")
+        parsed.withColumn("_source_file", F.input_file_name()).write.parquet(kept_parse)
+        parsed = spark.read.parquet(kept_parse)
+        (parsed.filter(F.col(CORRUPT).isNotNull())
+         .select(F.col(CORRUPT).alias("_raw"), F.lit("malformed_record").alias("_error"), "_source_file",
+                 F.lit(run_id).alias("_job_run_id"), F.to_date(F.lit(str(now))).alias("_partition_date"))
+         .write.mode("append").parquet(quarantine_path))
+        raw = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_source_file")
+    else:
+        raw = read_raw(spark, raw_path, fmt, schema, require_success=require_success)
+    raw = require_columns(raw, [pk, watermark])
+    ties = [f.name for f in raw.schema.fields if f.name not in (pk, watermark) and not isinstance(f.dataType, T.MapType)]
+    raw, raw_obs = metrics.observed(raw, "raw")
+    rows, kept_obs = metrics.observed(
+        add_audit(latest_per_key(raw, pk, watermark, ties), domain, watermark, run_id, now), "bronze")
+    staged = scratch_path(spark, f"{domain}-bronze")
+    rows.write.parquet(staged)
+    n_raw, n_kept = raw_obs.get["rows"], kept_obs.get["rows"]
+    stored = spark.read.schema(rows.schema).parquet(staged)
+    tables.write_merged(spark, stored, path, pk, newer=watermark, snapshot=False)
+    return {"rows": stored, "path": staged, "schema": raw.schema,
+            "counters": {"RawRecordsRead": n_raw, "DuplicatesRemoved": n_raw - n_kept, "BronzeRecordsWritten": n_kept}}
 
 
 def run_day(spark: SparkSession, raw_path: str, wagons: DataFrame, contracts: DataFrame,
             layout: Layout, processing_date: str | _dt.date, now: str, run_id: str,
             fmt: str | None = None, min_rows: int | None = quality.MIN_ROWS,
             fail_on_error: bool = True, lookback_days: int = 3,
-            mart_lookback_days: int = 90, contract: T.StructType | None = None) -> dict:
+            mart_lookback_days: int = 90, contract: T.StructType | None = None,
+            schema: T.StructType | None = None, require_success: bool = False) -> dict:
     """Process one raw drop; returns the run's gate failures and schema drift.
 
     ``min_rows=None`` takes the volume threshold from the history in the
-    metrics table (0.7 x the average of earlier runs).  ``contract`` (a
-    schema) adds a drift report; a drift never stops the run, a missing key or
-    watermark column does (and is counted as SchemaValidationFailure).
-    JobSuccess / JobFailure rows are appended to the metrics table.
+    metrics table (0.7 x the average of earlier runs).  ``schema`` is read with
+    explicitly; ``contract`` (a schema) adds a drift report; a drift never stops
+    the run, a missing key or watermark column does (and is counted as
+    SchemaValidationFailure).  Repeated wagon or contract keys stop it, too.
+    Alert rows are written before a failed gate raises.  JobSuccess / JobFailure
+    rows are appended to the metrics table.
     """
     domain = "eventos_ferroviarios"
     try:
         out = _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, run_id,
-                       fmt, min_rows, fail_on_error, lookback_days, mart_lookback_days, contract)
+                       fmt, min_rows, fail_on_error, lookback_days, mart_lookback_days, contract,
+                       schema, require_success)
     except Exception as e:
         counters = {"JobFailure": 1}
         if isinstance(e, SchemaValidationError):
@@ -79,31 +131,38 @@ def run_day(spark: SparkSession, raw_path: str, wagons: DataFrame, contracts: Da
 
 
 def _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, run_id, fmt,
-             min_rows, fail_on_error, lookback_days, mart_lookback_days, contract) -> dict:
+             min_rows, fail_on_error, lookback_days, mart_lookback_days, contract, schema, require_success) -> dict:
     domain = "eventos_ferroviarios"
-    raw = read_raw(spark, raw_path, fmt)
-    drift = [] if contract is None else [r.asDict() for r in schema_drift(spark, raw, contract).collect()]
-    raw = require_columns(raw, [PK, WATERMARK])
+    assert_unique_source(wagons, ["vagao_id"])
+    assert_unique_source(contracts, ["contrato_id"])
     if min_rows is None:
         min_rows = (quality.min_rows_from_history(spark.read.parquet(layout.metrics), domain)
                     if tables.path_exists(spark, layout.metrics) else quality.MIN_ROWS)
-    # bronze: latest row per key of the drop, audit columns, keyed merge (M1);
-    # rows read and kept are counted by observations during the write
-    raw, raw_obs = metrics.observed(raw, "raw")
-    bronze_rows, bronze_obs = metrics.observed(
-        add_audit(latest_per_key(raw, PK, WATERMARK), domain, WATERMARK, run_id, now), "bronze")
-    tables.write_merged(spark, bronze_rows, layout.bronze, PK, newer=WATERMARK)
-    n_raw, n_kept = raw_obs.get["rows"], bronze_obs.get["rows"]
-    # silver: the run's rows, enriched; merge where a re-run always wins (M2)
-    silver_rows = transform_silver(bronze_rows, wagons, contracts, now)
-    tables.write_merged(spark, silver_rows, layout.silver, PK, newer="_silver_processed_at")
-    # gate on the rows of this run (one aggregate), before gold
+    bronze = ingest(spark, raw_path, layout.bronze, domain, PK, WATERMARK, run_id, now, fmt, schema,
+                    require_success, layout.quarantine)
+    drift = []
+    if contract is not None:
+        empty = spark.createDataFrame([], bronze["schema"])
+        drift = [r.asDict() for r in schema_drift(spark, empty, contract).collect()]
+    # silver: the run's rows, enriched and written once; a re-run always wins (its
+    # rows replace what an earlier run left, whatever its instant was)
+    silver_path = scratch_path(spark, "silver-run")
+    transform_silver(bronze["rows"], wagons, contracts, now).write.parquet(silver_path)
+    silver_rows = spark.read.parquet(silver_path)
+    tables.write_merged(spark, silver_rows, layout.silver, PK, snapshot=False)
+    # gate on the stored rows of this run (one aggregate), before gold; alerts first
     failures = quality.gate_failures(quality.gate_counts(silver_rows), min_rows=min_rows)
-    found = quality.gate(failures, fail_on_error=fail_on_error)
+    found = quality.gate(failures, fail_on_error=False)
+    if found:
+        stored = spark.createDataFrame([(f["rule"], f["severity"], f["message"], f["threshold"], f["actual"]) for f in found],
+                                       "rule string, severity string, message string, threshold string, actual string")
+        (quality.alert_payload(stored, "silver.fato_eventos_ferroviarios", processing_date, now)
+         .select(F.lit(run_id).alias("run_id"), F.to_date(F.lit(str(processing_date))).alias("processing_date"), "payload")
+         .write.mode("append").parquet(layout.alerts))
+    quality.raise_on_blocking(found, fail_on_error)
     # gold: rebuild the lookback window of the fact and merge it (K9/M3)
     # (the first run, with no fact table yet, is a full build)
-    silver = spark.read.parquet(layout.silver)
-    stg = gold.stg_events(silver)
+    stg = gold.stg_events(tables.read_table(spark, layout.silver))
     if tables.path_exists(spark, layout.fact):
         stg = stg.filter(F.col("data_particao")
                          >= F.date_sub(F.lit(str(processing_date)).cast("date"), lookback_days))
@@ -113,12 +172,14 @@ def _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, r
     tables.write_merged(spark, fact_rows, layout.fact, PK, newer=None, part_col="data_particao",
                         sort_cols=gold.FACT_SORT)
     # mart: full refresh from the fact table (K7), ranked
-    daily = gold.sla_daily(spark.read.parquet(layout.fact), as_of=processing_date,
+    daily = gold.sla_daily(tables.read_table(spark, layout.fact), as_of=processing_date,
                            lookback_days=mart_lookback_days)
     tables.write_table(gold.sla_mart(daily), layout.mart, part_col="data_particao")
     # control row (K4) and run metrics (A10)
     days = spark.createDataFrame([(str(processing_date),)], "processing_date string")
     tables.append_load_control(tables.load_control_rows(days, domain, now), layout.control)
-    counters = {"RawRecordsRead": n_raw, "DuplicatesRemoved": n_raw - n_kept, "BronzeRecordsWritten": n_kept}
+    counters = bronze["counters"]
     metrics.metric_rows(spark, counters, domain, now).write.mode("append").parquet(layout.metrics)
+    for path in (bronze["path"], silver_path):
+        tables.delete_path(spark, path)
     return {"failures": found, "schema_drift": drift, "min_rows": min_rows, "counters": counters}

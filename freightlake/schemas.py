@@ -10,32 +10,43 @@ CRITICAL_STOP_STATUSES = ["PARADO", "MANUTENCAO"]
 SURROGATE_NULL = "_dbt_utils_surrogate_key_null_"
 CRITICAL_COLUMNS = ["evento_id", "vagao_id", "status_norm", "data_inicio"]
 
-EVENTS = T.StructType([
-    T.StructField("evento_id", T.LongType()),
-    T.StructField("vagao_id", T.LongType()),
-    T.StructField("contrato_id", T.LongType()),
-    T.StructField("status", T.StringType()),
-    T.StructField("data_inicio", T.TimestampNTZType()),
-    T.StructField("data_fim", T.TimestampNTZType()),
-    T.StructField("updated_at", T.TimestampNTZType()),
-])
 
-WAGONS = T.StructType([
-    T.StructField("vagao_id", T.LongType()),
-    T.StructField("tipo_vagao", T.StringType()),
-    T.StructField("capacidade_ton", T.IntegerType()),
-    T.StructField("ano_fabricacao", T.IntegerType()),
-    T.StructField("fabricante", T.StringType()),
-    T.StructField("ultima_revisao", T.StringType()),
-    T.StructField("ativo", T.BooleanType()),
-])
+def events_schema(ids: T.DataType = T.StringType()) -> T.StructType:
+    """The events contract.  Ids are text (like ``evt_001``); sources with
+    numeric ids pass their type."""
+    return T.StructType([
+        T.StructField("evento_id", ids),
+        T.StructField("vagao_id", ids),
+        T.StructField("contrato_id", ids),
+        T.StructField("status", T.StringType()),
+        T.StructField("data_inicio", T.TimestampNTZType()),
+        T.StructField("data_fim", T.TimestampNTZType()),
+        T.StructField("updated_at", T.TimestampNTZType()),
+    ])
 
-CONTRACTS = T.StructType([
-    T.StructField("contrato_id", T.LongType()),
-    T.StructField("cliente_nome", T.StringType()),
-    T.StructField("segmento", T.StringType()),
-    T.StructField("sla_horas", T.IntegerType()),
-])
+
+def wagons_schema(ids: T.DataType = T.StringType()) -> T.StructType:
+    return T.StructType([
+        T.StructField("vagao_id", ids),
+        T.StructField("tipo_vagao", T.StringType()),
+        T.StructField("capacidade_ton", T.IntegerType()),
+        T.StructField("ano_fabricacao", T.IntegerType()),
+        T.StructField("fabricante", T.StringType()),
+        T.StructField("ultima_revisao", T.StringType()),
+        T.StructField("ativo", T.BooleanType()),
+    ])
+
+
+def contracts_schema(ids: T.DataType = T.StringType()) -> T.StructType:
+    return T.StructType([
+        T.StructField("contrato_id", ids),
+        T.StructField("cliente_nome", T.StringType()),
+        T.StructField("segmento", T.StringType()),
+        T.StructField("sla_horas", T.IntegerType()),
+    ])
+
+
+EVENTS, WAGONS, CONTRACTS = events_schema(), wagons_schema(), contracts_schema()
 
 AUDIT = T.StructType([
     T.StructField("_ingested_at", T.TimestampType()),

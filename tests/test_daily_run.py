@@ -3,7 +3,9 @@
 from pyspark.sql import functions as F
 
 from freightlake.operators import gold
+from freightlake.operators.enrich import transform_silver
 from freightlake.plans import domain as dm
+from freightlake.plans import tables
 from freightlake.plans.daily_run import Layout, run_day
 from freightlake.sources import driver_tables as dt
 from freightlake.sources.raw import read_layer
@@ -14,7 +16,7 @@ RUN_CLOCK = ["ingerido_em", "processado_em", "dbt_updated_at"]
 
 def test_daily_runs_equal_full_build(spark, tmp_path):
     layout = Layout(str(tmp_path / "lake"))
-    events = dt.raw_events(spark, SF)
+    events = dt.plain_events(spark, SF)
     wagons, contracts = dt.raw_wagons(spark, SF), dt.raw_contracts(spark, SF)
     days = ["2024-01-27", "2024-01-28", "2024-01-29", "2024-01-30"]
     # history before the first day arrives as one drop, then one drop per day
@@ -26,9 +28,9 @@ def test_daily_runs_equal_full_build(spark, tmp_path):
         drop.write.parquet(raw)
         out = run_day(spark, raw, wagons, contracts, layout, day, f"{day} 06:00:00", f"run-{i}", min_rows=10)
         assert all(f["severity"] == "WARNING" for f in out["failures"])
-    fact = spark.read.parquet(layout.fact)
-    full = gold.build_fact(dm.staged_events(spark, SF), dm.wagon_dim(spark, SF),
-                           dm.contract_dim(spark, SF), dm.NOW)
+    fact = tables.read_table(spark, layout.fact)
+    silver = transform_silver(events, wagons, contracts, dm.NOW)
+    full = gold.build_fact(gold.stg_events(silver), dm.wagon_dim(spark, SF), dm.contract_dim(spark, SF), dm.NOW)
     cols = sorted(c for c in full.columns if c not in RUN_CLOCK)
     key = lambda r: tuple(str(x) for x in r)
     got = sorted((tuple(r) for r in fact.select(cols).collect()), key=key)
@@ -47,10 +49,11 @@ def test_daily_runs_equal_full_build(spark, tmp_path):
 def test_day_run_failures_are_counted_and_history_threshold(spark, tmp_path):
     import pytest
     from freightlake.operators.schema_ops import SchemaValidationError
-    from freightlake.schemas import EVENTS
+    from freightlake.schemas import events_schema
+    from pyspark.sql import types as T
     layout = Layout(str(tmp_path / "lake"))
     wagons, contracts = dt.raw_wagons(spark, SF), dt.raw_contracts(spark, SF)
-    events = dt.raw_events(spark, SF)
+    events = dt.plain_events(spark, SF)
     bad = str(tmp_path / "raw_bad")
     events.drop("updated_at").limit(5).write.parquet(bad)
     with pytest.raises(SchemaValidationError):
@@ -58,7 +61,7 @@ def test_day_run_failures_are_counted_and_history_threshold(spark, tmp_path):
     good = str(tmp_path / "raw_good")
     events.filter(F.to_date("updated_at") <= "2024-01-02").write.parquet(good)
     out = run_day(spark, good, wagons, contracts, layout, "2024-01-02", "2024-01-02 06:00:00", "r1",
-                  min_rows=None, contract=EVENTS)
+                  min_rows=None, contract=events_schema(T.LongType()))
     assert out["min_rows"] == 500_000  # no history yet
     assert {(d["column"], d["change"]) for d in out["schema_drift"]} == set()
     m = {r["metric"]: r["value"] for r in spark.read.parquet(layout.metrics).collect()}
@@ -72,11 +75,70 @@ def test_day_run_failures_are_counted_and_history_threshold(spark, tmp_path):
 
 def test_day_run_counts_duplicates_by_observation(spark, tmp_path):
     layout = Layout(str(tmp_path / "lake"))
-    events = dt.raw_events(spark, SF).filter(F.to_date("updated_at") == "2024-01-05")
+    events = dt.plain_events(spark, SF).filter(F.to_date("updated_at") == "2024-01-05")
     raw = str(tmp_path / "raw")
     events.unionByName(events.limit(3)).write.parquet(raw)  # three exact repeats
     n = events.count()
     out = run_day(spark, raw, dt.raw_wagons(spark, SF), dt.raw_contracts(spark, SF), layout,
                   "2024-01-05", "2024-01-05 06:00:00", "r1", min_rows=10)
     assert out["counters"] == {"RawRecordsRead": n + 3, "DuplicatesRemoved": 3, "BronzeRecordsWritten": n}
-    assert spark.read.parquet(layout.bronze).count() == n
+    assert tables.read_table(spark, layout.bronze).count() == n
+
+
+def test_rerun_wins_and_repeats_never_grow_the_tables(spark, tmp_path):
+    layout = Layout(str(tmp_path / "lake"))
+    raw = str(tmp_path / "raw")
+    dt.plain_events(spark, SF).filter(F.to_date("updated_at") == "2024-01-05").write.parquet(raw)
+    wagons, contracts = dt.raw_wagons(spark, SF), dt.raw_contracts(spark, SF)
+    args = (contracts, layout, "2024-01-05", "2024-01-05 06:00:00")
+    run_day(spark, raw, wagons, *args, "r1", min_rows=1)
+    n = tables.read_table(spark, layout.silver).count()
+    fixed = wagons.withColumn("tipo_vagao", F.lit("corrected"))
+    run_day(spark, raw, fixed, *args, "r2", min_rows=1)  # same run instant, corrected dimension
+    silver = tables.read_table(spark, layout.silver)
+    assert silver.count() == n
+    assert {r[0] for r in silver.filter("tipo_vagao is not null").select("tipo_vagao").distinct().collect()} == {"corrected"}
+    from freightlake.operators.upsert import AmbiguousMergeError
+    import pytest
+    with pytest.raises(AmbiguousMergeError):  # a repeated dimension key would fan out
+        run_day(spark, raw, wagons.union(wagons), *args, "r3", min_rows=1)
+    assert tables.read_table(spark, layout.silver).count() == n
+
+
+def test_alerts_are_written_before_the_gate_raises(spark, tmp_path):
+    import pytest
+    from freightlake.operators.quality import QualityGateError
+    layout = Layout(str(tmp_path / "lake"))
+    raw = str(tmp_path / "raw")
+    events = dt.plain_events(spark, SF).filter(F.to_date("updated_at") == "2024-01-05")
+    events.withColumn("vagao_id", F.lit(None).cast("long")).write.parquet(raw)
+    with pytest.raises(QualityGateError):
+        run_day(spark, raw, dt.raw_wagons(spark, SF), dt.raw_contracts(spark, SF), layout, "2024-01-05",
+                "2024-01-05 06:00:00", "r1", min_rows=1)
+    (alert,) = spark.read.parquet(layout.alerts).collect()
+    assert alert["run_id"] == "r1" and "Completeness_vagao_id" in alert["payload"]
+    assert not tables.path_exists(spark, layout.fact)
+
+
+def test_drop_is_read_once_with_schema_quarantine_and_markers(spark, tmp_path, monkeypatch):
+    from pyspark.sql import types as T
+    from freightlake.plans import daily_run
+    from freightlake.schemas import events_schema
+    layout, root = Layout(str(tmp_path / "lake")), str(tmp_path / "raw")
+    day = dt.plain_events(spark, SF).filter(F.to_date("updated_at") == "2024-01-05")
+    for d, keep in (("2024-01-05", True), ("2024-01-06", False)):  # the second folder is not complete
+        day.write.json(f"{root}/date={d}")
+        spark.createDataFrame([("{\"evento_id\": 1, broken",)], "value string").write.mode("append").text(f"{root}/date={d}")
+        if not keep:
+            tables.delete_path(spark, f"{root}/date={d}/_SUCCESS")
+    scans = []
+    real = daily_run.read_raw
+    monkeypatch.setattr(daily_run, "read_raw", lambda *a, **k: scans.append(1) or real(*a, **k))
+    merged = []
+    merge = tables.write_merged
+    monkeypatch.setattr(tables, "write_merged", lambda s, df, *a, **k: merged.append(df.inputFiles()) or merge(s, df, *a, **k))
+    out = run_day(spark, root, dt.raw_wagons(spark, SF), dt.raw_contracts(spark, SF), layout, "2024-01-05",
+                  "2024-01-05 06:00:00", "r1", fmt="json", min_rows=1, schema=events_schema(T.LongType()), require_success=True)
+    assert out["counters"]["RawRecordsRead"] == day.count()
+    assert spark.read.parquet(layout.quarantine).count() == 1
+    assert len(scans) == 1 and not any("/raw/" in f for files in merged for f in files)

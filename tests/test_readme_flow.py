@@ -16,7 +16,7 @@ SF = "/root/testdata/sf0.001"
 def test_readme_job_sequence(spark, tmp_path):
     lake = str(tmp_path / "lake")
     raw_dir = str(tmp_path / "raw_eventos_2024-01-15")
-    dt.raw_events(spark, SF).filter(F.to_date("updated_at") == "2024-01-15").write.parquet(raw_dir)
+    dt.plain_events(spark, SF).filter(F.to_date("updated_at") == "2024-01-15").write.parquet(raw_dir)
     dt.raw_wagons(spark, SF).write.parquet(f"{lake}/bronze/vagoes")
     dt.raw_contracts(spark, SF).write.parquet(f"{lake}/bronze/contratos")
 
@@ -33,14 +33,14 @@ def test_readme_job_sequence(spark, tmp_path):
     found = quality.gate(quality.gate_failures(quality.gate_counts(silver), min_rows=10), fail_on_error=True)
     assert {f["severity"] for f in found} <= {"WARNING"}
 
-    stg = gold.stg_events(spark.read.parquet(f"{lake}/silver/eventos"))
+    stg = gold.stg_events(tables.read_table(spark, f"{lake}/silver/eventos"))
     fact_rows = gold.build_fact(stg.filter("data_particao >= date'2024-01-12'"),
                                 dims.wagon_dim(gold.stg_wagons(wagons)), dims.contract_dim(contracts),
                                 now="2024-01-16 04:00:00")
     tables.write_merged(spark, fact_rows, f"{lake}/gold/fct", "evento_id", part_col="data_particao")
-    mart = gold.sla_mart(gold.sla_daily(spark.read.parquet(f"{lake}/gold/fct"), as_of="2024-01-16"))
+    mart = gold.sla_mart(gold.sla_daily(tables.read_table(spark, f"{lake}/gold/fct"), as_of="2024-01-16"))
     tables.write_table(mart, f"{lake}/gold/mart_sla_violations", part_col="data_particao")
 
     n = spark.read.parquet(raw_dir).count()
-    assert spark.read.parquet(f"{lake}/gold/fct").count() == n
+    assert tables.read_table(spark, f"{lake}/gold/fct").count() == n
     assert spark.read.parquet(f"{lake}/gold/mart_sla_violations").agg(F.sum("total_eventos")).collect()[0][0] == n
