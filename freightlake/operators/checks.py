@@ -5,9 +5,8 @@ follows the usual data-test meaning: the number of rows the failing-rows query
 returns (NULLs pass every test except not_null; ``unique`` returns one row per
 repeated value; ``accepted_values`` one row per distinct unexpected value).
 
-All row-level tests of one model are counted in a single aggregate; ``unique``
-and ``relationships`` need their own grouping/anti-join and are added to the
-same result with ``unionByName`` (one lazy plan).
+The tests of one model are counted in one pass; ``relationships`` needs its own
+anti join and is added to the same result with ``unionByName`` (one lazy plan).
 """
 
 from __future__ import annotations
@@ -32,48 +31,31 @@ class ColumnTest:
     to_field: str | None = None
 
 
-def _row_level(model: str, df: DataFrame, tests: list[ColumnTest]) -> DataFrame | None:
-    aggs, names = [], []
-    for i, t in enumerate(tests):
-        c = F.col(t.column)
-        if t.kind == "not_null":
-            aggs.append(F.count_if(c.isNull()).alias(f"t{i}"))
-        elif t.kind == "between":
-            ok = F.lit(True)
-            if t.min_value is not None:
-                ok = ok & (c >= F.lit(t.min_value))
-            if t.max_value is not None:
-                ok = ok & (c <= F.lit(t.max_value))
-            bad = ~ok
-            if t.row_condition:
-                bad = F.expr(t.row_condition) & bad
-            aggs.append(F.count_if(bad).alias(f"t{i}"))
-        elif t.kind == "accepted_values":
-            aggs.append(F.count_distinct(F.when(c.isNotNull() & ~c.isin(t.values), c)).alias(f"t{i}"))
-        else:
-            continue
-        names.append((i, t))
-    if not aggs:
-        return None
-    row = df.agg(*aggs)
-    stack = F.explode(F.array(*[
-        F.struct(F.lit(model).alias("model"), F.lit(t.column).alias("column_name"),
-                 F.lit(t.kind).alias("test_name"), F.col(f"t{i}").cast("long").alias("failures"))
-        for i, t in names]))
-    return row.select(stack.alias("r")).select("r.*")
+def _bad(t: ColumnTest):
+    """Rows that fail a row-level test."""
+    c = F.col(t.column)
+    if t.kind == "not_null":
+        return c.isNull()
+    if t.kind == "accepted_values":
+        return c.isNotNull() & ~c.isin(t.values)
+    ok = F.lit(True)
+    if t.min_value is not None:
+        ok = ok & (c >= F.lit(t.min_value))
+    if t.max_value is not None:
+        ok = ok & (c <= F.lit(t.max_value))
+    return F.expr(t.row_condition) & ~ok if t.row_condition else ~ok
 
 
-def _unique(model: str, df: DataFrame, t: ColumnTest) -> DataFrame:
-    dup = (df.filter(F.col(t.column).isNotNull()).groupBy(t.column)
-             .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1))
-    return dup.agg(F.count(F.lit(1)).alias("failures")).select(
-        F.lit(model).alias("model"), F.lit(t.column).alias("column_name"),
-        F.lit("unique").alias("test_name"), F.col("failures").cast("long"))
+def _unpivot(model: str, row: DataFrame, names: list[tuple[str, ColumnTest]]) -> DataFrame:
+    stack = F.explode(F.array(*[
+        F.struct(F.lit(model).alias("model"), F.lit(t.column).alias("column_name"), F.lit(t.kind).alias("test_name"),
+                 F.coalesce(F.col(name), F.lit(0)).cast("long").alias("failures")) for name, t in names]))
+    return row.select(stack.alias("r")).select("r.*")
 
 
 def orphans(child: DataFrame, column: str, parent: DataFrame, parent_field: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent row (left anti join)."""
-    keys = parent.select(F.col(parent_field).alias("_parent_key")).distinct()
+    keys = parent.select(F.col(parent_field).alias("_parent_key"))
     return child.filter(F.col(column).isNotNull()).join(
         keys, F.col(column) == F.col("_parent_key"), "left_anti")
 
@@ -86,19 +68,35 @@ def _relationships(model: str, df: DataFrame, t: ColumnTest) -> DataFrame:
 
 
 def run_column_tests(model: str, df: DataFrame, tests: list[ColumnTest]) -> DataFrame:
-    """Q10-Q14 for one model; one result row per test."""
-    parts = []
-    row = _row_level(model, df, tests)
-    if row is not None:
-        parts.append(row)
-    for t in tests:
-        if t.kind == "unique":
-            parts.append(_unique(model, df, t))
-        elif t.kind == "relationships":
-            parts.append(_relationships(model, df, t))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    """Q10-Q14 for one model; one result row per test.
+
+    One scan of the model: rows are grouped by the column under ``unique`` (one
+    column at most; its map-side counts carry the counts of all row-level
+    tests), then added up.  Each ``relationships`` test counts the model's values
+    of its column and is one more scan of that column.
+    """
+    names = [(f"t{i}", t) for i, t in enumerate(tests)]
+    rowwise = [(n, t) for n, t in names if t.kind in ("not_null", "between")]
+    accepted = [(n, t) for n, t in names if t.kind == "accepted_values"]
+    uniques = [(n, t) for n, t in names if t.kind == "unique"]
+    columns = {t.column for _, t in uniques}
+    if len(columns) > 1:
+        raise ValueError("one column can be tested as unique in a pass")
+    counts = [F.count_if(_bad(t)).alias(n) for n, t in rowwise]
+    counts += [F.collect_set(F.when(_bad(t), F.col(t.column))).alias(n) for n, t in accepted]  # unexpected values
+    if uniques:
+        key = uniques[0][1].column
+        per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *counts)
+        sums = [F.sum(n).alias(n) for n, _ in rowwise]
+        sums += [F.size(F.array_distinct(F.flatten(F.collect_set(n)))).alias(n) for n, _ in accepted]
+        sums += [F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias(n) for n, _ in uniques]
+        row = per_key.agg(*sums)
+    else:
+        row = df.agg(*counts).select(*[n for n, _ in rowwise], *[F.size(n).alias(n) for n, _ in accepted])
+    out = _unpivot(model, row, rowwise + accepted + uniques)
+    for _, t in names:
+        if t.kind == "relationships":
+            out = out.unionByName(_relationships(model, df, t))
     return out
 
 

@@ -306,11 +306,20 @@ def q_gate_decisions(spark, sf):
     return quality.gate_decisions(counts, by=["_partition_date"])
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+# The declared column tests of the four models.
 def _column_tests(spark, sf) -> DataFrame:
-    stg = dm.staged_events(spark, sf)
+    # the tests run on stored layer tables, each built once from the one before
+    silver = _stored(dm.silver_events(spark, sf), "silver")
+    stg = gold.stg_events(silver)
     stg_w = dm.staged_wagons(spark, sf)
-    fact = dm.fact_events(spark, sf)
-    daily = dm.sla_daily(spark, sf)
+    fact = _stored(gold.build_fact(stg, dm.wagon_dim(spark, sf), dm.contract_dim(spark, sf), dm.NOW), "fact")
+    daily = gold.sla_daily(fact, as_of=dm.AS_OF, lookback_days=90)
     parts = [
         checks.run_column_tests("stg_eventos_ferroviarios", stg, [
             ColumnTest("evento_id", "not_null"), ColumnTest("evento_id", "unique"),
@@ -759,7 +768,7 @@ def _day_run(spark, sf, times: int = 2):
     from freightlake.plans.daily_run import Layout, run_day
     from freightlake.schemas import events_schema
     drop, layout = scratch_path(spark, "drop-json"), Layout(scratch_path(spark, "lake"))
-    dt.raw_events(spark, sf).write.json(drop)
+    dt.raw_events(spark, sf).write.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").json(drop)
     for i in range(times):
         run_day(spark, drop, dt.raw_wagons(spark, sf), dt.raw_contracts(spark, sf), layout, dm.AS_OF, dm.NOW, f"run-{i}",
                 fmt="json", schema=events_schema(T.LongType()), fail_on_error=False)

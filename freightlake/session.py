@@ -67,41 +67,30 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8,
     return spark
 
 
-def apply_conf(spark: SparkSession) -> None:
-    """Apply the runtime SQL settings to an existing session (driver-made)."""
-    for k, v in BASE_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static or locked setting: keep the cluster's value
-            pass
+#: What results depend on; everything else stays as the cluster has it.
+RESULT_CONF = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
 
 
-def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+def apply_conf(spark: SparkSession) -> None:
+    """Apply the settings that results depend on to an existing session."""
+    for k in RESULT_CONF:
+        if spark.conf.get(k, None) != BASE_CONF[k]:
+            spark.conf.set(k, BASE_CONF[k])
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``.
-
-    Read from the session; only a local session (tests, one machine) may get
-    a fresh folder of its own when nothing is configured.
-    """
+    """The folder the cluster names in ``spark.checkpoint.dir``, read from the
+    session.  Where none is named, only a local session (tests, one machine)
+    sets one of its own."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:
-            configured = None
-    if not configured:
-        if not _is_local(spark):
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not current:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir is not set on this cluster session")
-        configured = tempfile.mkdtemp(prefix="freightlake-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        current = tempfile.mkdtemp(prefix="freightlake-shared-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
+    return sc.getCheckpointDir() or current
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from freightlake.session import scratch_path
+
 from freightlake.plans.tables import glob_paths
 
 CORRUPT = "_corrupt_record"
@@ -66,28 +68,29 @@ def read_raw(spark: SparkSession, path: str, fmt: str | None = None,
 
 def read_with_quarantine(spark: SparkSession, path: str, schema: T.StructType,
                          fmt: str = "json", partition_date=None) -> tuple[DataFrame, DataFrame]:
-    """(good rows, quarantine rows) from one PERMISSIVE read.
+    """(good rows, quarantine rows) of one PERMISSIVE parse.
 
-    The quarantine keeps the raw text, an error label, the source file and the
+    The drop is parsed once, into a Parquet copy in the shared folder; both
+    results read that copy.  The quarantine keeps the schema columns (NULL, or
+    what was parsed), the raw text, an error label, the source file and the
     partition date.  ``partition_date`` is a literal (the landing day).
     """
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     reader = (spark.read.schema(full).option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", CORRUPT))
     raw = (reader.json(path) if fmt == "json" else reader.option("header", True).csv(path))
-    raw = raw.withColumn("_source_file", F.col("_metadata.file_path"))
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, "_source_file")
-    # The quarantine keeps the schema columns (NULL, or the partial parse when
-    # spark.sql.json.enablePartialResults fills them); besides being useful,
-    # they keep the scan from referencing only the corrupt-record column, which
-    # Spark refuses.
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select(
+    parsed = scratch_path(spark, "parsed")
+    raw.select("*", F.col("_metadata.file_path").alias("_source_file"),
+               F.col("_metadata.file_modification_time").alias("_modified")).write.parquet(parsed)
+    rows = spark.read.parquet(parsed)
+    good = rows.filter(F.col(CORRUPT).isNull()).select(*[f.name for f in schema.fields])
+    bad = rows.filter(F.col(CORRUPT).isNotNull()).select(
         *[F.col(f.name) for f in schema.fields],
         F.col(CORRUPT).alias("_raw"),
         F.lit("malformed_record").alias("_error"),
         "_source_file",
         (F.lit(str(partition_date)).cast("date") if partition_date is not None
-         else F.to_date(F.col("_metadata.file_modification_time"))).alias("_partition_date"),
+         else F.to_date("_modified")).alias("_partition_date"),
     )
     return good, bad
 
