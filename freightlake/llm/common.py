@@ -41,6 +41,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A side of a join is broadcast when it has at most so many (short) rows.
+BROADCAST_ROWS = 500_000
+
+
+def if_small(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast if it has few rows, else as it is.  ``rows``
+    is a known bound; without it a staged table's rows are counted."""
+    n = df.count() if rows is None else rows
+    return F.broadcast(df) if n <= BROADCAST_ROWS else df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have (names compare without case)."""
     taken = {c.lower() for c in df.columns}

@@ -12,34 +12,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from freightlake.llm.common import stage
+from freightlake.llm.common import if_small, stage
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _round(edges: DataFrame, count: int) -> DataFrame:
+    """A large-star and a small-star step."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    large = both.where("v > u").join(if_small(least, 2 * count), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    large = large.where("u <> v")  # u is the greater end of every edge now
+    least = large.groupBy("u").agg(F.min("v").alias("m"))
+    moved = large.join(if_small(least, count), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+def components(edges: DataFrame, a: str, b: str, rounds: int | None = None) -> DataFrame:
+    """(node, component) for every node of an edge between two different nodes;
+    component is the least node.  NULL ends are no nodes.
+
+    With ``rounds`` it stops after so many: nodes with equal component are then
+    connected, but connected nodes may still have different ones.
+    """
+    now = stage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a) != F.col(b)).distinct(), "edges")
+    before, mark = None, _fingerprint(now)
+    while mark != before and rounds != 0:
+        now = stage(_round(now, mark[0]), "star")
+        before, mark = mark, _fingerprint(now)
+        rounds = None if rounds is None else rounds - 1
+    parent = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
+    return parent.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+                              .join(parent, "node", "left_anti"))
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first())
-
-
-def components(edges: DataFrame, a: str, b: str) -> DataFrame:
-    """(node, component) for every node of an edge between two different nodes;
-    component is the least node.  NULL ends are no nodes."""
-    now = stage(edges.select(F.col(a).alias("u"), F.col(b).alias("v")).where("u <> v").distinct(), "edges")
-    before = None
-    while (mark := _fingerprint(now)) != before:
-        before = mark
-        now = stage(_small_star(_large_star(now)), "star")
-    nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    return nodes.unionByName(roots)

@@ -46,13 +46,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from freightlake.llm.common import python_workers, stage
+from freightlake.llm.common import if_small, python_workers, stage
 from freightlake.llm.components import components
 
 MISS = 1e-7
 SKETCH_LONGS = 8  # 512 bits
-#: A side of a join of at most so many rows (32 bytes each) is broadcast.
-BROADCAST_ROWS = 1_000_000
 MASK = (1 << 64) - 1
 
 
@@ -226,8 +224,7 @@ def sets_of(keys: DataFrame, classes: DataFrame, docs: DataFrame, words: int) ->
     """(set_key, shingles) of the classes in ``keys``, staged.  ``docs`` has t1,
     t2 and __text; ``classes`` has set_key, t1, t2 (one text of each)."""
     texts = stage(keys.join(classes.select("set_key", "t1", "t2"), "set_key"), "wanted")
-    small = texts.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    found = docs.join(F.broadcast(texts) if small else texts, ["t1", "t2"])
+    found = docs.join(if_small(texts), ["t1", "t2"])
     one = found.groupBy("set_key").agg(F.first("__text").alias("__text"))  # equal texts: any one
     return stage(full_sets(one, words), "sets")
 
@@ -252,11 +249,11 @@ def _ends(pairs: DataFrame) -> DataFrame:
 def _open(members: DataFrame, found: DataFrame, centre: str) -> DataFrame:
     """Members, with their component, of buckets that hold several components
     besides the centre."""
-    labelled = (members.drop("component").join(found.withColumnRenamed("node", "set_key"), "set_key", "left")
+    labelled = (members.drop("component").join(if_small(found.withColumnRenamed("node", "set_key")), "set_key", "left")
                 .withColumn("component", F.coalesce("component", "set_key")).where(F.col("set_key") != F.col(centre)))
     buckets = (labelled.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
                .where("lo <> hi").select("bucket"))
-    return labelled.join(buckets, "bucket")
+    return labelled.join(if_small(stage(buckets, "open-buckets")), "bucket")
 
 
 def link(signed: DataFrame, docs: DataFrame, words: int, threshold: int, bands: int, rows: int) -> DataFrame:
@@ -270,7 +267,7 @@ def link(signed: DataFrame, docs: DataFrame, words: int, threshold: int, bands:
     placed = classes.select("set_key", F.explode("keys").alias("bucket"))
     shared = stage(placed.groupBy("bucket").agg(F.min("set_key").alias("least"), F.count("*").alias("n"))
                    .where("n > 1").select("bucket", "least"), "buckets")
-    members = stage(placed.join(shared, "bucket"), "members")
+    members = stage(placed.join(if_small(shared), "bucket"), "members")
     facts = classes.select("set_key", "n_shingles", *longs)
     samples = bands * rows
 
@@ -281,13 +278,13 @@ def link(signed: DataFrame, docs: DataFrame, words: int, threshold: int, bands:
                    .where(_near(threshold, samples, "p", "q")).select("a", "b"), "stars")
     sets = sets_of(_ends(likely), classes, docs, words)
     links = stage(confirm(likely, sets, threshold), "links")
-    found = components(links, "a", "b")
+    found = stage(components(links, "a", "b", rounds=2), "labels")
 
     # 2. in buckets that still hold several components: every member with the class that has the fewest shingles of
     # its own.  Shingles that no other of these classes has can be in no common part, so n - own bounds it.
     rest = stage(_open(members, found, "least").select("bucket", "set_key", "component"), "open")
     if rest.isEmpty():
-        return found.withColumnRenamed("node", "set_key")
+        return components(links, "a", "b").withColumnRenamed("node", "set_key")
     keys = rest.select("set_key").distinct()
     sets = sets.join(keys, "set_key", "left_semi").unionByName(
         sets_of(keys.join(sets, "set_key", "left_anti"), classes, docs, words))
@@ -295,29 +292,31 @@ def link(signed: DataFrame, docs: DataFrame, words: int, threshold: int, bands:
     alone = (sets.select("set_key", F.explode("shingles").alias("shingle")).groupBy("shingle")
              .agg(F.count("*").alias("n"), F.min("set_key").alias("set_key")).where("n = 1")
              .groupBy("set_key").agg(F.count("*").alias("own")))
-    facts = stage(keys.join(facts, "set_key").join(alone, "set_key", "left").fillna(0, ["own"])
+    facts = stage(keys.join(facts.join(classes.select("set_key", "keys"), "set_key"), "set_key").join(alone, "set_key", "left").fillna(0, ["own"])
                   .withColumn("most", F.col("n_shingles") - F.col("own"))
                   .where(100 * F.col("most") >= threshold * F.col("n_shingles")), "open-facts")
-    rest = stage(rest.join(facts, "set_key"), "candidates")
+    rest = stage(rest.join(if_small(facts), "set_key"), "candidates")
     centres = rest.groupBy("bucket").agg(F.min(F.struct("own", "set_key")).alias("c")).select("bucket", F.col("c.set_key").alias("centre"))
-    rest = stage(rest.join(centres, "bucket"), "centred")
+    rest = stage(rest.join(if_small(stage(centres, "centres")), "bucket"), "centred")
     stars = (rest.where("set_key <> centre").select(F.col("centre").alias("a"), F.col("set_key").alias("b"), "component").distinct()
-             .join(facts.alias("p"), F.col("a") == F.col("p.set_key")).join(facts.alias("q"), F.col("b") == F.col("q.set_key"))
+             .join(if_small(facts).alias("p"), F.col("a") == F.col("p.set_key"))
+             .join(if_small(facts).alias("q"), F.col("b") == F.col("q.set_key"))
              .where(_near(threshold, samples, "p", "q") & _enough(threshold, "p", "q")).select("a", "b"))
     links = stage(links.unionByName(confirm(stage(stars, "stars"), sets, threshold)), "links")
-    found = components(links, "a", "b")
+    found = stage(components(links, "a", "b", rounds=2), "labels")
 
     # 3. what is left: pairs of different components that sizes, sketches and bounds let through are compared on
-    # their full sets inside the join, which emits links only
+    # their full sets inside the join, which emits links only; a pair is compared in its first common bucket (in a
+    # bucket that is missing here it has one component, or one of the pair was tried with all members)
     rest = stage(_open(rest, found, "centre").join(sets, "set_key"), "open")
     p, q = rest.alias("p"), rest.alias("q")
     more = stage(p.join(q, (F.col("p.bucket") == F.col("q.bucket")) & (F.col("p.set_key") < F.col("q.set_key"))
                         & (F.col("p.component") != F.col("q.component")) & _near(threshold, samples, "p", "q")
-                        & _enough(threshold, "p", "q") & _linked(threshold, "p.shingles", "q.shingles"))
-                 .select(F.col("p.set_key").alias("a"), F.col("q.set_key").alias("b")).distinct(), "links")
-    if not more.isEmpty():
-        found = components(stage(links.unionByName(more), "links"), "a", "b")
-    return found.withColumnRenamed("node", "set_key")
+                        & _enough(threshold, "p", "q")
+                        & (F.array_min(F.array_intersect("p.keys", "q.keys")) == F.col("p.bucket"))
+                        & _linked(threshold, "p.shingles", "q.shingles"))
+                 .select(F.col("p.set_key").alias("a"), F.col("q.set_key").alias("b")), "links")
+    return components(links.unionByName(more), "a", "b").withColumnRenamed("node", "set_key")
 
 
 def group(signed: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
