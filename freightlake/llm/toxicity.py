@@ -35,7 +35,7 @@ from freightlake.llm.common import id_text, python_workers, stage
 from freightlake.llm.minhash import _mix
 
 BITS = 20
-TRAIN_ROWS, TRAIN_CHARS, PASSES = 12_000, 30_000, 3
+TRAIN_ROWS, TRAIN_CHARS, PASSES = 12_000, 30_000, 4
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -87,7 +87,7 @@ def features(text: str | None, hashes: TextHashes) -> np.ndarray:
 class Ftrl:
     """Per-coordinate FTRL-proximal for binary features."""
 
-    def __init__(self, size: int, alpha: float = 1.0, beta: float = 1.0, l1: float = 6.0, l2: float = 1.0):
+    def __init__(self, size: int, alpha: float = 2.0, beta: float = 1.0, l1: float = 6.0, l2: float = 0.5):
         self.alpha, self.beta, self.l1, self.l2 = alpha, beta, l1, l2
         self.z, self.n = np.zeros(size), np.zeros(size)
 
