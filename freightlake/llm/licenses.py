@@ -151,3 +151,50 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     F.greatest(F.when(F.size("base") > 0, F.lit(1.0)).otherwise(F.lit(0.0)),
                                F.coalesce("coverage", F.lit(0.0))).alias("score"),
                     F.coalesce("n_spans", F.lit(0)).cast("long").alias("n_spans")))
+
+
+def oracle(templates=TEMPLATES, phrases=PHRASES) -> str:
+    """DuckDB SQL of ``scan_licenses`` over ``documents`` with distinct ids."""
+    t = ", ".join(f"({k}, '{label}', '{text}')" for k, (label, text) in enumerate(templates))
+    p = ", ".join(f"('{phrase}', '{label}', {len(phrase.split())})" for phrase, label in phrases)
+    return rf"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+phrases(phrase, label, n) AS (VALUES {p}),
+templates(template, label, body) AS (VALUES {t}),
+b AS (
+  SELECT doc_id, i, label FROM (SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w) x
+  JOIN phrases ON array_to_string(words[i:i + n - 1], ' ') = phrase),
+tw AS (SELECT template, label, string_split(body, ' ') AS words FROM templates),
+tg AS (
+  SELECT template, label, len(words) AS size, place, array_to_string(words[place + 1:place + 3], ' ') AS gram
+  FROM (SELECT *, unnest(range(0, len(words) - 2)) AS place FROM tw)),
+g AS (
+  SELECT doc_id, pos, array_to_string(words[pos + 1:pos + 3], ' ') AS gram
+  FROM (SELECT *, unnest(range(0, len(words) - 2)) AS pos FROM w)),
+d AS (
+  SELECT doc_id, template, label, size, pos - place AS diagonal, list(DISTINCT place) AS places
+  FROM g JOIN tg USING (gram) GROUP BY ALL),
+n AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER o <= 3 THEN 0 ELSE 1 END AS new
+  FROM d WINDOW o AS (PARTITION BY doc_id, template ORDER BY diagonal)),
+i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM n),
+c AS (
+  SELECT doc_id, template, label, size, span, count(DISTINCT k) / size AS coverage
+  FROM (SELECT *, unnest([place, place + 1, place + 2]) AS k FROM (SELECT *, unnest(places) AS place FROM i))
+  GROUP BY doc_id, template, label, size, span),
+s AS (
+  SELECT doc_id, list(DISTINCT label) AS labels, max(coverage) AS coverage, count(*) AS n_spans
+  FROM c WHERE coverage >= 0.7 GROUP BY doc_id),
+f AS (
+  SELECT doc_id, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list(DISTINCT label) AS labels
+  FROM b GROUP BY doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_word,
+       coalesce(array_to_string(list_sort(f.labels), ','), '') AS base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(coalesce(f.labels, []), coalesce(s.labels, [])))), ',') AS labels,
+       greatest(CASE WHEN n_base > 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END, coalesce(coverage, 0.0::DOUBLE)) AS score,
+       coalesce(n_spans, 0)::BIGINT AS n_spans
+FROM w LEFT JOIN f ON f.doc_id = w.doc_id LEFT JOIN s ON s.doc_id = w.doc_id
+"""

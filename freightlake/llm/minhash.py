@@ -359,3 +359,29 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     alone = signed.where("set_key IS NULL").select("__doc")
     return (signed.select("__row", "__doc").join(best, "__row", "left_semi").select("__doc").unionByName(alone)
             .select("__doc.*"))
+
+
+#: DuckDB SQL of the contract's result (3 words, 85) over documents with distinct ids.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(words[i:i + 2], ' ') AS shingle
+  FROM (SELECT *, unnest(range(1, greatest(2, len(words) - 1))) AS i FROM w WHERE len(words) > 0)),
+n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM common JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.size + y.size - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION
+  SELECT r.doc_id, e.b FROM reach r JOIN edges e ON e.a = r.other)
+SELECT r.doc_id, coalesce(any_value(n.size), 0)::BIGINT AS n_shingles, min(other) AS component_id,
+       r.doc_id = min(other) AS kept
+FROM reach r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id
+"""

@@ -105,4 +105,6 @@ def oracle_queries() -> dict[str, str]:
     return {
         "op1_quality_rules": quality.ORACLE,
         "op3_line_dedup": line_dedup.ORACLE,
+        "op4_license_scan": licenses.oracle(),
+        "op5_minhash_near_dedup": minhash.ORACLE,
     }
