@@ -26,22 +26,28 @@ def _round(edges: DataFrame, count: int) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
 
 
-def components(edges: DataFrame, a: str, b: str, rounds: int | None = None) -> DataFrame:
+def labels(edges: DataFrame, a: str, b: str, hops: int = 3) -> DataFrame:
+    """(node, component): the least node that so many hops reach.  Nodes with
+    equal labels are connected; connected nodes may have different ones."""
+    n = edges.count()
+    both = edges.select(F.col(a).alias("node"), F.col(b).alias("v")).union(edges.select(b, a))
+    found = both.groupBy("node").agg(F.least(F.min("v"), F.col("node")).alias("component"))
+    for _ in range(hops - 1):
+        step = found.withColumnRenamed("node", "v")
+        found = both.join(if_small(step, 2 * n), "v").groupBy("node").agg(F.min("component").alias("component"))
+    return found
+
+
+def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """(node, component) for every node of an edge between two different nodes;
-    component is the least node.  NULL ends are no nodes.
-
-    With ``rounds`` it stops after so many: nodes with equal component are then
-    connected, but connected nodes may still have different ones.
-    """
+    component is the least node.  NULL ends are no nodes."""
     now = stage(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where(F.col(a) != F.col(b)).distinct(), "edges")
     before, mark = None, _fingerprint(now)
-    while mark != before and rounds != 0:
+    while mark != before:
         now = stage(_round(now, mark[0]), "star")
         before, mark = mark, _fingerprint(now)
-        rounds = None if rounds is None else rounds - 1
-    parent = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
-    return parent.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-                              .join(parent, "node", "left_anti"))
+    nodes = now.select(F.col("u").alias("node"), F.col("v").alias("component"))  # stars: each node has one edge down
+    return nodes.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
 def _fingerprint(edges: DataFrame) -> tuple:

@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from freightlake.llm.common import if_small, python_workers, stage
-from freightlake.llm.components import components
+from freightlake.llm.components import components, labels
 
 MISS = 1e-7
 SKETCH_LONGS = 8  # 512 bits
@@ -221,9 +221,9 @@ def _near(threshold: int, samples: int, a: str, b: str) -> Column:
 
 
 def sets_of(keys: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """(set_key, shingles) of the classes in ``keys``, staged.  ``docs`` has t1,
+    """(set_key, shingles) of the classes in ``keys`` (staged), staged.  ``docs`` has t1,
     t2 and __text; ``classes`` has set_key, t1, t2 (one text of each)."""
-    texts = stage(keys.join(classes.select("set_key", "t1", "t2"), "set_key"), "wanted")
+    texts = stage(classes.select("set_key", "t1", "t2").join(if_small(keys), "set_key"), "wanted")
     found = docs.join(if_small(texts), ["t1", "t2"])
     one = found.groupBy("set_key").agg(F.first("__text").alias("__text"))  # equal texts: any one
     return stage(full_sets(one, words), "sets")
@@ -236,8 +236,8 @@ def _linked(threshold: int, x: str, y: str) -> Column:
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
-    """The pairs (a, b) of set keys whose full sets reach the threshold."""
-    left = pairs.join(sets.withColumnsRenamed({"set_key": "a", "shingles": "x"}), "a")
+    """The (staged) pairs (a, b) of set keys whose full sets reach the threshold."""
+    left = sets.withColumnsRenamed({"set_key": "a", "shingles": "x"}).join(if_small(pairs), "a")
     both = left.join(sets.withColumnsRenamed({"set_key": "b", "shingles": "y"}), "b")
     return both.where(_linked(threshold, "x", "y")).select("a", "b")
 
@@ -256,14 +256,21 @@ def _open(members: DataFrame, found: DataFrame, centre: str) -> DataFrame:
     return labelled.join(if_small(stage(buckets, "open-buckets")), "bucket")
 
 
-def link(signed: DataFrame, docs: DataFrame, words: int, threshold: int, bands: int, rows: int) -> DataFrame:
+def classes_of(signed: DataFrame) -> DataFrame:
+    """One row for each set (staged): its signature, one of its texts, the least
+    id and the number of its rows."""
+    longs = [f"s{i}" for i in range(SKETCH_LONGS)]
+    return stage(signed.where("set_key IS NOT NULL").groupBy("set_key").agg(
+        F.min(F.struct("t1", "t2")).alias("t"), F.first("n_shingles").alias("n_shingles"),
+        F.first("keys").alias("keys"), *(F.first(c).alias(c) for c in longs),
+        F.min("id").alias("least_id"), F.count("*").alias("n_rows"))
+        .select("set_key", "t.t1", "t.t2", "n_shingles", "keys", *longs, "least_id", "n_rows"), "classes")
+
+
+def link(classes: DataFrame, docs: DataFrame, words: int, threshold: int, bands: int, rows: int) -> DataFrame:
     """(set_key, component) of all classes that are linked with another;
     component is the smallest set key."""
     longs = [f"s{i}" for i in range(SKETCH_LONGS)]
-    classes = stage(signed.where("set_key IS NOT NULL").groupBy("set_key").agg(
-        F.min(F.struct("t1", "t2")).alias("t"), F.first("n_shingles").alias("n_shingles"),
-        F.first("keys").alias("keys"), *(F.first(c).alias(c) for c in longs))
-        .select("set_key", "t.t1", "t.t2", "n_shingles", "keys", *longs), "classes")
     placed = classes.select("set_key", F.explode("keys").alias("bucket"))
     shared = stage(placed.groupBy("bucket").agg(F.min("set_key").alias("least"), F.count("*").alias("n"))
                    .where("n > 1").select("bucket", "least"), "buckets")
@@ -273,26 +280,29 @@ def link(signed: DataFrame, docs: DataFrame, words: int, threshold: int, bands:
 
     # 1. every member with the smallest class of its bucket
     stars = members.where("set_key <> least").select(F.col("least").alias("a"), F.col("set_key").alias("b")).distinct()
-    likely = stage(stars.join(facts.alias("p"), F.col("a") == F.col("p.set_key"))
-                   .join(facts.alias("q"), F.col("b") == F.col("q.set_key"))
+    n = classes.count()
+    likely = stage(stars.join(if_small(facts, n).alias("p"), F.col("a") == F.col("p.set_key"))
+                   .join(if_small(facts, n).alias("q"), F.col("b") == F.col("q.set_key"))
                    .where(_near(threshold, samples, "p", "q")).select("a", "b"), "stars")
-    sets = sets_of(_ends(likely), classes, docs, words)
+    sets = sets_of(stage(_ends(likely), "ends"), classes, docs, words)
     links = stage(confirm(likely, sets, threshold), "links")
-    found = stage(components(links, "a", "b", rounds=2), "labels")
+    found = stage(labels(links, "a", "b"), "labels")
 
     # 2. in buckets that still hold several components: every member with the class that has the fewest shingles of
     # its own.  Shingles that no other of these classes has can be in no common part, so n - own bounds it.
     rest = stage(_open(members, found, "least").select("bucket", "set_key", "component"), "open")
     if rest.isEmpty():
         return components(links, "a", "b").withColumnRenamed("node", "set_key")
-    keys = rest.select("set_key").distinct()
-    sets = sets.join(keys, "set_key", "left_semi").unionByName(
-        sets_of(keys.join(sets, "set_key", "left_anti"), classes, docs, words))
+    keys = stage(rest.select("set_key").distinct(), "open-keys")
+    missing = keys.join(if_small(sets.select("set_key")), "set_key", "left_anti")
+    sets = sets.join(if_small(keys), "set_key", "left_semi").unionByName(
+        sets_of(stage(missing, "missing"), classes, docs, words))
     sets = stage(sets, "open-sets")
     alone = (sets.select("set_key", F.explode("shingles").alias("shingle")).groupBy("shingle")
              .agg(F.count("*").alias("n"), F.min("set_key").alias("set_key")).where("n = 1")
              .groupBy("set_key").agg(F.count("*").alias("own")))
-    facts = stage(keys.join(facts.join(classes.select("set_key", "keys"), "set_key"), "set_key").join(alone, "set_key", "left").fillna(0, ["own"])
+    facts = classes.select("set_key", "n_shingles", *longs, "keys").join(if_small(keys), "set_key")
+    facts = stage(facts.join(alone, "set_key", "left").fillna(0, ["own"])
                   .withColumn("most", F.col("n_shingles") - F.col("own"))
                   .where(100 * F.col("most") >= threshold * F.col("n_shingles")), "open-facts")
     rest = stage(rest.join(if_small(facts), "set_key"), "candidates")
@@ -303,12 +313,12 @@ def link(signed: DataFrame, docs: DataFrame, words: int, threshold: int, bands:
              .join(if_small(facts).alias("q"), F.col("b") == F.col("q.set_key"))
              .where(_near(threshold, samples, "p", "q") & _enough(threshold, "p", "q")).select("a", "b"))
     links = stage(links.unionByName(confirm(stage(stars, "stars"), sets, threshold)), "links")
-    found = stage(components(links, "a", "b", rounds=2), "labels")
+    found = stage(labels(links, "a", "b"), "labels")
 
     # 3. what is left: pairs of different components that sizes, sketches and bounds let through are compared on
     # their full sets inside the join, which emits links only; a pair is compared in its first common bucket (in a
     # bucket that is missing here it has one component, or one of the pair was tried with all members)
-    rest = stage(_open(rest, found, "centre").join(sets, "set_key"), "open")
+    rest = stage(sets.join(_open(rest, found, "centre"), "set_key"), "open")
     p, q = rest.alias("p"), rest.alias("q")
     more = stage(p.join(q, (F.col("p.bucket") == F.col("q.bucket")) & (F.col("p.set_key") < F.col("q.set_key"))
                         & (F.col("p.component") != F.col("q.component")) & _near(threshold, samples, "p", "q")
@@ -320,13 +330,16 @@ def link(signed: DataFrame, docs: DataFrame, words: int, threshold: int, bands:
 
 
 def group(signed: DataFrame, docs: DataFrame, words: int, threshold: int) -> DataFrame:
-    """(set_key, component, component_id) of all classes; component_id is the
-    least id of the component."""
-    linked = link(signed, docs, words, threshold, *bands_for(threshold))
-    classes = signed.where("set_key IS NOT NULL").groupBy("set_key").agg(F.min("id").alias("least_id"))
-    classes = classes.join(linked, "set_key", "left").withColumn("component", F.coalesce("component", "set_key"))
-    least = classes.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    return classes.select("set_key", "component").join(least, "component")
+    """(set_key, component, component_id) of the classes of several rows or with
+    links, staged; component_id is the least id of the component."""
+    classes = classes_of(signed)
+    linked = stage(link(classes, docs, words, threshold, *bands_for(threshold)), "linked")
+    ids = classes.select("set_key", "least_id", "n_rows").join(if_small(linked), "set_key", "left")
+    ids = stage(ids.where("component IS NOT NULL OR n_rows > 1"), "grouped")
+    least = ids.where("component IS NOT NULL").groupBy("component").agg(F.min("least_id").alias("component_id"))
+    alone = ids.where("component IS NULL").select("set_key", F.col("set_key").alias("component"), F.col("least_id").alias("component_id"))
+    return stage(ids.select("set_key", "component").join(least, "component")
+                 .select("set_key", "component", "component_id").unionByName(alone), "groups")
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5,
@@ -338,10 +351,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     signed = stage(sign(df, id_col, text_col, words, *bands_for(threshold)), "signed")
     docs = df.select(*text_key(F.col(text_col)), F.col(text_col).alias("__text"))
-    out = signed.select("id", "n_shingles", "set_key").join(group(signed, docs, words, threshold), "set_key", "left")
-    component_id = F.when(F.col("set_key").isNull(), F.col("id")).otherwise(F.col("component_id"))
+    known = group(signed, docs, words, threshold)
+    out = signed.select("id", "n_shingles", "set_key").join(if_small(known), "set_key", "left")
+    component_id = F.coalesce("component_id", "id")  # a class of one row without links is its own component
     return out.select(F.col("id").alias(id_col), "n_shingles", component_id.alias("component_id"),
-                      F.col("id").eqNullSafe(component_id).alias("kept"), "set_key", "component")
+                      F.col("id").eqNullSafe(component_id).alias("kept"), "set_key",
+                      F.coalesce("component", "set_key").alias("component"))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, threshold: int = 80) -> DataFrame:
@@ -354,11 +369,10 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", word
     docs = signed.select("t1", "t2", F.col("__doc")[text_col].alias("__text"))
     known = group(signed, docs, words, threshold).select("set_key", "component")
     place = F.struct(F.col("id").isNull().alias("no_id"), F.col("id"), F.col("__row"))
-    best = (signed.select("id", "__row", "set_key").join(known, "set_key")
-            .groupBy("component").agg(F.min(place).alias("p")).select(F.col("p.__row").alias("__row")))
-    alone = signed.where("set_key IS NULL").select("__doc")
-    return (signed.select("__row", "__doc").join(best, "__row", "left_semi").select("__doc").unionByName(alone)
-            .select("__doc.*"))
+    found = stage(signed.select("id", "__row", "set_key").join(if_small(known), "set_key"), "group-rows")
+    best = found.groupBy("component").agg(F.min(place).alias("p")).select(F.col("p.__row").alias("__row"))
+    gone = stage(found.select("__row").join(best, "__row", "left_anti"), "gone")
+    return signed.select("__row", "__doc").join(if_small(gone), "__row", "left_anti").select("__doc.*")
 
 
 #: DuckDB SQL of the contract's result (3 words, 85) over documents with distinct ids.

@@ -57,7 +57,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, allowed:
     chosen = texts.select(id_col).join(known, id_col).distinct().withColumn("__order", order).orderBy("__order").limit(rows)
     chosen = stage(chosen, "sample-ids")
     return (texts.join(F.broadcast(chosen), id_col)  # at most ``rows`` ids
-            .select(F.col("__order").alias("order"), F.col("__label").alias("label"), F.col("__text").alias("text")))
+            .groupBy(F.col("__order").alias("order"), F.col("__label").alias("label"))  # one text of a repeated id
+            .agg(F.min("__text").alias("text")))
 
 
 class TextHashes(dict):
