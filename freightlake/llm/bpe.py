@@ -24,7 +24,6 @@ bounded table of words.
 from __future__ import annotations
 
 import base64
-import bisect
 import functools
 import hashlib
 import heapq
