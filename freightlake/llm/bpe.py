@@ -39,7 +39,7 @@ from freightlake.llm.common import python_workers
 
 #: New words of one replay, words kept in a worker's table, matches held before
 #: texts are written, and matches of one slice of a long text.
-REPLAY_WORDS, TABLE_WORDS, HELD, SLICE = 150_000, 400_000, 6_000_000, 500_000
+REPLAY_WORDS, TABLE_WORDS, HELD, SLICE = 100_000, 200_000, 4_000_000, 500_000
 
 
 def read_ranks(raw: bytes) -> dict[bytes, int]:
@@ -235,17 +235,17 @@ class WordTable(dict):
                 self.texts.append("".join([f" {i}" for i in ids]))
                 self.bytes.append(self.replay.decode(ids))
 
-    def forget(self) -> None:
-        """Empty the table when it is full; no numbers may be in use."""
-        if len(self) > TABLE_WORDS:
+    def forget(self, limit: int = TABLE_WORDS) -> None:
+        """Empty the table when it has more words; no numbers may be in use."""
+        if len(self) > limit:
             self.clear()
             self.ids, self.texts, self.bytes = [], [], []
 
 
 @functools.lru_cache(maxsize=1)
-def table_of(raw: bytes) -> WordTable:
-    """The table of a vocabulary; a worker keeps it from task to task."""
-    return WordTable(MergeReplay(read_ranks(raw)))
+def replay_of(raw: bytes) -> MergeReplay:
+    """The merges of a vocabulary; a worker keeps them from task to task."""
+    return MergeReplay(read_ranks(raw))
 
 
 class Digest:
@@ -295,7 +295,7 @@ def encode_texts(texts: list[str], find: Callable, table: WordTable, with_ids: b
     return [d.row() for d in digests]
 
 
-def gathered(batches: Iterator[pa.RecordBatch], chars: int = 20_000_000) -> Iterator[pa.Table]:
+def gathered(batches: Iterator[pa.RecordBatch], chars: int = 12_000_000) -> Iterator[pa.Table]:
     """Batches put together up to so many bytes: a replay costs less for each
     word the more words it has."""
     some, size = [], 0
@@ -335,13 +335,14 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
         def find(text: str):
             return split.findall(text) if len(text) <= SLICE else (m.group() for m in split.finditer(text))
 
-        table = table_of(raw.value)
+        table = WordTable(replay_of(raw.value))
         for rows in gathered(batches):
             found = encode_texts([t or "" for t in rows.column("__text").to_pylist()], find, table, with_ids)
             rows = rows.drop_columns(["__text"])
             for k, (name, _, kind) in enumerate(made):
                 rows = rows.append_column(name, pa.array([x[k] for x in found], kind))
             yield from rows.to_batches()
+        table.forget(0)  # an idle worker holds no words
 
     return given.mapInArrow(run, schema)
 
