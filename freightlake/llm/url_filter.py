@@ -8,18 +8,20 @@ URL's text: lengths, depth, share of digits, entropy, counts of parameters,
 hyphens and labels, and statistics of suffixes (how often URLs with the same last
 host label, and with the same first path segment, were blocked).
 
-The trees are learned from labelled URLs.  A bounded sample is used: the
-``TRAIN_ROWS`` least by a hash of the URL.  The suffix statistics come from the
-same sample, so their tables have no more rows than it and can be broadcast.
+The suffix statistics count all labelled rows.  Only the trees are learned from a
+bounded sample: the ``TRAIN_ROWS`` least distinct URLs by a hash of the URL, each
+with the label that more of its rows have (block if equal).
 
 Defined results: NULL URLs and URLs without ``://`` have an empty host and path
 and no rule; their features are those of the empty text.  NULL ids and repeated
-rows are judged like any row; without labelled URLs of both verdicts the score
-is their share of blocks (0 without labelled URLs).  An empty table gives an
+rows are judged like any row; without URLs of both verdicts in the sample the
+score is the share of blocks among all labelled rows (0 without any).  An empty table gives an
 empty result; other columns are not read.
 
-At scale: one scan, no shuffle of the pages: rules and trees are expressions,
-suffix tables are broadcast.
+At scale: rules and trees are expressions.  The statistics are one map-side-combined
+count of the labelled rows by suffix and segment.  The sample's URLs are those
+below a bound on the hash, set by an estimate of the distinct ones, so few of them
+are shuffled.  Suffix tables are broadcast behind a count, else joined.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from freightlake.llm.common import ASCII_UPPER, let, stage
+from freightlake.llm.common import ASCII_UPPER, if_small, let, stage
 
 # Fixed values: (verdict, host, path) of the rules.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
@@ -73,6 +75,11 @@ def entropy(text: Column) -> Column:
     return F.when(n > 0, let(chars, of)).otherwise(F.lit(0.0))
 
 
+def suffix_segment() -> tuple[Column, Column]:
+    """Last label of ``host`` and first segment of ``path``."""
+    return F.substring_index("host", ".", -1).alias("suffix"), F.regexp_extract("path", r"^/([^/]*)", 1).alias("segment")
+
+
 def lexical(urls: DataFrame, url_col: str) -> DataFrame:
     """``urls`` with host, path, suffix, segment and the features of the URL alone."""
     host, path = split_url(F.col(url_col))
@@ -82,7 +89,7 @@ def lexical(urls: DataFrame, url_col: str) -> DataFrame:
     out = urls.withColumns({"host": host, "path": path})
     labels = F.split("host", r"\.")
     return out.withColumns({
-        "suffix": F.substring_index("host", ".", -1), "segment": F.regexp_extract("path", r"^/([^/]*)", 1),
+        **dict(zip(("suffix", "segment"), suffix_segment(), strict=True)),
         "url_chars": F.length(u).cast("double"), "host_chars": F.length("host").cast("double"),
         "path_chars": F.length("path").cast("double"), "depth": count(F.col("path"), "[^/]+"),
         "digit_share": F.when(F.length(u) > 0, count(u, "[^0-9]+") / F.length(u)).otherwise(F.lit(0.0)),
@@ -93,29 +100,43 @@ def lexical(urls: DataFrame, url_col: str) -> DataFrame:
         "has_fragment": F.contains(u, F.lit("#")).cast("double")})
 
 
-def suffix_rates(sample: DataFrame, column: str, rate: str) -> DataFrame:
-    """Blocked share by value, drawn towards one half for rare values."""
-    return sample.groupBy(column).agg(((F.sum("label") + 1.0) / (F.count("*") + 2.0)).alias(rate))
+def suffix_rates(counts: DataFrame, column: str, rate: str) -> DataFrame:
+    """Blocked share by value, drawn towards one half for rare values, from
+    (n, blocked) counts."""
+    return counts.groupBy(column).agg(((F.sum("blocked") + 1.0) / (F.sum("n") + 2.0)).alias(rate))
+
+
+def url_sample(known: DataFrame, url_col: str, rows: int, distinct: int) -> DataFrame:
+    """The ``rows`` least distinct URLs by hash, of about ``distinct``: url, label, __order."""
+    hashed = known.withColumn("__order", F.xxhash64(F.lit("sample"), url_col))
+    if distinct > 4 * rows:  # twice as many as needed are let through
+        hashed = hashed.where(F.col("__order") < int(2**65 * rows / distinct) - 2**63)
+    return (hashed.groupBy("__order", url_col).agg((F.avg("label") >= 0.5).cast("double").alias("label"))
+            .orderBy("__order", url_col).limit(rows))
 
 
 class UrlModel:
     """Suffix tables and trees learned from (url, label) rows; label 1 is block."""
 
     def __init__(self, labelled: DataFrame, url_col: str, rows: int = TRAIN_ROWS):
-        known = (labelled.where(F.col("label").isNotNull())
-                 .select(F.col(url_col), F.col("label").cast("double").alias("label"))
-                 .withColumn("__order", F.xxhash64(F.lit("sample"), url_col)).orderBy("__order", url_col, "label").limit(rows))
-        sample = stage(lexical(known, url_col), "url-sample")
-        self.suffix = stage(suffix_rates(sample, "suffix", "suffix_rate"), "suffixes")
-        self.segment = stage(suffix_rates(sample, "segment", "segment_rate"), "segments")
-        n, blocked = sample.agg(F.count("*"), F.sum("label")).first()
-        self.share, self.trees = (blocked or 0.0) / max(n, 1), None
-        if 0 < self.share < 1:
+        known = labelled.where(F.col("label").isNotNull()).select(F.col(url_col), F.col("label").cast("double").alias("label"))
+        host, path = split_url(F.col(url_col))
+        counts = stage(known.select(url_col, "label", host.alias("host"), path.alias("path"))
+                       .select("label", *suffix_segment())
+                       .groupBy("suffix", "segment").agg(F.count("*").alias("n"), F.sum("label").alias("blocked")),
+                       "url-counts")
+        self.suffix = if_small(stage(suffix_rates(counts, "suffix", "suffix_rate"), "suffixes"))
+        self.segment = if_small(stage(suffix_rates(counts, "segment", "segment_rate"), "segments"))
+        n, blocked = counts.agg(F.sum("n"), F.sum("blocked")).first()
+        self.share, self.trees = (blocked or 0.0) / max(n or 0, 1), None
+        distinct = known.agg(F.approx_count_distinct(url_col)).first()[0] if (n or 0) > 4 * rows else 0
+        sample = stage(lexical(url_sample(known, url_col, rows, distinct), url_col), "url-sample")
+        if sample.select("label").distinct().count() == 2:
             data = self.vectors(sample).select("features", "label", "__order").coalesce(1).sortWithinPartitions("__order")
             self.trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, checkpointInterval=-1).fit(data)
 
     def vectors(self, urls: DataFrame) -> DataFrame:
-        rated = (urls.join(F.broadcast(self.suffix), "suffix", "left").join(F.broadcast(self.segment), "segment", "left")
+        rated = (urls.join(self.suffix, "suffix", "left").join(self.segment, "segment", "left")
                  .fillna(0.5, ["suffix_rate", "segment_rate"]))
         return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rated)
 

@@ -128,6 +128,22 @@ def test_trees_learn_the_labels(spark):
     assert np.mean([(r.score >= 0.5) == (r.label == 1) for r in rows]) > 0.9
 
 
+def test_url_statistics_count_all_rows_and_the_sample_distinct_urls(spark):
+    hot = spark.range(300).select(F.lit("http://hot.example/a/1").alias("url"), F.lit(1).alias("label"))
+    few = spark.createDataFrame([(f"http://h{i}.s{i % 50}/g{i % 40}/x", i % 2) for i in range(200)], "url string, label int")
+    model = url_filter.UrlModel(hot.unionByName(few), "url", rows=40)
+    assert model.trees is not None
+    suffix = {r.suffix: r.suffix_rate for r in model.suffix.collect()}
+    segment = {r.segment: r.segment_rate for r in model.segment.collect()}
+    assert suffix == {"example": 301 / 302} | {f"s{k}": (1 + (4 if k % 2 else 0)) / 6 for k in range(50)}
+    assert segment == {"a": 301 / 302} | {f"g{k}": (1 + (5 if k % 2 else 0)) / 7 for k in range(40)}
+    known = hot.unionByName(few)
+    for distinct in (0, 201):
+        sample = url_filter.url_sample(known, "url", 40, distinct).collect()
+        want = known.select(F.xxhash64(F.lit("sample"), "url").alias("h"), "url").distinct().orderBy("h").limit(40).collect()
+        assert [r.url for r in sample] == [r.url for r in want]
+
+
 def test_url_edge_tables(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x"), (1, "http://a.org/x"), (None, None)], "page_id long, url string")
     extra = pages.withColumn("host", F.lit(1)).withColumn("score", F.lit(2))
