@@ -9,14 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from freightlake.llm import (
+    align,
     bpe,
     byte_cnn,
     decontaminate,
+    laesa,
     licenses,
     line_dedup,
     minhash,
     quality,
     sharding,
+    simhash,
     toxicity,
     url_filter,
 )
@@ -79,6 +82,21 @@ def op10_hash_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return align.align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                       public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir), words=4, radius=4)
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return laesa.cluster(read_table(spark, sf_dir, "embeddings"), k=40, rounds=5)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,6 +115,9 @@ def spark_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_classifier": op8_quality_classifier,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_hash_ring_shards": op10_hash_ring_shards,
+        "op11_tokenizer_alignment": op11_tokenizer_alignment,
+        "op12_simhash_near_dedup": op12_simhash_near_dedup,
+        "op13_centroid_clustering": op13_centroid_clustering,
         "pipeline": pipeline,
     }
 
@@ -107,4 +128,5 @@ def oracle_queries() -> dict[str, str]:
         "op3_line_dedup": line_dedup.ORACLE,
         "op4_license_scan": licenses.oracle(),
         "op5_minhash_near_dedup": minhash.ORACLE,
+        "op13_centroid_clustering": laesa.oracle(),
     }
