@@ -5,7 +5,8 @@ follows the usual data-test meaning: the number of rows the failing-rows query
 returns (NULLs pass every test except not_null; ``unique`` returns one row per
 repeated value; ``accepted_values`` one row per distinct unexpected value).
 
-The tests of one model are counted in one pass; ``relationships`` needs its own
+The tests of one model are counted in one pass, any number of ``unique`` columns
+and ``accepted_values`` lists included; ``relationships`` needs its own
 anti join and is added to the same result with ``unionByName`` (one lazy plan).
 """
 
@@ -70,30 +71,30 @@ def _relationships(model: str, df: DataFrame, t: ColumnTest) -> DataFrame:
 def run_column_tests(model: str, df: DataFrame, tests: list[ColumnTest]) -> DataFrame:
     """Q10-Q14 for one model; one result row per test.
 
-    One scan of the model: rows are grouped by the column under ``unique`` (one
-    column at most; its map-side counts carry the counts of all row-level
-    tests), then added up.  Each ``relationships`` test counts the model's values
-    of its column and is one more scan of that column.
+    One scan of the model: each row is expanded (grouping sets) into one row for each
+    ``unique`` column and each ``accepted_values`` test, holding that value only, and
+    one that carries the row-level tests.  They are counted by (test, value), combined
+    before the shuffle, so no value's rows and no test's values meet in one task; the
+    counts are then added up.  Each ``relationships`` test counts the model's values of
+    its column and is one more scan of that column.
     """
     names = [(f"t{i}", t) for i, t in enumerate(tests)]
     rowwise = [(n, t) for n, t in names if t.kind in ("not_null", "between")]
-    accepted = [(n, t) for n, t in names if t.kind == "accepted_values"]
-    uniques = [(n, t) for n, t in names if t.kind == "unique"]
-    columns = {t.column for _, t in uniques}
-    if len(columns) > 1:
-        raise ValueError("one column can be tested as unique in a pass")
-    counts = [F.count_if(_bad(t)).alias(n) for n, t in rowwise]
-    counts += [F.collect_set(F.when(_bad(t), F.col(t.column))).alias(n) for n, t in accepted]  # unexpected values
-    if uniques:
-        key = uniques[0][1].column
-        per_key = df.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"), *counts)
-        sums = [F.sum(n).alias(n) for n, _ in rowwise]
-        sums += [F.size(F.array_distinct(F.flatten(F.collect_set(n)))).alias(n) for n, _ in accepted]
-        sums += [F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias(n) for n, _ in uniques]
-        row = per_key.agg(*sums)
-    else:
-        row = df.agg(*counts).select(*[n for n, _ in rowwise], *[F.size(n).alias(n) for n, _ in accepted])
-    out = _unpivot(model, row, rowwise + accepted + uniques)
+    valued = [(n, t) for n, t in names if t.kind in ("unique", "accepted_values")]
+    flags = [F.when(_bad(t), 1).otherwise(0).cast("long").alias(n) for n, t in rowwise]
+    # the value as text: NULL where the row cannot fail the test
+    values = [F.when(_bad(t) if t.kind == "accepted_values" else F.lit(True), F.col(t.column)).cast("string").alias(n)
+              for n, t in valued]
+    sets = [F.struct(F.lit(n).alias("test"), F.col(f"v_{n}").alias("value"), *[F.lit(0).cast("long").alias(m) for m, _ in rowwise])
+            for n, _ in valued]
+    sets.append(F.struct(F.lit("").alias("test"), F.lit(None).cast("string").alias("value"), *[F.col(f"f_{m}").alias(m) for m, _ in rowwise]))
+    narrow = df.select(*[c.alias(f"f_{n}") for c, (n, _) in zip(flags, rowwise, strict=True)],
+                       *[c.alias(f"v_{n}") for c, (n, _) in zip(values, valued, strict=True)])
+    per_value = (narrow.select(F.inline(F.array(*sets))).filter("test = '' OR value IS NOT NULL")
+                 .groupBy("test", "value").agg(F.count(F.lit(1)).alias("_n"), *[F.sum(m).alias(m) for m, _ in rowwise]))
+    failed = {n: (F.col("test") == n) & (F.col("_n") > (1 if t.kind == "unique" else 0)) for n, t in valued}
+    row = per_value.agg(*[F.sum(m).alias(m) for m, _ in rowwise], *[F.count_if(c).alias(n) for n, c in failed.items()])
+    out = _unpivot(model, row, rowwise + valued)
     for _, t in names:
         if t.kind == "relationships":
             out = out.unionByName(_relationships(model, df, t))

@@ -621,6 +621,51 @@ def q_upsert_new_column(spark, sf):
     return tables.read_table(spark, path)
 
 
+# Keys as text without order (a digest leads): the index finds partitions that min/max
+# ranges cannot.  Four merges: all orders, the updates twice, then the updates of a third
+# of the keys with later watermarks.
+@register("upsert_indexed", "K2 M1 M2", f"""
+WITH m AS ({_upsert_sql("coalesce(s.updated_at > t.updated_at, false)")}),
+w AS (SELECT o_orderkey, o_orderstatus, o_totalprice,
+             CASE WHEN o_orderkey % 3 = 0 AND EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
+                  THEN CAST(updated_at AS DATE) + 40 ELSE CAST(updated_at AS DATE) END AS updated_at FROM m)
+SELECT md5(CAST(o_orderkey AS VARCHAR)) AS pedido, o_orderstatus, o_totalprice, updated_at,
+       CAST(date_trunc('month', updated_at) AS DATE) AS _partition_month FROM w""")
+def q_upsert_indexed(spark, sf):
+    path = scratch_path(spark, "orders-indexed")
+
+    def keyed(df):
+        return df.select(F.md5(F.col("o_orderkey").cast("string")).alias("pedido"), "o_orderstatus", "o_totalprice",
+                         F.col("updated_at").cast("date").alias("updated_at"),
+                         F.trunc("updated_at", "month").alias("_partition_month"))
+
+    orders, updates = _orders_target(spark, sf), _stored(_orders_updates(spark, sf), "updates")
+    first = _stored(upsert.merge_upsert(orders, updates, "o_orderkey", newer="updated_at"), "merged")
+    later = (first.filter("o_orderkey % 3 = 0").join(updates.select("o_orderkey"), "o_orderkey", "left_semi")
+             .withColumn("updated_at", F.date_add("updated_at", 40)))
+    for batch in (orders, updates, updates, later):
+        tables.write_merged(spark, keyed(batch), path, "pedido", newer="updated_at", part_col="_partition_month", index_buckets=8)
+    return tables.read_table(spark, path)
+
+
+# A column that a merge added is there for layer reads and for SQL.
+@register("layer_added_column", "S5 S7 S11 V3 K2", """
+WITH n AS (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY 1)
+SELECT o_orderkey, o_orderstatus, n_lines, CAST(date_trunc('year', o_orderdate) AS DATE) AS _partition_date,
+       (SELECT sum(n_lines)::BIGINT FROM n WHERE l_orderkey IN (SELECT o_orderkey FROM orders)) AS all_lines
+FROM orders LEFT JOIN n ON o_orderkey = l_orderkey""")
+def q_layer_added_column(spark, sf):
+    from freightlake.sources.raw import read_layer, register_layers
+    path = scratch_path(spark, "orders-layer")
+    orders = dt.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.trunc("o_orderdate", "year").alias("_partition_date"))
+    lines = dt.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("n_lines"))
+    tables.write_merged(spark, orders, path, "o_orderkey")
+    tables.write_merged(spark, orders.join(lines, "o_orderkey"), path, "o_orderkey")
+    register_layers(spark, {"orders_layer": path})
+    total = spark.sql("SELECT sum(n_lines) AS all_lines FROM orders_layer")
+    return read_layer(spark, path).crossJoin(F.broadcast(total))  # one row
+
+
 @register("repeated_source_keys", "M4", """
 SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1""")
 def q_repeated_source_keys(spark, sf):

@@ -27,7 +27,7 @@ from freightlake.operators.schema_ops import (
     schema_drift,
 )
 from freightlake.operators.upsert import assert_unique_source
-from freightlake.plans import tables
+from freightlake.plans import key_index, tables
 from freightlake.session import scratch_path
 from freightlake.sources.raw import CORRUPT, format_for_path, read_raw
 
@@ -61,7 +61,7 @@ class Layout:
 
 def ingest(spark: SparkSession, raw_path: str, path: str, domain: str, pk: str, watermark: str, run_id: str, now: str,
            fmt: str | None = None, schema: T.StructType | None = None, require_success: bool = False,
-           quarantine_path: str | None = None) -> dict:
+           quarantine_path: str | None = None, index_buckets: int | None = key_index.BUCKETS) -> dict:
     """Raw -> bronze for any domain (events, wagons, contracts).
 
     Reads the drop once (with ``schema`` no types are inferred, and malformed
@@ -94,7 +94,7 @@ def ingest(spark: SparkSession, raw_path: str, path: str, domain: str, pk: str,
     rows.write.parquet(staged)
     n_raw, n_kept = raw_obs.get["rows"], kept_obs.get["rows"]
     stored = spark.read.schema(rows.schema).parquet(staged)
-    tables.write_merged(spark, stored, path, pk, newer=watermark, snapshot=False)
+    tables.write_merged(spark, stored, path, pk, newer=watermark, snapshot=False, index_buckets=index_buckets)
     return {"rows": stored, "path": staged, "schema": raw.schema,
             "counters": {"RawRecordsRead": n_raw, "DuplicatesRemoved": n_raw - n_kept, "BronzeRecordsWritten": n_kept}}
 
@@ -104,7 +104,8 @@ def run_day(spark: SparkSession, raw_path: str, wagons: DataFrame, contracts: Da
             fmt: str | None = None, min_rows: int | None = quality.MIN_ROWS,
             fail_on_error: bool = True, lookback_days: int = 3,
             mart_lookback_days: int = 90, contract: T.StructType | None = None,
-            schema: T.StructType | None = None, require_success: bool = False) -> dict:
+            schema: T.StructType | None = None, require_success: bool = False,
+            index_buckets: int | None = key_index.BUCKETS) -> dict:
     """Process one raw drop; returns the run's gate failures and schema drift.
 
     ``min_rows=None`` takes the volume threshold from the history in the
@@ -112,6 +113,7 @@ def run_day(spark: SparkSession, raw_path: str, wagons: DataFrame, contracts: Da
     explicitly; ``contract`` (a schema) adds a drift report; a drift never stops
     the run, a missing key or watermark column does (and is counted as
     SchemaValidationFailure).  Repeated wagon or contract keys stop it, too.
+    ``index_buckets`` sizes the key indexes of the three merged tables (None: none).
     Alert rows are written before a failed gate raises.  JobSuccess / JobFailure
     rows are appended to the metrics table.
     """
@@ -119,7 +121,7 @@ def run_day(spark: SparkSession, raw_path: str, wagons: DataFrame, contracts: Da
     try:
         out = _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, run_id,
                        fmt, min_rows, fail_on_error, lookback_days, mart_lookback_days, contract,
-                       schema, require_success)
+                       schema, require_success, index_buckets)
     except Exception as e:
         counters = {"JobFailure": 1}
         if isinstance(e, SchemaValidationError):
@@ -131,7 +133,8 @@ def run_day(spark: SparkSession, raw_path: str, wagons: DataFrame, contracts: Da
 
 
 def _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, run_id, fmt,
-             min_rows, fail_on_error, lookback_days, mart_lookback_days, contract, schema, require_success) -> dict:
+             min_rows, fail_on_error, lookback_days, mart_lookback_days, contract, schema, require_success,
+             index_buckets) -> dict:
     domain = "eventos_ferroviarios"
     assert_unique_source(wagons, ["vagao_id"])
     assert_unique_source(contracts, ["contrato_id"])
@@ -139,7 +142,7 @@ def _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, r
         min_rows = (quality.min_rows_from_history(spark.read.parquet(layout.metrics), domain)
                     if tables.path_exists(spark, layout.metrics) else quality.MIN_ROWS)
     bronze = ingest(spark, raw_path, layout.bronze, domain, PK, WATERMARK, run_id, now, fmt, schema,
-                    require_success, layout.quarantine)
+                    require_success, layout.quarantine, index_buckets)
     drift = []
     if contract is not None:
         empty = spark.createDataFrame([], bronze["schema"])
@@ -149,7 +152,7 @@ def _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, r
     silver_path = scratch_path(spark, "silver-run")
     transform_silver(bronze["rows"], wagons, contracts, now).write.parquet(silver_path)
     silver_rows = spark.read.parquet(silver_path)
-    tables.write_merged(spark, silver_rows, layout.silver, PK, snapshot=False)
+    tables.write_merged(spark, silver_rows, layout.silver, PK, snapshot=False, index_buckets=index_buckets)
     # gate on the stored rows of this run (one aggregate), before gold; alerts first
     failures = quality.gate_failures(quality.gate_counts(silver_rows), min_rows=min_rows)
     found = quality.gate(failures, fail_on_error=False)
@@ -170,7 +173,7 @@ def _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, r
     contract_dim = dims.contract_dim(contracts)
     fact_rows = gold.build_fact(stg, wagon_dim, contract_dim, now)
     tables.write_merged(spark, fact_rows, layout.fact, PK, newer=None, part_col="data_particao",
-                        sort_cols=gold.FACT_SORT)
+                        sort_cols=gold.FACT_SORT, index_buckets=index_buckets)
     # mart: full refresh from the fact table (K7), ranked
     daily = gold.sla_daily(tables.read_table(spark, layout.fact), as_of=processing_date,
                            lookback_days=mart_lookback_days)

@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 from freightlake.operators.dedup import latest_per_key
 from freightlake.operators.upsert import AmbiguousMergeError, merge_upsert
+from freightlake.plans import key_index
 from freightlake.session import scratch_path, shared_dir
 
 DEFAULT_PART = "_partition_date"
@@ -164,6 +165,19 @@ def effective_rows(target: DataFrame, source: DataFrame, keys: list[str], newer:
     watermark and partition of the target are read, behind the key range."""
     cols = list(dict.fromkeys([*keys, *([newer] if newer else []), part_col]))
     found = target.filter(key_range).select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_hit"))
+    return _changes(source, found, keys, newer, part_col)
+
+
+def indexed_rows(spark: SparkSession, index: key_index.KeyIndex, source: DataFrame) -> DataFrame:
+    """``effective_rows`` by the table's key index instead of the table."""
+    keys, newer = list(index.keys), index.newer
+    found = key_index.look_up(spark, index, source).select(
+        *[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_part").alias(f"_t_{index.part_col}"),
+        *([F.col("_mark").alias(f"_t_{newer}")] if newer and newer not in keys else []), F.lit(True).alias("_hit"))
+    return _changes(source, found, keys, newer, index.part_col)
+
+
+def _changes(source: DataFrame, found: DataFrame, keys: list[str], newer: str | None, part_col: str) -> DataFrame:
     cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_t_{k}") for k in keys])
     joined = source.join(found, cond, "left")
     if newer is not None:
@@ -208,6 +222,8 @@ def finish_merge(spark: SparkSession, path: str, part_col: str = DEFAULT_PART) -
             if value not in present:
                 delete_path(spark, partition_dir(path, part_col, value))
         save_schema(spark, path, staged.schema)
+        if path_exists(spark, f"{stage}/index/_SUCCESS"):
+            key_index.apply_changes(spark, path, f"{stage}/index")
     delete_path(spark, f"{stage}/touched")  # first: a stage without it counts as incomplete
     delete_path(spark, stage)
     return complete
@@ -216,7 +232,7 @@ def finish_merge(spark: SparkSession, path: str, part_col: str = DEFAULT_PART) -
 def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[str] | str,
                  newer: str | None = None, part_col: str = DEFAULT_PART,
                  sort_cols: list[str] | None = None, snapshot: bool = True,
-                 since=None, late_path: str | None = None) -> dict:
+                 since=None, late_path: str | None = None, index_buckets: int | None = None) -> dict:
     """K2: merge ``source`` into the table at ``path`` rewriting touched partitions only.
 
     The batch is written as a snapshot first (``snapshot=False`` when it already
@@ -229,6 +245,10 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     caller states with it that no key of the batch lies in them; source rows that
     belong before it go to ``late_path`` (appended) instead of the table.
 
+    ``index_buckets`` gives the table a key index (``plans.key_index``) of so many
+    buckets, built when it has none.  A table with an index is always looked up in
+    and kept in step through it: the look-up reads the buckets of the batch's keys.
+
     Returns ``{"touched": n, "emptied": n}`` (-1: the table is new).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
@@ -250,20 +270,31 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     if not path_exists(spark, path):
         write_table(source, path, part_col, sort_cols)
         save_schema(spark, path, source.schema)
+        if index_buckets:
+            key_index.create(spark, path, keys, newer, part_col, index_buckets)
         stats = {"touched": -1, "emptied": 0}
     else:
-        stats = _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since)
+        index = key_index.load(spark, path)
+        if index is None and index_buckets:
+            index = key_index.create(spark, path, keys, newer, part_col, index_buckets)
+        if index is not None and (list(index.keys), index.newer, index.part_col) != (keys, newer, part_col):
+            raise ValueError(f"the key index of {path} is by {index.keys}, {index.newer}, {index.part_col}")
+        stats = _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index)
     if snap:
         delete_path(spark, snap)
     return stats
 
 
-def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since) -> dict:
+def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index=None) -> dict:
+    if index is not None and key_index.next_seq(spark, index) > key_index.INCREMENTS:
+        key_index.compact(spark, index)
     target = read_table(spark, path)
     if since is not None:
         target = target.filter(F.coalesce(F.col(part_col) >= F.lit(since), F.lit(True)))
     changed = scratch_path(spark, "merge-changes")
-    effective_rows(target, source, keys, newer, part_col, key_range).write.parquet(changed)
+    found = (effective_rows(target, source, keys, newer, part_col, key_range) if index is None
+             else indexed_rows(spark, index, source))
+    found.write.parquet(changed)
     effective = spark.read.parquet(changed)
     touched = touched_values(effective, part_col)
     emptied = 0
@@ -274,6 +305,8 @@ def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_r
         write_table(merged, f"{stage}/data", part_col, sort_cols)
         save_schema(spark, f"{stage}/data", merged.schema)
         present = {r[0] for r in read_table(spark, f"{stage}/data").select(F.col(part_col).cast("string")).distinct().collect()}
+        if index is not None:
+            key_index.stage_changes(spark, index, effective, f"{stage}/index")
         names = [None if v is None else str(v) for v in touched]
         emptied = sum(v not in present for v in names)
         spark.createDataFrame([(v,) for v in names], "part string").coalesce(1).write.parquet(f"{stage}/touched")

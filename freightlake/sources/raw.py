@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from freightlake.session import scratch_path
 
-from freightlake.plans.tables import glob_paths
+from freightlake.plans.tables import glob_paths, read_table
 
 CORRUPT = "_corrupt_record"
 
@@ -97,15 +97,17 @@ def read_with_quarantine(spark: SparkSession, path: str, schema: T.StructType,
 
 def read_layer(spark: SparkSession, path: str, partition_date=None,
                part_col: str = "_partition_date") -> DataFrame:
-    """A layer table, optionally one partition (pruned at planning)."""
-    df = spark.read.parquet(path)
+    """A layer table with its kept schema (columns that merges added
+    included), optionally one partition (pruned at planning)."""
+    df = read_table(spark, path)
     if partition_date is not None:
         df = df.filter(F.col(part_col) == F.lit(str(partition_date)).cast("date"))
     return df
 
 
 def register_layers(spark: SparkSession, tables: dict[str, str]) -> list[str]:
-    """Register layer tables (name -> path) as temp views for SQL."""
+    """Register layer tables (name -> path) as temp views for SQL, with all
+    columns of their kept schemas."""
     for name, path in tables.items():
-        spark.read.parquet(path).createOrReplaceTempView(name)
+        read_table(spark, path).createOrReplaceTempView(name)
     return sorted(tables)

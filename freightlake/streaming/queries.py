@@ -180,6 +180,6 @@ def q_hot_status(spark, sf):
     stream = st.normalised_event_stream(spark, sf)
     path = scratch_path(spark, "hot-status")
     st.run_foreach_batch(stream, st.status_batch_writer(spark, path, 24), scratch_path(spark, "ckpt-status"))
-    cur = st.current_status(spark.read.parquet(path), _STATUS_AS_OF)
+    cur = st.current_status(tables.read_table(spark, path), _STATUS_AS_OF)
     return _ntz(cur.select("vagao_id", "evento_id", "status_norm", "updated_at", "expires_at"),
                 "updated_at", "expires_at")
