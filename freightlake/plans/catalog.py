@@ -726,6 +726,73 @@ def q_corrupt_split(spark, sf):
                                     F.lit(True).alias("_quarantined"))))
 
 
+# Events as JSON lines of a later producer: a new field, a new field inside a known
+# object, an amount that became text, an id that became text, an object that became a
+# number, and truncated lines.
+_MEASURE_SCHEMA = "evento_id long, status string, medida struct<valor:double,unidade:string>"
+_MEASURE_SQL = """
+e AS (SELECT event_id AS id, event_type AS status, event_id % 31 = 5 AS cut, event_id % 5 = 1 AS lot, event_id % 7 = 2 AS tare,
+             event_id % 11 = 3 AS text_value, event_id % 13 = 4 AS text_id, event_id % 17 = 6 AS number FROM events),
+u AS (SELECT * FROM e WHERE NOT cut)"""
+
+
+def _measure_lines(spark, sf) -> str:
+    i = F.col("event_id")
+    amount = (i % 1000 + 0.5).cast("double")
+    parts = [
+        F.concat(F.lit('"evento_id":'), F.when(i % 13 == 4, F.concat(F.lit('"E'), i, F.lit('"'))).otherwise(i.cast("string"))),
+        F.when(F.col("event_type").isNotNull(), F.concat(F.lit('"status":"'), "event_type", F.lit('"'))),
+        F.when(i % 5 == 1, F.concat(F.lit('"lote":"L'), i % 7, F.lit('"'))),
+        F.when(i % 17 == 6, F.lit('"medida":7')).otherwise(F.concat(
+            F.lit('"medida":{"valor":'), F.when(i % 11 == 3, F.lit('"n/a"')).otherwise(amount.cast("string")),
+            F.when(i % 7 == 2, F.lit(',"tara":{"kg":12}')).otherwise(""), F.lit(',"unidade":"t"}')))]
+    line = F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+    path = scratch_path(spark, "measures-json")
+    dt.table(spark, sf, "events").select(
+        F.when(i % 31 == 5, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line).alias("value")).write.text(path)
+    return path
+
+
+@register("rescued_fields", "S10 V2", f"""WITH {_MEASURE_SQL.strip()}
+SELECT CASE WHEN NOT text_id THEN id END AS evento_id, status,
+       CASE WHEN NOT number AND NOT text_value THEN (id % 1000) + 0.5 END::DOUBLE AS valor, CASE WHEN NOT number THEN 't' END AS unidade,
+       CASE WHEN lot THEN '"L' || (id % 7) || '"' END AS lote, CASE WHEN tare AND NOT number THEN '{{"kg":12}}' END AS tara,
+       CASE WHEN text_id THEN '"E' || id || '"' END AS id_text, false AS quarantined
+FROM u UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, true FROM e WHERE cut""")
+def q_rescued_fields(spark, sf):
+    from freightlake.sources import dead_letter
+    rows, bad = dead_letter.read_rescued(spark, _measure_lines(spark, sf), T.StructType.fromDDL(_MEASURE_SCHEMA))
+    found = F.from_json("_rescued", "map<string,string>")
+    return rows.select("evento_id", "status", "medida.valor", "medida.unidade", found["lote"].alias("lote"),
+                       found["medida.tara"].alias("tara"), found["evento_id"].alias("id_text"), F.lit(False).alias("quarantined")).unionByName(
+        bad.select(F.lit(True).alias("quarantined")), allowMissingColumns=True)
+
+
+@register("dead_letter_fields", "S10 V2", f"""WITH {_MEASURE_SQL.strip()}
+SELECT * FROM (
+  SELECT 'lote' AS path, 'STRING' AS type, 'unknown_field' AS reason, count(*) AS n FROM u WHERE lot
+  UNION ALL SELECT 'medida.tara', 'OBJECT<kg: BIGINT>', 'unknown_field', count(*) FROM u WHERE tare AND NOT number
+  UNION ALL SELECT 'medida.valor', 'STRING', 'retyped', count(*) FROM u WHERE text_value AND NOT number
+  UNION ALL SELECT 'evento_id', 'STRING', 'retyped', count(*) FROM u WHERE text_id
+  UNION ALL SELECT 'medida', 'BIGINT', 'retyped', count(*) FROM u WHERE number) WHERE n > 0""")
+def q_dead_letter_fields(spark, sf):
+    from freightlake.sources import dead_letter
+    rows, _ = dead_letter.read_rescued(spark, _measure_lines(spark, sf), T.StructType.fromDDL(_MEASURE_SCHEMA))
+    return dead_letter.dead_letters(rows)
+
+
+# Two unique columns and an accepted-values list over the gate's faulty rows, in one scan.
+@register("unique_columns", "Q10 Q11 Q12", o.with_ctes(*o.CHAIN_GATE) + "\nUNION ALL\n".join([
+    "SELECT 'silver' AS model, 'evento_id' AS column_name, 'not_null' AS test_name, count(*) FILTER (WHERE evento_id IS NULL) AS failures FROM gate",
+    *[f"SELECT 'silver', '{c}', 'unique', count(*) FROM (SELECT {c} FROM gate WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+      for c in ("evento_id", "vagao_id")],
+    "SELECT 'silver', 'status_norm', 'accepted_values', count(DISTINCT status_norm) FROM gate WHERE status_norm NOT IN ('PARADO', 'CHEGOU')"]))
+def q_unique_columns(spark, sf):
+    return checks.run_column_tests("silver", dm.gate_rows(spark, sf), [
+        ColumnTest("evento_id", "not_null"), ColumnTest("evento_id", "unique"), ColumnTest("vagao_id", "unique"),
+        ColumnTest("status_norm", "accepted_values", values=["PARADO", "CHEGOU"])])
+
+
 # ---------------------------------------------------------------------------
 # publishing: day publish, reprocessing, load control
 # ---------------------------------------------------------------------------

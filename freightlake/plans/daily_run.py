@@ -29,7 +29,8 @@ from freightlake.operators.schema_ops import (
 from freightlake.operators.upsert import assert_unique_source
 from freightlake.plans import key_index, tables
 from freightlake.session import scratch_path
-from freightlake.sources.raw import CORRUPT, format_for_path, read_raw
+from freightlake.sources import dead_letter
+from freightlake.sources.raw import CORRUPT, complete_day_dirs, format_for_path, read_raw
 
 PK, WATERMARK = "evento_id", "updated_at"
 
@@ -61,20 +62,31 @@ class Layout:
 
 def ingest(spark: SparkSession, raw_path: str, path: str, domain: str, pk: str, watermark: str, run_id: str, now: str,
            fmt: str | None = None, schema: T.StructType | None = None, require_success: bool = False,
-           quarantine_path: str | None = None, index_buckets: int | None = key_index.BUCKETS) -> dict:
+           quarantine_path: str | None = None, dead_letter_path: str | None = None, index_buckets: int | None = key_index.BUCKETS) -> dict:
     """Raw -> bronze for any domain (events, wagons, contracts).
 
     Reads the drop once (with ``schema`` no types are inferred, and malformed
-    JSON lines go to ``quarantine_path``; ``require_success`` reads complete
+    JSON or CSV lines go to ``quarantine_path``; with ``dead_letter_path`` fields of JSON
+    lines that the schema does not name or that have another type go, counted by path,
+    there and into the rows' ``_rescued`` column; ``require_success`` reads complete
     ``date=`` folders only), keeps the latest row of each key (ties by all other
     columns, so every evaluation keeps the same row), adds the audit columns and
     writes the result once.  The merge (M1) and the caller read that copy.
 
     Returns its DataFrame (``rows``), path and counters.
     """
-    if schema is not None and quarantine_path is not None and (fmt or format_for_path(raw_path)) == "json":
+    given = fmt or format_for_path(raw_path)
+    if schema is not None and dead_letter_path is not None and given == "json":
+        paths = complete_day_dirs(spark, raw_path) if require_success else [raw_path]
+        raw, bad = dead_letter.read_rescued(spark, paths, schema, raw_path if require_success else None)
+        stamp = [F.lit(run_id).alias("_job_run_id"), F.to_date(F.lit(str(now))).alias("_partition_date")]
+        dead_letter.dead_letters(raw).select("*", *stamp).write.mode("append").parquet(dead_letter_path)
+        if quarantine_path is not None:
+            bad.select("_raw", "_error", "_source_file", *stamp).write.mode("append").parquet(quarantine_path)
+        raw = raw.drop("_unfit")
+    elif schema is not None and quarantine_path is not None and given in ("json", "csv"):
         full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        parsed = read_raw(spark, raw_path, "json", full, require_success=require_success, corrupt_column=CORRUPT)
+        parsed = read_raw(spark, raw_path, given, full, require_success=require_success, corrupt_column=CORRUPT)
         kept_parse = scratch_path(spark, f"{domain}-parsed")
         parsed.withColumn("_source_file", F.input_file_name()).write.parquet(kept_parse)
         parsed = spark.read.parquet(kept_parse)

@@ -205,6 +205,33 @@ def _stage_of(path: str) -> str:
     return f"{path.rstrip('/')}/_merge_stage"
 
 
+def _entry(path: str, commit: str) -> str:
+    return f"{path.rstrip('/')}/_ledger/{commit}"
+
+
+def is_committed(spark: SparkSession, path: str, commit: str) -> bool:
+    """Whether the write named ``commit`` (writer/number) is in the table; a write
+    that stopped after its stage was complete is finished first."""
+    finish_merge(spark, path, _part_of_stage(spark, path))
+    return path_exists(spark, _entry(path, commit))
+
+
+def _part_of_stage(spark: SparkSession, path: str) -> str:
+    at = f"{_stage_of(path)}/part_col"
+    return spark.read.text(at).first()[0] if path_exists(spark, f"{at}/_SUCCESS") else DEFAULT_PART
+
+
+def record_commit(spark: SparkSession, path: str, commit: str) -> None:
+    """Enter ``writer/number`` into the table's ledger; the writer's lower numbers go (a
+    stream replays its last batch only)."""
+    touch(spark, _entry(path, commit))
+    writer, number = commit.rsplit("/", 1)
+    for old in glob_paths(spark, _entry(path, f"{writer}/*")):
+        name = old.rstrip("/").rsplit("/", 1)[1]
+        if name.isdigit() and int(name) < int(number):
+            delete_path(spark, old)
+
+
 def finish_merge(spark: SparkSession, path: str, part_col: str = DEFAULT_PART) -> bool:
     """Write the partitions of a complete stage, remove the partitions it leaves
     empty, then the stage.  A stage whose list of partitions was never written
@@ -224,6 +251,9 @@ def finish_merge(spark: SparkSession, path: str, part_col: str = DEFAULT_PART) -
         save_schema(spark, path, staged.schema)
         if path_exists(spark, f"{stage}/index/_SUCCESS"):
             key_index.apply_changes(spark, path, f"{stage}/index")
+        if path_exists(spark, f"{stage}/commit"):
+            for row in spark.read.text(f"{stage}/commit").collect():  # one entry
+                record_commit(spark, path, row[0])
     delete_path(spark, f"{stage}/touched")  # first: a stage without it counts as incomplete
     delete_path(spark, stage)
     return complete
@@ -232,7 +262,8 @@ def finish_merge(spark: SparkSession, path: str, part_col: str = DEFAULT_PART) -
 def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[str] | str,
                  newer: str | None = None, part_col: str = DEFAULT_PART,
                  sort_cols: list[str] | None = None, snapshot: bool = True,
-                 since=None, late_path: str | None = None, index_buckets: int | None = None) -> dict:
+                 since=None, late_path: str | None = None, index_buckets: int | None = None,
+                 commit: str | None = None) -> dict:
     """K2: merge ``source`` into the table at ``path`` rewriting touched partitions only.
 
     The batch is written as a snapshot first (``snapshot=False`` when it already
@@ -249,10 +280,16 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     buckets, built when it has none.  A table with an index is always looked up in
     and kept in step through it: the look-up reads the buckets of the batch's keys.
 
+    ``commit`` (``writer/number``) enters the write into the table's ledger together with
+    its data (T9): the entry stands in the stage, so a write that is seen is entered,
+    after a stop too.  A write that is entered already changes nothing.
+
     Returns ``{"touched": n, "emptied": n}`` (-1: the table is new).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     finish_merge(spark, path, part_col)
+    if commit is not None and path_exists(spark, _entry(path, commit)):
+        return {"touched": 0, "emptied": 0}
     snap = None
     if snapshot:
         snap = scratch_path(spark, "merge-source")
@@ -267,9 +304,14 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     most, key_range = batch_profile(source, keys)
     if most > 1:
         raise AmbiguousMergeError(f"a source key repeats ({most} rows for one key)")
-    if not path_exists(spark, path):
-        write_table(source, path, part_col, sort_cols)
-        save_schema(spark, path, source.schema)
+    if not path_exists(spark, f"{path}/_schema") and (commit is not None or not path_exists(spark, path)):
+        if commit is None:
+            write_table(source, path, part_col, sort_cols)
+            save_schema(spark, path, source.schema)
+        else:  # staged like a merge, so that rows and entry appear together
+            parts = [r[0] for r in source.select(part_col).distinct().collect()]
+            _stage_write(spark, source, path, part_col, sort_cols, parts, commit)
+            finish_merge(spark, path, part_col)
         if index_buckets:
             key_index.create(spark, path, keys, newer, part_col, index_buckets)
         stats = {"touched": -1, "emptied": 0}
@@ -279,13 +321,30 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
             index = key_index.create(spark, path, keys, newer, part_col, index_buckets)
         if index is not None and (list(index.keys), index.newer, index.part_col) != (keys, newer, part_col):
             raise ValueError(f"the key index of {path} is by {index.keys}, {index.newer}, {index.part_col}")
-        stats = _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index)
+        stats = _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index, commit)
+        if commit is not None and not path_exists(spark, _entry(path, commit)):
+            record_commit(spark, path, commit)  # nothing to change
     if snap:
         delete_path(spark, snap)
     return stats
 
 
-def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index=None) -> dict:
+def _stage_write(spark, rows, path, part_col, sort_cols, touched: list, commit: str | None) -> int:
+    """Stages the new content of the touched partitions, complete once its list of
+    partitions is written; returns how many of them it leaves empty."""
+    stage = _stage_of(path)
+    write_table(rows, f"{stage}/data", part_col, sort_cols)
+    save_schema(spark, f"{stage}/data", rows.schema)
+    present = {r[0] for r in read_table(spark, f"{stage}/data").select(F.col(part_col).cast("string")).distinct().collect()}
+    names = [None if v is None else str(v) for v in touched]
+    for name, value in (("commit", commit), ("part_col", part_col)):
+        if value is not None:
+            spark.createDataFrame([(value,)], "value string").coalesce(1).write.mode("overwrite").text(f"{stage}/{name}")
+    spark.createDataFrame([(v,) for v in names], "part string").coalesce(1).write.parquet(f"{stage}/touched")
+    return sum(v not in present for v in names)
+
+
+def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index=None, commit=None) -> dict:
     if index is not None and key_index.next_seq(spark, index) > key_index.INCREMENTS:
         key_index.compact(spark, index)
     target = read_table(spark, path)
@@ -301,15 +360,9 @@ def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_r
     if touched:
         affected = target.filter(in_partitions(part_col, touched))
         merged = merge_upsert(affected, effective.drop("_old", "_hit"), keys)
-        stage = _stage_of(path)
-        write_table(merged, f"{stage}/data", part_col, sort_cols)
-        save_schema(spark, f"{stage}/data", merged.schema)
-        present = {r[0] for r in read_table(spark, f"{stage}/data").select(F.col(part_col).cast("string")).distinct().collect()}
         if index is not None:
-            key_index.stage_changes(spark, index, effective, f"{stage}/index")
-        names = [None if v is None else str(v) for v in touched]
-        emptied = sum(v not in present for v in names)
-        spark.createDataFrame([(v,) for v in names], "part string").coalesce(1).write.parquet(f"{stage}/touched")
+            key_index.stage_changes(spark, index, effective, f"{_stage_of(path)}/index")
+        emptied = _stage_write(spark, merged, path, part_col, sort_cols, touched, commit)
         finish_merge(spark, path, part_col)
     delete_path(spark, changed)
     return {"touched": len(touched), "emptied": emptied}

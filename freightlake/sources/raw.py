@@ -57,6 +57,8 @@ def read_raw(spark: SparkSession, path: str, fmt: str | None = None,
         reader = reader.option("header", True)
         if schema is None:
             reader = reader.option("inferSchema", True)
+        if corrupt_column:
+            reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
         return reader.csv(paths)
     if fmt == "json":
         reader = reader.option("multiLine", multiline)

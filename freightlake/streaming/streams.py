@@ -8,7 +8,9 @@ Checkpoints live under ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -82,6 +84,71 @@ def windowed_counts(stream: DataFrame, ts_col: str, window: str, delay: str,
                     *by, *[a for a in ("n_events", "value_sum") if a in w.columns])
 
 
+def window_partials_writer(path: str, ts_col: str, window: str, delay: str, by: list[str], value_col: str | None = None):
+    """T8 ``foreachBatch``: partial window aggregates of every batch, its late rows apart.
+
+    The watermark of a batch is the highest event time of all batches before it minus
+    ``delay``, as in ``windowed_counts``; a row is late if its window ended by then.  A
+    batch writes one row for each window and group, on time or late, below its own id, and
+    then its watermark: a replay writes the same folders again.  ``merged_windows`` adds
+    the partials up, ``late_row_metrics`` counts late rows by batch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        before = None
+        if tables.path_exists(spark, f"{path}/watermark"):
+            marks = spark.read.parquet(f"{path}/watermark").filter(F.col("batch_id") < batch_id)
+            before = marks.agg(F.max("newest")).first()[0]
+        w = F.window(ts_col, window)
+        mark = F.lit(before).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        aggs = [F.count(F.lit(1)).alias("n_events")]
+        if value_col:
+            aggs.append(F.sum(F.col(value_col).try_cast("decimal(18,2)")).alias("value_sum"))
+        parts = (batch.filter(F.col(ts_col).isNotNull()).groupBy(w.alias("w"), *by).agg(*aggs, F.max(ts_col).alias("_newest"))
+                 .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,
+                         *[c for c in ("n_events", "value_sum") if c == "n_events" or value_col], "_newest",
+                         F.coalesce(F.col("w.end") <= mark, F.lit(False)).alias("late"), F.lit(batch_id).alias("batch_id")))
+        seen = Observation(f"newest-{uuid.uuid4().hex[:8]}")
+        (parts.observe(seen, F.max("_newest").alias("newest")).drop("_newest").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{path}/partials"))
+        newest = seen.get["newest"]
+        newest = max([x for x in (newest, before) if x is not None], default=None)
+        (spark.createDataFrame([(newest, batch_id)], "newest timestamp, batch_id long").write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(f"{path}/watermark"))
+
+    return write
+
+
+def merged_windows(spark: SparkSession, path: str, delay: str) -> DataFrame:
+    """T8 read: windows that the last watermark has closed, late rows added, with their number."""
+    parts = spark.read.parquet(f"{path}/partials")
+    newest = spark.read.parquet(f"{path}/watermark").agg(F.max("newest").alias("_newest"))
+    by = [c for c in parts.columns if c not in ("n_events", "value_sum", "late", "batch_id")]
+    aggs = [F.sum("n_events").alias("n_events")]
+    if "value_sum" in parts.columns:
+        aggs.append(F.sum("value_sum").cast("double").alias("value_sum"))
+    aggs.append(F.sum(F.when(F.col("late"), F.col("n_events")).otherwise(0)).alias("n_late"))
+    closed = F.col("window_end") <= F.col("_newest") - F.expr(f"INTERVAL {delay}")
+    return parts.groupBy(*by).agg(*aggs).join(F.broadcast(newest), closed).drop("_newest")  # one row
+
+
+def late_row_metrics(spark: SparkSession, path: str, domain: str, now) -> DataFrame:
+    """A10: LateRows of each batch as metric rows."""
+    from freightlake.operators.metrics import NAMESPACE
+    parts = spark.read.parquet(f"{path}/partials")
+    n = parts.groupBy("batch_id").agg(F.sum(F.when(F.col("late"), F.col("n_events")).otherwise(0)).cast("double").alias("value"))
+    return n.select(F.lit(NAMESPACE).alias("namespace"), F.lit("LateRows").alias("metric"), F.lit(domain).alias("domain"), "value",
+                    F.lit("Count").alias("unit"), F.lit(str(now)).cast("timestamp").alias("ts"), "batch_id")
+
+
+def durable_state(spark: SparkSession) -> None:
+    """Stateful operators keep their state in RocksDB, with changelog checkpoints: each
+    batch writes the changes only, and a restart loads the last snapshot and replays them."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def dedup_stream(stream: DataFrame, keys: list[str], ts_col: str, delay: str) -> DataFrame:
     """T6 (stateful form): drop repeats of a key seen within the watermark delay."""
     return stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark(keys)
@@ -170,32 +237,43 @@ def landing_batch_writer(good_path: str, error_path: str, date_col: str, ts_col:
 
 def upsert_batch_writer(spark: SparkSession, table_path: str, keys: list[str], watermark: str,
                         tie_breaks: list[str] | None = None, part_col: str = "_partition_date",
-                        part_unit: str = "day"):
+                        part_unit: str = "day", ledger: str | None = "upsert"):
     """T6 ``foreachBatch``: latest row per key within the batch (W1), then a
     touched-partition merge (M1/K2) into the bronze table, partitioned by the
-    watermark's day (or month for tables spanning years)."""
+    watermark's day (or month for tables spanning years).  ``ledger`` names the
+    stream in the table's ledger (T9): a batch that is in the table is not merged again
+    when it is replayed (rows with a NULL key would be inserted again).  A stream with a
+    new checkpoint counts its batches anew and needs a new name; None keeps no ledger."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        commit = f"{ledger}/{batch_id}" if ledger else None
+        if commit and tables.is_committed(spark, table_path, commit):
+            return
         latest = latest_per_key(batch, keys, watermark, tie_breaks)
         part = (F.to_date(F.col(watermark)) if part_unit == "day"
                 else F.trunc(F.col(watermark), part_unit))
         latest = latest.withColumn(part_col, part)
-        tables.write_merged(spark, latest, table_path, keys, newer=watermark, part_col=part_col)
+        tables.write_merged(spark, latest, table_path, keys, newer=watermark, part_col=part_col,
+                            commit=commit)
 
     return write
 
 
-def status_batch_writer(spark: SparkSession, table_path: str, ttl_hours: int = 24):
+def status_batch_writer(spark: SparkSession, table_path: str, ttl_hours: int = 24, ledger: str | None = "status"):
     """T7 ``foreachBatch``: hot status rows keyed (vagao_id, updated_at) with
-    ``expires_at = updated_at + ttl``; merged by key (replay-safe)."""
+    ``expires_at = updated_at + ttl``; merged by key, each batch once (``ledger``
+    as in ``upsert_batch_writer``)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        commit = f"{ledger}/{batch_id}" if ledger else None
+        if commit and tables.is_committed(spark, table_path, commit):
+            return
         rows = latest_per_key(batch, ["vagao_id", "updated_at"], "updated_at", ["evento_id"])
         rows = rows.withColumns({
             "expires_at": F.col("updated_at") + F.expr(f"INTERVAL {ttl_hours} HOURS"),
             "_partition_date": F.to_date("updated_at"),
         })
-        tables.write_merged(spark, rows, table_path, ["vagao_id", "updated_at"], newer=None)
+        tables.write_merged(spark, rows, table_path, ["vagao_id", "updated_at"], newer=None, commit=commit)
 
     return write
 
