@@ -7,9 +7,11 @@ mean and the maximum over the chunks of every filter go into one logistic unit,
 which gives the probability of label 1.
 
 The network is learned by Adam from a bounded sample of the labelled rows: the
-``TRAIN_ROWS`` rows least by a hash of the id, with texts of at most
-``TRAIN_CHARS`` characters; one task learns from it, in a fixed order.  Every
-row is scored on its whole text; long texts run through in pieces.
+``TRAIN_ROWS`` rows least by a hash of the id.  Texts of any length are learned from:
+one of more than ``TRAIN_CHARS`` characters is cut into pieces of that length, a new one
+every seven eighths of it, each with the text's label; if pieces make more than ``TRAIN_ROWS``
+examples, those least by a hash of row and piece are taken.  One task learns from them, in a
+fixed order.  Every row is scored on its whole text; long texts run through in pieces.
 
 Defined results: NULL or empty text is one chunk of padding; NULL ids are never
 learned from and not held out; NULL labels are no labels; without labels of both
@@ -30,10 +32,10 @@ from pyspark.sql import functions as F
 from freightlake.llm.common import python_workers
 from freightlake.llm.toxicity import fold, labelled_sample
 
-WIDTH, FILTERS, STRIDE, KERNEL = 8, 24, 4, 8
-BLOCK = 32  # positions; a chunk is four blocks, and a new one begins every three
+WIDTH, FILTERS, STRIDE, KERNEL = 8, 24, 1, 8
+BLOCK = 128  # positions; a chunk is four blocks, and a new one begins every three
 CHUNK, STEP = 4 * BLOCK, 3 * BLOCK
-PIECE = 1 << 20  # bytes of a long text in memory at once, a multiple of STRIDE * BLOCK
+PIECE = 1 << 16  # bytes of a long text in memory at once, a multiple of STRIDE * BLOCK
 TRAIN_ROWS, TRAIN_CHARS, PASSES, BATCH, RATE = 6_000, 8_000, 4, 16, 0.01
 
 
@@ -55,10 +57,11 @@ def padded(text: str | None) -> np.ndarray:
 
 
 def activations(model: dict, raw: np.ndarray) -> np.ndarray:
-    """(positions, filters) after the rectifier; KERNEL is two strides."""
-    x = np.take(model["embed"], raw, axis=0).reshape(-1, STRIDE * WIDTH)
-    half = STRIDE * WIDTH
-    z = x[:-1] @ model["filters"][:half] + x[1:] @ model["filters"][half:] + model["shift"]
+    """(positions, filters) after the rectifier."""
+    x = np.take(model["embed"], raw, axis=0)
+    n = (len(raw) - KERNEL) // STRIDE + 1
+    under = np.lib.stride_tricks.as_strided(x, (n, KERNEL * WIDTH), (STRIDE * WIDTH * x.itemsize, x.itemsize), writeable=False)
+    z = under @ model["filters"] + model["shift"]
     return np.maximum(z, 0, out=z)
 
 
@@ -69,10 +72,10 @@ def chunk_starts(positions: int) -> np.ndarray:
 
 def probability(model: dict, text: str | None) -> float:
     raw = padded(text)
-    positions = len(raw) // STRIDE - 1
-    tops = []  # of blocks; pieces share one stride of bytes, so that no position is lost
+    positions = (len(raw) - KERNEL) // STRIDE + 1
+    tops = []  # of blocks; pieces share bytes, so that no position is lost
     for at in range(0, positions * STRIDE, PIECE):
-        z = activations(model, raw[at:at + PIECE + STRIDE])
+        z = activations(model, raw[at:at + PIECE + KERNEL - STRIDE])
         tops.append(np.maximum.reduceat(z, np.arange(0, len(z), BLOCK)))
     block = np.concatenate(tops)
     starts = chunk_starts(positions) // BLOCK
@@ -141,6 +144,24 @@ def fit(rows: list[tuple[str, int]]) -> dict:
     return model
 
 
+def examples(sample: DataFrame, chars: int = TRAIN_CHARS, rows: int = TRAIN_ROWS) -> DataFrame:
+    """(order, label, text) with long texts in overlapping pieces, at most ``rows`` examples."""
+    python_workers(sample.sparkSession)
+    step = chars - chars // 8
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for order, label, text in zip(*(batch.column(c).to_pylist() for c in ("order", "label", "text")), strict=True):
+                for piece, at in enumerate(range(0, max(1, len(text) - chars // 8), step)):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([order]), pa.array([label], pa.int32()), pa.array([text[at:at + chars]]), pa.array([piece])],
+                        names=["order", "label", "text", "piece"])
+
+    pieces = sample.mapInArrow(cut, "order long, label int, text string, piece long")
+    own = F.when(F.col("piece") == 0, F.col("order")).otherwise(F.xxhash64("order", "piece"))
+    return pieces.select(own.alias("order"), "label", "text").orderBy("order", "label", "text").limit(rows)
+
+
 def learn(sample: DataFrame) -> dict:
     """The network learned from (order, label, text) in one task."""
     python_workers(sample.sparkSession)
@@ -177,7 +198,7 @@ def quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", fold
             id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: id, held_out, score, predicted.  Rows of
     fold ``held`` are never learned from."""
-    sample = labelled_sample(docs, labels, label_col, fold(id_col, folds) != held, TRAIN_ROWS, TRAIN_CHARS, id_col, text_col)
-    scored = score(docs, learn(sample), id_col, text_col)
+    sample = labelled_sample(docs, labels, label_col, fold(id_col, folds) != held, TRAIN_ROWS, id_col, text_col)
+    scored = score(docs, learn(examples(sample)), id_col, text_col)
     return scored.select(id_col, F.coalesce(fold(id_col, folds) == held, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= cut).cast("int").alias("predicted"))

@@ -8,9 +8,8 @@ threshold, below which its weight is exactly zero; what is left is a short list
 of weights, broadcast for scoring (never more than 2^BITS).
 
 The model is learned from a bounded sample of the labelled rows: the
-``TRAIN_ROWS`` rows least by a hash of the id, with texts of at most
-``TRAIN_CHARS`` characters.  Features are made in parallel; one task learns
-from the sample, in the order of that hash.  Every row is scored on its whole
+``TRAIN_ROWS`` rows least by a hash of the id, with their whole texts.  Features are made in parallel; one task learns
+from the sample (places of the features, at most 2^BITS for a text of any length), in the order of that hash.  Every row is scored on its whole
 text.
 
 Defined results: NULL or empty text has no features and scores the model's base
@@ -35,7 +34,7 @@ from freightlake.llm.common import id_text, python_workers, stage
 from freightlake.llm.minhash import _mix
 
 BITS = 20
-TRAIN_ROWS, TRAIN_CHARS, PASSES = 12_000, 30_000, 4
+TRAIN_ROWS, PASSES = 12_000, 4
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -44,13 +43,13 @@ def fold(id_col: str, folds: int) -> Column:
     return F.crc32(id_text(id_col)) % folds
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, allowed: Column, rows: int, chars: int,
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, allowed: Column, rows: int,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(order, label, text) of the ``rows`` labelled documents that are least by
     a hash of their id.  ``allowed`` selects ids that may be learned from."""
     known = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull() & allowed)
              .groupBy(id_col).agg(F.max(label_col).cast("int").alias("__label")))
-    texts = (docs.where(F.col(id_col).isNotNull() & (F.length(text_col) <= chars))
+    texts = (docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
              .select(F.col(id_col), F.col(text_col).alias("__text")))
     order = F.xxhash64(F.lit("sample"), F.col(id_col))
     # ids first, then their texts: only the sample's texts are moved
@@ -165,7 +164,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", folds
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: id, held_out, score, predicted.  Rows of
     fold ``held`` are never learned from."""
-    sample = labelled_sample(docs, labels, label_col, fold(id_col, folds) != held, TRAIN_ROWS, TRAIN_CHARS, id_col, text_col)
+    sample = labelled_sample(docs, labels, label_col, fold(id_col, folds) != held, TRAIN_ROWS, id_col, text_col)
     scored = score(docs, learn(sample), id_col, text_col)
     return scored.select(id_col, F.coalesce(fold(id_col, folds) == held, F.lit(False)).alias("held_out"), "score",
                          (F.col("score") >= cut).cast("int").alias("predicted"))

@@ -5,10 +5,11 @@ A rule is a host and a path: it fits its host and all subdomains when the URL's
 path starts with the rule's path; of several the longest (host and path) wins.
 URLs without a rule get the verdict of gradient-boosted trees on features of the
 URL's text: lengths, depth, share of digits, entropy, counts of parameters,
-hyphens and labels, and statistics of suffixes (how often URLs with the same last
-host label, and with the same first path segment, were blocked).
+hyphens and labels, and statistics of suffixes and hosts: how many URLs and how many
+hosts have the same last host label, how many paths the same host.
 
-The suffix statistics count all labelled rows.  Only the trees are learned from a
+The statistics count all URLs and know no labels; what a rule tests (a host, a first path
+segment) is no feature, so the trees cannot restate the rules.  Only the trees are learned from a
 bounded sample: the ``TRAIN_ROWS`` least distinct URLs by a hash of the URL, each
 with the label that more of its rows have (block if equal).
 
@@ -19,9 +20,10 @@ score is the share of blocks among all labelled rows (0 without any).  An empty
 empty result; other columns are not read.
 
 At scale: rules and trees are expressions.  The statistics are one map-side-combined
-count of the labelled rows by suffix and segment.  The sample's URLs are those
-below a bound on the hash, set by an estimate of the distinct ones, so few of them
-are shuffled.  Suffix tables are broadcast behind a count, else joined.
+count by host (paths by a sketch of bounded size), added up by suffix.  The sample's URLs
+are those below a bound on the hash, set by an estimate of the distinct ones, so few of them
+are shuffled.  Tables of hosts and suffixes are broadcast behind a count, else joined.  Very
+long URLs are expressions on one string like any other.
 """
 
 from __future__ import annotations
@@ -39,7 +41,7 @@ RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www
          ("block", "net", "/es/"), ("block", "net", "/fr/"))
 TRAIN_ROWS, TREES, DEPTH, CUT = 20_000, 12, 3, 0.5
 FEATURES = ("url_chars", "host_chars", "path_chars", "depth", "digit_share", "entropy", "n_params", "n_hyphens",
-            "n_labels", "longest_label", "has_fragment", "suffix_rate", "segment_rate")
+            "n_labels", "longest_label", "has_fragment", "suffix_urls", "suffix_hosts", "host_paths")
 
 
 def split_url(url: Column) -> tuple[Column, Column]:
@@ -75,13 +77,13 @@ def entropy(text: Column) -> Column:
     return F.when(n > 0, let(chars, of)).otherwise(F.lit(0.0))
 
 
-def suffix_segment() -> tuple[Column, Column]:
-    """Last label of ``host`` and first segment of ``path``."""
-    return F.substring_index("host", ".", -1).alias("suffix"), F.regexp_extract("path", r"^/([^/]*)", 1).alias("segment")
+def suffix() -> Column:
+    """Last label of ``host``."""
+    return F.substring_index("host", ".", -1)
 
 
 def lexical(urls: DataFrame, url_col: str) -> DataFrame:
-    """``urls`` with host, path, suffix, segment and the features of the URL alone."""
+    """``urls`` with host, path, suffix and the features of the URL alone."""
     host, path = split_url(F.col(url_col))
     u = F.coalesce(F.col(url_col), F.lit(""))
     count = lambda t, others: F.length(F.regexp_replace(t, others, "")).cast("double")
@@ -89,8 +91,7 @@ def lexical(urls: DataFrame, url_col: str) -> DataFrame:
     out = urls.withColumns({"host": host, "path": path})
     labels = F.split("host", r"\.")
     return out.withColumns({
-        **dict(zip(("suffix", "segment"), suffix_segment(), strict=True)),
-        "url_chars": F.length(u).cast("double"), "host_chars": F.length("host").cast("double"),
+        "suffix": suffix(), "url_chars": F.length(u).cast("double"), "host_chars": F.length("host").cast("double"),
         "path_chars": F.length("path").cast("double"), "depth": count(F.col("path"), "[^/]+"),
         "digit_share": F.when(F.length(u) > 0, count(u, "[^0-9]+") / F.length(u)).otherwise(F.lit(0.0)),
         "entropy": entropy(u),
@@ -100,10 +101,15 @@ def lexical(urls: DataFrame, url_col: str) -> DataFrame:
         "has_fragment": F.contains(u, F.lit("#")).cast("double")})
 
 
-def suffix_rates(counts: DataFrame, column: str, rate: str) -> DataFrame:
-    """Blocked share by value, drawn towards one half for rare values, from
-    (n, blocked) counts."""
-    return counts.groupBy(column).agg(((F.sum("blocked") + 1.0) / (F.sum("n") + 2.0)).alias(rate))
+def host_statistics(urls: DataFrame, url_col: str) -> tuple[DataFrame, DataFrame]:
+    """(host, host_paths) and (suffix, suffix_urls, suffix_hosts) over all rows, as
+    logarithms; paths are counted by a sketch."""
+    host, path = split_url(F.col(url_col))
+    hosts = stage(urls.select(host.alias("host"), path.alias("path")).groupBy("host")
+                  .agg(F.count("*").alias("n"), F.approx_count_distinct("path").alias("paths")), "hosts")
+    suffixes = stage(hosts.groupBy(suffix().alias("suffix")).agg(F.log1p(F.sum("n")).alias("suffix_urls"),
+                                                                F.log1p(F.count("*")).alias("suffix_hosts")), "suffixes")
+    return hosts.select("host", F.log1p("paths").alias("host_paths")), suffixes
 
 
 def url_sample(known: DataFrame, url_col: str, rows: int, distinct: int) -> DataFrame:
@@ -116,29 +122,23 @@ def url_sample(known: DataFrame, url_col: str, rows: int, distinct: int) -> Data
 
 
 class UrlModel:
-    """Suffix tables and trees learned from (url, label) rows; label 1 is block."""
+    """Statistics of all ``urls`` and trees learned from (url, label) rows; label 1 is block."""
 
-    def __init__(self, labelled: DataFrame, url_col: str, rows: int = TRAIN_ROWS):
+    def __init__(self, labelled: DataFrame, urls: DataFrame, url_col: str, rows: int = TRAIN_ROWS):
         known = labelled.where(F.col("label").isNotNull()).select(F.col(url_col), F.col("label").cast("double").alias("label"))
-        host, path = split_url(F.col(url_col))
-        counts = stage(known.select(url_col, "label", host.alias("host"), path.alias("path"))
-                       .select("label", *suffix_segment())
-                       .groupBy("suffix", "segment").agg(F.count("*").alias("n"), F.sum("label").alias("blocked")),
-                       "url-counts")
-        self.suffix = if_small(stage(suffix_rates(counts, "suffix", "suffix_rate"), "suffixes"))
-        self.segment = if_small(stage(suffix_rates(counts, "segment", "segment_rate"), "segments"))
-        n, blocked = counts.agg(F.sum("n"), F.sum("blocked")).first()
-        self.share, self.trees = (blocked or 0.0) / max(n or 0, 1), None
-        distinct = known.agg(F.approx_count_distinct(url_col)).first()[0] if (n or 0) > 4 * rows else 0
+        self.hosts, self.suffixes = (if_small(t) for t in host_statistics(urls, url_col))
+        n, blocked, distinct = known.agg(F.count("*"), F.sum("label"), F.approx_count_distinct(url_col)).first()
+        self.share, self.trees = (blocked or 0.0) / max(n, 1), None
         sample = stage(lexical(url_sample(known, url_col, rows, distinct), url_col), "url-sample")
         if sample.select("label").distinct().count() == 2:
             data = self.vectors(sample).select("features", "label", "__order").coalesce(1).sortWithinPartitions("__order")
             self.trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=0.3, seed=7, checkpointInterval=-1).fit(data)
 
     def vectors(self, urls: DataFrame) -> DataFrame:
-        rated = (urls.join(self.suffix, "suffix", "left").join(self.segment, "segment", "left")
-                 .fillna(0.5, ["suffix_rate", "segment_rate"]))
-        return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(rated)
+        """``urls`` (with their lexical columns) and their features; hosts and suffixes never counted have none."""
+        known = (urls.join(self.hosts, "host", "left").join(self.suffixes, "suffix", "left")
+                 .fillna(0.0, ["host_paths", "suffix_urls", "suffix_hosts"]))
+        return VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(known)
 
     def score(self, urls: DataFrame) -> DataFrame:
         """``urls`` (with their lexical columns) and the probability of a block."""
@@ -161,7 +161,8 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, id_col: str = "pa
     """One row for each row of ``pages``: id, host, path, rule, verdict, score.
     ``labelled`` has url and label; without it the trees learn from the URLs
     that the rules judge."""
-    model = UrlModel(by_rules(pages, url_col, rules) if labelled is None else labelled, url_col)
+    urls = pages.select(F.col(url_col))
+    model = UrlModel(by_rules(urls, url_col, rules) if labelled is None else labelled, urls, url_col)
     own = lexical(pages.select(F.col(id_col), F.col(url_col)), url_col)
     name, verdict = rule_verdict(F.col("host"), F.col("path"), rules)
     scored = model.score(own.withColumns({"rule": name, "__verdict": verdict}))

@@ -119,31 +119,51 @@ def test_url_rules_by_brute_force(spark):
         assert r.verdict == (verdict or ("block" if r.score >= url_filter.CUT else "allow"))
 
 
-def test_trees_learn_the_labels(spark):
-    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
-    known = url_filter.by_rules(pages, "url")
+def test_trees_judge_by_the_urls_text(spark):
+    """Labels that depend on the text are learned, on URLs never seen; a whole rule left
+    out of the training is scored by several features, not by what the rules test."""
+    made = spark.range(4000).select(
+        F.concat(F.lit("http://h"), F.col("id") % 97, F.when(F.col("id") % 3 == 0, ".org/").otherwise(".info/"),
+                 F.when(F.xxhash64("id") % 2 == 0, F.concat(F.lit("a/b/c?x="), F.md5(F.col("id").cast("string"))))
+                 .otherwise(F.concat(F.lit("page/"), F.col("id") % 500))).alias("url"),
+        (F.xxhash64("id") % 2 == 0).cast("int").alias("label"))
     part = F.pmod(F.xxhash64("url"), F.lit(4))
-    model = url_filter.UrlModel(known.where(part > 0), "url")
-    rows = model.score(url_filter.lexical(known.where(part == 0), "url")).select("label", "score").collect()
-    assert np.mean([(r.score >= 0.5) == (r.label == 1) for r in rows]) > 0.9
+    model = url_filter.UrlModel(made.where(part > 0), made, "url")
+    rows = model.score(url_filter.lexical(made.where(part == 0), "url")).select("label", "score").collect()
+    assert np.mean([(r.score >= 0.5) == (r.label == 1) for r in rows]) > 0.95
+
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("url")
+    left_out = [r for r in url_filter.RULES if r[1:] != ("net", "/fr/")]
+    model = url_filter.UrlModel(url_filter.by_rules(pages, "url", left_out), pages, "url")
+    importance = model.trees.featureImportances.toArray()
+    assert (importance > 0).sum() >= 4 and importance.max() < 0.9
+    free = url_filter.lexical(pages.join(url_filter.by_rules(pages, "url"), "url", "left_anti"), "url")
+    assert model.score(free).select(F.round("score", 6)).distinct().count() > 10
 
 
 def test_url_statistics_count_all_rows_and_the_sample_distinct_urls(spark):
     hot = spark.range(300).select(F.lit("http://hot.example/a/1").alias("url"), F.lit(1).alias("label"))
     few = spark.createDataFrame([(f"http://h{i}.s{i % 50}/g{i % 40}/x", i % 2) for i in range(200)], "url string, label int")
-    model = url_filter.UrlModel(hot.unionByName(few), "url", rows=40)
-    assert model.trees is not None
-    suffix = {r.suffix: r.suffix_rate for r in model.suffix.collect()}
-    segment = {r.segment: r.segment_rate for r in model.segment.collect()}
-    assert suffix == {"example": 301 / 302} | {f"s{k}": (1 + (4 if k % 2 else 0)) / 6 for k in range(50)}
-    assert segment == {"a": 301 / 302} | {f"g{k}": (1 + (5 if k % 2 else 0)) / 7 for k in range(40)}
     known = hot.unionByName(few)
+    hosts, suffixes = url_filter.host_statistics(known.select("url"), "url")
+    want = {"example": (300, 1)} | {f"s{k}": (4, 4) for k in range(50)}
+    assert {r.suffix: (round(np.expm1(r.suffix_urls)), round(np.expm1(r.suffix_hosts))) for r in suffixes.collect()} == want
+    assert {round(np.expm1(r.host_paths)) for r in hosts.collect()} == {1} and hosts.count() == 201
+    assert url_filter.UrlModel(known, known, "url", rows=40).trees is not None
     for distinct in (0, 201):
         sample = url_filter.url_sample(known, "url", 40, distinct).collect()
         want = known.select(F.xxhash64(F.lit("sample"), "url").alias("h"), "url").distinct().orderBy("h").limit(40).collect()
         assert [r.url for r in sample] == [r.url for r in want]
 
 
+def test_very_long_urls(spark):
+    long = "http://h.org/" + "a/" * 50_000 + "?" + "&".join(f"k{i}=1" for i in range(20_000))
+    pages = spark.createDataFrame([(1, long), (2, "http://" + "h." * 30_000 + "com/x"), (3, "http://a.net/es/" + "é" * 100_000)],
+                                  "page_id long, url string")
+    rows = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge(pages).collect()}
+    assert rows[2] == ("com/", "allow") and rows[3] == ("net/es/", "block") and rows[1][0] is None
+
+
 def test_url_edge_tables(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x"), (1, "http://a.org/x"), (None, None)], "page_id long, url string")
     extra = pages.withColumn("host", F.lit(1)).withColumn("score", F.lit(2))
@@ -151,3 +171,57 @@ def test_url_edge_tables(spark):
     assert url_filter.judge(pages.where("page_id < 0")).count() == 0
     entropy = spark.createDataFrame([("aabb",), ("",), ("abcd",)], "t string").select(url_filter.entropy(F.col("t"))).collect()
     assert [round(r[0], 6) for r in entropy] == [1.0, 0.0, 2.0]
+
+
+def test_long_texts_are_learned_from_in_pieces(spark):
+    text = "".join(chr(97 + i * i % 26) for i in range(1000))
+    sample = spark.createDataFrame([(5, 1, text), (6, 0, "short"), (7, 0, ""), (8, 1, "x" * 80)], "order long, label int, text string")
+    rows = byte_cnn.examples(sample, chars=80, rows=100).collect()
+    own = [r.text for r in rows if r.label == 1 and "x" * 80 != r.text]
+    assert sorted(own) == sorted(text[at:at + 80] for at in range(0, 990, 70)) and {r.text for r in rows} >= {"short", "", "x" * 80}
+    few = byte_cnn.examples(sample, chars=80, rows=6).collect()
+    assert len(few) == 6 and {(r.order, r.text) for r in few} <= {(r.order, r.text) for r in rows}
+
+
+def test_probability_equals_a_plain_convolution():
+    draw = np.random.default_rng(4)
+    model = byte_cnn.initial()
+    for n in (0, 3, 8, 127, 500, 1700):
+        text = "".join(chr(draw.integers(32, 127)) for _ in range(n))
+        raw = list(text.encode()) + [0] * max(0, 8 - n)
+        z = np.array([np.maximum(0, sum(model["embed"][raw[i + k]] @ model["filters"][8 * k:8 * k + 8] for k in range(8)) + model["shift"])
+                      for i in range(len(raw) - 7)])
+        chunks = np.array([z[s:s + 512].max(0) for s in byte_cnn.chunk_starts(len(z))])
+        x = chunks.mean(0) @ model["mean"] + chunks.max(0) @ model["top"] + model["bias"][0]
+        assert abs(byte_cnn.probability(model, text) - 1 / (1 + np.exp(-x))) < 1e-5
+
+
+def test_toxicity_equals_a_plain_version(spark):
+    """The whole operator by dictionaries: features, the order of the sample, FTRL, scores."""
+    rows = [(i, " ".join(["bad" if i % 3 == 0 and j % 4 == 0 else f"w{(i * 7 + j) % 30}" for j in range(12)])) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    orders = {r.doc_id: (r.o, r.f) for r in docs.select(
+        "doc_id", F.xxhash64(F.lit("sample"), "doc_id").alias("o"), (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4).alias("f")).collect()}
+    hashes = toxicity.TextHashes()
+    places = {i: sorted(set(toxicity.features(t, hashes).tolist())) + ["bias"] for i, t in rows}
+    z, n = {}, {}
+
+    def weight(k):
+        v = z.get(k, 0.0)
+        return 0.0 if abs(v) <= 6.0 else (np.sign(v) * 6.0 - v) / ((1 + np.sqrt(n.get(k, 0.0))) / 2.0 + 0.5)
+
+    for _ in range(toxicity.PASSES):
+        for i, _t in sorted(rows, key=lambda r: orders[r[0]][0]):
+            if orders[i][1] == 2:
+                continue
+            w = {k: weight(k) for k in places[i]}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - (i % 3 == 0)
+            for k in places[i]:
+                old = n.get(k, 0.0)
+                z[k] = z.get(k, 0.0) + g - (np.sqrt(old + g * g) - np.sqrt(old)) / 2.0 * w[k]
+                n[k] = old + g * g
+    got = {r.doc_id: (r.held_out, r.score) for r in toxicity.toxicity(docs, labels).collect()}
+    for i, _t in rows:
+        want = 1 / (1 + np.exp(-sum(weight(k) for k in places[i])))
+        assert got[i][0] == (orders[i][1] == 2) and abs(got[i][1] - want) < 1e-9
