@@ -134,5 +134,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = linked.join(named, "component").select(F.col("fp").alias("node"), "component_id")
     found = (classes.join(labels, F.col("fp") == F.col("node"), "left")
              .select("fp", F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")))
+    found = stage(found, "fingerprint-components")  # a plain join, whose hot fingerprints are split
     return (rows.join(found, "fp")
             .select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
