@@ -154,7 +154,7 @@ def _run_day(spark, raw_path, wagons, contracts, layout, processing_date, now, r
         min_rows = (quality.min_rows_from_history(spark.read.parquet(layout.metrics), domain)
                     if tables.path_exists(spark, layout.metrics) else quality.MIN_ROWS)
     bronze = ingest(spark, raw_path, layout.bronze, domain, PK, WATERMARK, run_id, now, fmt, schema,
-                    require_success, layout.quarantine, index_buckets)
+                    require_success, layout.quarantine, index_buckets=index_buckets)
     drift = []
     if contract is not None:
         empty = spark.createDataFrame([], bronze["schema"])

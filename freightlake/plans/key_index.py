@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKETS = 64
+BUCKETS = 16
 #: A look-up reads at most so many increments; the next merge after that compacts.
 INCREMENTS = 8
 
