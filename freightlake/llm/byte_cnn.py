@@ -36,7 +36,7 @@ WIDTH, FILTERS, STRIDE, KERNEL = 8, 24, 1, 8
 BLOCK = 128  # positions; a chunk is four blocks, and a new one begins every three
 CHUNK, STEP = 4 * BLOCK, 3 * BLOCK
 PIECE = 1 << 16  # bytes of a long text in memory at once, a multiple of STRIDE * BLOCK
-TRAIN_ROWS, TRAIN_CHARS, PASSES, BATCH, RATE = 6_000, 8_000, 4, 16, 0.01
+TRAIN_ROWS, TRAIN_CHARS, PASSES, BATCH, RATE = 3_000, 8_000, 3, 16, 0.01
 
 
 def initial() -> dict[str, np.ndarray]:
