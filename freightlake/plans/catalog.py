@@ -20,13 +20,13 @@ from freightlake.functions.expressions import (
     round_half_up,
     status_norm,
 )
-from freightlake.operators import checks, dedup, dims, gold, history, metrics, quality, upsert
+from freightlake.operators import checks, dedup, dims, gold, history, metrics, quality, upsert, validity
 from freightlake.operators.checks import ColumnTest
 from freightlake.operators.enrich import sla_rate_by_client
 from freightlake.operators.schema_ops import add_audit, evolve_union
 from freightlake.plans import domain as dm
+from freightlake.plans import journal, tables
 from freightlake.plans import oracle as o
-from freightlake.plans import tables
 from freightlake.schemas import VALID_STATUSES
 from freightlake.session import scratch_path
 from freightlake.sources import driver_tables as dt
@@ -666,6 +666,88 @@ def q_layer_added_column(spark, sf):
     return read_layer(spark, path).crossJoin(F.broadcast(total))  # one row
 
 
+# A journaled table after three merges: the orders, updates of two thirds of the keys, and
+# later updates of the even keys.  States and versions come from the journal alone.
+_JOURNAL_RUNS = [("orders", "2024-01-01 06:00:00"), ("updates", "2024-01-02 06:00:00"), ("later", "2024-01-03 06:00:00")]
+
+
+def _merged_sql(target: str, source: str) -> str:
+    wins = "s.o_orderkey IS NOT NULL AND (t.o_orderkey IS NULL OR coalesce(s.updated_at > t.updated_at, false))"
+    cols = ("o_orderkey", "o_orderstatus", "o_totalprice", "updated_at")
+    return (f"SELECT {', '.join(f'CASE WHEN {wins} THEN s.{c} ELSE t.{c} END AS {c}' for c in cols)} "
+            f"FROM {target} t FULL OUTER JOIN {source} s ON t.o_orderkey = s.o_orderkey")
+
+
+_JOURNAL_SQL = f"""WITH {_UPSERT_SRC_SQL.strip()},
+s1 AS (SELECT * REPLACE (CAST(updated_at AS DATE) AS updated_at) FROM t),
+b2 AS (SELECT * REPLACE (CAST(updated_at AS DATE) AS updated_at) FROM s WHERE o_orderkey % 3 <> 0),
+b3 AS (SELECT * REPLACE (CAST(updated_at AS DATE) + 40 AS updated_at, 'L' AS o_orderstatus) FROM s WHERE o_orderkey % 2 = 0),
+s2 AS ({_merged_sql("s1", "b2")}),
+s3 AS ({_merged_sql("s2", "b3")})"""
+
+
+def _journaled_orders(spark, sf) -> str:
+    path = scratch_path(spark, "orders-journal")
+    day = F.col("updated_at").cast("date")
+    orders = _orders_target(spark, sf).withColumn("updated_at", day)
+    updates = _stored(_orders_updates(spark, sf).withColumn("updated_at", day), "updates")
+    batches = [orders, updates.filter("o_orderkey % 3 <> 0"),
+               updates.filter("o_orderkey % 2 = 0").withColumns({
+                   "updated_at": F.date_add("updated_at", 40), "o_orderstatus": F.lit("L")})]
+    for batch, (run_id, at) in zip(batches, _JOURNAL_RUNS):
+        tables.write_merged(spark, batch.withColumn("_partition_year", F.trunc("updated_at", "year")), path, "o_orderkey",
+                            newer="updated_at", part_col="_partition_year", run=journal.Run(run_id, at))
+    return path
+
+
+@register("merged_as_of", "K10 K2", _JOURNAL_SQL + """
+SELECT *, CAST(date_trunc('year', updated_at) AS DATE) AS _partition_year, '2024-01-01' AS as_of FROM s1
+UNION ALL SELECT *, CAST(date_trunc('year', updated_at) AS DATE), '2024-01-02' FROM s2
+UNION ALL SELECT *, CAST(date_trunc('year', updated_at) AS DATE), '2024-01-03' FROM s3""")
+def q_merged_as_of(spark, sf):
+    path = _journaled_orders(spark, sf)
+    states = [journal.state_at(spark, path, f"{at[:10]} 23:59:59").withColumn("as_of", F.lit(at[:10])) for _, at in _JOURNAL_RUNS]
+    return states[0].unionByName(states[1]).unionByName(states[2])
+
+
+@register("row_versions", "K10 K2", _JOURNAL_SQL + """,
+v AS (SELECT *, 1 AS n FROM s1 UNION ALL SELECT *, 2 FROM s2 UNION ALL SELECT *, 3 FROM s3),
+c AS (SELECT *, lag(n) OVER w AS pn, lag(updated_at) OVER w AS pu FROM v
+      WHERE o_orderkey IS NOT NULL WINDOW w AS (PARTITION BY o_orderkey ORDER BY n)),
+k AS (SELECT * FROM c WHERE pn IS NULL OR updated_at > pu OR (updated_at IS NOT NULL AND pu IS NULL))
+SELECT o_orderkey, o_orderstatus, o_totalprice, updated_at, CAST(date_trunc('year', updated_at) AS DATE) AS _partition_year,
+       TIMESTAMP '2024-01-01 06:00:00' + to_days(n - 1) AS valid_from,
+       TIMESTAMP '2024-01-01 06:00:00' + to_days(lead(n) OVER (PARTITION BY o_orderkey ORDER BY n) - 1) AS valid_to FROM k
+UNION ALL
+SELECT o_orderkey, o_orderstatus, o_totalprice, updated_at, CAST(date_trunc('year', updated_at) AS DATE),
+       TIMESTAMP '2024-01-01 06:00:00' + to_days(n - 1), NULL
+FROM (SELECT o_orderkey, o_orderstatus, o_totalprice, updated_at, 1 AS n FROM s1 WHERE o_orderkey IS NULL) x""")
+def q_row_versions(spark, sf):
+    out = journal.versions(spark, _journaled_orders(spark, sf))
+    return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("valid_from", "valid_to")})
+
+
+# Contracts whose SLA changes twice in the month (a run each), joined to the events as of
+# their instant: an event before the first run has no contract.
+@register("sla_as_of_event", "D2 K10 J2", o.with_ctes() + """
+SELECT e.evento_id, e.contrato_id, e.updated_at, c.cliente_nome,
+       CASE WHEN c.contrato_id IS NULL THEN NULL
+            WHEN e.updated_at >= TIMESTAMP '2024-01-21 00:00:00' AND c.contrato_id % 5 = 0 THEN 6
+            WHEN e.updated_at >= TIMESTAMP '2024-01-11 00:00:00' AND c.contrato_id % 3 = 0 THEN c.sla_horas + 2
+            ELSE c.sla_horas END AS sla_horas
+FROM ev e LEFT JOIN contracts c ON e.contrato_id = c.contrato_id AND e.updated_at >= TIMESTAMP '2024-01-05 00:00:00'""")
+def q_sla_as_of_event(spark, sf):
+    path = scratch_path(spark, "contracts-journal")
+    contracts = dt.raw_contracts(spark, sf)
+    first = contracts.filter("contrato_id % 3 = 0").withColumn("sla_horas", F.col("sla_horas") + 2)
+    second = contracts.filter("contrato_id % 5 = 0").withColumn("sla_horas", F.lit(6))
+    for batch, run_id, at in ((contracts, "all", "2024-01-05 00:00:00"), (first, "first", "2024-01-11 00:00:00"),
+                              (second, "second", "2024-01-21 00:00:00")):
+        tables.write_merged(spark, batch, path, "contrato_id", part_col="segmento", run=journal.Run(run_id, at))
+    events = dt.raw_events(spark, sf).select("evento_id", "contrato_id", "updated_at")
+    return validity.as_of_join(events, journal.versions(spark, path), "contrato_id", "updated_at", ["cliente_nome", "sla_horas"])
+
+
 @register("repeated_source_keys", "M4", """
 SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY 1 HAVING count(*) > 1""")
 def q_repeated_source_keys(spark, sf):

@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from freightlake.operators.dedup import latest_per_key
 from freightlake.operators.upsert import AmbiguousMergeError, merge_upsert
-from freightlake.plans import key_index
+from freightlake.plans import journal, key_index
 from freightlake.session import scratch_path, shared_dir
 
 DEFAULT_PART = "_partition_date"
@@ -251,6 +251,8 @@ def finish_merge(spark: SparkSession, path: str, part_col: str = DEFAULT_PART) -
         save_schema(spark, path, staged.schema)
         if path_exists(spark, f"{stage}/index/_SUCCESS"):
             key_index.apply_changes(spark, path, f"{stage}/index")
+        if path_exists(spark, f"{stage}/journal/runs/_SUCCESS"):
+            journal.apply_stage(spark, path, f"{stage}/journal")
         if path_exists(spark, f"{stage}/commit"):
             for row in spark.read.text(f"{stage}/commit").collect():  # one entry
                 record_commit(spark, path, row[0])
@@ -263,7 +265,7 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
                  newer: str | None = None, part_col: str = DEFAULT_PART,
                  sort_cols: list[str] | None = None, snapshot: bool = True,
                  since=None, late_path: str | None = None, index_buckets: int | None = None,
-                 commit: str | None = None) -> dict:
+                 commit: str | None = None, run: journal.Run | None = None) -> dict:
     """K2: merge ``source`` into the table at ``path`` rewriting touched partitions only.
 
     The batch is written as a snapshot first (``snapshot=False`` when it already
@@ -284,12 +286,16 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     its data (T9): the entry stands in the stage, so a write that is seen is entered,
     after a stop too.  A write that is entered already changes nothing.
 
+    ``run`` enters the rows that the merge changes into the table's journal (K10,
+    ``plans.journal``); once a table has one, every merge needs a run.
+
     Returns ``{"touched": n, "emptied": n}`` (-1: the table is new).
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
     finish_merge(spark, path, part_col)
     if commit is not None and path_exists(spark, _entry(path, commit)):
         return {"touched": 0, "emptied": 0}
+    journal.check_run(spark, path, keys, run)
     snap = None
     if snapshot:
         snap = scratch_path(spark, "merge-source")
@@ -304,12 +310,14 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     most, key_range = batch_profile(source, keys)
     if most > 1:
         raise AmbiguousMergeError(f"a source key repeats ({most} rows for one key)")
-    if not path_exists(spark, f"{path}/_schema") and (commit is not None or not path_exists(spark, path)):
-        if commit is None:
+    if not path_exists(spark, f"{path}/_schema") and not glob_paths(spark, f"{path}/{part_col}=*"):
+        if commit is None and run is None:
             write_table(source, path, part_col, sort_cols)
             save_schema(spark, path, source.schema)
         else:  # staged like a merge, so that rows and entry appear together
             parts = [r[0] for r in source.select(part_col).distinct().collect()]
+            if run is not None:
+                journal.stage(spark, path, f"{_stage_of(path)}/journal", keys, run, None, None, source.columns)
             _stage_write(spark, source, path, part_col, sort_cols, parts, commit)
             finish_merge(spark, path, part_col)
         if index_buckets:
@@ -321,7 +329,7 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
             index = key_index.create(spark, path, keys, newer, part_col, index_buckets)
         if index is not None and (list(index.keys), index.newer, index.part_col) != (keys, newer, part_col):
             raise ValueError(f"the key index of {path} is by {index.keys}, {index.newer}, {index.part_col}")
-        stats = _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index, commit)
+        stats = _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index, commit, run)
         if commit is not None and not path_exists(spark, _entry(path, commit)):
             record_commit(spark, path, commit)  # nothing to change
     if snap:
@@ -344,7 +352,8 @@ def _stage_write(spark, rows, path, part_col, sort_cols, touched: list, commit:
     return sum(v not in present for v in names)
 
 
-def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index=None, commit=None) -> dict:
+def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index=None, commit=None,
+                    run=None) -> dict:
     if index is not None and key_index.next_seq(spark, index) > key_index.INCREMENTS:
         key_index.compact(spark, index)
     target = read_table(spark, path)
@@ -362,6 +371,10 @@ def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_r
         merged = merge_upsert(affected, effective.drop("_old", "_hit"), keys)
         if index is not None:
             key_index.stage_changes(spark, index, effective, f"{_stage_of(path)}/index")
+        if run is not None:
+            left = [r[0] for r in effective.filter(F.col("_hit")).select("_old").distinct().collect()]
+            journal.stage(spark, path, f"{_stage_of(path)}/journal", keys, run,
+                          target.filter(in_partitions(part_col, left)), effective, merged.columns)
         emptied = _stage_write(spark, merged, path, part_col, sort_cols, touched, commit)
         finish_merge(spark, path, part_col)
     delete_path(spark, changed)

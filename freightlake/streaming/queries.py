@@ -263,12 +263,29 @@ SELECT s.event_id AS partida_id, e.event_id AS chegada_id, s.user_id AS vagao_id
 FROM events s JOIN events e ON e.user_id = s.user_id AND e.ts >= s.ts AND e.ts <= s.ts + INTERVAL 24 HOUR
 WHERE s.event_type = 'click' AND e.event_type = 'purchase'""")
 def q_stream_pairs(spark, sf):
+    return _pairs(spark, sf, "inner")
+
+
+# Departures without an arrival within a day come out when the watermark (the older side's
+# last event less an hour) has passed that day; those whose day is open yet are withheld.
+@register("stream_open_departures", "T5 J9 T8", """
+WITH w AS (SELECT least(max(ts) FILTER (WHERE event_type = 'click'), max(ts) FILTER (WHERE event_type = 'purchase'))
+                  - INTERVAL 1 HOUR AS mark FROM events)
+SELECT s.event_id AS partida_id, e.event_id AS chegada_id, s.user_id AS vagao_id, s.ts AS partida, e.ts AS chegada
+FROM events s CROSS JOIN w
+LEFT JOIN events e ON e.event_type = 'purchase' AND e.user_id = s.user_id AND e.ts >= s.ts AND e.ts <= s.ts + INTERVAL 24 HOUR
+WHERE s.event_type = 'click' AND (e.event_id IS NOT NULL OR s.ts + INTERVAL 24 HOUR < w.mark)""")
+def q_stream_open_departures(spark, sf):
+    return _pairs(spark, sf, "left_outer")
+
+
+def _pairs(spark, sf, how):
     # departures (EM_TRANSITO) with the arrivals (CHEGOU) of the same wagon within a day
     departures = st.normalised_event_stream(spark, sf).filter("status_norm = 'EM_TRANSITO'").select(
         F.col("evento_id").alias("partida_id"), "vagao_id", F.col("updated_at").alias("partida"))
     arrivals = st.normalised_event_stream(spark, sf).filter("status_norm = 'CHEGOU'").select(
         F.col("evento_id").alias("chegada_id"), "vagao_id", F.col("updated_at").alias("chegada"))
-    pairs = st.interval_join(departures, arrivals, "vagao_id", "partida", "chegada", "24 HOURS", "1 hour")
+    pairs = st.interval_join(departures, arrivals, "vagao_id", "partida", "chegada", "24 HOURS", "1 hour", how)
     out = scratch_path(spark, "stream-pairs")
     st.to_parquet_sink(pairs, out, scratch_path(spark, "ckpt-pairs"))
     return _ntz(spark.read.parquet(out), "partida", "chegada")

@@ -162,10 +162,14 @@ def enrich_stream(stream: DataFrame, wagons: DataFrame, contracts: DataFrame) ->
 
 
 def interval_join(starts: DataFrame, ends: DataFrame, key: str, start_ts: str, end_ts: str,
-                  max_gap: str, delay: str) -> DataFrame:
-    """Stream-stream inner join of start and end events of a key with
+                  max_gap: str, delay: str, how: str = "inner") -> DataFrame:
+    """Stream-stream join of start and end events of a key with
     ``start <= end <= start + gap``.
 
+    ``how="left_outer"`` also emits starts without an end, once the watermark (the
+    smaller of both sides) has passed their gap and their state expires; starts whose
+    gap is still open when the input ends stay in the state.
+
     Both sides carry watermarks, so join state older than the bound is dropped.
     A key's events within one gap are paired with each other.
     """
@@ -174,7 +178,7 @@ def interval_join(starts: DataFrame, ends: DataFrame, key: str, start_ts: str, e
     cond = ((F.col(f"s.{key}") == F.col(f"e._e_{key}"))
             & (F.col(f"e.{end_ts}") >= F.col(f"s.{start_ts}"))
             & (F.col(f"e.{end_ts}") <= F.col(f"s.{start_ts}") + F.expr(f"INTERVAL {max_gap}")))
-    return s.join(e, cond, "inner").drop(f"_e_{key}")
+    return s.join(e, cond, how).drop(f"_e_{key}")
 
 
 def batch_lag_metrics(batch: DataFrame, ts_col: str, domain: str, now=None) -> DataFrame:
