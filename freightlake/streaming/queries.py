@@ -15,6 +15,11 @@ from freightlake.plans import tables
 from freightlake.plans.catalog import _LI_COLS, _LI_KEYS, _LI_TIES, register
 from freightlake.session import scratch_path
 from freightlake.sources import driver_tables as dt
+from freightlake.operators import metrics
+from freightlake.operators.schema_ops import require_columns
+from freightlake.plans import packing
+from freightlake.sources.raw import CORRUPT
+from freightlake.streaming import monitor as mon
 from freightlake.streaming import streams as st
 
 _WINDOW = "1 hour"
@@ -47,13 +52,14 @@ def _arrivals(spark, sf) -> list:
             ev.filter(late | (day >= second) | day.isNull())]
 
 
-def _run_arrivals(spark, arrivals, start) -> None:
+def _run_arrivals(spark, arrivals, start, max_bytes=None) -> None:
     """Each arrival is written in parallel and processed as one micro-batch of one
-    checkpoint; ``start`` runs the stream over the folder until all is read."""
+    checkpoint (as several of at most ``max_bytes``, if given); ``start`` runs the stream
+    over the folder until all is read."""
     path = scratch_path(spark, "arrivals")
     for part in arrivals:
         part.write.mode("append").parquet(path)
-        start(st.normalised_event_stream(spark, path, None))
+        start(st.normalised_event_stream(spark, path, None, max_bytes_per_trigger=max_bytes))
 
 
 @register("stream_windows", "T3 T8 A11", f"""
@@ -189,6 +195,19 @@ def q_stream_restart(spark, sf):
 _LANDING_SCHEMA = "evento_id long, vagao_id long, status string, dia date"
 
 
+def _landing_json(spark, sf) -> str:
+    """A folder of the events as JSON lines; those of status ``error`` lack their last brace."""
+    landing = scratch_path(spark, "landing-events-json")
+    ev = dt.raw_events(spark, sf)
+    j = F.to_json(F.struct("evento_id", "vagao_id", "status",
+                           F.date_format("data_inicio", "yyyy-MM-dd").alias("dia")))
+    bad = F.expr("substring(_j, 1, length(_j) - 1)")
+    (ev.withColumn("_j", j)
+       .select(F.when(F.col("status") == "error", bad).otherwise(F.col("_j")).alias("value"))
+       .write.text(landing))
+    return landing
+
+
 @register("stream_landing", "T1 T2 S8 S10", o.with_ctes() + """
 SELECT CASE WHEN status = 'error' THEN NULL ELSE evento_id END AS evento_id,
        CASE WHEN status = 'error' THEN NULL ELSE vagao_id END AS vagao_id,
@@ -201,15 +220,7 @@ SELECT CASE WHEN status = 'error' THEN NULL ELSE evento_id END AS evento_id,
        coalesce(status = 'error', false) AS has_source
 FROM ev""")
 def q_stream_landing(spark, sf):
-    landing = scratch_path(spark, "landing-events-json")
-    ev = dt.raw_events(spark, sf)
-    j = F.to_json(F.struct("evento_id", "vagao_id", "status",
-                           F.date_format("data_inicio", "yyyy-MM-dd").alias("dia")))
-    bad = F.expr("substring(_j, 1, length(_j) - 1)")
-    (ev.withColumn("_j", j)
-       .select(F.when(F.col("status") == "error", bad).otherwise(F.col("_j")).alias("value"))
-       .write.text(landing))
-    from freightlake.sources.raw import CORRUPT
+    landing = _landing_json(spark, sf)
     schema = _LANDING_SCHEMA + f", {CORRUPT} string"
     stream = st.file_stream(spark, landing, schema, fmt="json", corrupt_column=CORRUPT).withColumn(
         "_source_file", F.col("_metadata.file_path"))
@@ -305,3 +316,82 @@ def q_hot_status(spark, sf):
     cur = st.current_status(tables.read_table(spark, path), _STATUS_AS_OF)
     return _ntz(cur.select("vagao_id", "evento_id", "status_norm", "updated_at", "expires_at"),
                 "updated_at", "expires_at")
+
+
+# Three streams: landing of JSON lines with malformed ones, an ingest whose every fourth
+# event comes twice, and one whose files lack a required column, which fails.
+@register("stream_counters", "A10 Q16 T9 V1", o.with_ctes() + f"""
+, raw AS (SELECT event_id, ts FROM events WHERE ts IS NOT NULL
+          UNION ALL SELECT event_id, ts + INTERVAL 1 HOUR FROM events WHERE ts IS NOT NULL AND event_id % 4 = 1),
+c AS (SELECT count(*) AS n, count(DISTINCT event_id) AS kept,
+             (epoch_us(TIMESTAMP '{dm.NOW}') - epoch_us(max(ts))) / 1000.0 AS age FROM raw),
+l AS (SELECT count(*) FILTER (WHERE status IS DISTINCT FROM 'error') AS good, count(*) FILTER (WHERE status = 'error') AS bad FROM ev),
+m(metric, domain, value, unit) AS (
+  SELECT 'RawRecordsRead', 'eventos', n, 'Count' FROM c
+  UNION ALL SELECT 'BronzeRecordsWritten', 'eventos', kept, 'Count' FROM c
+  UNION ALL SELECT 'DuplicatesRemoved', 'eventos', n - kept, 'Count' FROM c
+  UNION ALL SELECT 'IteratorAgeMilliseconds', 'eventos', age, 'Milliseconds' FROM c
+  UNION ALL SELECT 'ApiRecordsIngested', 'api', good, 'Count' FROM l
+  UNION ALL SELECT 'ApiIngestionError', 'api', bad, 'Count' FROM l
+  UNION ALL VALUES ('JobSuccess', 'api', 1, 'Count'), ('JobSuccess', 'eventos', 1, 'Count'),
+                   ('JobFailure', 'drift', 1, 'Count'), ('SchemaValidationFailure', 'drift', 1, 'Count')),
+r(metric, threshold) AS (VALUES ('JobFailure', 0), ('DuplicatesRemoved', 50000), ('SchemaValidationFailure', 0),
+                                ('IteratorAgeMilliseconds', 300000))
+SELECT m.metric, 'freightlake/pipeline' AS namespace, m.domain, CAST(m.value AS DOUBLE) AS value, m.unit,
+       TIMESTAMP '{dm.NOW}' AS ts, CASE WHEN r.metric IS NOT NULL THEN '>' END AS comparison,
+       CAST(r.threshold AS DOUBLE) AS threshold, coalesce(m.value > r.threshold, false) AS alarm
+FROM m LEFT JOIN r ON m.metric = r.metric""")
+def q_stream_counters(spark, sf):
+    found, arrived = scratch_path(spark, "stream-counters"), scratch_path(spark, "counters-in")
+    ev = dt.table(spark, sf, "events").filter("ts IS NOT NULL")
+    ev.unionByName(ev.filter("event_id % 4 = 1").withColumn("ts", F.expr("ts + INTERVAL 1 HOUR"))).write.parquet(arrived)
+
+    def sink(stream, name):
+        return (stream.writeStream.format("parquet").option("path", scratch_path(spark, f"counters-{name}"))
+                .option("checkpointLocation", scratch_path(spark, f"ckpt-counters-{name}")))
+
+    api = mon.counted(st.file_stream(spark, _landing_json(spark, sf), f"{_LANDING_SCHEMA}, {CORRUPT} string", fmt="json", corrupt_column=CORRUPT),
+                      "api", ApiRecordsIngested=F.count_if(F.col(CORRUPT).isNull()), ApiIngestionError=F.count_if(F.col(CORRUPT).isNotNull()))
+    rows = F.count(F.lit(1))
+    events = st.normalised_event_stream(spark, arrived, None).select("evento_id", "updated_at")
+    raw = mon.counted(events, "eventos", "updated_at", RawRecordsRead=rows)
+    kept = mon.counted(st.dedup_stream(raw, ["evento_id"], "updated_at", _DELAY), "eventos", BronzeRecordsWritten=rows)
+    drift = (events.drop("updated_at").writeStream.option("checkpointLocation", scratch_path(spark, "ckpt-counters-drift"))
+             .foreachBatch(lambda batch, batch_id: require_columns(batch, ["evento_id", "updated_at"])))
+    with mon.StreamMonitor(spark, found, now=dm.NOW) as monitor, _durable(spark):
+        mon.run_monitored(sink(api, "api"), monitor, "api")
+        mon.run_monitored(sink(kept, "eventos"), monitor, "eventos")
+        mon.run_monitored(drift, monitor, "drift", fails=True)
+    out = metrics.alarms(mon.stream_metrics(spark, found, dm.NOW), metrics.alarm_rules(spark), how="left")
+    return _ntz(out, "ts")
+
+
+# Batches bounded by size land below date and batch; the files of each date are packed.
+_PACKED = 64 * 1024 * 1024
+
+
+@register("landing_packed", "T1 T9", """
+SELECT CAST(ts AS DATE) AS date, count(*) AS n_events, CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS value_sum,
+       true AS few_files, true AS within_bound FROM events GROUP BY 1""")
+def q_landing_packed(spark, sf):
+    landed, ckpt = scratch_path(spark, "packed"), scratch_path(spark, "ckpt-packed")
+    writer = st.landing_batch_writer(landed, scratch_path(spark, "packed-errors"), "date", "updated_at", now=dm.NOW)
+    _run_arrivals(spark, _arrivals(spark, sf), lambda stream: st.run_foreach_batch(
+        stream.withColumn(CORRUPT, F.lit(None).cast("string")), writer, ckpt), max_bytes=128 << 20)
+    date = F.regexp_extract("folder", "/date=([^/]*)", 1)
+
+    def by_date(files, *aggs):
+        return files.groupBy(F.when(date != tables.NULL_PARTITION, date).cast("date").alias("date")).agg(*aggs)
+
+    listed = scratch_path(spark, "packed-listing")  # of the files before they are packed
+    by_date(packing.list_files(spark, landed), F.sum("bytes").alias("bytes")).write.parquet(listed)
+    before = spark.read.parquet(listed)
+    done = by_date(packing.pack_files(spark, landed, _PACKED, batch_col="batch_id"), F.max("bytes").alias("largest"))
+    after = by_date(packing.list_files(spark, landed), F.count(F.lit(1)).alias("n"))
+    files = before.join(after, before["date"].eqNullSafe(after["date"])).drop(after["date"])
+    files = files.join(done.withColumnRenamed("date", "_d"), F.col("date").eqNullSafe(F.col("_d")), "left").select(
+        F.col("date").alias("_d"), (F.col("n") <= 2 * F.col("bytes") / _PACKED + 1).alias("few_files"),
+        F.coalesce(F.col("largest") <= _PACKED, F.lit(True)).alias("within_bound"))
+    rows = spark.read.parquet(landed).groupBy("date").agg(
+        F.count(F.lit(1)).alias("n_events"), F.sum(F.col("value").try_cast("decimal(18,2)")).cast("double").alias("value_sum"))
+    return rows.join(files, F.col("date").eqNullSafe(F.col("_d")), "left").drop("_d")

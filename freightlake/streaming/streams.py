@@ -24,13 +24,17 @@ from freightlake.sources.raw import CORRUPT
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType | str, fmt: str = "parquet",
                 file_glob: str | None = None, max_files_per_trigger: int | None = None,
-                corrupt_column: str | None = None) -> DataFrame:
-    """A file-source stream with an explicit schema."""
+                corrupt_column: str | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """A file-source stream with an explicit schema.  ``max_bytes_per_trigger`` (say, 128 MiB)
+    bounds a micro-batch by size (T1): it takes files until the next one would pass it, one
+    at least; together with a processing-time trigger it flushes by size or time."""
     r = spark.readStream.schema(schema).format(fmt)
     if file_glob:
         r = r.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if max_bytes_per_trigger:
+        r = r.option("maxBytesPerTrigger", max_bytes_per_trigger)
     if corrupt_column:
         r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", corrupt_column)
     return r.load(path)
@@ -319,9 +323,11 @@ EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string
 
 
 def normalised_event_stream(spark: SparkSession, path: str, file_glob: str | None = "events.parquet",
-                            max_files_per_trigger: int | None = None) -> DataFrame:
+                            max_files_per_trigger: int | None = None,
+                            max_bytes_per_trigger: int | None = None) -> DataFrame:
     """The driver's events table (or folder of its rows) as a file stream, in domain columns."""
-    s = file_stream(spark, path, EVENT_SCHEMA, file_glob=file_glob, max_files_per_trigger=max_files_per_trigger)
+    s = file_stream(spark, path, EVENT_SCHEMA, file_glob=file_glob, max_files_per_trigger=max_files_per_trigger,
+                    max_bytes_per_trigger=max_bytes_per_trigger)
     status = case_map("event_type", STATUS_BY_EVENT_TYPE, keep_other=True)
     return s.select(
         F.col("event_id").alias("evento_id"), F.col("user_id").alias("vagao_id"),
