@@ -5,14 +5,15 @@ phrases are counted where their words stand consecutively.  Templates are
 license notices: every rolling three-word gram of a document is hashed and
 looked up among the hashes of the templates' grams; the grams that hit are
 joined with all template positions of their hash.  Each match votes for its
-diagonal (word in the document minus word in the template).  Diagonals of one
-template that lie near each other in the document (a few inserted or missing
-words) are merged into one span, and a span counts when its words, compared as
-text, cover enough of the template.
+diagonal (word in the document minus word in the template).  Neighbouring
+diagonals of one template (a few inserted or missing words) are merged into one
+span, no longer than the template and those words, and a span counts when its
+words, compared as text, cover enough of the template in the template's order.
 
 Defined results: NULL or empty text has no words, no labels, score 0 and NULL
 first and last words; NULL ids and repeated rows are judged like any row; an
-empty table gives an empty result; other columns are not read.
+empty table gives an empty result; very long texts are scanned whole, each place
+of a notice is a span of its own; other columns are not read.
 
 At scale: nothing of a document is shuffled but its few hits.  The look-up
 keeps a gram when its hash is one of the templates' (a constant set, a few
@@ -34,6 +35,8 @@ from freightlake.llm.common import ascii_lower, let, stage, word_list
 #: characters beyond ASCII).
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 GRAM = 3
+#: Inserted and missing words that a span bears: its diagonals lie that near each other.
+SLACK = 6
 
 # Base phrases and their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -102,32 +105,43 @@ def scan_words(df: DataFrame, id_col: str, text_col: str, hashes: list[int], phr
             .select("row", "id", "s.*"))
 
 
-def spans(scanned: DataFrame, templates: DataFrame, shift: int = 3, least: float = 0.7) -> DataFrame:
+def spans(scanned: DataFrame, templates: DataFrame, slack: int = SLACK, least: float = 0.7) -> DataFrame:
     """(row, label, first, last, coverage) of the verified spans.
 
-    Votes are counted by diagonal; diagonals of one template whose votes follow
-    each other within the template's length, and differ by at most ``shift``,
-    are one span.
+    Votes are counted by diagonal.  Each diagonal with votes is a base, merged with those
+    up to ``slack`` above it: places of a template of n words on them lie within n + slack
+    words of the document.  A base is verified when the template's places found there, each
+    at its first place in the document, cover enough of the template in its order: a place
+    counts if it stands behind all places of earlier ones.  Verified bases within ``slack``
+    of each other are one span, with the coverage of the best.
     """
     hits = (scanned.where(F.size("hits") > 0).select("row", F.explode("hits").alias("h"))
             .select("row", F.col("h.at").alias("pos"), F.col("h.gram").alias("gram")))
     votes = (hits.join(F.broadcast(templates), "gram")
              .withColumn("diagonal", F.col("pos") - F.col("at"))
              .groupBy("row", "template", "label", "size", "diagonal")
-             .agg(F.collect_set("at").alias("ats"), F.min("pos").alias("first"), F.max("pos").alias("last"),
-                  F.count("*").alias("votes")))
+             .agg(F.collect_set("at").alias("ats")))
     order = Window.partitionBy("row", "template").orderBy("diagonal")
-    starts = (F.abs(F.col("diagonal") - F.lag("diagonal").over(order)) > shift)
-    merged = (votes.withColumn("new", F.coalesce(starts, F.lit(True)).cast("int"))
-              .withColumn("span", F.sum("new").over(order))
-              .groupBy("row", "template", "label", "size", "span")
-              .agg(F.array_distinct(F.flatten(F.collect_list("ats"))).alias("ats"),
-                   F.min("first").alias("first"), F.max("last").alias("last")))
-    words = F.array_distinct(F.flatten(F.transform("ats", lambda a: F.sequence(a, a + GRAM - 1))))
-    return (merged.withColumn("coverage", F.size(words) / F.col("size"))
-            .where(F.col("coverage") >= least)
-            .select("row", "label", F.col("first").cast("long").alias("first"),
-                    (F.col("last") + GRAM - 1).cast("long").alias("last"), "coverage"))
+    near = F.collect_list(F.struct("diagonal", "ats")).over(order.rangeBetween(0, slack))
+
+    def place(at: Column) -> Column:
+        on = F.filter(F.col("near"), lambda d: F.array_contains(d["ats"], at))
+        return F.struct(at.alias("at"), (F.array_min(F.transform(on, lambda d: d["diagonal"])) + at).alias("pos"))
+
+    found = F.filter(F.transform(F.sequence(F.lit(0), F.col("size") - GRAM), place), lambda x: x["pos"].isNotNull())
+    in_order = F.filter(F.col("found"), lambda x, i: F.coalesce(
+        x["pos"] > F.array_max(F.transform(F.slice("found", 1, i), lambda y: y["pos"])), F.lit(True)))
+    words = F.array_distinct(F.flatten(F.transform("places", lambda x: F.sequence(x["at"], x["at"] + GRAM - 1))))
+    verified = (votes.withColumn("near", near).withColumn("found", found).withColumn("places", in_order)
+                .withColumn("coverage", F.size(words) / F.col("size")).where(F.col("coverage") >= least)
+                .select("row", "template", "label", "diagonal", "coverage", F.array_min("places.pos").alias("first"),
+                        (F.array_max("places.pos") + GRAM - 1).alias("last")))
+    new = F.coalesce(F.col("diagonal") - F.lag("diagonal").over(order) > slack, F.lit(True)).cast("int")
+    return (verified.withColumn("new", new).withColumn("span", F.sum("new").over(order))
+            .groupBy("row", "template", "label", "span")
+            .agg(F.min("first").cast("long").alias("first"), F.max("last").cast("long").alias("last"),
+                 F.max("coverage").alias("coverage"))
+            .select("row", "label", "first", "last", "coverage"))
 
 
 def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -175,19 +189,25 @@ g AS (
   SELECT doc_id, pos, array_to_string(words[pos + 1:pos + 3], ' ') AS gram
   FROM (SELECT *, unnest(range(0, len(words) - 2)) AS pos FROM w)),
 d AS (
-  SELECT doc_id, template, label, size, pos - place AS diagonal, list(DISTINCT place) AS places
-  FROM g JOIN tg USING (gram) GROUP BY ALL),
-n AS (
-  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER o <= 3 THEN 0 ELSE 1 END AS new
-  FROM d WINDOW o AS (PARTITION BY doc_id, template ORDER BY diagonal)),
-i AS (SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM n),
+  SELECT DISTINCT doc_id, template, label, size, pos - place AS diagonal, place FROM g JOIN tg USING (gram)),
+m AS (
+  SELECT d.doc_id, d.template, d.label, d.size, b.diagonal AS base, d.place, min(d.diagonal) + d.place AS pos
+  FROM (SELECT DISTINCT doc_id, template, diagonal FROM d) b
+  JOIN d ON d.doc_id = b.doc_id AND d.template = b.template AND d.diagonal BETWEEN b.diagonal AND b.diagonal + {SLACK}
+  GROUP BY d.doc_id, d.template, d.label, d.size, b.diagonal, d.place),
+r AS (
+  SELECT *, max(pos) OVER (PARTITION BY doc_id, template, base ORDER BY place
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS behind FROM m),
 c AS (
-  SELECT doc_id, template, label, size, span, count(DISTINCT k) / size AS coverage
-  FROM (SELECT *, unnest([place, place + 1, place + 2]) AS k FROM (SELECT *, unnest(places) AS place FROM i))
-  GROUP BY doc_id, template, label, size, span),
+  SELECT doc_id, template, label, base, count(DISTINCT k) / size AS coverage
+  FROM (SELECT *, unnest([place, place + 1, place + 2]) AS k FROM r WHERE behind IS NULL OR pos > behind)
+  GROUP BY doc_id, template, label, size, base),
+v AS (
+  SELECT *, CASE WHEN base - lag(base) OVER (PARTITION BY doc_id, template ORDER BY base) <= {SLACK} THEN 0 ELSE 1 END AS new
+  FROM c WHERE coverage >= 0.7),
 s AS (
-  SELECT doc_id, list(DISTINCT label) AS labels, max(coverage) AS coverage, count(*) AS n_spans
-  FROM c WHERE coverage >= 0.7 GROUP BY doc_id),
+  SELECT doc_id, list(DISTINCT label) AS labels, max(coverage) AS coverage, sum(new) AS n_spans
+  FROM v GROUP BY doc_id),
 f AS (
   SELECT doc_id, count(*) AS n_base, min(i) - 1 AS first_word, max(i) - 1 AS last_word, list(DISTINCT label) AS labels
   FROM b GROUP BY doc_id)
