@@ -17,9 +17,11 @@ an exchanged value that breaks this are dropped; the diagonal's other windows
 (without slots, unchanged, or consistent) are evidence.  A document
 is contaminated by an item when the windows left, of both forms and all
 diagonals together, cover at least ``least`` words of the item, or all of a shorter one; so a question whose
-numbers or names were exchanged is caught like a verbatim copy.  Windows that stand in more than
-``SHARED`` items (instructions before many questions) are no evidence; of such an item the words
-of its other windows count.
+numbers or names were exchanged is caught like a verbatim copy.  With ``shared=None`` (the registered
+query) every window is evidence for every item it stands in, however many these are;
+items of equal text are matched once and then all named.  ``matches`` by itself takes windows that stand
+in more than ``SHARED`` items (instructions before many questions) for no evidence; of such an
+item the words of its other windows count.
 
 Defined results: NULL or empty texts match nothing; items of three words match where these
 stand one after the other, numbers as they are, items of one or two words only a text of
@@ -354,42 +356,49 @@ def _bitmap(items: DataFrame, n: int) -> bytes:
     return out.tobytes()
 
 
-def _evidence(items: DataFrame, least: int) -> DataFrame:
-    """The windows that are evidence for an item, and how many of its words are needed.
-    A window that stands in more than SHARED items is none, so a wording that many items
+def _evidence(items: DataFrame, least: int, shared: int | None) -> DataFrame:
+    """The windows that are evidence for an item, and how many of its words are needed:
+    all windows, where ``shared`` is None.  Else one that stands in more than so many items is none, so a wording that many items
     share contaminates nothing; ``needed`` counts words of the item's own windows.  Items
     without a window of their own (many equal items) are found through one of them, the least."""
     window = ["form", "width", "hash"]
     many = (items.groupBy(*window).agg(F.count_distinct("item_key", F.coalesce(F.col("item").cast("string"), F.lit("")),
                                                         F.col("item").isNull()).alias("n_items"))
-            .where(F.col("n_items") > SHARED).select(*window))
-    marked = items.join(many.withColumn("shared", F.lit(True)), window, "left").withColumn("shared", F.coalesce("shared", F.lit(False)))
+            .where(F.col("n_items") > shared).select(*window)) if shared is not None else None
+    marked = (items.withColumn("shared", F.lit(False)) if many is None else
+              items.join(many.withColumn("shared", F.lit(True)), window, "left").withColumn("shared", F.coalesce("shared", F.lit(False))))
     key = ["item", "item_key"]
     own = (marked.where("NOT shared").select(*key, F.explode(F.sequence(F.col("first"), F.col("end") - 1)).alias("place"))
            .groupBy(*key).agg(F.count_distinct("place").alias("n_own")))
     same = [F.col(f"w.{k}").eqNullSafe(F.col(f"o.{k}")) for k in key]
     judged = marked.alias("w").join(own.alias("o"), same, "left").select("w.*", F.coalesce("n_own", F.lit(0)).alias("n_own"))
+    whole = judged.where("n_own > 0 AND NOT shared").withColumn("needed", F.least(F.lit(least), F.col("n_own")))
+    if many is None:
+        return whole  # each item has a window of its own
     alone = judged.where("n_own = 0").groupBy(*window).agg(F.min(F.struct("item", "item_key")).alias("one"))
     left = (judged.where("n_own = 0").join(alone, window).where(F.struct("item", "item_key").eqNullSafe(F.col("one")))
             .withColumn("needed", F.least(F.lit(least), F.col("n_words"))).drop("one"))
-    return (judged.where("n_own > 0 AND NOT shared").withColumn("needed", F.least(F.lit(least), F.col("n_own")))
-            .unionByName(left.select(*judged.columns, "needed")))
+    return whole.unionByName(left.select(*judged.columns, "needed"))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            item_col: str = "item_id", item_text: str = "text", least: int = LEAST) -> DataFrame:
+            item_col: str = "item_id", item_text: str = "text", least: int = LEAST, shared: int | None = SHARED) -> DataFrame:
     """One row for each contaminated document and item: id, item, t1, t2 (name
-    of the text), n_matched and n_item (words), exchanged (a slot has another value)."""
+    of the text), n_matched and n_item (words), exchanged (a slot has another value).
+    ``shared``: windows of more items are no evidence; None: all windows are."""
     spark = docs.sparkSession
-    items = stage(_scan(benchmark.select(F.col(item_col).alias("item"), F.xxhash64(item_text).alias("item_key"),
-                                         F.col(item_text).alias("__text")), ["item", "item_key"], None, None), "items")
+    bench = benchmark.select(F.col(item_col).alias("item"), F.xxhash64(item_text).alias("item_key"), F.col(item_text).alias("__text"))
+    members = bench.select("item", "item_key").distinct()
+    if shared is None:  # items of equal text are one until the end
+        bench = bench.groupBy("__text", "item_key").agg(F.min("item").alias("item")).select(*bench.columns)
+    items = stage(_scan(bench, ["item", "item_key"], None, None), "items")
     n = items.count()
     found_widths = items.select("form", "width").distinct().collect()  # at most WINDOW values for each form
     widths = {form: sorted(r.width for r in found_widths if r.form == form) for form in (FULL, PLAIN)}
     bitmap = spark.sparkContext.broadcast(_bitmap(items, n))
     given = docs.select(F.col(id_col).alias("id"), *text_key(F.col(text_col)), F.col(text_col).alias("__text"))
     found = _scan(given, ["id", "t1", "t2"], widths, bitmap).drop("n_words", "first", "end")
-    known = _evidence(items, least).select(
+    known = _evidence(items, least, shared).select(
         "item", "item_key", "form", "width", "hash", F.col("n_words").alias("n_item"), "needed", "first", "end",
         F.col("at").alias("item_at"), F.col("slots").alias("item_slots"))
     joined = found.join(F.broadcast(known) if n <= BROADCAST_WINDOWS else known, ["hash", "form", "width"])
@@ -409,11 +418,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     kept = let(several, lambda no: F.filter("found", lambda w: F.forall(
         w["pairs"], lambda p: (p["a"] == p["b"]) | ~F.array_contains(no, p["a"]))))
     places = F.array_distinct(F.flatten(F.transform("kept", lambda w: F.sequence(w["first"], w["end"] - 1))))
-    return (diagonals.select(*key, kept.alias("kept"), "found").where(F.size("kept") > 0)
+    result = (diagonals.select(*key, kept.alias("kept"), "found").where(F.size("kept") > 0)
             .select(*key, places.alias("places"), F.exists(F.flatten("found.pairs"), lambda x: x["a"] != x["b"]).alias("other"))
             .groupBy(*key).agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).cast("long").alias("n_matched"),
                                F.max("other").alias("exchanged"))
-            .where("n_matched >= needed")
+            .where("n_matched >= needed"))
+    if shared is None:
+        result = result.drop("item").join(members, "item_key")
+    return (result
             .select(F.col("id").alias(id_col), F.col("item").alias(item_col), "t1", "t2", "n_matched",
                     F.col("n_item").cast("long").alias("n_item"), "exchanged"))
 

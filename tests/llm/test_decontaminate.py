@@ -113,6 +113,16 @@ def test_wording_of_many_items_is_no_evidence(spark):
     assert set(r) == {(1 + k, i) for k, i in enumerate(range(0, 60, 7))} | {(len(texts) - 2, 60), (len(texts) - 1, 60)}
 
 
+def test_wording_of_many_items_counts_where_no_limit_is_given(spark):
+    lead = letters(20, 1)
+    items = [f"{lead} {letters(3 + i % 20, 100 + i)}" for i in range(60)] + [letters(30, 7)] * 40
+    texts = [lead, " ".join(lead.split()[:12]), f"so {letters(30, 7)} and", letters(30, 9)]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], DOC_SCHEMA)
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    r = {(x.doc_id, x.item_id): x.n_matched for x in decontaminate.matches(df, bench, shared=None).collect()}
+    assert r == {(0, i): 20 for i in range(60)} | {(2, i): 30 for i in range(60, 100)}
+
+
 def test_tokens_equal_a_pattern():
     pattern = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?\n]")
     texts = [ITEM, "a1.5b 1..2 3,4:5/6. 7.", "Straße ÀÉ x_y ² ½ ٣٤,٥ 日本語。 e\u0301 A. b!?\n\n", "", "__ ''", "1.2.3.x 9:30am", "\x00a\u2028b"]
