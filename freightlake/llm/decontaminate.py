@@ -18,7 +18,7 @@ an exchanged value that breaks this are dropped; the diagonal's other windows
 is contaminated by an item when the windows left, of both forms and all
 diagonals together, cover at least ``least`` words of the item, or all of a shorter one; so a question whose
 numbers or names were exchanged is caught like a verbatim copy.  With ``shared=None`` (the registered
-query) every window is evidence for every item it stands in, however many these are;
+queries and ``clean``) every window is evidence for every item it stands in, however many these are;
 items of equal text are matched once and then all named.  ``matches`` by itself takes windows that stand
 in more than ``SHARED`` items (instructions before many questions) for no evidence; of such an
 item the words of its other windows count.
@@ -43,6 +43,7 @@ Groups are one document's matches on one item.
 from __future__ import annotations
 
 import functools
+import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -78,6 +79,8 @@ NUMBER_HASH, UNIT_HASH, NAME_HASH = (np.uint64(0x6A09E667F3BCC908 + i) for i in
 # inside numbers, upper and lower case.
 LETTER, DIGIT, END, INNER, UPPER, LOWER = (1 << i for i in range(6))
 CHUNK = 1 << 20
+#: What ``tokenise`` finds, as a pattern.
+TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?\n]")
 FACTOR = 0x9E3779B97F4A7C15
 
 
@@ -431,8 +434,10 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **names) -> DataFrame:
-    """The rows of ``docs`` whose text no item contaminates, with all their columns."""
+    """The rows of ``docs`` whose text no item contaminates, with all their columns; every
+    window of an item is evidence unless ``shared`` is given."""
     a, b = fresh(docs, "__t1"), fresh(docs, "__t2")
+    names.setdefault("shared", None)
     id_col = names.pop("id_col", "doc_id")
     bad = stage(matches(docs, benchmark, id_col, text_col, **names).select("t1", "t2").distinct(), "contaminated")
     t1, t2 = text_key(F.col(text_col))

@@ -121,6 +121,7 @@ def test_wording_of_many_items_counts_where_no_limit_is_given(spark):
     bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
     r = {(x.doc_id, x.item_id): x.n_matched for x in decontaminate.matches(df, bench, shared=None).collect()}
     assert r == {(0, i): 20 for i in range(60)} | {(2, i): 30 for i in range(60, 100)}
+    assert sorted(x.doc_id for x in decontaminate.clean(df, bench).collect()) == [1, 3]
 
 
 def test_tokens_equal_a_pattern():
