@@ -97,20 +97,26 @@ def _instant(value: _dt.datetime) -> _dt.datetime:
 def stage(spark: SparkSession, path: str, stage_dir: str, keys: list[str], run: Run,
           before: DataFrame | None, effective: DataFrame | None, columns: list[str]) -> None:
     """Stages the rows of a merge: ``effective`` are the batch rows that change the table
-    (with ``_hit``), ``before`` the partitions they come from; both None for a new table."""
+    (with ``_hit``), ``before`` the partitions they come from, joined where ``effective`` does
+    not have their rows as ``_before``; both None for a new table."""
     seq = 0
     created = before is None
     if exists(spark, path):
         seq = runs(spark, path).agg(F.max("seq")).first()[0] + 1
     if not created:
-        b = before.select(F.struct(*[F.col(c) for c in before.columns]).alias("before"),
-                          *[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)])
         width = [F.col(c) if c in effective.columns else F.lit(None).cast(before.schema[c].dataType).alias(c)
                  for c in columns]
+        op = F.when(F.col("_hit"), "update").otherwise("insert").alias("op")
+    if not created and "_before" in effective.columns:
+        _write(effective.select(op, F.col("_before").alias("before"), F.struct(*width).alias("after"), F.lit(seq).alias("seq")),
+               f"{stage_dir}/changes")
+    elif not created:
+        b = before.select(F.struct(*[F.col(c) for c in before.columns]).alias("before"),
+                          *[F.col(k).alias(f"_b{i}") for i, k in enumerate(keys)])
         a = effective.select(F.struct(*width).alias("after"), "_hit", *[F.col(k).alias(f"_a{i}") for i, k in enumerate(keys)])
         same = reduce(lambda x, y: x & y, [F.col(f"_a{i}") == F.col(f"_b{i}") for i in range(len(keys))])
         joined = a.join(b, same, "left").select(
-            F.when(F.col("_hit"), "update").otherwise("insert").alias("op"), "before", "after", F.lit(seq).alias("seq"))
+            op, "before", "after", F.lit(seq).alias("seq"))
         _write(joined, f"{stage_dir}/changes")
     entry = [(run.run_id, run.instant, keys, created and seq == 0, seq)]
     _write(spark.createDataFrame(entry, _RUN_SCHEMA).coalesce(1), f"{stage_dir}/runs")

@@ -159,13 +159,16 @@ def batch_profile(source: DataFrame, keys: list[str]):
 
 
 def effective_rows(target: DataFrame, source: DataFrame, keys: list[str], newer: str | None,
-                   part_col: str, key_range) -> DataFrame:
+                   part_col: str, key_range, images: bool = False, seen: Observation | None = None) -> DataFrame:
     """Source rows that change the target: inserts, and matches that win (M2),
     with ``_old`` (the matched target row's partition) and ``_hit``.  Only keys,
-    watermark and partition of the target are read, behind the key range."""
+    watermark and partition of the target are read, behind the key range; with
+    ``images`` its whole rows, which go into ``_before``.  ``seen`` counts the rows of
+    the match: more than the source has where a key repeats in the target."""
     cols = list(dict.fromkeys([*keys, *([newer] if newer else []), part_col]))
-    found = target.filter(key_range).select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_hit"))
-    return _changes(source, found, keys, newer, part_col)
+    image = [F.struct(*target.columns).alias("_before")] if images else []
+    found = target.filter(key_range).select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_hit"), *image)
+    return _changes(source, found, keys, newer, part_col, seen)
 
 
 def indexed_rows(spark: SparkSession, index: key_index.KeyIndex, source: DataFrame) -> DataFrame:
@@ -177,13 +180,27 @@ def indexed_rows(spark: SparkSession, index: key_index.KeyIndex, source: DataFra
     return _changes(source, found, keys, newer, index.part_col)
 
 
-def _changes(source: DataFrame, found: DataFrame, keys: list[str], newer: str | None, part_col: str) -> DataFrame:
+def _changes(source: DataFrame, found: DataFrame, keys: list[str], newer: str | None, part_col: str,
+             seen: Observation | None = None) -> DataFrame:
     cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_t_{k}") for k in keys])
     joined = source.join(found, cond, "left")
+    if seen is not None:
+        joined = joined.observe(seen, F.count(F.lit(1)).alias("rows"))
     if newer is not None:
         joined = joined.filter(F.col("_hit").isNull()
                                | F.coalesce(F.col(newer) > F.col(f"_t_{newer}"), F.lit(False)))
-    return joined.select(*source.columns, F.col(f"_t_{part_col}").alias("_old"), F.col("_hit"))
+    return joined.select(*source.columns, F.col(f"_t_{part_col}").alias("_old"), F.col("_hit"),
+                         *[c for c in found.columns if c == "_before"])
+
+
+def replaced(affected: DataFrame, effective: DataFrame, keys: list[str]) -> DataFrame:
+    """``merge_upsert`` of rows that all win, where no key repeats in the target: only the
+    target's rows and the keys of the batch are shuffled, NULL keys are not."""
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    gone = effective.filter(F.col("_hit")).select(*[F.col(k).alias(f"_g_{k}") for k in keys])
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_g_{k}") for k in keys])
+    kept = affected.filter(has_key).join(gone, cond, "left_anti").unionByName(affected.filter(~has_key))
+    return kept.unionByName(effective.drop("_old", "_hit", "_before"), allowMissingColumns=True)
 
 
 def touched_values(effective: DataFrame, part_col: str) -> list:
@@ -329,7 +346,7 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
             index = key_index.create(spark, path, keys, newer, part_col, index_buckets)
         if index is not None and (list(index.keys), index.newer, index.part_col) != (keys, newer, part_col):
             raise ValueError(f"the key index of {path} is by {index.keys}, {index.newer}, {index.part_col}")
-        stats = _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index, commit, run)
+        stats = _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index, commit, run, most > 0)
         if commit is not None and not path_exists(spark, _entry(path, commit)):
             record_commit(spark, path, commit)  # nothing to change
     if snap:
@@ -337,12 +354,16 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     return stats
 
 
-def _stage_write(spark, rows, path, part_col, sort_cols, touched: list, commit: str | None) -> int:
+def _stage_write(spark, rows, path, part_col, sort_cols, touched: list, commit: str | None,
+                 expected: int | None = None, otherwise: DataFrame | None = None) -> int:
     """Stages the new content of the touched partitions, complete once its list of
-    partitions is written; returns how many of them it leaves empty."""
+    partitions is written; returns how many of them it leaves empty.  Where ``rows`` are not
+    as many as ``expected``, ``otherwise`` is staged."""
     stage = _stage_of(path)
     write_table(rows, f"{stage}/data", part_col, sort_cols)
     save_schema(spark, f"{stage}/data", rows.schema)
+    if expected is not None and read_table(spark, f"{stage}/data").count() != expected:
+        return _stage_write(spark, otherwise, path, part_col, sort_cols, touched, commit)
     present = {r[0] for r in read_table(spark, f"{stage}/data").select(F.col(part_col).cast("string")).distinct().collect()}
     names = [None if v is None else str(v) for v in touched]
     for name, value in (("commit", commit), ("part_col", part_col)):
@@ -353,29 +374,36 @@ def _stage_write(spark, rows, path, part_col, sort_cols, touched: list, commit:
 
 
 def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_range, since, index=None, commit=None,
-                    run=None) -> dict:
+                    run=None, keyed: bool = True) -> dict:
     if index is not None and key_index.next_seq(spark, index) > key_index.INCREMENTS:
         key_index.compact(spark, index)
     target = read_table(spark, path)
     if since is not None:
         target = target.filter(F.coalesce(F.col(part_col) >= F.lit(since), F.lit(True)))
     changed = scratch_path(spark, "merge-changes")
-    found = (effective_rows(target, source, keys, newer, part_col, key_range) if index is None
+    seen = Observation(f"matched-{uuid.uuid4().hex[:8]}")
+    found = (effective_rows(target, source, keys, newer, part_col, key_range, run is not None, seen) if index is None
              else indexed_rows(spark, index, source))
     found.write.parquet(changed)
-    effective = spark.read.parquet(changed)
+    effective = spark.read.schema(found.schema).parquet(changed)
+    # a key that repeats in the target: an index does not show it, the staged rows' number does
+    repeated = index is None and keyed and seen.get["rows"] != source.count()  # no key: no match, Spark may drop the join
     touched = touched_values(effective, part_col)
     emptied = 0
     if touched:
         affected = target.filter(in_partitions(part_col, touched))
-        merged = merge_upsert(affected, effective.drop("_old", "_hit"), keys)
+        whole = merge_upsert(affected, effective.drop("_old", "_hit", "_before"), keys)
+        merged = whole if repeated else replaced(affected, effective, keys)
+        expected = None if index is None else (
+            affected.count() - effective.filter(F.col("_hit")).count() + effective.count())
         if index is not None:
             key_index.stage_changes(spark, index, effective, f"{_stage_of(path)}/index")
         if run is not None:
-            left = [r[0] for r in effective.filter(F.col("_hit")).select("_old").distinct().collect()]
-            journal.stage(spark, path, f"{_stage_of(path)}/journal", keys, run,
-                          target.filter(in_partitions(part_col, left)), effective, merged.columns)
-        emptied = _stage_write(spark, merged, path, part_col, sort_cols, touched, commit)
+            left = touched if index is None and not repeated else [
+                r[0] for r in effective.filter(F.col("_hit")).select("_old").distinct().collect()]
+            journal.stage(spark, path, f"{_stage_of(path)}/journal", keys, run, target.filter(in_partitions(part_col, left)),
+                          effective.drop("_before") if repeated else effective, merged.columns)
+        emptied = _stage_write(spark, merged, path, part_col, sort_cols, touched, commit, expected, whole)
         finish_merge(spark, path, part_col)
     delete_path(spark, changed)
     return {"touched": len(touched), "emptied": emptied}

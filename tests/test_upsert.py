@@ -292,3 +292,21 @@ def test_batch_profile_composite_keys_ignore_null_parts(spark):
     assert sorted(tuple(r) for r in probe.filter(cond).collect()) == [(1, 10), (2, 8), (3, 7)]
     none_most, none_cond = tables.batch_profile(spark.createDataFrame([(None, 1)], "a long, b long"), ["a", "b"])
     assert none_most == 0 and probe.filter(none_cond).count() == 0
+
+
+def test_merges_join_keys_only_and_repeated_target_keys_as_before(spark, tmp_path):
+    now = _dated(spark, [("a", 1, "t", "2024-01-01"), ("b", 1, "t", "2024-01-02"), (None, 1, "t", "2024-01-01")])
+    batch = _dated(spark, [("a", 2, "s", "2024-01-02"), ("n", 1, "s", "2024-01-01"), (None, 1, "s", None)])
+    hits = batch.withColumn("_hit", F.when(F.col("k") == "a", True)).withColumn("_old", F.lit(None))
+    got = tables.replaced(now, hits, ["k"])
+    assert rows(got.select("k", "wm", "v")) == rows(merge_upsert(now, batch, "k").select("k", "wm", "v"))
+    assert "FullOuter" not in got._jdf.queryExecution().executedPlan().toString()
+    twice = now.unionByName(now).unionByName(_dated(spark, [("a", 9, "t", "2024-01-01")]))
+    for i, buckets in enumerate((None, 2)):
+        path = str(tmp_path / f"t{i}")
+        tables.write_table(twice, path)
+        tables.save_schema(spark, path, twice.schema)
+        tables.write_merged(spark, batch.filter("k = 'a'").withColumn("wm", F.lit(10)), path, "k", newer="wm", index_buckets=buckets)
+        a = [r["wm"] for r in tables.read_table(spark, path).filter("k = 'a'").collect()]
+        assert a == [10] * (9 if buckets is None else 3)
+        tables.write_merged(spark, batch.limit(0), path, "k", newer="wm", index_buckets=buckets)  # an empty batch
