@@ -34,8 +34,9 @@ empty documents or benchmark table gives an empty result (``clean`` then keeps
 all rows); other columns are not read.
 
 At scale: the benchmark is the small side.  Documents are read once, words are found and
-hashed by numpy over code points; a bitmap of the benchmark's window hashes (sized to their
-number, put together in tasks, at most 32 MB) drops nearly all windows inside the task;
+hashed by numpy over code points, in groups of texts with line feeds between; two bitmaps of
+the benchmark's window hashes (sized to their number, put together in tasks, at most 32 MB
+each) drop nearly all windows inside the task;
 what is left is joined by Spark, with a broadcast behind a check of the size.
 Groups are one document's matches on one item.
 """
@@ -79,6 +80,8 @@ NUMBER_HASH, UNIT_HASH, NAME_HASH = (np.uint64(0x6A09E667F3BCC908 + i) for i in
 # inside numbers, upper and lower case.
 LETTER, DIGIT, END, INNER, UPPER, LOWER = (1 << i for i in range(6))
 CHUNK = 1 << 20
+#: Short texts are worked on together, up to so many characters.
+GROUP = 1 << 15
 #: What ``tokenise`` finds, as a pattern.
 TOKEN = re.compile(r"\d+(?:[.,:/]\d+)*|[^\W\d_]+|[.!?\n]")
 FACTOR = 0x9E3779B97F4A7C15
@@ -286,6 +289,21 @@ def _own_widths(form: int, tokens: int) -> list[int]:
     return [tokens] if form == PLAIN and tokens else []
 
 
+def _groups(texts: list[str | None], alone: bool) -> Iterator[tuple[list[int], str]]:
+    """Numbers of consecutive texts and the texts with line feeds between: a line feed ends a
+    word, a number and a sentence like a text's end does, so each has the tokens it has alone."""
+    group, size = [], 0
+    for k, text in enumerate(texts):
+        n = len(text or "")
+        if group and (alone or size + n > GROUP):
+            yield group, "\n".join(texts[i] or "" for i in group)
+            group, size = [], 0
+        group.append(k)
+        size += n + 1
+    if group:
+        yield group, "\n".join(texts[i] or "" for i in group)
+
+
 def _scan(df: DataFrame, names: list[str], widths: dict[int, list[int]] | None, bitmap) -> DataFrame:
     """Windows of the texts in ``__text``: the named columns, n_words, form, width, at,
     first and end word, hash, slots.  ``widths`` by form; None: of each text WINDOW or
@@ -296,42 +314,57 @@ def _scan(df: DataFrame, names: list[str], widths: dict[int, list[int]] | None,
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in fields] + [made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if bitmap is None else np.frombuffer(bitmap.value, dtype=np.uint64)
+        bits = None if bitmap is None else np.frombuffer(bitmap.value, dtype=np.uint64).reshape(2, -1)
         one, low, six, there = np.uint64(1), np.uint64(63), np.uint64(6), None
         if bits is not None:
-            shift = np.uint64(64 - width_of(bits))
-            if len(bits) <= BYTES_FROM_WORDS:  # a byte for each bit: one look-up
-                there = np.unpackbits(bits.astype("<u8").view(np.uint8), bitorder="little").view(bool)
+            size = width_of(bits[0])
+            shift, second, last = np.uint64(64 - size), np.uint64(64 - 2 * size), np.uint64((1 << size) - 1)
+            if bits.shape[1] <= BYTES_FROM_WORDS:  # a byte for each bit: one look-up
+                there = np.unpackbits(bits[0].astype("<u8").view(np.uint8), bitorder="little").view(bool)
         for batch in batches:
             rows, cols = [], ([], [], [], [], [], [], [], [])
 
-            def put(k, raw, form, number, width, starts, h, fixed=False):
-                for start, x in zip(starts.tolist(), h.view(np.int64).tolist(), strict=True):
+            def put(ks, ends, raw, form, number, width, starts, h, fixed=False):
+                """Windows of the texts ``ks``, whose tokens end at ``ends`` (the first is 0)."""
+                of = np.searchsorted(ends, starts, side="right") - 1
+                for i, start, x in zip(of.tolist(), starts.tolist(), h.view(np.int64).tolist(), strict=True):
+                    first, after = int(ends[i]), int(ends[i + 1])
                     dense = width < SHORTEST or 2 * int(form.slots[start:start + width].sum()) > width
                     slots = [""] * width if dense else _slot_values(raw, form, start, width)
                     if fixed:
                         slots[0] = "=" + slots[0]
-                    rows.append(k)
-                    values = (int(form.word[-1]), number, width, start, int(form.word[start]), int(form.word[start + width]), x, slots)
+                    rows.append(ks[i])
+                    word = int(form.word[first])
+                    values = (int(form.word[after]) - word, number, width, start - first, int(form.word[start]) - word,
+                              int(form.word[start + width]) - word, x, slots)
                     for col, v in zip(cols, values, strict=True):
                         col.append(v)
 
-            for k, text in enumerate(batch.column("__text").to_pylist()):
-                raw, full, plain, literal = template(text)
+            texts = batch.column("__text").to_pylist()
+            for ks, joined in _groups(texts, widths is None):
+                raw, full, plain, literal = template(joined)
+                # each text's end, its line feed included, in the joined text
+                tail = np.cumsum([len(texts[k] or "") + 1 for k in ks])
                 for number, form, values in ((FULL, full, None), (PLAIN, plain, literal)):
-                    n = len(form.hashes)
-                    own = _own_widths(number, n) if widths is None else [w for w in widths[number] if w > WHOLE or w == n]
+                    ends = np.concatenate(([0], np.searchsorted(raw.start[form.keep], tail)))
+                    count = np.diff(ends)
+                    own = _own_widths(number, len(form.hashes)) if widths is None else [
+                        w for w in widths[number] if w > WHOLE or (count == w).any()]
                     for width in own:
                         starts, h = windows(form.hashes, form.slots, width, number, values)
                         if bits is not None:
                             top = h >> shift
-                            hit = np.flatnonzero(there[top] if there is not None else bits[top >> six] >> (top & low) & one)
+                            hit = np.flatnonzero(there[top] if there is not None else bits[0][top >> six] >> (top & low) & one)
+                            top = h[hit] >> second & last
+                            hit = hit[(bits[1][top >> six] >> (top & low) & one) > 0]
+                            of = np.searchsorted(ends, starts[hit], side="right") - 1  # inside one text
+                            hit = hit[(starts[hit] + width <= ends[of + 1]) & ((width > WHOLE) | (count[of] == width))]
                             if not len(hit):
                                 continue
                             starts, h = starts[hit], h[hit]
-                        put(k, raw, form, number, width, starts, h)
+                        put(ks, ends, raw, form, number, width, starts, h)
                         if widths is None and number == FULL and width >= SHORTEST and (again := as_name(raw, form, width)) is not None:
-                            put(k, raw, again, number, width, *windows(again.hashes, again.slots, width), fixed=True)
+                            put(ks, ends, raw, again, number, width, *windows(again.hashes, again.slots, width), fixed=True)
             took = batch.select([f.name for f in fields]).take(pa.array(rows, pa.int64()))
             kinds = (*[pa.int32()] * 6, pa.int64(), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(
@@ -347,14 +380,17 @@ def width_of(bits: np.ndarray) -> int:
 
 
 def _bitmap(items: DataFrame, n: int) -> bytes:
-    """Leading bits of the windows' hashes, about eight places for each, put together in
-    tasks; the driver gets the words that are not zero."""
+    """Two bitmaps, by the leading bits of the windows' hashes and by the bits after these,
+    with about eight places for each window, put together in tasks; the driver gets the words
+    that are not zero."""
     size = min(max(BITMAP_BITS[0], (8 * n).bit_length()), BITMAP_BITS[1])
     top = F.shiftrightunsigned("hash", 64 - size)
-    word = F.shiftrightunsigned(top, 6)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), top.bitwiseAND(F.lit(63).cast("long")).cast("int"))
-    found = items.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
-    out = np.zeros(1 << size - 6, np.int64)
+    then = F.shiftrightunsigned("hash", 64 - 2 * size).bitwiseAND(F.lit((1 << size) - 1).cast("long"))
+    places = items.select(F.explode(F.array(top, then + F.lit(1 << size).cast("long"))).alias("place"))
+    word = F.shiftrightunsigned("place", 6)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place").bitwiseAND(F.lit(63).cast("long")).cast("int"))
+    found = places.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()
+    out = np.zeros(2 << size - 6, np.int64)
     out[found.column("word").to_numpy()] = found.column("bits").to_numpy()
     return out.tobytes()
 

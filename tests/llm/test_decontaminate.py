@@ -141,3 +141,26 @@ def test_long_texts_in_chunks(monkeypatch):
     monkeypatch.setattr(decontaminate, "CHUNK", 50)
     for a, b in zip(whole[1:], decontaminate.tokenise(text)[1:], strict=True):
         assert (a == b).all()
+
+
+def test_texts_in_groups_give_what_each_gives_alone(spark):
+    """Neighbours share no window, name, unit or number, and places count from each text's start."""
+    a, b = ITEM[:60], ITEM[60:]
+    texts = [a, b, None, "", ITEM, f"went 5\n{ITEM}", "red apple", "red", "apple", "Alice", f"Bob {ITEM} 12", "km away.", f"été {ITEM}",
+             *(prose(40 + i) for i in range(20)), ITEM.upper()]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, __text string").coalesce(1)
+    widths = {decontaminate.FULL: [5, 8], decontaminate.PLAIN: [1, 2, 3, 8]}
+    bench = spark.createDataFrame([(0, ITEM), (1, "red apple"), (2, "Alice"), (3, "one two three"), (4, "what is 5 km")], "item long, __text string")
+    items = decontaminate._scan(bench, ["item"], None, None)
+    bitmap = spark.sparkContext.broadcast(decontaminate._bitmap(items, items.count()))
+    together = list(decontaminate._groups(texts, False))
+    assert len(together) == 1 and together[0][0] == list(range(len(texts)))
+
+    grouped = sorted(tuple(r) for r in decontaminate._scan(df, ["id"], widths, bitmap).collect())
+    hashes = {r["hash"] for r in items.collect()}
+    each = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(texts)), len(texts)), df.schema)
+    alone = [tuple(r) for r in decontaminate._scan(each, ["id"], widths, bitmap).collect()]
+    assert grouped == sorted(alone)
+    exact = [r for r in grouped if r[7] in hashes]
+    assert {r[0] for r in exact} >= {4, 5, 6, 9, 10, 12} and {r[0] for r in exact}.isdisjoint({2, 3, 7, 8, 11})
+    assert len(grouped) - len(exact) <= 2  # both bitmaps let hardly any other window through
