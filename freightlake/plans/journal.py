@@ -130,9 +130,9 @@ def _write(rows: DataFrame, to: str, dynamic: bool = False) -> None:
 def apply_stage(spark: SparkSession, path: str, stage_dir: str) -> None:
     """Enters staged rows; a second time gives the same journal.  The run goes last: rows
     without a run belong to a merge that is not finished."""
-    from freightlake.plans.tables import path_exists
+    from freightlake.plans.tables import move_dirs, path_exists
     if path_exists(spark, f"{stage_dir}/changes/_SUCCESS"):
-        _write(spark.read.parquet(f"{stage_dir}/changes"), f"{_root(path)}/changes", dynamic=True)
+        move_dirs(spark, f"{stage_dir}/changes/seq=*", f"{_root(path)}/changes")
     _write(spark.read.schema(_RUN_SCHEMA).parquet(f"{stage_dir}/runs"), f"{_root(path)}/runs", dynamic=True)
 
 

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from freightlake.session import MERGE_CODEC
+
 BUCKETS = 16
 #: A look-up reads at most so many increments; the next merge after that compacts.
 INCREMENTS = 8
@@ -78,7 +80,7 @@ def load(spark: SparkSession, path: str) -> KeyIndex | None:
 
 
 def _write(rows: DataFrame, to: str, dynamic: bool) -> None:
-    (rows.hint("rebalance", "seq", "bucket").write.mode("overwrite")
+    (rows.hint("rebalance", "seq", "bucket").write.mode("overwrite").option("compression", MERGE_CODEC)
      .option("partitionOverwriteMode", "dynamic" if dynamic else "static").partitionBy("seq", "bucket").parquet(to))
 
 
@@ -107,6 +109,10 @@ def rows(spark: SparkSession, index: KeyIndex, buckets: list[int] | None = None)
     return found if buckets is None else found.filter(F.col("bucket").isin(buckets))
 
 
+#: A batch of at least this share of the index rows in its buckets meets all of them at once.
+LARGE_SHARE = 0.25
+
+
 def _latest(stored: DataFrame, index: KeyIndex) -> DataFrame:
     last = stored.groupBy(*index.keys).agg(F.max_by(F.struct("_part", "_mark"), "seq").alias("_last"))
     return last.select(*index.keys, "_last.*")
@@ -114,9 +120,24 @@ def _latest(stored: DataFrame, index: KeyIndex) -> DataFrame:
 
 def look_up(spark: SparkSession, index: KeyIndex, batch: DataFrame) -> DataFrame:
     """keys, ``_part``, ``_mark`` of the batch's keys that the table has."""
-    wanted = batch.filter(index.has_key()).select(*index.keys, index.bucket().alias("bucket"))
-    buckets = [r[0] for r in wanted.select("bucket").distinct().collect()]  # at most ``buckets`` numbers
-    stored = rows(spark, index, buckets).join(wanted.select(*index.keys), list(index.keys), "left_semi")
+    wanted = batch.filter(index.has_key()).select(*index.keys)
+    stored, _ = _of_buckets(spark, index, wanted)
+    return _latest(stored.join(wanted, list(index.keys), "left_semi"), index)
+
+
+def _of_buckets(spark: SparkSession, index: KeyIndex, wanted: DataFrame) -> tuple[DataFrame, int]:
+    """Index rows of the buckets that the wanted keys are in, and the number of wanted keys."""
+    counts = wanted.groupBy(index.bucket().alias("bucket")).count().collect()  # at most ``buckets`` rows
+    return rows(spark, index, [r["bucket"] for r in counts]), sum(r["count"] for r in counts)
+
+
+def candidates(spark: SparkSession, index: KeyIndex, batch: DataFrame) -> DataFrame:
+    """``look_up`` before a join with the batch, which drops other keys: where the batch is
+    large its keys are not shuffled once more to drop them here."""
+    wanted = batch.filter(index.has_key()).select(*index.keys)
+    stored, n = _of_buckets(spark, index, wanted)
+    if n < LARGE_SHARE * stored.count():
+        return _latest(stored.join(wanted, list(index.keys), "left_semi"), index)
     return _latest(stored, index)
 
 
@@ -141,12 +162,13 @@ def compact(spark: SparkSession, index: KeyIndex) -> None:
 
 def stage_changes(spark: SparkSession, index: KeyIndex, changed: DataFrame, to: str) -> None:
     """The index rows of a merge's changed rows, written beside its staged data."""
-    index.entries(changed, next_seq(spark, index)).write.mode("overwrite").parquet(to)
+    _write(index.entries(changed, next_seq(spark, index)), to, dynamic=False)
 
 
 def apply_changes(spark: SparkSession, path: str, staged: str) -> None:
     """Staged index rows into the index; again after a stop gives the same index."""
+    from freightlake.plans.tables import move_dirs
+
     index = load(spark, path)
     if index is not None:
-        schema = T.StructType.fromJson(json.loads(index.schema))
-        _write(spark.read.schema(schema).parquet(staged), _version(spark, index), dynamic=True)
+        move_dirs(spark, f"{staged}/seq=*", _version(spark, index))

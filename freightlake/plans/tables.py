@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 from freightlake.operators.dedup import latest_per_key
 from freightlake.operators.upsert import AmbiguousMergeError, merge_upsert
 from freightlake.plans import journal, key_index
-from freightlake.session import scratch_path, shared_dir
+from freightlake.session import MERGE_CODEC, scratch_path, shared_dir
 
 DEFAULT_PART = "_partition_date"
 
@@ -51,6 +51,18 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
+def move_dirs(spark: SparkSession, pattern: str, to: str) -> None:
+    """Moves the folders that ``pattern`` finds below ``to`` in place of those of the same
+    name.  Again after a stop it moves those that are left."""
+    for found in glob_paths(spark, pattern):
+        at = f"{to}/{found.rstrip('/').rsplit('/', 1)[1]}"
+        delete_path(spark, at)
+        fs, p = _fs_path(spark, at)
+        fs.mkdirs(p.getParent())
+        if not fs.rename(_fs_path(spark, found)[1], p):
+            raise OSError(f"{found} could not be moved to {at}")
+
+
 def glob_paths(spark: SparkSession, pattern: str) -> list[str]:
     fs, p = _fs_path(spark, pattern)
     found = fs.globStatus(p) or []
@@ -92,7 +104,7 @@ def partition_dir(path: str, part_col: str, value) -> str:
 
 def write_table(df: DataFrame, path: str, part_col: str | None = DEFAULT_PART,
                 sort_cols: list[str] | None = None, mode: str = "overwrite",
-                dynamic: bool = False, cluster: bool = True) -> list | None:
+                dynamic: bool = False, cluster: bool = True, codec: str = "snappy") -> list | None:
     """K1 (create) / K7 (full refresh) / O2 (clustered files).
 
     ``dynamic=True`` replaces only the partitions present in ``df``.
@@ -116,7 +128,7 @@ def write_table(df: DataFrame, path: str, part_col: str | None = DEFAULT_PART,
         # One value per partition written: bounded by the table's partition count.
         obs = Observation(f"written-{uuid.uuid4().hex[:8]}")
         out = out.observe(obs, F.collect_set(F.col(part_col).cast("string")).alias("parts"))
-    w = (out.write.mode(mode).option("compression", "snappy")
+    w = (out.write.mode(mode).option("compression", codec)
          .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     if part_col:
         w = w.partitionBy(part_col)
@@ -141,12 +153,27 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 # -- K2 ----------------------------------------------------------------------
 
+def _counted_by_hash(source: DataFrame, keys: list[str]) -> bool:
+    types = [source.schema[k].dataType for k in keys]
+    wide = (T.StringType(), T.BinaryType())
+    return any(t in wide for t in types) and all(t in wide or isinstance(t, (T.IntegralType, T.DateType)) for t in types)
+
+
 def batch_profile(source: DataFrame, keys: list[str]):
-    """One aggregate over the batch: the most rows any non-NULL key has (M4)
+    """Aggregates over the batch: the most rows any non-NULL key has (M4)
     and ``k BETWEEN min AND max`` for every key column, a necessary condition
-    for a match that Parquet uses to skip row groups of the target."""
+    for a match that Parquet uses to skip row groups of the target.  Text keys are
+    counted by their hash, so that they are not shuffled; only where one repeats, the
+    keys themselves are."""
     not_null = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    per_key = source.filter(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if _counted_by_hash(source, keys):
+        by_hash = source.filter(not_null).groupBy(F.xxhash64(*keys)).agg(F.count(F.lit(1)).alias("_n"))
+        if (by_hash.agg(F.max("_n")).collect()[0][0] or 0) <= 1:
+            per_key = source.filter(not_null).withColumn("_n", F.lit(1))
+        else:
+            per_key = source.filter(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    else:
+        per_key = source.filter(not_null).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     row = per_key.agg(F.max("_n").alias("_most"),
                       *[F.min(k).alias(f"lo{i}") for i, k in enumerate(keys)],
                       *[F.max(k).alias(f"hi{i}") for i, k in enumerate(keys)]).collect()[0]
@@ -174,7 +201,7 @@ def effective_rows(target: DataFrame, source: DataFrame, keys: list[str], newer:
 def indexed_rows(spark: SparkSession, index: key_index.KeyIndex, source: DataFrame) -> DataFrame:
     """``effective_rows`` by the table's key index instead of the table."""
     keys, newer = list(index.keys), index.newer
-    found = key_index.look_up(spark, index, source).select(
+    found = key_index.candidates(spark, index, source).select(
         *[F.col(k).alias(f"_t_{k}") for k in keys], F.col("_part").alias(f"_t_{index.part_col}"),
         *([F.col("_mark").alias(f"_t_{newer}")] if newer and newer not in keys else []), F.lit(True).alias("_hit"))
     return _changes(source, found, keys, newer, index.part_col)
@@ -316,7 +343,7 @@ def write_merged(spark: SparkSession, source: DataFrame, path: str, keys: list[s
     snap = None
     if snapshot:
         snap = scratch_path(spark, "merge-source")
-        source.write.parquet(snap)
+        source.write.option("compression", MERGE_CODEC).parquet(snap)
         source = spark.read.schema(source.schema).parquet(snap)
     if since is not None:
         if late_path is None:
@@ -360,7 +387,7 @@ def _stage_write(spark, rows, path, part_col, sort_cols, touched: list, commit:
     partitions is written; returns how many of them it leaves empty.  Where ``rows`` are not
     as many as ``expected``, ``otherwise`` is staged."""
     stage = _stage_of(path)
-    write_table(rows, f"{stage}/data", part_col, sort_cols)
+    write_table(rows, f"{stage}/data", part_col, sort_cols, codec=MERGE_CODEC)
     save_schema(spark, f"{stage}/data", rows.schema)
     if expected is not None and read_table(spark, f"{stage}/data").count() != expected:
         return _stage_write(spark, otherwise, path, part_col, sort_cols, touched, commit)
@@ -384,7 +411,7 @@ def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_r
     seen = Observation(f"matched-{uuid.uuid4().hex[:8]}")
     found = (effective_rows(target, source, keys, newer, part_col, key_range, run is not None, seen) if index is None
              else indexed_rows(spark, index, source))
-    found.write.parquet(changed)
+    found.write.option("compression", MERGE_CODEC).parquet(changed)
     effective = spark.read.schema(found.schema).parquet(changed)
     # a key that repeats in the target: an index does not show it, the staged rows' number does
     repeated = index is None and keyed and seen.get["rows"] != source.count()  # no key: no match, Spark may drop the join

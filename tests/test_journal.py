@@ -143,3 +143,20 @@ def test_entries_of_a_table_written_without_a_schema_stay(spark, tmp_path):
     tables.write_table(b[0], path)
     tables.write_merged(spark, b[1].filter("k = 'new'"), path, "k", newer="wm", commit="stream/0")
     assert tables.read_table(spark, path).count() == b[0].count() + 1
+
+
+def test_staged_changes_are_moved_and_a_second_time_changes_nothing(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    b = batches(spark)
+    merge(spark, path, b[0], 0)
+    apply, staged = journal.apply_stage, []
+
+    def twice(s, to, stage_dir):
+        staged.extend(f.rsplit("/", 1)[1] for f in tables.glob_paths(s, f"{stage_dir}/changes/seq=*/*.parquet"))
+        apply(s, to, stage_dir)
+        apply(s, to, stage_dir)
+
+    monkeypatch.setattr(journal, "apply_stage", twice)
+    merge(spark, path, b[1], 1)
+    entered = [f.rsplit("/", 1)[1] for f in tables.glob_paths(spark, f"{path}/_journal/changes/seq=*/*.parquet")]
+    assert staged and sorted(entered) == sorted(staged)

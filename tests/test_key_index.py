@@ -105,3 +105,33 @@ def test_index_is_built_for_an_old_table_and_bound_to_its_keys(spark, tmp_path):
     tables.write_merged(spark, dated(spark, [(None, 1, "a", "2024-01-01")]), none, "k", newer="wm", index_buckets=4)
     tables.write_merged(spark, dated(spark, [("a", 1, "a", "2024-01-01")]), none, "k", newer="wm")
     assert in_index(spark, none) == in_table(spark, none)
+
+
+def test_a_large_batch_does_not_shuffle_its_keys_to_drop_others(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_merged(spark, target(spark, 60), path, "k", newer="wm", index_buckets=2)
+    tables.write_merged(spark, batch(spark), path, "k", newer="wm")  # a second row for some keys
+    index = key_index.load(spark, path)
+    large, small = target(spark, 50), dated(spark, [("key-7", 9, "s", "2024-01-01")])
+    plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi" not in plan(key_index.candidates(spark, index, large)) and "LeftSemi" in plan(key_index.candidates(spark, index, small))
+    for rows in (large, small):
+        want = sorted((r["k"], r["_mark"], str(r["_part"])) for r in key_index.look_up(spark, index, rows).collect())
+        found = key_index.candidates(spark, index, rows).join(rows.select("k"), "k").collect()
+        assert sorted((r["k"], r["_mark"], str(r["_part"])) for r in found) == want
+    files = [f for f in tables.glob_paths(spark, f"{path}/_key_index/v=*/seq=*/bucket=*/*.parquet")]
+    assert files and all(".zstd." in f for f in files)
+
+
+def test_text_keys_are_counted_by_hash_and_collisions_are_no_repeats(spark, monkeypatch):
+    grouped = []
+    group_by = type(target(spark)).groupBy
+    monkeypatch.setattr(type(target(spark)), "groupBy", lambda df, *cols: grouped.append([str(c) for c in cols]) or group_by(df, *cols))
+    rows = dated(spark, [("b", 1, "", None), ("a", 1, "", None), (None, 1, "", None), (None, 2, "", None)])
+    most, cond = tables.batch_profile(rows, ["k"])
+    assert most == 1 and ["k"] not in grouped
+    assert [r["k"] for r in rows.filter(cond).orderBy("k").collect()] == ["a", "b"]
+    assert tables.batch_profile(rows.union(rows), ["k"])[0] == 2
+    assert tables.batch_profile(rows.filter("k IS NULL"), ["k"])[0] == 0
+    monkeypatch.setattr(tables.F, "xxhash64", lambda *cols: F.length(F.col("v")))
+    assert tables.batch_profile(rows, ["k"])[0] == 1 and ["k"] in grouped
