@@ -167,8 +167,11 @@ def stage_changes(spark: SparkSession, index: KeyIndex, changed: DataFrame, to:
 
 def apply_changes(spark: SparkSession, path: str, staged: str) -> None:
     """Staged index rows into the index; again after a stop gives the same index."""
-    from freightlake.plans.tables import move_dirs
+    from freightlake.plans.tables import glob_paths, move_dirs
 
     index = load(spark, path)
-    if index is not None:
+    if index is not None and glob_paths(spark, f"{staged}/*.parquet"):  # staged without folders, by an earlier version
+        schema = T.StructType.fromJson(json.loads(index.schema))
+        _write(spark.read.schema(schema).parquet(staged), _version(spark, index), dynamic=True)
+    elif index is not None:
         move_dirs(spark, f"{staged}/seq=*", _version(spark, index))

@@ -135,3 +135,20 @@ def test_text_keys_are_counted_by_hash_and_collisions_are_no_repeats(spark, monk
     assert tables.batch_profile(rows.filter("k IS NULL"), ["k"])[0] == 0
     monkeypatch.setattr(tables.F, "xxhash64", lambda *cols: F.length(F.col("v")))
     assert tables.batch_profile(rows, ["k"])[0] == 1 and ["k"] in grouped
+
+
+def test_staged_rows_with_and_without_folders_are_entered(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_merged(spark, target(spark, 20), path, "k", newer="wm", index_buckets=2)
+    index = key_index.load(spark, path)
+    for n, key in enumerate(("flat", "folders")):
+        rows = dated(spark, [(key, 1, "s", "2024-02-01")])
+        if key == "flat":
+            index.entries(rows, 1 + n).write.parquet(str(tmp_path / key))
+        else:
+            key_index.stage_changes(spark, index, rows, str(tmp_path / key))
+        for _ in range(2):  # again after a stop
+            key_index.apply_changes(spark, path, str(tmp_path / key))
+        found = key_index.look_up(spark, index, rows).collect()
+        assert [(r["k"], r["_mark"], str(r["_part"])) for r in found] == [(key, 1, "2024-02-01")]
+    assert key_index.next_seq(spark, index) == 3
