@@ -6,7 +6,7 @@ K4 load-control rows, K6 dated NDJSON landing, K7 full refresh, K8 statistics.
 Writes go to the table path given by the caller (a shared filesystem).  A
 merged write first puts the complete new content of the touched partitions into
 a stage folder inside the table (``_merge_stage``, hidden from readers), then
-Spark's dynamic partition overwrite writes the partitions from that stage, and
+the partition folders of that stage are moved in place of the table's, and
 the stage is removed last.  A run that stopped in between is finished from its
 stage by the next merged write (or by ``finish_merge``).  Concurrent writers to
 one table are not supported, and a reader during the overwrite may see old and
@@ -104,15 +104,20 @@ def partition_dir(path: str, part_col: str, value) -> str:
 
 def write_table(df: DataFrame, path: str, part_col: str | None = DEFAULT_PART,
                 sort_cols: list[str] | None = None, mode: str = "overwrite",
-                dynamic: bool = False, cluster: bool = True, codec: str = "snappy") -> list | None:
+                dynamic: bool = False, cluster: bool = True, written: str | None = None) -> list | None:
     """K1 (create) / K7 (full refresh) / O2 (clustered files).
 
     ``dynamic=True`` replaces only the partitions present in ``df``.
     Rows are clustered by partition and sorted inside each file (O2);
     ``cluster=False`` skips that for input that is already clustered.
+    ``written`` names the folder that a call of this function wrote ``df`` to: its
+    partition folders are moved, no row is written again.
     Returns the partition values written, but for NULL (gathered by ``observe``
     during the write, no second pass), or None for an unpartitioned table.
     """
+    if written is not None:
+        move_dirs(df.sparkSession, f"{written}/{part_col}=*", path)
+        return None
     out = df
     sort_cols = [c for c in (sort_cols or []) if c != part_col]
     if part_col and cluster:
@@ -128,7 +133,7 @@ def write_table(df: DataFrame, path: str, part_col: str | None = DEFAULT_PART,
         # One value per partition written: bounded by the table's partition count.
         obs = Observation(f"written-{uuid.uuid4().hex[:8]}")
         out = out.observe(obs, F.collect_set(F.col(part_col).cast("string")).alias("parts"))
-    w = (out.write.mode(mode).option("compression", codec)
+    w = (out.write.mode(mode).option("compression", "snappy")
          .option("partitionOverwriteMode", "dynamic" if dynamic else "static"))
     if part_col:
         w = w.partitionBy(part_col)
@@ -220,14 +225,34 @@ def _changes(source: DataFrame, found: DataFrame, keys: list[str], newer: str |
                          *[c for c in found.columns if c == "_before"])
 
 
-def replaced(affected: DataFrame, effective: DataFrame, keys: list[str]) -> DataFrame:
+def replaced(affected: DataFrame, effective: DataFrame, keys: list[str], winners: DataFrame | None = None) -> DataFrame:
     """``merge_upsert`` of rows that all win, where no key repeats in the target: only the
-    target's rows and the keys of the batch are shuffled, NULL keys are not."""
+    target's rows and the keys of the batch are shuffled, NULL keys are not.  ``winners`` are
+    the whole rows where ``effective`` has their keys only."""
     has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     gone = effective.filter(F.col("_hit")).select(*[F.col(k).alias(f"_g_{k}") for k in keys])
     cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_g_{k}") for k in keys])
     kept = affected.filter(has_key).join(gone, cond, "left_anti").unionByName(affected.filter(~has_key))
-    return kept.unionByName(effective.drop("_old", "_hit", "_before"), allowMissingColumns=True)
+    rows = effective.drop("_old", "_hit", "_before") if winners is None else winners
+    return kept.unionByName(rows, allowMissingColumns=True)
+
+
+def winning_rows(source: DataFrame, effective: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the batch, in which no key repeats, whose keys are in ``effective``; those with a
+    NULL in a key always are.  Where all win, nothing is joined."""
+    if effective.count() == source.count():
+        return source
+    has_key = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    won = effective.filter(has_key).select(*[F.col(k).alias(f"_w_{k}") for k in keys])
+    cond = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"_w_{k}") for k in keys])
+    return source.filter(has_key).join(won, cond, "left_semi").unionByName(source.filter(~has_key))
+
+
+def partly_kept(affected: DataFrame, effective: DataFrame, part_col: str) -> list:
+    """Partitions with a row that no matched row of the batch replaces, where no key repeats
+    in the target: the others need not be read.  Two counts for each partition."""
+    gone = {r[0]: r[1] for r in effective.filter(F.col("_hit")).groupBy("_old").count().collect()}
+    return [r[0] for r in affected.groupBy(part_col).count().collect() if gone.get(r[0]) != r[1]]
 
 
 def touched_values(effective: DataFrame, part_col: str) -> list:
@@ -277,21 +302,25 @@ def record_commit(spark: SparkSession, path: str, commit: str) -> None:
 
 
 def finish_merge(spark: SparkSession, path: str, part_col: str = DEFAULT_PART) -> bool:
-    """Write the partitions of a complete stage, remove the partitions it leaves
-    empty, then the stage.  A stage whose list of partitions was never written
+    """Move the partitions of a complete stage into the table, remove the partitions it
+    leaves empty, then the stage.  A stage whose list of partitions was never written
     belongs to a merge that has changed nothing yet: it is dropped.  Running it
     again after a stop gives the same table.  Returns whether a stage was written."""
     stage = _stage_of(path)
     complete = path_exists(spark, f"{stage}/touched/_SUCCESS")
     if complete:
-        touched = [r[0] for r in spark.read.parquet(f"{stage}/touched").collect()]
+        touched = spark.read.schema("part string, emptied boolean").parquet(f"{stage}/touched").collect()
         staged = read_table(spark, f"{stage}/data")
-        present = {r[0] for r in staged.select(F.col(part_col).cast("string")).distinct().collect()}
-        if present:
-            write_table(staged, path, part_col, dynamic=True, cluster=False)
-        for value in touched:
-            if value not in present:
-                delete_path(spark, partition_dir(path, part_col, value))
+        if any(r["emptied"] is None for r in touched):  # staged by an earlier version
+            present = {r[0] for r in staged.select(F.col(part_col).cast("string")).distinct().collect()}
+            emptied = [r["part"] for r in touched if r["part"] not in present]
+            if present:
+                write_table(staged, path, part_col, dynamic=True, cluster=False)
+        else:  # what is moved is no longer staged: which partitions end empty is in the list
+            emptied = [r["part"] for r in touched if r["emptied"]]
+            write_table(staged, path, part_col, dynamic=True, written=f"{stage}/data")
+        for value in emptied:
+            delete_path(spark, partition_dir(path, part_col, value))
         save_schema(spark, path, staged.schema)
         if path_exists(spark, f"{stage}/index/_SUCCESS"):
             key_index.apply_changes(spark, path, f"{stage}/index")
@@ -387,16 +416,17 @@ def _stage_write(spark, rows, path, part_col, sort_cols, touched: list, commit:
     partitions is written; returns how many of them it leaves empty.  Where ``rows`` are not
     as many as ``expected``, ``otherwise`` is staged."""
     stage = _stage_of(path)
-    write_table(rows, f"{stage}/data", part_col, sort_cols, codec=MERGE_CODEC)
+    present = set(write_table(rows, f"{stage}/data", part_col, sort_cols) or [])
+    if path_exists(spark, partition_dir(f"{stage}/data", part_col, None)):
+        present.add(None)
     save_schema(spark, f"{stage}/data", rows.schema)
     if expected is not None and read_table(spark, f"{stage}/data").count() != expected:
         return _stage_write(spark, otherwise, path, part_col, sort_cols, touched, commit)
-    present = {r[0] for r in read_table(spark, f"{stage}/data").select(F.col(part_col).cast("string")).distinct().collect()}
     names = [None if v is None else str(v) for v in touched]
     for name, value in (("commit", commit), ("part_col", part_col)):
         if value is not None:
             spark.createDataFrame([(value,)], "value string").coalesce(1).write.mode("overwrite").text(f"{stage}/{name}")
-    spark.createDataFrame([(v,) for v in names], "part string").coalesce(1).write.parquet(f"{stage}/touched")
+    spark.createDataFrame([(v, v not in present) for v in names], "part string, emptied boolean").coalesce(1).write.parquet(f"{stage}/touched")
     return sum(v not in present for v in names)
 
 
@@ -407,20 +437,31 @@ def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_r
     target = read_table(spark, path)
     if since is not None:
         target = target.filter(F.coalesce(F.col(part_col) >= F.lit(since), F.lit(True)))
-    changed = scratch_path(spark, "merge-changes")
-    seen = Observation(f"matched-{uuid.uuid4().hex[:8]}")
-    found = (effective_rows(target, source, keys, newer, part_col, key_range, run is not None, seen) if index is None
-             else indexed_rows(spark, index, source))
-    found.write.option("compression", MERGE_CODEC).parquet(changed)
-    effective = spark.read.schema(found.schema).parquet(changed)
-    # a key that repeats in the target: an index does not show it, the staged rows' number does
-    repeated = index is None and keyed and seen.get["rows"] != source.count()  # no key: no match, Spark may drop the join
+    scratch = []
+
+    def match(batch: DataFrame) -> tuple[DataFrame, bool]:
+        seen = Observation(f"matched-{uuid.uuid4().hex[:8]}")
+        found = (effective_rows(target, batch, keys, newer, part_col, key_range, run is not None, seen) if index is None
+                 else indexed_rows(spark, index, batch))
+        scratch.append(scratch_path(spark, "merge-changes"))
+        found.write.option("compression", MERGE_CODEC).parquet(scratch[-1])
+        # a key that repeats in the target: an index does not show it, the staged rows' number does
+        twice = index is None and keyed and seen.get["rows"] != batch.count()  # no key: no match, Spark may drop the join
+        return spark.read.schema(found.schema).parquet(scratch[-1]), twice
+
+    # without a journal the keys are matched alone, the batch's other columns are not shuffled for it
+    thin = run is None
+    effective, repeated = match(source.select(*dict.fromkeys([*keys, *([newer] if newer else []), part_col])) if thin else source)
+    if thin and repeated:  # each row of the batch counts once for each row it meets
+        thin, (effective, _) = False, match(source)
     touched = touched_values(effective, part_col)
     emptied = 0
     if touched:
         affected = target.filter(in_partitions(part_col, touched))
-        whole = merge_upsert(affected, effective.drop("_old", "_hit", "_before"), keys)
-        merged = whole if repeated else replaced(affected, effective, keys)
+        rows = winning_rows(source, effective, keys) if thin else effective.drop("_old", "_hit", "_before")
+        whole = merge_upsert(affected, rows, keys)
+        merged = whole if repeated else replaced(
+            affected.filter(in_partitions(part_col, partly_kept(affected, effective, part_col))), effective, keys, rows)
         expected = None if index is None else (
             affected.count() - effective.filter(F.col("_hit")).count() + effective.count())
         if index is not None:
@@ -432,7 +473,8 @@ def _merge_existing(spark, source, path, keys, newer, part_col, sort_cols, key_r
                           effective.drop("_before") if repeated else effective, merged.columns)
         emptied = _stage_write(spark, merged, path, part_col, sort_cols, touched, commit, expected, whole)
         finish_merge(spark, path, part_col)
-    delete_path(spark, changed)
+    for at in scratch:
+        delete_path(spark, at)
     return {"touched": len(touched), "emptied": emptied}
 
 
