@@ -158,13 +158,15 @@ def state_at(spark: SparkSession, path: str, at: str) -> DataFrame:
     known = runs(spark, path)
     limit = F.lit(Run("", at).instant)
     seen = known.agg(F.max(F.when(F.col("at") <= limit, F.col("seq"))).alias("last"), F.min("seq").alias("first"),
-                     F.max(F.when(F.col("seq") == 0, F.col("created"))).alias("created"),
+                     F.max("seq").alias("newest"), F.max(F.when(F.col("seq") == 0, F.col("created"))).alias("created"),
                      F.first("keys").alias("keys")).first()
     keys, table = list(seen["keys"]), read_table(spark, path)
     if seen["last"] is None:
         if not seen["created"]:
             raise JournalError(f"the journal of {path} begins after {at}")
         return table.limit(0)
+    if seen["last"] == seen["newest"]:
+        return table
     later = changes(spark, path).filter(F.col("seq") > seen["last"])
     keyed = later.filter(_has_key(keys, "after.")).select(
         *[F.col(f"after.{k}").alias(f"_k{i}") for i, k in enumerate(keys)], "op", "before", (-F.col("seq")).alias("_back"))
