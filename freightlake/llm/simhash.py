@@ -27,6 +27,8 @@ columns are not read, whatever their names.
 
 At scale: fingerprints are written once (an id and a long each); copies are one class
 before any table, counted map-side; the tables hold 31 rows of two longs for a class.
+Tables of a row or more for each class are joined by merging: Spark sizes exploded rows
+as what they come from, packed files by their bytes, and would send them to the driver.
 """
 
 from __future__ import annotations
@@ -110,11 +112,11 @@ def links(classes: DataFrame, radius: int = 4, hot: int = HOT) -> DataFrame:
     tables = F.transform(_longs(masks(radius)), lambda m, i: F.xxhash64(i, F.col("fp").bitwiseAND(m)))
     keys = classes.select("fp", F.explode(tables).alias("key"))
     buckets = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    members = stage(keys.join(buckets, "key"), "buckets")
+    members = stage(keys.join(buckets.hint("merge"), "key"), "buckets")
     cool = members.where(F.col("n") <= hot)
     a, b = cool.select("key", F.col("fp").alias("a")), cool.select("key", F.col("fp").alias("b"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
-    pairs = a.join(b, "key").where(F.col("a") < F.col("b")).where(near).select("a", "b").distinct()
+    pairs = a.join(b.hint("merge"), "key").where(F.col("a") < F.col("b")).where(near).select("a", "b").distinct()
     crowded = members.where(F.col("n") > hot).select("fp").distinct()
     middle = F.explode(F.transform(_longs(ball(radius // 2)), lambda m: F.col("fp").bitwiseXOR(m))).alias("mid")
     shared = (crowded.select("fp", middle).groupBy("mid").agg(F.collect_list("fp").alias("fps"))  # at most a ball's size
@@ -128,12 +130,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = stage(fingerprints(docs, id_col, text_col, words), "fingerprints")
     classes = stage(rows.groupBy("fp").agg(F.min("id").alias("least")), "fingerprint-classes")
     edges = stage(links(classes, radius, hot), "fingerprint-links")
-    of = components(edges, "a", "b")
+    of = components(edges, "a", "b").hint("merge")
     linked = classes.join(of, F.col("fp") == F.col("node")).select("fp", "component", "least")
     named = linked.groupBy("component").agg(F.min("least").alias("component_id"))
     labels = linked.join(named, "component").select(F.col("fp").alias("node"), "component_id")
     found = (classes.join(labels, F.col("fp") == F.col("node"), "left")
              .select("fp", F.when(F.col("node").isNull(), F.col("least")).otherwise(F.col("component_id")).alias("component_id")))
     found = stage(found, "fingerprint-components")  # a plain join, whose hot fingerprints are split
-    return (rows.join(found, "fp")
+    return (rows.join(found.hint("merge"), "fp")
             .select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))

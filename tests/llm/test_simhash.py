@@ -3,6 +3,7 @@ import random
 import pytest
 import xxhash
 from helpers import DOC_SCHEMA, awkward, clashing, empty, prose, words_of
+from pyspark.sql import functions as F
 
 from freightlake.llm import simhash
 
@@ -90,6 +91,21 @@ def test_links_of_crowded_and_cool_buckets(spark):
         assert sorted(((i, f"{p:016x}", least[find(simhash.signed(p))]) for i, p in enumerate(each)), key=str) == want
 
 
+def test_tables_of_masks_are_not_broadcast(spark, monkeypatch):
+    """16,000 fingerprints have 496,000 rows in tables, and 240,000 or so in buckets."""
+    rows = spark.range(8000).select(F.explode(F.array("id", F.col("id") + 8000)).alias("id"))
+    bit = F.when(F.col("id") < 8000, F.lit(0).cast("long")).otherwise(F.lit(1 << 40))
+    rows = rows.select("id", F.xxhash64(F.col("id") % 8000).bitwiseXOR(bit).alias("fp"))
+    monkeypatch.setattr(simhash, "fingerprints", lambda docs, *_: docs)
+    limit = "spark.sql.maxBroadcastTableSize"
+    spark.conf.set(limit, "4m")
+    try:
+        got = {r.id: r.component_id for r in simhash.near_duplicates(rows, "id").collect()}
+    finally:
+        spark.conf.unset(limit)
+    assert got == {i: i % 8000 for i in range(16000)}
+
+
 def test_masks_cover_every_pair_within_the_radius():
     for radius in (2, 4):
         each = simhash.masks(radius)
